@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("features",)
+FAMILIES = ("features", "metrics", "splits")
 
 
 def load_all() -> None:
