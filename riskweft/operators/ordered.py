@@ -73,35 +73,45 @@ def running_totals(folded: DataFrame, by: Sequence[str], order: Sequence[str], m
     )
 
 
-def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float], edge_by: Sequence[str] | None = None) -> DataFrame:
-    """Linear-interpolation quantiles of the non-null values, one row per group.
+def folded_quantiles(folded: DataFrame, by: Sequence[str], value: str, count: str, probs: dict[str, float], edge_by: Sequence[str] | None = None) -> DataFrame:
+    """Linear-interpolation quantiles per group from a folded (by, value, count) table.
 
-    The built-in percentile keeps every distinct value of a group in one buffer;
-    here the group is spread over ranges and only the rows that hold a wanted
-    rank reach the final aggregate.
+    Also gives distinct_values, the number of folded rows of the group.
     """
-    present = df.where(F.col(value).isNotNull())
-    folded = fold_values(present, by, value, {"_n": F.lit(1)})
-    ranged = range_number(folded, value, by if edge_by is None else edge_by)
-    placed = running_totals(folded, by, [value], ["_n"], ranged)
-    sizes = folded.groupBy(*by).agg(F.sum("_n").alias("_size"))
-    placed = placed.join(sizes, list(by)) if by else placed.withColumn("_size", sizes.select("_size").scalar())
+    placed = running_totals(folded, by, [value], [count], range_number(folded, value, by if edge_by is None else edge_by))
+    sizes = folded.groupBy(*by).agg(F.sum(count).alias("_size"), F.count(F.lit(1)).alias("distinct_values"))
+    if by:
+        placed = placed.join(sizes, list(by))
+    else:
+        placed = placed.select("*", *[sizes.select(c).scalar().alias(c) for c in ("_size", "distinct_values")])
+    cum, own = F.col(f"cum_{count}"), F.col(count)
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("cum__n") - F.col("_n") <= rank) & (rank < F.col("cum__n")), F.col(value).cast("double")))
+        return F.max(F.when((cum - own <= rank) & (rank < cum), F.col(value).cast("double")))
 
     parts = []
     for name, p in probs.items():
         place = (F.col("_size") - 1) * F.lit(float(p))
         parts += [at(F.floor(place)).alias(f"_lo_{name}"), at(F.ceil(place)).alias(f"_hi_{name}")]
-    wide = placed.groupBy(*by).agg(F.max("_size").alias("_size"), *parts)
+    wide = placed.groupBy(*by).agg(F.max("_size").alias("_size"), F.max("distinct_values").alias("distinct_values"), *parts)
 
     def between(name: str, p: float) -> Column:
         place = (F.col("_size") - 1) * F.lit(float(p))
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         return low + (high - low) * (place - F.floor(place))
 
-    return wide.select(*by, *[between(n, p).alias(n) for n, p in probs.items()])
+    return wide.select(*by, "distinct_values", *[between(n, p).alias(n) for n, p in probs.items()])
+
+
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float], edge_by: Sequence[str] | None = None) -> DataFrame:
+    """Linear-interpolation quantiles of the non-null values, one row per group.
+
+    The built-in percentile keeps every distinct value of a group in one buffer;
+    here a group is spread over ranges and only the rows that hold a wanted
+    rank reach the final aggregate.
+    """
+    folded = fold_values(df.where(F.col(value).isNotNull()), by, value, {"_n": F.lit(1)})
+    return folded_quantiles(folded, by, value, "_n", probs, edge_by).drop("distinct_values")
 
 
 def long_form(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), name: str = "feature", value: str = "value") -> DataFrame:
@@ -110,7 +120,25 @@ def long_form(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), n
 
 
 def average_ranks(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """(by, value, avg_rank): mean rank of each distinct value, ties sharing their mean."""
+    """(by, value, rows, avg_rank): mean rank of each distinct value, ties sharing their mean."""
     folded = fold_values(df, by, value, {"_n": F.lit(1)})
     placed = running_totals(folded, by, [value], ["_n"], range_number(folded, value))
-    return placed.select(*by, value, (F.col("cum__n") - (F.col("_n") - 1) / 2).alias("avg_rank"))
+    return placed.select(*by, value, F.col("_n").alias("rows"), (F.col("cum__n") - (F.col("_n") - 1) / 2).alias("avg_rank"))
+
+
+def attach_by_value(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], count: str, hot_share: float = 0.001) -> DataFrame:
+    """Join rows to a lookup that is unique on keys, with hot keys taken out of the shuffle.
+
+    count is the number of rows per key. Keys with more than hot_share of all
+    rows - by arithmetic at most 1/hot_share of them - are joined by
+    broadcast; the others, none of them large, are joined by shuffle.
+    """
+    total = lookup.agg(F.sum(count)).scalar()
+    is_hot = F.col(count) > total * hot_share
+    values = [c for c in lookup.columns if c not in keys]
+    hot = lookup.where(is_hot)
+    cold = lookup.where(~is_hot)
+    by_broadcast = rows.join(F.broadcast(hot), list(keys))
+    rest = rows.join(F.broadcast(hot.select(*keys)), list(keys), "left_anti").join(cold, list(keys))
+    names = [*rows.columns, *[c for c in values if c != count]]
+    return by_broadcast.select(*names).unionByName(rest.select(*names))

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("features", "metrics", "splits")
+FAMILIES = ("tables", "features", "quality", "metrics", "splits", "prep")
 
 
 def load_all() -> None:

@@ -39,7 +39,7 @@ def _delay_code(lag: Column) -> Column:
 
 
 def panel(spark: SparkSession, sf_dir: str, extra: bool = False) -> DataFrame:
-    """row_id, X1..X23, Y; with extra also early_share, an early view of the return share."""
+    """row_id, X1..X23, Y; with extra also early_share (early view of the return share), balance and segment."""
     lines = _order_lines(read_table(spark, sf_dir, "lineitem"))
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     dated = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
@@ -59,7 +59,7 @@ def panel(spark: SparkSession, sf_dir: str, extra: bool = False) -> DataFrame:
         *[F.sum(in_period(k, "paid")).alias(f"paid{k}") for k in PERIODS],
         *[F.sum(c).alias(c) for c in ("lines", "returned", "early_lines", "early_returned")],
     )
-    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
+    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_nationkey", "c_mktsegment")
     key = F.col("c_custkey")
     out = customer.join(per_customer, key == F.col("o_custkey"), "left")
 
@@ -81,7 +81,9 @@ def panel(spark: SparkSession, sf_dir: str, extra: bool = False) -> DataFrame:
     ]
     if extra:
         early = F.try_divide(F.col("early_returned"), F.col("early_lines"))
-        columns.append(F.coalesce(early, F.lit(0.0)).alias("early_share"))
+        columns += [
+            F.coalesce(early, F.lit(0.0)).alias("early_share"), F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment"),
+        ]
     return out.select(*columns)
 
 
@@ -117,7 +119,8 @@ panel as (
          cast(c_custkey%7 as integer) as X3, cast(c_nationkey%4 as integer) as X4, cast(21+c_custkey%60 as integer) as X5,
          {x_lag}, {x_bill}, {x_paid},
          cast(case when coalesce(cast(returned as double)/nullif(lines,0), 0.0) >= 0.40 then 1 else 0 end as integer) as Y,
-         coalesce(cast(early_returned as double)/nullif(early_lines,0), 0.0) as early_share
+         coalesce(cast(early_returned as double)/nullif(early_lines,0), 0.0) as early_share,
+         c_acctbal as balance, c_mktsegment as segment
   from customer left join per_customer on c_custkey = o_custkey)"""
 
 
