@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("tables", "features", "quality", "metrics", "splits", "prep")
+FAMILIES = ("tables", "features", "quality", "metrics", "splits", "prep", "diagnostics", "ranking", "monitoring")
 
 
 def load_all() -> None:

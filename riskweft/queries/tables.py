@@ -101,7 +101,7 @@ def snk3_fold_store(spark, sf):
         store.save(i, rows(i))
     resumed = tb.FoldStore(spark, path)
     for i in range(3):
-        if i not in resumed.finished(range(3)):
+        if i not in resumed.finished():
             resumed.save(i, rows(i))
     return resumed.load().groupBy("fold").agg(F.count(F.lit(1)).alias("rows"), F.sum("label").alias("positives"), F.count_distinct("row_id").alias("keys"))
 

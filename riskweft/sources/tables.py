@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from riskweft.functions.rowmath import INFINITY
@@ -189,12 +190,14 @@ class FoldStore:
     def _fold_path(self, fold: int) -> str:
         return f"{self.path}/fold={fold}"
 
-    def _exists(self, path: str) -> bool:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop)
-
-    def finished(self, folds: Sequence[int]) -> list[int]:
-        return [f for f in folds if self._exists(f"{self._fold_path(f)}/_SUCCESS")]
+    def finished(self) -> set[int]:
+        """Folds whose write has committed, from the partition directories."""
+        try:
+            return {r["fold"] for r in self.load().select("fold").distinct().collect()}
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return set()
+            raise
 
     def save(self, fold: int, df: DataFrame) -> None:
         df.drop("fold").write.mode("overwrite").parquet(self._fold_path(fold))
