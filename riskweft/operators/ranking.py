@@ -16,6 +16,10 @@ def _descending(names: Sequence[str]) -> list[Column]:
     return [F.desc(n) for n in names]
 
 
+def _column(value: str | Column) -> Column:
+    return value if isinstance(value, Column) else F.lit(value)
+
+
 def comparison(df: DataFrame, f1: str = "f1") -> DataFrame:
     """Add passes_gates on the named kind of F1 and sort by gates, f1, AUC, recall, precision, accuracy."""
     gated = df.withColumn("passes_gates", passes_gates(F.col("roc_auc"), F.col("recall"), F.col(f1)))
@@ -69,14 +73,15 @@ def consolidate(tables: Sequence[DataFrame], rename: dict[str, str] | None = Non
 
 
 def experiment_record(
-    df: DataFrame, experiment: str, model: str, strategy: str, class_weighting: str, hyperparameters: dict, seed: int = SEED, stamp: str | None = None
+    df: DataFrame, experiment: str | Column, model: str | Column, strategy: str, class_weighting: str, hyperparameters: dict,
+    seed: int = SEED, stamp: str | None = None,
 ) -> DataFrame:
     """Metric rows as experiment records with status and UTC stamp."""
     moment = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
     now = F.lit(stamp) if stamp else F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
     params = F.create_map(*[F.lit(str(v)) for kv in sorted(hyperparameters.items()) for v in kv]) if hyperparameters else F.create_map().cast("map<string,string>")
     return df.select(
-        F.lit(experiment).alias("experiment"), F.lit(model).alias("model"), F.lit(strategy).alias("strategy"), "threshold",
+        _column(experiment).alias("experiment"), _column(model).alias("model"), F.lit(strategy).alias("strategy"), "threshold",
         F.col("precision_positive").alias("precision"), F.col("recall_positive").alias("recall"), "f1_binary",
         F.col("f1_macro").alias("macro_f1"), F.col("f1_weighted").alias("weighted_f1"), "roc_auc", "accuracy",
         F.lit(seed).alias("seed"), gate_status(F.col("roc_auc"), F.col("recall_positive"), F.col("f1_macro")).alias("status"),
@@ -86,10 +91,9 @@ def experiment_record(
 
 def variant_row(summary: DataFrame, family: str | Column, variant: str | Column, tuned: bool = False) -> DataFrame:
     """Trade-off summary as a model-variant comparison row; expects roc_auc beside the summary columns."""
-    as_col = lambda v: v if isinstance(v, Column) else F.lit(v)
     passes = (F.col("constrained_max_f1") >= GATES["f1"]) & (F.col("constrained_recall") >= GATES["recall"])
     return summary.select(
-        as_col(family).alias("model_family"), as_col(variant).alias("variant_name"), F.lit(tuned).alias("tuned"), "roc_auc", "average_precision",
+        _column(family).alias("model_family"), _column(variant).alias("variant_name"), F.lit(tuned).alias("tuned"), "roc_auc", "average_precision",
         F.col("f1_at_point_five").alias("f1_at_0_5"), "max_f1", "max_f1_threshold", "recall_at_max_f1", "precision_at_max_f1", "constrained_max_f1",
         F.col("constrained_max_f1_threshold").alias("constrained_threshold"), "constrained_recall", "constrained_precision",
         F.col("best_precision_at_recall_gate").alias("best_precision_at_recall_ge_0_60"),

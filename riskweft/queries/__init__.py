@@ -2,7 +2,9 @@
 
 from importlib import import_module
 
-FAMILIES = ("tables", "features", "quality", "metrics", "splits", "prep", "diagnostics", "ranking", "monitoring")
+FAMILIES = (
+    "tables", "features", "quality", "metrics", "splits", "prep", "diagnostics", "ranking", "monitoring", "modeling", "streams",
+)
 
 
 def load_all() -> None:

@@ -190,14 +190,11 @@ def rnk6_consolidate(spark, sf):
 def rnk7_experiment_record(spark, sf):
     folded = sc.fold_scores(candidate_scores(spark, sf), BY)
     best = sc.best_threshold(sc.threshold_table(folded, BY), BY)
-    record = rk.experiment_record(best, "threshold_only", "", "validation_threshold_search_only", "none", {"seed": 42}, stamp="2024-01-01T00:00:00+00:00")
-    out = record.withColumn("seed_text", F.col("hyperparameters")["seed"]).drop("hyperparameters", "timestamp", "model")
-    return rounded(_with_model(out, best), R, ("threshold",))
-
-
-def _with_model(record, best):
-    keys = best.select("model", F.col("threshold").alias("_t"), F.col("recall_positive").alias("_r"), F.col("roc_auc").alias("_a"))
-    return record.join(keys, (F.col("threshold") == F.col("_t")) & (F.col("recall") == F.col("_r")) & (F.col("roc_auc") == F.col("_a"))).drop("_t", "_r", "_a")
+    record = rk.experiment_record(
+        best, "threshold_only", F.col("model"), "validation_threshold_search_only", "none", {"seed": 42}, stamp="2024-01-01T00:00:00+00:00"
+    )
+    out = record.withColumn("seed_text", F.col("hyperparameters")["seed"]).drop("hyperparameters", "timestamp")
+    return rounded(out, R, ("threshold",))
 
 
 @query(
