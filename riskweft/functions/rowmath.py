@@ -1,123 +1,127 @@
-"""Within-row arithmetic over a short fixed block of columns.
+"""Within-row arithmetic over a short fixed block of columns, as SQL expression text.
 
-Everything is a closed-form expression over scalar columns, so it stays in
-generated code: no arrays, no higher-order functions, no Python.
+Arguments and results are expression strings for selectExpr: one call per
+output column whatever its size. Everything is a closed form over scalar
+columns, so it stays in generated code: no lambda, no Python in the rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import types as T
 
-EPSILON = 1e-12
-INFINITY = float("inf")
+EPSILON = "1e-12D"
 
 
-def total(cols: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a + b, cols)
+def total(parts: Sequence[str]) -> str:
+    return "(" + " + ".join(parts) + ")"
 
 
-def number(col: Column, dtype: T.DataType) -> Column:
+def number(name: str, dtype: T.DataType) -> str:
     """Numeric coercion; text that is no number and NaN become null."""
     if isinstance(dtype, (T.IntegralType, T.DecimalType, T.BooleanType)):
-        return col.cast("double")
-    if not isinstance(dtype, T.NumericType):
-        col = col.try_cast("double")
-    value = col.cast("double")
-    return F.when(~F.isnan(value), value)
+        return f"cast({name} as double)"
+    if isinstance(dtype, T.NumericType):
+        return f"nanvl(cast({name} as double), cast(null as double))"
+    return f"nanvl(try_cast({name} as double), cast(null as double))"
 
 
-def finite_or_zero(col: Column, dtype: T.DataType) -> Column:
+def finite_or_zero(name: str, dtype: T.DataType) -> str:
     """null, NaN and infinities become 0."""
-    if isinstance(dtype, T.FractionalType) and not isinstance(dtype, T.DecimalType):
-        bad = col.isNull() | F.isnan(col) | (F.abs(col) == INFINITY)
-        return F.when(bad, F.lit(0).cast(dtype)).otherwise(col)
+    kind = dtype.simpleString()
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        bad = f"{name} is null or isnan({name}) or abs({name}) = double('Infinity')"
+        return f"case when {bad} then cast(0 as {kind}) else {name} end"
     if isinstance(dtype, T.StringType):
-        return F.coalesce(col, F.lit("0.0"))
-    return F.coalesce(col, F.lit(0).cast(dtype))
+        return f"coalesce({name}, '0.0')"
+    return f"coalesce({name}, cast(0 as {kind}))"
 
 
-def safe_ratio(numerator: Column, denominator: Column) -> Column:
+def safe_ratio(numerator: str, denominator: str) -> str:
     """numerator/denominator, and 0 where the denominator is null or (almost) 0."""
-    usable = F.when(F.abs(denominator) > EPSILON, denominator)
-    return F.coalesce(F.try_divide(numerator, usable), F.lit(0.0))
+    return f"coalesce(try_divide({numerator}, case when abs({denominator}) > {EPSILON} then {denominator} end), 0D)"
 
 
-def count_true(conditions: Sequence[Column]) -> Column:
-    return total([F.when(c, 1).otherwise(0) for c in conditions])
+def count_true(conditions: Sequence[str]) -> str:
+    return total([f"case when {c} then 1 else 0 end" for c in conditions])
 
 
-def any_true(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in conditions])
+def any_true(conditions: Sequence[str]) -> str:
+    return "(" + " or ".join(f"coalesce({c}, false)" for c in conditions) + ")"
 
 
-def row_sum(cols: Sequence[Column]) -> Column:
-    return total([F.coalesce(c, F.lit(0.0)) for c in cols])
+def row_sum(cells: Sequence[str]) -> str:
+    return total([f"coalesce({c}, 0D)" for c in cells])
 
 
-def row_count(cols: Sequence[Column]) -> Column:
-    return total([F.when(c.isNull(), 0).otherwise(1) for c in cols])
+def row_count(cells: Sequence[str]) -> str:
+    return total([f"case when {c} is null then 0 else 1 end" for c in cells])
 
 
-def row_mean(cols: Sequence[Column]) -> Column:
-    return F.try_divide(row_sum(cols), row_count(cols))
+def row_mean(cells: Sequence[str]) -> str:
+    return f"try_divide({row_sum(cells)}, {row_count(cells)})"
 
 
-def row_std(cols: Sequence[Column], mean: Column) -> Column:
+def row_std(cells: Sequence[str], mean: str) -> str:
     """Population standard deviation of the non-null cells around a given row mean."""
-    squares = row_sum([(c - mean) * (c - mean) for c in cols])
-    return F.sqrt(F.try_divide(squares, row_count(cols)))
+    squares = row_sum([f"({c} - {mean}) * ({c} - {mean})" for c in cells])
+    return f"sqrt(try_divide({squares}, {row_count(cells)}))"
 
 
-def row_median(cols: Sequence[Column]) -> Column:
-    ordered = F.sort_array(F.array_compact(F.array(*cols)))
-    n = F.size(ordered)
-    low = F.get(ordered, F.floor((n - 1) / 2).cast("int"))
-    high = F.get(ordered, F.floor(n / 2).cast("int"))
-    return (low + high) / 2
+def row_median(cells: Sequence[str]) -> str:
+    ordered = sorted_cells(cells)
+    low = f"get({ordered}, cast(floor((size({ordered}) - 1) / 2) as int))"
+    return f"(({low} + get({ordered}, cast(floor(size({ordered}) / 2) as int))) / 2)"
 
 
-def slope(cols: Sequence[Column]) -> Column:
+def sorted_cells(cells: Sequence[str]) -> str:
+    return f"sort_array(array_compact(array({', '.join(cells)})))"
+
+
+def largest(cells: Sequence[str]) -> str:
+    return f"greatest({', '.join(cells)})"
+
+
+def smallest(cells: Sequence[str]) -> str:
+    return f"least({', '.join(cells)})"
+
+
+def slope(cells: Sequence[str]) -> str:
     """Least-squares slope against position; null as soon as one cell is null."""
-    middle = (len(cols) - 1) / 2
-    weights = [i - middle for i in range(len(cols))]
-    return total([c * w for c, w in zip(cols, weights)]) / sum(w * w for w in weights)
+    middle = (len(cells) - 1) / 2
+    weights = [i - middle for i in range(len(cells))]
+    return f"({total([f'{c} * ({w}D)' for c, w in zip(cells, weights)])} / {sum(w * w for w in weights)}D)"
 
 
-def longest_run(conditions: Sequence[Column]) -> Column:
-    current = None
-    lengths = []
+def longest_run(conditions: Sequence[str]) -> str:
+    current, lengths = "0", []
     for condition in conditions:
-        current = F.when(condition, 1 if current is None else current + 1).otherwise(0)
+        current = f"case when {condition} then {current} + 1 else 0 end"
         lengths.append(current)
-    return F.greatest(*lengths)
+    return largest(lengths)
 
 
-def first_position(conditions: Sequence[Column]) -> Column:
+def first_position(conditions: Sequence[str]) -> str:
     """Position of the first true condition, or the number of conditions."""
-    result = F.lit(len(conditions))
-    for i in reversed(range(len(conditions))):
-        result = F.when(conditions[i], i).otherwise(result)
-    return result
+    return "case " + " ".join(f"when {c} then {i}" for i, c in enumerate(conditions)) + f" else {len(conditions)} end"
 
 
-def steps(cols: Sequence[Column]) -> list[Column]:
+def steps(cells: Sequence[str]) -> list[str]:
     """Differences to the neighbour on the left."""
-    return [b - a for a, b in zip(cols, cols[1:])]
+    return [f"({b} - {a})" for a, b in zip(cells, cells[1:])]
 
 
-def mean_second_difference(cols: Sequence[Column]) -> Column:
-    d = steps(cols)
-    return (d[-1] - d[0]) / (len(d) - 1)
+def mean_second_difference(cells: Sequence[str]) -> str:
+    d = steps(cells)
+    return f"(({d[-1]} - {d[0]}) / {len(d) - 1}D)"
 
 
-def recent_minus_old(cols: Sequence[Column]) -> Column:
-    half = len(cols) // 2
-    return total(cols[:half]) / half - total(cols[half:]) / half
+def recent_minus_old(cells: Sequence[str]) -> str:
+    half = len(cells) // 2
+    return f"({total(cells[:half])} / {half}D - {total(cells[half:])} / {half}D)"
 
 
-def recency_weighted(cols: Sequence[Column]) -> Column:
-    n = len(cols)
-    return total([c * (n - i) for i, c in enumerate(cols)]) / (n * (n + 1) // 2)
+def recency_weighted(cells: Sequence[str]) -> str:
+    n = len(cells)
+    return f"({total([f'{c} * {n - i}D' for i, c in enumerate(cells)])} / {n * (n + 1) // 2}D)"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from riskweft.functions import rowmath as m
 from riskweft.operators.projection import require_contract
@@ -41,8 +41,16 @@ TEMPORAL_SETS = {
 }
 
 
-def _cells(prefix: str) -> list[Column]:
-    return [F.col(f"_{prefix}{i}") for i in range(6)]
+def _cells(prefix: str) -> list[str]:
+    return [f"_{prefix}{i}" for i in range(6)]
+
+
+def _abs(cell: str) -> str:
+    return f"abs({cell})"
+
+
+def _each(cells: Sequence[str], test: str) -> list[str]:
+    return [f"{c} {test}" for c in cells]
 
 
 def _carried(df: DataFrame, carry: Sequence[str] | None) -> list[str]:
@@ -55,97 +63,95 @@ def _with_cells(df: DataFrame, fill: bool) -> DataFrame:
     """Add numeric working columns _p (delay), _b (bill), _a (payment) and _l (limit)."""
     types = {f.name: f.dataType for f in df.schema.fields}
 
-    def cell(name: str) -> Column:
-        value = m.number(F.col(name), types[name])
-        return F.coalesce(value, F.lit(0.0)) if fill else value
+    def cell(name: str) -> str:
+        value = m.number(name, types[name])
+        return f"coalesce({value}, 0D)" if fill else value
 
-    work = {f"_{tag}{i}": cell(name) for tag, block in (("p", DELAY), ("b", BILL), ("a", PAYMENT)) for i, name in enumerate(block)}
-    return df.select("*", *[c.alias(n) for n, c in work.items()], F.abs(cell("X1")).alias("_l"))
+    blocks = (("p", DELAY), ("b", BILL), ("a", PAYMENT))
+    work = [f"{cell(name)} as _{tag}{i}" for tag, block in blocks for i, name in enumerate(block)]
+    return df.selectExpr("*", *work, f"abs({cell('X1')}) as _l")
 
 
-def _with_row_stats(df: DataFrame) -> DataFrame:
-    """Shared intermediates, each computed once: ratios, row means and deviations."""
-    p, b, a, limit = _cells("p"), _cells("b"), _cells("a"), F.col("_l")
-    df = df.select(
-        "*",
-        *[m.safe_ratio(b[i], limit).alias(f"_u{i}") for i in range(6)],
-        *[m.safe_ratio(a[i], F.abs(b[i])).alias(f"_c{i}") for i in range(6)],
-        m.count_true([x > 0 for x in p]).cast("double").alias("_late"),
-        m.any_true([x >= 3 for x in p]).cast("double").alias("_severe"),
-        *[m.row_mean(v).alias(f"_mean_{t}") for t, v in (("p", p), ("b", b), ("a", a))],
+def _with_ratios(df: DataFrame) -> DataFrame:
+    """Add _u (bill over limit) and _c (payment over bill) for every month."""
+    p, b, a = _cells("p"), _cells("b"), _cells("a")
+    return df.selectExpr(
+        "*", *[f"{m.safe_ratio(b[i], '_l')} as _u{i}" for i in range(6)], *[f"{m.safe_ratio(a[i], _abs(b[i]))} as _c{i}" for i in range(6)]
     )
-    u = _cells("u")
-    df = df.select("*", m.row_mean(u).alias("_mean_u"))
-    return df.select(
-        "*", *[m.row_std(v, F.col(f"_mean_{t}")).alias(f"_std_{t}") for t, v in (("p", p), ("b", b), ("a", a), ("u", u))]
+
+
+def _with_row_stats(df: DataFrame) -> DataFrame:
+    """Shared intermediates, each computed once: row means, deviations, late and severe flags."""
+    p = _cells("p")
+    df = df.selectExpr(
+        "*", f"cast({m.count_true(_each(p, '> 0'))} as double) as _late", f"cast({m.any_true(_each(p, '>= 3'))} as double) as _severe",
+        *[f"{m.row_mean(_cells(t))} as _mean_{t}" for t in "pbau"],
     )
+    return df.selectExpr("*", *[f"{m.row_std(_cells(t), f'_mean_{t}')} as _std_{t}" for t in "pbau"])
 
 
-def _behaviour_columns(group: str) -> dict[str, Column]:
+def _behaviour_columns(group: str) -> dict[str, str]:
     p, b, a, u, c = (_cells(t) for t in "pbauc")
-    mean = {t: F.col(f"_mean_{t}") for t in "pbau"}
-    std = {t: F.col(f"_std_{t}") for t in "pbau"}
-    late, severe = F.col("_late"), F.col("_severe")
     if group == "round1":
         return {
-            "count_pay_delay_gt0": late,
-            "max_pay_delay": F.greatest(*p),
+            "count_pay_delay_gt0": "_late",
+            "max_pay_delay": m.largest(p),
             "recent_pay_delay": p[0],
-            "mean_pay_delay": mean["p"],
+            "mean_pay_delay": "_mean_p",
             "pay_delay_trend": m.slope(p),
-            "avg_bill_amt": mean["b"],
-            "max_bill_amt": F.greatest(*b),
-            "min_bill_amt": F.least(*b),
-            "bill_std": std["b"],
-            "bill_growth": b[0] - b[5],
-            "avg_pay_amt": mean["a"],
-            "max_pay_amt": F.greatest(*a),
-            "pay_std": std["a"],
-            "pay_to_bill_ratio": m.safe_ratio(mean["a"], F.abs(mean["b"])),
-            "utilization_proxy": m.safe_ratio(mean["b"], F.col("_l")),
+            "avg_bill_amt": "_mean_b",
+            "max_bill_amt": m.largest(b),
+            "min_bill_amt": m.smallest(b),
+            "bill_std": "_std_b",
+            "bill_growth": f"{b[0]} - {b[5]}",
+            "avg_pay_amt": "_mean_a",
+            "max_pay_amt": m.largest(a),
+            "pay_std": "_std_a",
+            "pay_to_bill_ratio": m.safe_ratio("_mean_a", "abs(_mean_b)"),
+            "utilization_proxy": m.safe_ratio("_mean_b", "_l"),
         }
     if group == "pay":
         return {
-            "pay_delay_count": late,
-            "pay_delay_max": F.greatest(*p),
-            "pay_delay_mean": mean["p"],
-            "pay_delay_std": std["p"],
+            "pay_delay_count": "_late",
+            "pay_delay_max": m.largest(p),
+            "pay_delay_mean": "_mean_p",
+            "pay_delay_std": "_std_p",
             "pay_recent_delay": p[0],
             "pay_recent_3m_mean": m.row_mean(p[:3]),
             "pay_old_3m_mean": m.row_mean(p[3:]),
             "pay_delay_trend_v2": m.slope(p),
-            "pay_consecutive_delay": m.longest_run([x > 0 for x in p]),
-            "pay_any_severe_delay": severe,
+            "pay_consecutive_delay": m.longest_run(_each(p, "> 0")),
+            "pay_any_severe_delay": "_severe",
         }
     if group == "bill":
         return {
-            "bill_mean": mean["b"],
+            "bill_mean": "_mean_b",
             "bill_median": m.row_median(b),
-            "bill_max": F.greatest(*b),
-            "bill_min": F.least(*b),
-            "bill_std_v2": std["b"],
-            "bill_range": F.greatest(*b) - F.least(*b),
+            "bill_max": m.largest(b),
+            "bill_min": m.smallest(b),
+            "bill_std_v2": "_std_b",
+            "bill_range": f"{m.largest(b)} - {m.smallest(b)}",
             "bill_recent": b[0],
             "bill_recent_3m_mean": m.row_mean(b[:3]),
             "bill_previous_3m_mean": m.row_mean(b[3:]),
             "bill_trend": m.slope(b),
-            "bill_change_recent": b[0] - b[1],
-            "bill_growth_ratio": m.safe_ratio(b[0] - b[5], F.abs(b[5])),
-            "bill_cv": m.safe_ratio(std["b"], F.abs(mean["b"])),
+            "bill_change_recent": f"{b[0]} - {b[1]}",
+            "bill_growth_ratio": m.safe_ratio(f"{b[0]} - {b[5]}", _abs(b[5])),
+            "bill_cv": m.safe_ratio("_std_b", "abs(_mean_b)"),
         }
     if group == "payment":
         return {
-            "payment_mean": mean["a"],
+            "payment_mean": "_mean_a",
             "payment_median": m.row_median(a),
-            "payment_max": F.greatest(*a),
-            "payment_min": F.least(*a),
-            "payment_std_v2": std["a"],
+            "payment_max": m.largest(a),
+            "payment_min": m.smallest(a),
+            "payment_std_v2": "_std_a",
             "payment_total": m.row_sum(a),
             "payment_recent": a[0],
             "payment_recent_3m_mean": m.row_mean(a[:3]),
             "payment_trend": m.slope(a),
-            "payment_change_recent": a[0] - a[1],
-            "payment_cv": m.safe_ratio(std["a"], F.abs(mean["a"])),
+            "payment_change_recent": f"{a[0]} - {a[1]}",
+            "payment_cv": m.safe_ratio("_std_a", "abs(_mean_a)"),
         }
     if group == "ratios":
         monthly = {}
@@ -155,28 +161,27 @@ def _behaviour_columns(group: str) -> dict[str, Column]:
         return {
             **monthly,
             "payment_to_bill_ratio_mean": m.row_mean(c),
-            "payment_to_bill_ratio_min": F.least(*c),
+            "payment_to_bill_ratio_min": m.smallest(c),
             "payment_to_bill_ratio_recent": c[0],
-            "utilization_mean": mean["u"],
-            "utilization_max": F.greatest(*u),
+            "utilization_mean": "_mean_u",
+            "utilization_max": m.largest(u),
             "utilization_recent": u[0],
             "utilization_trend": m.slope(u),
-            "utilization_cv": m.safe_ratio(std["u"], F.abs(mean["u"])),
+            "utilization_cv": m.safe_ratio("_std_u", "abs(_mean_u)"),
         }
     if group == "trends":
-        irregular = F.greatest(m.safe_ratio(std["a"], F.abs(mean["a"])), F.lit(0.0))
         return {
             "bill_slope": m.slope(b),
             "payment_slope": m.slope(a),
             "utilization_slope": m.slope(u),
             "delay_slope": m.slope(p),
-            "payment_consistency": 1.0 - irregular,
-            "bill_volatility": std["b"],
-            "payment_volatility": std["a"],
-            "delay_utilization_interaction": p[0] * u[0],
-            "delay_payment_ratio_interaction": p[0] * c[0],
-            "delay_count_utilization_interaction": late * mean["u"],
-            "severe_delay_low_payment_interaction": severe * (1.0 - F.least(c[0], F.lit(1.0))),
+            "payment_consistency": f"1D - greatest({m.safe_ratio('_std_a', 'abs(_mean_a)')}, 0D)",
+            "bill_volatility": "_std_b",
+            "payment_volatility": "_std_a",
+            "delay_utilization_interaction": f"{p[0]} * {u[0]}",
+            "delay_payment_ratio_interaction": f"{p[0]} * {c[0]}",
+            "delay_count_utilization_interaction": "_late * _mean_u",
+            "severe_delay_low_payment_interaction": f"_severe * (1D - least({c[0]}, 1D))",
         }
     raise ValueError(f"unknown feature group {group!r}")
 
@@ -189,6 +194,22 @@ def trajectory_names(groups: Sequence[str] = TRAJECTORY_GROUPS) -> list[str]:
     return [name for g in TRAJECTORY_GROUPS if g in groups for name in _trajectory_columns(g, groups)]
 
 
+def _chosen(known: Sequence[str], groups: Sequence[str] | None) -> tuple[str, ...]:
+    unknown = [g for g in groups or () if g not in known]
+    if unknown:
+        raise ValueError(f"unknown feature groups: {unknown}")
+    return tuple(known) if groups is None else tuple(g for g in known if g in groups)
+
+
+def _finished(work: DataFrame, source: DataFrame, kept: Sequence[str], built: dict[str, str]) -> DataFrame:
+    """Kept columns, cleaned raw columns, cleaned new columns; the working columns end here."""
+    raw = [c for c in source.columns if c not in kept]
+    types = {f.name: f.dataType for f in source.schema.fields}
+    types.update({n: T.LongType() if n in TRAJECTORY_COUNTS else T.DoubleType() for n in built})
+    features = work.selectExpr(*kept, *raw, *[f"cast({text} as {types[n].simpleString()}) as {n}" for n, text in built.items()])
+    return features.selectExpr(*kept, *[f"{m.finite_or_zero(c, types[c])} as {c}" for c in [*raw, *built]])
+
+
 def behavioral_features(df: DataFrame, groups: Sequence[str] | None = None, carry: Sequence[str] | None = None) -> DataFrame:
     """Raw columns plus the enabled behaviour groups; every null, NaN and infinity ends as 0.
 
@@ -196,112 +217,100 @@ def behavioral_features(df: DataFrame, groups: Sequence[str] | None = None, carr
     through untouched and are never an input.
     """
     kept = _carried(df, carry)
-    raw = [c for c in df.columns if c not in kept]
-    wanted = BEHAVIOUR_GROUPS if groups is None else tuple(groups)
-    for g in wanted:
-        _behaviour_columns(g)
-    built = {n: c for g in BEHAVIOUR_GROUPS if g in wanted for n, c in _behaviour_columns(g).items()}
-    types = {f.name: f.dataType for f in df.schema.fields}
-    features = _with_row_stats(_with_cells(df, fill=False)).select(
-        *kept, *raw, *[c.cast("double").alias(n) for n, c in built.items()]
-    )
-    double = features.schema[next(iter(built))].dataType if built else None
-    return features.select(
-        *kept,
-        *[m.finite_or_zero(F.col(c), types[c]).alias(c) for c in raw],
-        *[m.finite_or_zero(F.col(c), double).alias(c) for c in built],
-    )
+    built = {n: c for g in _chosen(BEHAVIOUR_GROUPS, groups) for n, c in _behaviour_columns(g).items()}
+    return _finished(_with_row_stats(_with_ratios(_with_cells(df, fill=False))), df, kept, built)
 
 
 def engineer_features(df: DataFrame, carry: Sequence[str] | None = None) -> DataFrame:
     return behavioral_features(df, None, carry)
 
 
-def _trajectory_columns(group: str, enabled: Sequence[str]) -> dict[str, Column]:
+def _trajectory_columns(group: str, enabled: Sequence[str]) -> dict[str, str]:
     p, b, a, u, c = (_cells(t) for t in "pbauc")
     dp, db, da, du, dc = (m.steps(v) for v in (p, b, a, u, c))
+
+    def rises(d: Sequence[str]) -> str:
+        return m.count_true(_each(d, "> 0"))
+
+    def falls(d: Sequence[str]) -> str:
+        return m.count_true(_each(d, "< 0"))
+
+    def turns(d: Sequence[str]) -> str:
+        signs = [f"sign({x})" for x in d]
+        return m.count_true([f"{x} <> {y}" for x, y in zip(signs, signs[1:])])
+
     if group == "pay_trajectory":
-        signs = [F.signum(d) for d in dp]
-        worsening = m.count_true([d > 0 for d in dp])
-        improving = m.count_true([d < 0 for d in dp])
         return {
-            "delay_worsening_count": worsening,
-            "delay_improving_count": improving,
-            "delay_stable_count": m.count_true([d == 0 for d in dp]),
-            "delay_transition_count": m.count_true([x != y for x, y in zip(signs, signs[1:])]),
+            "delay_worsening_count": rises(dp),
+            "delay_improving_count": falls(dp),
+            "delay_stable_count": m.count_true(_each(dp, "= 0")),
+            "delay_transition_count": turns(dp),
             "delay_recent_vs_old": m.recent_minus_old(p),
             "delay_acceleration": m.mean_second_difference(p),
-            "delay_recovery_count": improving,
-            "months_since_last_delay": m.first_position([x <= 0 for x in p]),
-            "months_since_last_severe_delay": m.first_position([x < 3 for x in p]),
-            "longest_delay_streak": m.longest_run([x > 0 for x in p]).cast("double"),
-            "longest_no_delay_streak": m.longest_run([x <= 0 for x in p]).cast("double"),
+            "delay_recovery_count": falls(dp),
+            "months_since_last_delay": m.first_position(_each(p, "<= 0")),
+            "months_since_last_severe_delay": m.first_position(_each(p, "< 3")),
+            "longest_delay_streak": m.longest_run(_each(p, "> 0")),
+            "longest_no_delay_streak": m.longest_run(_each(p, "<= 0")),
             "recent_weighted_delay": m.recency_weighted(p),
-            "delay_direction": F.signum(p[0] - p[5]),
+            "delay_direction": f"sign({p[0]} - {p[5]})",
             "delay_slope": m.slope(p),
             "delay_curvature": m.mean_second_difference(p),
-            "delay_recent_acceleration": (dp[0] + dp[1]) / 2 - (dp[3] + dp[4]) / 2,
+            "delay_recent_acceleration": f"({dp[0]} + {dp[1]}) / 2D - ({dp[3]} + {dp[4]}) / 2D",
         }
     if group == "bill_payment_trajectory":
-        out: dict[str, Column] = {}
+        out: dict[str, str] = {}
         for name, v, d in (("bill", b, db), ("payment", a, da)):
-            rising, falling = m.count_true([x > 0 for x in d]), m.count_true([x < 0 for x in d])
             out.update({f"{name}_delta_{i + 1}": d[i] for i in range(5)})
             out.update({
-                f"{name}_pct_change": m.safe_ratio(v[0] - v[5], F.abs(v[5])),
+                f"{name}_pct_change": m.safe_ratio(f"{v[0]} - {v[5]}", _abs(v[5])),
                 f"{name}_slope_temporal": m.slope(v),
                 f"{name}_acceleration": m.mean_second_difference(v),
                 f"{name}_recent_vs_old": m.recent_minus_old(v),
                 f"{name}_recency_weighted_mean": m.recency_weighted(v),
-                f"{name}_increase_count": rising,
-                f"{name}_decrease_count": falling,
+                f"{name}_increase_count": rises(d),
+                f"{name}_decrease_count": falls(d),
             })
-            if name == "bill":
-                signs = [F.signum(x) for x in d]
-                # The first month has no predecessor and always counts as a change of direction.
-                out["bill_direction_changes"] = 1 + m.count_true([x != y for x, y in zip(signs, signs[1:])])
-                out["bill_monotonic_increase_count"] = rising
-                out["bill_monotonic_decrease_count"] = falling
-            else:
-                out["payment_recovery_count"] = rising
+        # The first month has no predecessor and always counts as a change of direction.
+        out["bill_direction_changes"] = f"1 + {turns(db)}"
+        out["bill_monotonic_increase_count"] = rises(db)
+        out["bill_monotonic_decrease_count"] = falls(db)
+        out["payment_recovery_count"] = rises(da)
         return out
     if group == "shortfall_coverage":
-        s = [x - y for x, y in zip(b, a)]
+        s = [f"({x} - {y})" for x, y in zip(b, a)]
         return {
             "shortfall_mean": m.row_mean(s),
             "shortfall_recent": s[0],
-            "shortfall_max": F.greatest(*s),
+            "shortfall_max": m.largest(s),
             "shortfall_slope": m.slope(s),
             "shortfall_acceleration": m.mean_second_difference(s),
-            "shortfall_positive_count": m.count_true([x > 0 for x in s]),
-            "shortfall_streak": m.longest_run([x > 0 for x in s]).cast("double"),
-            "recent_shortfall_ratio": m.safe_ratio(s[0], F.abs(b[0])),
+            "shortfall_positive_count": m.count_true(_each(s, "> 0")),
+            "shortfall_streak": m.longest_run(_each(s, "> 0")),
+            "recent_shortfall_ratio": m.safe_ratio(s[0], _abs(b[0])),
             "coverage_mean": m.row_mean(c),
             "coverage_recent": c[0],
-            "coverage_min": F.least(*c),
+            "coverage_min": m.smallest(c),
             "coverage_slope": m.slope(c),
             "coverage_acceleration": m.mean_second_difference(c),
-            "low_coverage_count": m.count_true([x < 0.5 for x in c]),
-            "low_coverage_streak": m.longest_run([x < 0.5 for x in c]).cast("double"),
-            "coverage_recovery_count": m.count_true([x > 0 for x in dc]),
+            "low_coverage_count": m.count_true(_each(c, "< 0.5D")),
+            "low_coverage_streak": m.longest_run(_each(c, "< 0.5D")),
+            "coverage_recovery_count": rises(dc),
         }
     if group == "utilization_interactions":
         # Uses the worsening count only when that group is built too, else the number of late months.
-        if "pay_trajectory" in enabled:
-            weight = m.count_true([d > 0 for d in dp])
-        else:
-            weight = m.count_true([x > 0 for x in p])
+        weight = rises(dp) if "pay_trajectory" in enabled else m.count_true(_each(p, "> 0"))
         return {
             "utilization_recent_temporal": u[0],
             "utilization_mean_temporal": m.row_mean(u),
             "utilization_slope_temporal": m.slope(u),
             "utilization_acceleration": m.mean_second_difference(u),
-            "high_utilization_count": m.count_true([x > 0.75 for x in u]),
-            "utilization_increase_streak": m.longest_run([d > 0 for d in du]).cast("double"),
-            "delay_worsening_utilization_increase": weight * m.count_true([d > 0 for d in du]),
-            "delay_worsening_low_coverage": weight * (1.0 - F.least(u[0], F.lit(1.0))),
-            "recent_delay_shortfall": p[0] * (b[0] - a[0]),
-            "delay_recovery_payment_recovery": m.count_true([d < 0 for d in dp]) * m.count_true([d > 0 for d in da]),
+            "high_utilization_count": m.count_true(_each(u, "> 0.75D")),
+            "utilization_increase_streak": m.longest_run(_each(du, "> 0")),
+            "delay_worsening_utilization_increase": f"{weight} * {rises(du)}",
+            "delay_worsening_low_coverage": f"{weight} * (1D - least({u[0]}, 1D))",
+            "recent_delay_shortfall": f"{p[0]} * ({b[0]} - {a[0]})",
+            "delay_recovery_payment_recovery": f"{falls(dp)} * {rises(da)}",
         }
     raise ValueError(f"unknown trajectory group {group!r}")
 
@@ -320,27 +329,9 @@ TRAJECTORY_COUNTS = {
 def trajectory_features(df: DataFrame, groups: Sequence[str] | None = None, carry: Sequence[str] | None = None) -> DataFrame:
     """Raw columns plus the enabled trajectory groups. Null cells count as 0 before any formula."""
     kept = _carried(df, carry)
-    raw = [c for c in df.columns if c not in kept]
-    wanted = TRAJECTORY_GROUPS if groups is None else tuple(groups)
-    for g in wanted:
-        _trajectory_columns(g, wanted)
-    built = {n: c for g in TRAJECTORY_GROUPS if g in wanted for n, c in _trajectory_columns(g, wanted).items()}
-    types = {f.name: f.dataType for f in df.schema.fields}
-    b, a = _cells("b"), _cells("a")
-    ratios = _with_cells(df, fill=True).select(
-        "*",
-        *[m.safe_ratio(b[i], F.col("_l")).alias(f"_u{i}") for i in range(6)],
-        *[m.safe_ratio(a[i], F.abs(b[i])).alias(f"_c{i}") for i in range(6)],
-    )
-    features = ratios.select(
-        *kept, *raw, *[c.cast("bigint" if n in TRAJECTORY_COUNTS else "double").alias(n) for n, c in built.items()]
-    )
-    made = {f.name: f.dataType for f in features.schema.fields}
-    return features.select(
-        *kept,
-        *[m.finite_or_zero(F.col(c), types[c]).alias(c) for c in raw],
-        *[m.finite_or_zero(F.col(c), made[c]).alias(c) for c in built],
-    )
+    wanted = _chosen(TRAJECTORY_GROUPS, groups)
+    built = {n: c for g in wanted for n, c in _trajectory_columns(g, wanted).items()}
+    return _finished(_with_ratios(_with_cells(df, fill=True)), df, kept, built)
 
 
 def feature_set(df: DataFrame, behaviour: Sequence[str] = ABLATIONS["A3"], trajectory: Sequence[str] = (), carry: Sequence[str] | None = None) -> DataFrame:

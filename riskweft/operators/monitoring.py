@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskweft.operators.ordered import exact_quantiles, fold_values, long_form, range_number, running_totals
+from riskweft.operators.ordered import fold_values, folded_quantiles, long_form, range_number, running_totals
 from riskweft.operators.scoring import evaluate, share
+from riskweft.session import stage
 from riskweft.sources.contract import GATES
 
 FLOOR = 1e-6
@@ -30,9 +31,9 @@ def psi(df: DataFrame, columns: Sequence[str], is_current: Column, bins: int = 1
     counts as floor.
     """
     rows = long_form(df.withColumn("_now", is_current.cast("int")), columns, ["_now"]).where("value is not null")
-    folded = fold_values(rows, ["feature"], "value", {"base": 1 - F.col("_now"), "now": F.col("_now")})
+    folded = stage(fold_values(rows, ["feature"], "value", {"base": 1 - F.col("_now"), "now": F.col("_now")}), "folded")
     inner = {f"e{i}": i / bins for i in range(1, bins)}
-    edges = exact_quantiles(rows.where("_now = 0"), ["feature"], "value", inner).select(
+    edges = folded_quantiles(folded.where("base > 0").select("feature", "value", "base"), ["feature"], "value", "base", inner).select(
         "feature", F.array_distinct(F.array(*inner)).alias("edges")
     )
     # One row per monitored column.
@@ -48,7 +49,7 @@ def psi(df: DataFrame, columns: Sequence[str], is_current: Column, bins: int = 1
 def ks_distance(df: DataFrame, columns: Sequence[str], is_current: Column) -> DataFrame:
     """(feature, ks): largest gap between the two empirical distribution functions."""
     rows = long_form(df.withColumn("_now", is_current.cast("int")), columns, ["_now"]).where("value is not null")
-    folded = fold_values(rows, ["feature"], "value", {"base": 1 - F.col("_now"), "now": F.col("_now")})
+    folded = stage(fold_values(rows, ["feature"], "value", {"base": 1 - F.col("_now"), "now": F.col("_now")}), "folded")
     placed = running_totals(folded, ["feature"], ["value"], ["base", "now"], range_number(folded, "value", ["feature"]))
     totals = folded.groupBy("feature").agg(F.sum("base").alias("n_base"), F.sum("now").alias("n_now"))
     gap = F.abs(share(F.col("cum_base"), F.col("n_base")) - share(F.col("cum_now"), F.col("n_now")))

@@ -13,25 +13,32 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from riskweft.session import stage
+
 # A range holds about this many folded rows; the folded table is cut into at most MAX_RANGES.
 ROWS_PER_RANGE = 500_000
 MAX_RANGES = 512
 
 
 def fold_values(df: DataFrame, by: Sequence[str], value: str, measures: dict[str, Column]) -> DataFrame:
-    """One row per (group, distinct value) with summed measures."""
+    """One row per (group, distinct value) with summed measures. Stage it where several passes follow."""
     return df.groupBy(*by, value).agg(*[F.sum(c).alias(n) for n, c in measures.items()])
 
 
-def range_number(folded: DataFrame, value: str, edge_by: Sequence[str] = (), rows_per_range: int = ROWS_PER_RANGE) -> Column:
+def range_number(folded: DataFrame, value: str, edge_by: Sequence[str] = (), rows_per_range: int | None = None) -> Column | None:
     """Monotone range number of value, from approximate quantiles of the folded table.
 
-    One bounded job: at most MAX_RANGES doubles per edge_by group come back.
-    The cut points only balance the load; results do not depend on them.
+    Two bounded jobs over a staged table: a count per group, and only for large
+    groups a sketch of which at most MAX_RANGES doubles per group come back. The cut points only balance the load; results do not
+    depend on them. None says that every group is counted to fit one range.
     """
+    rows_per_range = rows_per_range or ROWS_PER_RANGE
+    size = F.count(F.lit(1)).alias("n")
+    if (folded.groupBy(*edge_by).agg(size).agg(F.max("n")).first()[0] or 0) <= rows_per_range:
+        return None
     probs = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
     sketch = F.percentile_approx(F.col(value).cast("double"), probs, MAX_RANGES * 4)
-    stats = folded.groupBy(*edge_by).agg(F.count(F.lit(1)).alias("n"), sketch.alias("edges")).collect()
+    stats = folded.groupBy(*edge_by).agg(size, sketch.alias("edges")).collect()
 
     def cuts(row) -> list[float]:
         wanted = min(MAX_RANGES, -(-row["n"] // rows_per_range))
@@ -59,8 +66,11 @@ def range_number(folded: DataFrame, value: str, edge_by: Sequence[str] = (), row
     return result
 
 
-def running_totals(folded: DataFrame, by: Sequence[str], order: Sequence[str], measures: Sequence[str], range_of: Column) -> DataFrame:
+def running_totals(folded: DataFrame, by: Sequence[str], order: Sequence[str], measures: Sequence[str], range_of: Column | None) -> DataFrame:
     """Add cum_<measure>, the inclusive ascending running total within each group."""
+    if range_of is None:
+        whole = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return folded.select("*", *[F.sum(m).over(whole).alias(f"cum_{m}") for m in measures])
     ranged = folded.withColumn("_range", range_of)
     keys = [*by, "_range"]
     totals = ranged.groupBy(*keys).agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
@@ -110,7 +120,7 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[st
     here a group is spread over ranges and only the rows that hold a wanted
     rank reach the final aggregate.
     """
-    folded = fold_values(df.where(F.col(value).isNotNull()), by, value, {"_n": F.lit(1)})
+    folded = stage(fold_values(df.where(F.col(value).isNotNull()), by, value, {"_n": F.lit(1)}), "folded")
     return folded_quantiles(folded, by, value, "_n", probs, edge_by).drop("distinct_values")
 
 
@@ -121,7 +131,7 @@ def long_form(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), n
 
 def average_ranks(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """(by, value, rows, avg_rank): mean rank of each distinct value, ties sharing their mean."""
-    folded = fold_values(df, by, value, {"_n": F.lit(1)})
+    folded = stage(fold_values(df, by, value, {"_n": F.lit(1)}), "folded")
     placed = running_totals(folded, by, [value], ["_n"], range_number(folded, value))
     return placed.select(*by, value, F.col("_n").alias("rows"), (F.col("cum__n") - (F.col("_n") - 1) / 2).alias("avg_rank"))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from riskweft.operators.features import behaviour_names
 from riskweft.operators.ordered import exact_quantiles, long_form
@@ -67,9 +67,8 @@ def plan_columns(df: DataFrame, drop: Sequence[str] = (), keep: Sequence[str] =
     )
 
 
-def _number(c: str) -> Column:
-    value = F.col(c).cast("double")
-    return F.when(~F.isnan(value), value)
+def _number(c: str) -> str:
+    return f"nanvl(cast({c} as double), cast(null as double))"
 
 
 def fit_preparation(train: DataFrame, drop: Sequence[str] = (), keep: Sequence[str] = ("row_id", "Y"), split: str | None = None) -> Preparation:
@@ -79,14 +78,14 @@ def fit_preparation(train: DataFrame, drop: Sequence[str] = (), keep: Sequence[s
     plan = plan_columns(train, drop, keep)
     numeric, categories = {}, {}
     if plan.numeric_columns:
-        numbers = train.select(*[_number(c).alias(c) for c in plan.numeric_columns])
+        numbers = train.selectExpr(*[f"{_number(c)} as {c}" for c in plan.numeric_columns])
         medians = {
             r["feature"]: r["median"]
             for r in exact_quantiles(long_form(numbers, plan.numeric_columns), ["feature"], "value", {"median": 0.5}).collect()
         }
-        filled = {c: F.coalesce(F.col(c), F.lit(m)) for c, m in medians.items()}
+        filled = {c: f"coalesce({c}, {_literal(m)})" for c, m in medians.items()}
         if filled:
-            moments = numbers.agg(*[F.struct(F.avg(v), F.stddev_pop(v)).alias(c) for c, v in filled.items()]).first()
+            moments = numbers.agg(*[F.expr(f"struct(avg({v}), stddev_pop({v}))").alias(c) for c, v in filled.items()]).first()
             numeric = {c: NumericFit(medians[c], moments[c][0], moments[c][1]) for c in plan.numeric_columns if c in medians}
     if plan.categorical_columns:
         texts = train.select(*[F.col(c).cast("string").alias(c) for c in plan.categorical_columns])
@@ -118,16 +117,25 @@ def _natural(value: str):
         return (1, 0.0, value)
 
 
-def impute_number(c: str, fit: NumericFit) -> Column:
-    return F.coalesce(_number(c), F.lit(fit.median))
+def _literal(value: float) -> str:
+    """A double literal that reads back to the same value."""
+    return f"double('{value!r}')"
 
 
-def scale(value: Column, fit: NumericFit) -> Column:
-    return (value - F.lit(fit.mean)) / F.lit(fit.std if fit.std else 1.0)
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def impute_category(c: str, fit: CategoryFit) -> Column:
-    return F.coalesce(F.col(c).cast("string"), F.lit(fit.mode))
+def impute_number(c: str, fit: NumericFit) -> str:
+    return f"coalesce({_number(c)}, {_literal(fit.median)})"
+
+
+def scale(value: str, fit: NumericFit) -> str:
+    return f"({value} - {_literal(fit.mean)}) / {_literal(fit.std if fit.std else 1.0)}"
+
+
+def impute_category(c: str, fit: CategoryFit) -> str:
+    return f"coalesce(cast({c} as string), {_text(fit.mode)})"
 
 
 def transform(prep: Preparation, df: DataFrame, keep: Sequence[str] = ("row_id", "Y")) -> DataFrame:
@@ -138,19 +146,19 @@ def transform(prep: Preparation, df: DataFrame, keep: Sequence[str] = ("row_id",
     if not prep.numeric and not prep.categories:
         raise ValueError("preparation has not been fitted")
     kept = [c for c in keep if c in df.columns]
-    numbers = [scale(impute_number(c, prep.numeric[c]), prep.numeric[c]).alias(c) for c in prep.numeric_columns if c in prep.numeric]
+    numbers = [f"{scale(impute_number(c, prep.numeric[c]), prep.numeric[c])} as {c}" for c in prep.numeric_columns if c in prep.numeric]
     indicators = [
-        (impute_category(c, prep.categories[c]) == F.lit(v)).cast("double").alias(f"{c}_{v}")
+        f"cast({impute_category(c, prep.categories[c])} = {_text(v)} as double) as `{c}_{v}`"
         for c in prep.categorical_columns if c in prep.categories for v in prep.categories[c].values
     ]
-    return df.select(*kept, *numbers, *indicators)
+    return df.selectExpr(*kept, *numbers, *indicators)
 
 
 def impute(prep: Preparation, df: DataFrame, keep: Sequence[str] = ("row_id", "Y")) -> DataFrame:
     kept = [c for c in keep if c in df.columns]
-    return df.select(
-        *kept, *[impute_number(c, prep.numeric[c]).alias(c) for c in prep.numeric_columns if c in prep.numeric],
-        *[impute_category(c, prep.categories[c]).alias(c) for c in prep.categorical_columns if c in prep.categories],
+    return df.selectExpr(
+        *kept, *[f"{impute_number(c, prep.numeric[c])} as {c}" for c in prep.numeric_columns if c in prep.numeric],
+        *[f"{impute_category(c, prep.categories[c])} as {c}" for c in prep.categorical_columns if c in prep.categories],
     )
 
 

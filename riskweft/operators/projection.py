@@ -66,14 +66,12 @@ def pick_columns(columns: Sequence[str], priority: Sequence[str], limit: int) ->
 
 def coerce_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
-    return df.withColumns({c: number(F.col(c), types[c]) for c in columns})
+    return df.withColumns({c: F.expr(number(c, types[c])) for c in columns})
 
 
 def clean_numbers(df: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
     """null, NaN and infinities to 0 in one projection."""
-    return df.select(
-        *[F.col(f.name) if f.name in skip else finite_or_zero(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields]
-    )
+    return df.selectExpr(*[f.name if f.name in skip else f"{finite_or_zero(f.name, f.dataType)} as {f.name}" for f in df.schema.fields])
 
 
 def predict(score: Column, threshold: Column | float) -> Column:

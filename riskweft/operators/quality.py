@@ -10,6 +10,7 @@ from riskweft.functions.rowmath import number
 from riskweft.operators.ordered import exact_quantiles, fold_values, folded_quantiles, long_form
 from riskweft.operators.projection import pick_columns, require_shape, split_columns_by_type
 from riskweft.operators.splitting import class_sizes
+from riskweft.session import stage
 from riskweft.sources.contract import MIN_FEATURES, MIN_ROWS
 
 MISSING = "<MISSING>"
@@ -24,15 +25,14 @@ STATUS_RANGE = (-2, 9)
 AGE_RANGE = (18, 100)
 
 
-def is_missing(df: DataFrame, column: str) -> Column:
-    col = F.col(column)
-    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
-        return col.isNull() | F.isnan(col)
-    return col.isNull()
+def missing_test(df: DataFrame, column: str) -> str:
+    floating = isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType))
+    return f"{column} is null or isnan({column})" if floating else f"{column} is null"
 
 
 def _coerced(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    return df.select(*keep, *[number(F.col(c), df.schema[c].dataType).alias(c) for c in columns])
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return df.selectExpr(*keep, *[f"{number(c, types[c])} as {c}" for c in columns])
 
 
 def label_distribution(df: DataFrame, label: str = "Y") -> DataFrame:
@@ -42,10 +42,8 @@ def label_distribution(df: DataFrame, label: str = "Y") -> DataFrame:
 
 def missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, missing_count, missing_rate) of every column: one wide aggregate, no shuffle of rows."""
-    cells = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.count_if(is_missing(df, c)).alias("missing_count")) for c in columns
-    ])
-    wide = df.agg(cells.alias("cells"), F.count(F.lit(1)).alias("n"))
+    cells = ", ".join(f"named_struct('column', '{c}', 'missing_count', count_if({missing_test(df, c)}))" for c in columns)
+    wide = df.agg(F.expr(f"array({cells})").alias("cells"), F.count(F.lit(1)).alias("n"))
     return wide.select("n", F.inline("cells")).select(
         "column", "missing_count", F.coalesce(F.try_divide("missing_count", "n"), F.lit(0.0)).alias("missing_rate")
     )
@@ -69,14 +67,12 @@ QUARTILES = {"p25": 0.25, "p50": 0.50, "p75": 0.75}
 
 def moments(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by, feature, count, mean, std, min, max) from one wide aggregate."""
-    def cell(c: str) -> Column:
-        v = F.col(c)
-        return F.struct(
-            F.lit(c).alias("feature"), F.count(v).alias("count"), F.avg(v).alias("mean"),
-            F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"),
+    def cell(c: str) -> str:
+        return (
+            f"named_struct('feature', '{c}', 'count', count({c}), 'mean', avg({c}), 'std', stddev_samp({c}), 'min', min({c}), 'max', max({c}))"
         )
 
-    wide = df.groupBy(*by).agg(F.array(*[cell(c) for c in columns]).alias("cells"))
+    wide = df.groupBy(*by).agg(F.expr(f"array({', '.join(cell(c) for c in columns)})").alias("cells"))
     return wide.select(*by, F.inline("cells"))
 
 
@@ -151,7 +147,7 @@ def bin_number(value: Column, edges: Column) -> Column:
 def rate_by_bin(df: DataFrame, columns: Sequence[str], label: str = "Y", bins: int = 5) -> DataFrame:
     """(feature, bin, bin_lo, bin_hi, default_rate, observations); missing values form a bin of their own."""
     rows = long_form(_coerced(df, columns, [label]), columns, [label])
-    folded = fold_values(rows, ["feature"], "value", {"n": F.lit(1), "hits": F.col(label)})
+    folded = stage(fold_values(rows, ["feature"], "value", {"n": F.lit(1), "hits": F.col(label)}), "folded")
     edges = bin_edges(folded.where("value is not null"), "n", bins)
     # One row per requested column: safe to broadcast.
     placed = folded.join(F.broadcast(edges), "feature").select(
@@ -177,10 +173,10 @@ def inconsistent_values(df: DataFrame) -> DataFrame:
             hits.append((column, "unexpected_repayment_status", lambda v: ~v.between(*STATUS_RANGE)))
     cells = []
     for column, issue, broken in hits:
-        value = number(F.col(column), df.schema[column].dataType).cast("bigint")
+        value = F.expr(number(column, df.schema[column].dataType)).cast("bigint")
         cells.append(F.when(broken(value), F.struct(F.lit(column).alias("column"), F.lit(issue).alias("issue"), value.alias("value"))))
     if "AGE" in df.columns:
-        age = number(F.col("AGE"), df.schema["AGE"].dataType)
+        age = F.expr(number("AGE", df.schema["AGE"].dataType))
         cells.append(F.when(
             (age < AGE_RANGE[0]) | (age > AGE_RANGE[1]),
             F.struct(F.lit("AGE").alias("column"), F.lit("possible_age_outlier").alias("issue"), F.lit(0).cast("bigint").alias("value")),
@@ -339,18 +335,12 @@ def feature_audit(df: DataFrame, name: str, key: str = "row_id") -> DataFrame:
     integers = [c for c in numeric if isinstance(fields[c], T.IntegralType)]
     floats = [c for c in numeric if isinstance(fields[c], T.FractionalType)]
 
-    def total(parts: list[Column]) -> Column:
-        result = F.lit(0).cast("bigint")
-        for p in parts:
-            result = result + p
-        return result
-
-    infinite = [F.count_if(F.abs(F.col(c)) == float("inf")) for c in floats]
-    biggest = F.greatest(*[F.max(F.abs(number(F.col(c), fields[c]))) for c in numeric], F.lit(0.0))
+    missing = [f"count_if({missing_test(df, c)})" for c in columns]
+    infinite = [f"count_if(abs({c}) = double('Infinity'))" for c in floats]
+    biggest = [f"max(abs({number(c, fields[c])}))" for c in numeric]
     wide = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        total([F.count_if(is_missing(df, c)) for c in columns]).alias("nan"),
-        total(infinite).alias("inf"), biggest.alias("max_abs_value"),
+        F.count(F.lit(1)).alias("rows"), F.expr(" + ".join(["0L", *missing])).alias("nan"), F.expr(" + ".join(["0L", *infinite])).alias("inf"),
+        F.expr(f"greatest({', '.join(['0D', '0D', *biggest])})").alias("max_abs_value"),
     )
     texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
     distinct = texts.unpivot([], columns, "column", "value").groupBy("column", "value").agg(F.lit(1).alias("one")).groupBy("column").agg(
@@ -383,7 +373,7 @@ def duplicate_columns(df: DataFrame, columns: Sequence[str], key: str) -> list[s
 
     def plain(c: str) -> Column:
         dtype = fields[c]
-        return number(F.col(c), dtype) + F.lit(0.0) if isinstance(dtype, T.NumericType) else F.col(c).cast("string")
+        return F.expr(f"{number(c, dtype)} + 0D") if isinstance(dtype, T.NumericType) else F.col(c).cast("string")
 
     prints = df.agg(*[
         F.struct(F.bit_xor(F.xxhash64(F.col(key), plain(c))), F.count(plain(c))).alias(c) for c in columns

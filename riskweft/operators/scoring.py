@@ -176,11 +176,14 @@ def threshold_counts(folded: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def threshold_table(folded: DataFrame, by: Sequence[str] = (), min_recall: float = GATES["recall"], min_auc: float = GATES["roc_auc"]) -> DataFrame:
+def threshold_table(
+    folded: DataFrame, by: Sequence[str] = (), min_recall: float = GATES["recall"], min_auc: float = GATES["roc_auc"],
+    rank_columns: Sequence[str] = ("roc_auc",),
+) -> DataFrame:
     """One row per candidate threshold with every metric and the gate flags."""
     table = with_metrics(threshold_counts(folded, by))
-    auc = rank_metrics(folded, by).select(*by, "roc_auc")
-    table = table.join(auc, list(by)) if by else table.withColumn("roc_auc", auc.scalar())
+    ranks = rank_metrics(folded, by).select(*by, *rank_columns)
+    table = table.join(ranks, list(by)) if by else table.select("*", *[ranks.select(c).scalar().alias(c) for c in rank_columns])
     recall_ok, auc_ok = F.col("recall_positive") >= min_recall, F.col("roc_auc") >= min_auc
     return table.select(
         "*",
@@ -239,7 +242,7 @@ def _pick(prefix: dict[str, str], order: Sequence[Column], valid: Column | None
 
 
 def tradeoff_summary(table: DataFrame, folded: DataFrame, by: Sequence[str] = (), min_recall: float = GATES["recall"]) -> DataFrame:
-    """Average precision, F1 at 0.5, best F1, best F1 and best precision under the recall gate."""
+    """AUC, average precision, F1 at 0.5, best F1, best F1 and best precision under the recall gate."""
     f1, p, r, t = (F.col(c) for c in ("f1_binary", "precision_positive", "recall_positive", "threshold"))
     near = -F.abs(t - 0.5)
     gate = r >= min_recall
@@ -259,8 +262,10 @@ def tradeoff_summary(table: DataFrame, folded: DataFrame, by: Sequence[str] = ()
         held["r"].alias("constrained_recall"), held["p"].alias("constrained_precision"),
         sharp["p"].alias("best_precision_at_recall_gate"), sharp["t"].alias("threshold_at_best_precision_recall_gate"),
     )
-    ap = rank_metrics(folded, by).select(*by, "average_precision")
-    return summary.join(ap, list(by)) if by else summary.withColumn("average_precision", ap.scalar())
+    ranks = rank_metrics(folded, by)
+    if by:
+        return summary.join(ranks, list(by))
+    return summary.select("*", *[ranks.select(c).scalar().alias(c) for c in ("roc_auc", "average_precision")])
 
 
 def unconstrained_best(table: DataFrame, by: Sequence[str] = (), min_recall: float = GATES["recall"]) -> DataFrame:

@@ -23,7 +23,7 @@ KEEP = ("row_id", "Y", "split")
 
 def prepared_splits(df: DataFrame, builder: Callable[[DataFrame], DataFrame]) -> tuple[pp.Preparation, DataFrame]:
     """Features, train-only preparation and every split transformed, staged once for all models."""
-    prep, out = pp.build_and_prepare(df, builder, keep=KEEP)
+    prep, out = pp.build_and_prepare(stage(builder(df), "features"), keep=KEEP)
     return prep, stage(out, "prepared")
 
 
@@ -49,9 +49,8 @@ def score_all(fitted: dict[str, md.FittedModel], df: DataFrame, label: str = "Y"
 def search_all(scores: DataFrame, by: str = "experiment", objective: str | None = None) -> DataFrame:
     """Best threshold and metrics of every experiment in one grouped search."""
     folded = sc.fold_scores(scores, [by])
-    table = sc.threshold_table(folded, [by])
-    best = sc.best_threshold(table, [by]) if objective is None else sc.objective_threshold(table, [by], objective)
-    return best.join(sc.rank_metrics(folded, [by]).select(by, "average_precision"), by)
+    table = sc.threshold_table(folded, [by], rank_columns=("roc_auc", "average_precision"))
+    return sc.best_threshold(table, [by]) if objective is None else sc.objective_threshold(table, [by], objective)
 
 
 def record_columns(best: DataFrame, keep: Sequence[str] = ("experiment",)) -> DataFrame:
@@ -394,6 +393,6 @@ def variant_round(train: DataFrame, validation: DataFrame, columns: Sequence[str
     scores = score_all(fitted, validation)
     folded = sc.fold_scores(scores, ["experiment"])
     table = sc.threshold_table(folded, ["experiment"])
-    summary = sc.tradeoff_summary(table, folded, ["experiment"]).join(sc.rank_metrics(folded, ["experiment"]).select("experiment", "roc_auc"), "experiment")
+    summary = sc.tradeoff_summary(table, folded, ["experiment"])
     name = F.split("experiment", "/")
     return rk.variant_row(summary, name[0], name[1])

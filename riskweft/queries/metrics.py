@@ -176,7 +176,7 @@ _SHARP = "precision_positive desc, f1_binary desc, near, threshold"
 def met11_tradeoff_summary(spark, sf):
     thresholds, folded = table(spark, sf)
     skip = tuple(c for c in ("max_f1_threshold", "constrained_max_f1_threshold", "threshold_at_best_precision_recall_gate"))
-    return rounded(sc.tradeoff_summary(thresholds, folded, BY), R, skip)
+    return rounded(sc.tradeoff_summary(thresholds, folded, BY).drop("roc_auc"), R, skip)
 
 
 @query(

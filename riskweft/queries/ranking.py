@@ -112,7 +112,7 @@ _VCOLS = [
 def variants(spark, sf):
     folded = sc.fold_scores(candidate_scores(spark, sf), BY)
     tt = sc.threshold_table(folded, BY)
-    summary = sc.tradeoff_summary(tt, folded, BY).join(sc.rank_metrics(folded, BY).select("model", "roc_auc"), "model")
+    summary = sc.tradeoff_summary(tt, folded, BY)
     family, variant = F.regexp_replace("model", "_[0-9]$", ""), F.right("model", F.lit(1))
     return stage(rk.variant_row(summary, family, variant), "variants")
 

@@ -19,6 +19,9 @@ def build_session(app: str = "riskweft", master: str | None = None, shuffle_part
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        # Recording the Python call site of every column operation costs more than building the plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

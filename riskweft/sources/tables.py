@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from riskweft.functions.rowmath import INFINITY
 from riskweft.sources.contract import FEATURES, LABEL, MIN_FEATURES, MIN_ROWS, ROW_ID
 
 FORMATS = ("parquet", "csv", "json", "orc")
@@ -106,7 +105,7 @@ def json_ready(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         col = F.col(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            col = F.when(~F.isnan(col) & (F.abs(col) != INFINITY), col)
+            col = F.when(~F.isnan(col) & (F.abs(col) != float("inf")), col)
         out.append(col.alias(f.name))
     return df.select(*out)
 
