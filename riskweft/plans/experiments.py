@@ -7,12 +7,17 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import replace
 
 from pyspark import keyword_only
+from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param.shared import HasLabelCol
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskweft.operators import diagnostics as dg, prep as pp, ranking as rk, scoring as sc, splitting as sp
 from riskweft.operators.features import ABLATIONS, TEMPORAL_SETS, behavioral_features, feature_set
+from riskweft.operators.ordered import exact_quantiles
 from riskweft.plans import models as md
 from riskweft.session import stage
 from riskweft.sources.contract import DELAY, SEED
@@ -92,9 +97,9 @@ def oof_scores(
         rows = scored.select("row_id", F.col(label).cast("int").alias("label"), "score")
         if store:
             rows = stage(rows, "fold")
-            best = sc.fast_threshold(sc.threshold_counts(sc.fold_scores(rows)))
-            auc = sc.rank_metrics(sc.fold_scores(rows)).first()["roc_auc"]
-            f1 = best.first()["f1_binary"]
+            folded = sc.fold_scores(rows)
+            auc = sc.rank_metrics(folded).first()["roc_auc"]
+            f1 = sc.fast_threshold(sc.threshold_counts(folded)).first()["f1_binary"]
             store.save(i, rows.select("*", F.lit(auc).alias("auc"), F.lit(f1).alias("f1_binary"), F.lit(time.monotonic() - started).alias("elapsed_seconds")))
         else:
             parts.append(rows.withColumn("fold", F.lit(i)))
@@ -144,8 +149,6 @@ def hard_negative_experiments(train: DataFrame, validation: DataFrame, columns:
 
 def cascade_bands(oof: DataFrame, shares: Sequence[float] = (0.20, 0.30, 0.40)) -> list[tuple[float, float, float]]:
     """(share, low, high): exact score bounds of the central share of out-of-fold scores."""
-    from riskweft.operators.ordered import exact_quantiles
-
     probs = {}
     for s in shares:
         probs[f"lo{int(s * 100)}"], probs[f"hi{int(s * 100)}"] = (1 - s) / 2, 1 - (1 - s) / 2
@@ -322,8 +325,6 @@ class StepAveragePrecision(Evaluator, HasLabelCol):
         self._set(labelCol=labelCol)
 
     def _evaluate(self, dataset: DataFrame) -> float:
-        from pyspark.ml.functions import vector_to_array
-
         scored = dataset.select(F.col(self.getLabelCol()).alias("label"), vector_to_array("probability")[1].alias("score"))
         return float(sc.rank_metrics(sc.fold_scores(scored)).first()["average_precision"])
 
@@ -337,10 +338,6 @@ def grid_search(train: DataFrame, columns: Sequence[str], spec: md.ModelSpec, gr
     Settings and class weighting vary together, so each grid point is its own
     pipeline and CrossValidator runs once per weighting with the folds fixed.
     """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.tuning import CrossValidator
-
     negatives, positives = sp.class_sizes(train, label)
     folds = stage(sp.stratified_folds(train, k, label=label), "folds")
     best: tuple[float, dict, md.FittedModel] | None = None

@@ -15,7 +15,7 @@ from riskweft.plans import experiments as ex, models as md, production as pd_, w
 from riskweft.queries.features import rounded
 from riskweft.queries.metrics import TIERED
 from riskweft.queries.registry import query
-from riskweft.queries.scores import METRIC_SQL, MODELS, scored_wide, threshold_ctes, with_scores
+from riskweft.queries.scores import METRIC_SQL, MODELS, SCORED_SQL, scored_wide, threshold_ctes, with_scores
 from riskweft.queries.splits import RANKED_SQL, SPLIT_SQL
 from riskweft.session import stage, staging_path
 from riskweft.sources import tables as tb
@@ -151,7 +151,7 @@ def mod10_hard_negative_mask(spark, sf):
 @query("mod10_hard_negative_experiments")
 def mod10_hard_negative_experiments(spark, sf):
     columns, train, validation = prepared(spark, sf)
-    oof = ex.oof_scores(train_features(spark, sf), BOOST, 3)
+    oof = ex.oof_scores(train_features(spark, sf), BOOST, 2)
     return ex.hard_negative_experiments(train, validation, columns, oof, replace(BOOST, params={**BOOST.params, "n_estimators": 2}))
 
 
@@ -172,7 +172,7 @@ def mod11_cascade_bands(spark, sf):
 @query("mod11_cascade")
 def mod11_cascade(spark, sf):
     columns, train, validation = prepared(spark, sf)
-    oof = ex.oof_scores(train_features(spark, sf), LOGISTIC, 3)
+    oof = ex.oof_scores(train_features(spark, sf), LOGISTIC, 2)
     return ex.cascade_experiments(train, validation, columns, oof, md.fit(LOGISTIC, train, columns), max_iter=20)
 
 
@@ -186,8 +186,6 @@ _SEG_BEST = f"seg as (select segment, threshold from (select *, row_number() ove
 
 
 def _with_scored(body: str, *ctes: str) -> str:
-    from riskweft.queries.scores import SCORED_SQL
-
     return with_panel(body, SCORED_SQL, *ctes)
 
 
@@ -261,7 +259,7 @@ def mod15_ablations(spark, sf):
 def mod15_temporal_sets(spark, sf):
     train = ex.part(labelled(spark, sf), "train").drop("split")
     sets = {n: fe.TEMPORAL_SETS[n] for n in ("T0_A3", "T1_PAY")}
-    return ex.temporal_experiments(train, LOGISTIC, 3, sets, staging_path(spark, "folds"))
+    return ex.temporal_experiments(train, LOGISTIC, 2, sets, staging_path(spark, "folds"))
 
 
 @query("mod16_frozen_promotion")
@@ -376,10 +374,10 @@ def flow_optimization_workflow(spark, sf):
 
 @query("flow_trajectory_workflow")
 def flow_trajectory_workflow(spark, sf):
-    sets = {n: fe.TEMPORAL_SETS[n] for n in ("T0_A3", "T3_SHORTFALL")}
-    return wf.trajectory_workflow(labelled(spark, sf), staging_path(spark, "run"), LOGISTIC, sets, 3, 3)["validation"]
+    sets = {"T3_SHORTFALL": fe.TEMPORAL_SETS["T3_SHORTFALL"]}
+    return wf.trajectory_workflow(labelled(spark, sf), staging_path(spark, "run"), LOGISTIC, sets, 2, 2)["validation"]
 
 
 @query("flow_hard_negative_workflow")
 def flow_hard_negative_workflow(spark, sf):
-    return wf.hard_negative_workflow(labelled(spark, sf), replace(BOOST, params={**BOOST.params, "n_estimators": 2}), 3)["best"]
+    return wf.hard_negative_workflow(labelled(spark, sf), replace(BOOST, params={**BOOST.params, "n_estimators": 2}), 2)["best"]

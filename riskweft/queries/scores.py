@@ -69,8 +69,8 @@ def threshold_ctes(source: str = "scores", group: str = "model") -> list[str]:
         f"totals as (select {group}, cast(sum(pos) as bigint) as np, cast(sum(neg) as bigint) as nn from folded group by {group})",
         f"cum as (select folded.*, np, nn, cast(sum(pos) over (partition by {group} order by score desc) as bigint) as ctp,"
         f" cast(sum(neg) over (partition by {group} order by score desc) as bigint) as cfp from folded join totals using ({group}))",
-        f"rank_metrics as (select {group}, sum(cast(pos as double)*(2*(nn-cfp)+neg))/(2.0*max(np)*max(nn)) as roc_auc,"
-        f" sum(pos*(cast(ctp as double)/(ctp+cfp)))/max(np) as average_precision from cum group by {group})",
+        f"rank_metrics as (select {group}, sum(cast(pos as double)*(2*(nn-cfp)+neg))/nullif(2.0*max(np)*max(nn), 0) as roc_auc,"
+        f" sum(pos*(cast(ctp as double)/(ctp+cfp)))/nullif(max(np), 0) as average_precision from cum group by {group})",
         f"cand as (select distinct {group}, round_even(score*1000000.0, 0)/1000000.0 as threshold from {source}"
         f" union select {group}, 0.5 from totals)",
         f"counts as (select cand.{group}, cand.threshold, nn-coalesce(cfp,0) as tn, coalesce(cfp,0) as fp,"
