@@ -6,7 +6,7 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
-from riskweft.operators import diagnostics as dg, features as fe, neighbours as nn, projection as pr, scoring as sc, splitting as sp
+from riskweft.operators import diagnostics as dg, neighbours as nn, projection as pr, scoring as sc, splitting as sp
 from riskweft.queries.features import rounded
 from riskweft.queries.metrics import BY, CTES, TIERED, best_sql, table
 from riskweft.queries.quality import PROFILE_SQL, profile

@@ -10,7 +10,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from riskweft.operators import diagnostics as dg, features as fe, prep as pp, scoring as sc, splitting as sp
+from riskweft.operators import diagnostics as dg, features as fe, scoring as sc, splitting as sp
 from riskweft.plans import experiments as ex, models as md, production as pd_, workflows as wf
 from riskweft.queries.features import rounded
 from riskweft.queries.metrics import TIERED
@@ -381,3 +381,8 @@ def flow_trajectory_workflow(spark, sf):
 @query("flow_hard_negative_workflow")
 def flow_hard_negative_workflow(spark, sf):
     return wf.hard_negative_workflow(labelled(spark, sf), replace(BOOST, params={**BOOST.params, "n_estimators": 2}), 2)["best"]
+
+
+@query("flow_continuation_workflow")
+def flow_continuation_workflow(spark, sf):
+    return wf.continuation_workflow(labelled(spark, sf), LOGISTIC, {"A0": fe.ABLATIONS["A0"]}, [("undersampling", 2.0)])["best"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskweft.operators import monitoring as mo, scoring as sc
+from riskweft.operators import monitoring as mo
 from riskweft.queries.features import rounded
 from riskweft.queries.registry import query
 from riskweft.queries.scores import METRIC_SQL, threshold_ctes

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskweft.operators import diagnostics as dg, ranking as rk, scoring as sc, splitting as sp, projection as pr
+from riskweft.operators import ranking as rk, scoring as sc, splitting as sp, projection as pr
 from riskweft.queries.diagnostics import split_metrics, SPLIT_SCORED, _FIXED
 from riskweft.queries.features import rounded
 from riskweft.queries.metrics import CTES, TIERED, _HELD, _SHARP, _TOP
 from riskweft.queries.registry import query
 from riskweft.queries.scores import METRIC_SQL, MODELS, SCORED_SQL, scored_wide
-from riskweft.queries.splits import RANKED_SQL, SPLIT_SQL, keyed
+from riskweft.queries.splits import keyed
 from riskweft.session import stage, staging_path
 from riskweft.sources import tables as tb
 from riskweft.sources.panel import panel, with_panel

@@ -1,6 +1,5 @@
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from helpers import ROW0, ROW1, credit_frame
 from riskweft.operators import features as fe, neighbours as nn, prep as pp
