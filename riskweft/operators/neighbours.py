@@ -152,9 +152,12 @@ def _other_cells(rows: DataFrame, pivots: np.ndarray, rings: dict[int, tuple[flo
     high = np.array([rings[c][1] for c in cells])
     centre = pivots[cells]
 
+    def flush(vids, vecs, targets):
+        return pd.DataFrame({"vid": np.array(vids, dtype="int64"), "vec": vecs, "cell": np.array(targets, dtype="int32")})
+
     def visit(batches):
+        vids, vecs, targets = [], [], []
         for pdf in batches:
-            vids, vecs, targets = [], [], []
             for vid, vec, home, bound in zip(pdf["vid"], pdf["vec"], pdf["cell"], pdf["bound"]):
                 limit = np.inf if bound is None or np.isnan(bound) else bound * (1 + 1e-9) + 1e-9
                 d = np.sqrt(((centre - vec) ** 2).sum(axis=1))
@@ -167,7 +170,11 @@ def _other_cells(rows: DataFrame, pivots: np.ndarray, rings: dict[int, tuple[flo
                     vids.append(vid)
                     vecs.append(vec)
                     targets.append(c)
-            yield pd.DataFrame({"vid": np.array(vids, dtype="int64"), "vec": vecs, "cell": np.array(targets, dtype="int32")})
+                # Visits leave in small pieces: a row may visit every cell.
+                if len(vids) >= 4096:
+                    yield flush(vids, vecs, targets)
+                    vids, vecs, targets = [], [], []
+        yield flush(vids, vecs, targets)
 
     return rows.mapInPandas(visit, "vid bigint, vec array<double>, cell int")
 
