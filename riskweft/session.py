@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -42,7 +43,7 @@ def staging_root(spark: SparkSession) -> str:
     if configured:
         return configured
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):
         raise RuntimeError("Set spark.checkpoint.dir to a folder that every executor can reach.")
     app = context.applicationId
     if app not in _LOCAL_ROOTS:

