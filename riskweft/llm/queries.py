@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweft.llm import chat, mixing
+from riskweft.llm import chat, decontam, jaccard, language, lines, mixing, pii, toxicity, vectors
 from riskweft.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,102 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_mixing")
 def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf_dir, "documents"))
+
+
+LINES_SQL = r"""
+WITH l AS (
+  SELECT doc_id, i - 1 AS line, list_filter(regexp_split_to_array(lower(parts[i]), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL), unnest(range(1, len(parts) + 1)) t(i)
+), o AS (
+  SELECT doc_id, line, words, len(words) AS n, array_to_string(words, ' ') AS said FROM l WHERE len(words) >= 3
+), c AS (
+  SELECT said, any_value(words) AS words, any_value(n) AS n, min((doc_id, line)) AS spot FROM o GROUP BY said
+), v AS (
+  SELECT said, n, spot, i, array_to_string(words[1:i-1] || words[i+1:], ' ') AS without FROM c, unnest(range(1, n + 1)) t(i) WHERE n >= 5
+), near AS (
+  SELECT said FROM (SELECT said, spot, min(spot) OVER (PARTITION BY without, i, n) AS first FROM v) WHERE first < spot
+  UNION SELECT v.said FROM v JOIN c ON c.said = v.without AND c.n = v.n - 1 AND c.n >= 5 WHERE c.spot < v.spot
+  UNION SELECT c.said FROM v JOIN c ON c.said = v.without AND c.n = v.n - 1 AND c.n >= 5 WHERE v.spot < c.spot
+), gone AS (
+  SELECT o.doc_id, o.line, near.said IS NOT NULL AS near FROM o JOIN c USING (said) LEFT JOIN near USING (said) WHERE near.said IS NOT NULL OR c.spot <> (o.doc_id, o.line)
+), g AS (
+  SELECT doc_id, count(*) AS n_gone, count(*) FILTER (WHERE near) AS n_near, list(line ORDER BY line) AS nums FROM gone GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_gone, 0)::BIGINT AS n_gone, coalesce(n_near, 0)::BIGINT AS n_near, coalesce(array_to_string(nums, ','), '') AS lines_gone,
+  sha256(CASE WHEN nums IS NULL THEN coalesce(text, '') ELSE array_to_string([p[k] FOR k IN range(1, len(p) + 1) IF NOT list_contains(nums, k - 1)], chr(10)) END) AS kept_sha256
+FROM (SELECT *, string_split(text, chr(10)) AS p FROM documents) d LEFT JOIN g USING (doc_id)
+"""
+
+JACCARD_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i+4], ' ') AS g FROM w, unnest(range(1, greatest(len(words) - 4, 1) + 1)) t(i) WHERE len(words) > 0
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id < b.doc_id GROUP BY ALL
+), e AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), r(doc_id, c) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, q.b FROM r JOIN (SELECT a, b FROM e UNION ALL SELECT b, a FROM e) q ON r.c = q.a
+)
+SELECT r.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(c) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+
+VECTORS_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND list_max(list_transform(embedding, lambda c: abs(c))) > 0
+), e AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.9
+), r(vec_id, c) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, e.b FROM r JOIN e ON r.c = e.a
+)
+SELECT r.vec_id, (SELECT count(*) FROM e WHERE e.a = r.vec_id)::BIGINT AS n_links, min(c) AS component_id, min(c) = r.vec_id AS kept FROM r GROUP BY r.vec_id
+"""
+
+
+@query("op3_line_dedup", LINES_SQL)
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select(
+        "doc_id", F.size("lines_gone").cast("long").alias("n_gone"), F.col("near_gone").cast("long").alias("n_near"),
+        F.array_join(F.col("lines_gone").cast("array<string>"), ",").alias("lines_gone"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+@query("op8_ngram_jaccard", JACCARD_SQL)
+def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op1_pii")
+def pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(table(spark, sf_dir, "documents"))
+    terms = F.array_join(F.transform("terms", lambda t: F.format_string("term:%d:%d", t["start"], t["end"])), ",")
+    return found.select(
+        "doc_id", *(f"n_{k}" for k in pii.KINDS), F.sha2("base", 256).alias("base_sha256"),
+        F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.when(F.size("terms") > 0, terms)).alias("spans"), F.size("terms").cast("long").alias("n_terms"),
+    )
+
+
+@query("op4_decontamination")
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_embedding_dedup", VECTORS_SQL)
+def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op6_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op9_toxicity")
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
