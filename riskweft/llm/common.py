@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,9 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
+#: Bits of a hash that name a cell of a filter; a filter has a fixed size, whatever it is filled with.
+CELL_BITS = 22
+
 #: Parts that a running total is cut into before it is ordered; each part is a window group of its own.
 PARTS = 4096
 
@@ -40,3 +45,26 @@ def running_start(df: DataFrame, group: list[str], part: str, order: list[Column
     inside = Window.partitionBy(*group, part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     rows = df.withColumn("__inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
     return rows.join(bases, [*group, part]).withColumn(out, F.col("__base") + F.col("__inside")).drop("__base", "__inside")
+
+
+def cell_filter(hashes: DataFrame) -> np.ndarray:
+    """Which cells the values of a one-column table of hashes fall into.
+
+    At most one row for each cell comes to the driver. A filter that is full
+    lets everything pass, so what it is used for must hold without it.
+    """
+    (name,) = hashes.columns
+    cells = np.zeros(1 << CELL_BITS, bool)
+    named = hashes.select(F.shiftrightunsigned(name, 64 - CELL_BITS).cast("int").alias("cell")).distinct()
+    cells[named.toArrow()["cell"].to_numpy()] = True
+    return np.packbits(cells)
+
+
+def passes(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes fall into a cell of the filter."""
+    cell = hashes.view(np.uint64) >> np.uint64(64 - CELL_BITS)
+    return (packed[(cell >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (cell & np.uint64(7)).astype(np.uint8))) & np.uint8(1) > 0
+
+
+def passing(batch: pa.RecordBatch, packed: np.ndarray, column: str) -> pa.RecordBatch:
+    return batch.filter(pa.array(passes(packed, batch.column(column).to_numpy())))

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskweft.llm.common import cell_filter, passes, passing
 from riskweft.llm.words import mix, pieces, signed, text_bytes, windows, word_hashes
 from riskweft.session import stage
 
@@ -33,8 +34,6 @@ MASKS = ((0, 1, 2, 3, 5, 6), (0, 1, 3, 4, 7, 8), (0, 2, 3, 5, 8, 9))
 MIN_ITEM = 5
 OVERLAP = 20
 PERCENT = 80
-#: Cells of the table of benchmark hashes, and the bits of a hash that name one.
-CELL_BITS = 21
 _LAST = (1 << 63) - 1
 
 
@@ -82,9 +81,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), item)), pa.array(at.astype(np.int32)), pa.array(signed(found))], ["item", "at", "seed"])
 
     seeds = stage(items.mapInArrow(item_seeds, "item long, at int, seed long"), "benchmark-seeds")
-    cells = np.zeros(1 << CELL_BITS, bool)
-    named = seeds.select(F.shiftrightunsigned("seed", 64 - CELL_BITS).cast("int").alias("cell")).distinct()
-    cells[named.toPandas()["cell"].to_numpy(np.int64)] = True  # at most one row per cell
+    cells = cell_filter(seeds.select("seed"))
 
     def corpus_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
@@ -92,7 +89,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             ends = np.cumsum(counts)
             for k, (at, found) in enumerate(_seeds(hashes, short)):
                 mask = (*MASKS, *(tuple(range(n)) for n in short))[k]
-                hit = np.flatnonzero(cells[(found >> np.uint64(64 - CELL_BITS)).astype(np.int64)])
+                hit = np.flatnonzero(passes(cells, found))
                 row = np.searchsorted(ends, hit, side="right")
                 inside = hit + mask[-1] < ends[row]
                 hit, row = hit[inside], row[inside]
@@ -122,7 +119,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             columns = list(zip(*out)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc", "tie", "item", "first", "words", "matched"])
 
-    return rows.dropDuplicates(["doc", "tie"]).join(found, ["doc", "tie"]).mapInArrow(verify, "doc long, tie long, item long, first long, words long, matched long")
+    hit = cell_filter(found.select("tie"))
+
+    def hit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield passing(batch, hit, "tie")
+
+    # Texts without a hit stay where they are.
+    texts = rows.mapInArrow(hit_rows, rows.schema).dropDuplicates(["doc", "tie"])
+    return texts.join(found, ["doc", "tie"]).mapInArrow(verify, "doc long, tie long, item long, first long, words long, matched long")
 
 
 def _best_overlap(words: np.ndarray, item: np.ndarray, diagonals: list[int]) -> tuple[int, int, int] | None:

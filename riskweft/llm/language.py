@@ -40,6 +40,8 @@ BATCH = 512
 RATE = 0.02
 RUN_BYTES = 48
 REMEMBERED = 400_000
+#: A document whose best language has a lower mean probability is rejected.
+MIN_SCORE = 0.4
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
 
@@ -245,12 +247,12 @@ def predict(docs: DataFrame, net: Network | None, languages: list[str], carry: t
     if net is None:
         return docs.select(*carry, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     text = F.col("text").cast("string")
-    rows = docs.select(*(F.col(c).alias(f"__{c}") for c in carry), F.when(_has_letter(text), text).alias("__text"))
+    rows = docs.select(*(F.col(c).alias(f"__{c}") for c in carry), F.when(_has_letter(text), text).alias("__read"))
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(net, len(languages))
-        for batch in pieces(batches, "__text", 2 << 20):
-            p = labeller.documents(text_bytes(batch.column("__text")))
+        for batch in pieces(batches, "__read", 2 << 20):
+            p = labeller.documents(text_bytes(batch.column("__read")))
             best = p.argmax(axis=1)
             score = np.minimum(p[np.arange(len(p)), best], 1.0)
             named = [languages[b] if s > 0 else UNKNOWN for b, s in zip(best.tolist(), score.tolist())]
@@ -266,3 +268,10 @@ def identify(docs: DataFrame, held_part: int = 1, parts: int = 3) -> DataFrame:
     held = crc_mod(F.col("doc_id"), parts) == held_part
     net, languages = learn(docs.where(~held))
     return predict(docs, net, languages).withColumn("held_out", crc_mod(F.col("doc_id"), parts) == held_part)
+
+
+def keep_known(docs: DataFrame, held_part: int = 1, parts: int = 3, min_score: float = MIN_SCORE) -> DataFrame:
+    """docs without those of no language: `und`, or a score under min_score. Learns like identify."""
+    net, languages = learn(docs.where(crc_mod(F.col("doc_id"), parts) != held_part))
+    found = predict(docs.select(F.struct("*").alias("row"), "text"), net, languages, ("row",))
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("row.*")

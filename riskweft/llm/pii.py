@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskweft.llm.common import cell_filter, passes
 from riskweft.llm.words import _FOLD, _hash_piece, pieces, signed, text_bytes
 from riskweft.session import stage
 
@@ -43,7 +44,6 @@ SUPPORT = 2
 GENERALISE = 0.75
 REMOVE = 0.95
 KEPT_LETTERS = 2
-CELL_BITS = 21
 _LAST = (1 << 63) - 1
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -150,16 +150,14 @@ def _found(docs: DataFrame) -> DataFrame:
 
 def _document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """term, n_t: documents of the corpus that hold the term. terms: a column `term` of hashes."""
-    cells = np.zeros(1 << CELL_BITS, bool)
-    named = terms.select(F.shiftrightunsigned("term", 64 - CELL_BITS).cast("int").alias("cell")).distinct()
-    cells[named.toPandas()["cell"].to_numpy(np.int64)] = True  # at most one row per cell
+    cells = cell_filter(terms.select("term"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             texts = text_bytes(batch.column("text"))
             starts, hashes = _hash_piece(b" ".join(texts).translate(_TERM_FOLD))
             ends = np.cumsum([len(t) + 1 for t in texts])
-            hit = np.flatnonzero(cells[(hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64)])
+            hit = np.flatnonzero(passes(cells, hashes))
             if not len(hit):
                 continue
             row = np.searchsorted(ends, starts[hit], side="right")

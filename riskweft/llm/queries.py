@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweft.llm import chat, decontam, jaccard, language, lines, mixing, pii, toxicity, vectors
+from riskweft.llm import chat, decontam, html, jaccard, language, lines, mixing, pii, toxicity, vectors
 from riskweft.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,8 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_toxicity")
 def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op5_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))

@@ -35,9 +35,9 @@ GRAMS = (3, 4, 5)
 CELL_BITS = 16
 DIMENSIONS = 8
 SAMPLE = 1500
-EPOCHS = 12
+EPOCHS = 16
 BATCH = 64
-RATE = 0.02
+RATE = 0.3
 #: A mean over thousands of n-grams is small; inputs are scaled by this.
 GAIN = 64.0
 CUT = 0.3
@@ -91,11 +91,9 @@ def bags(texts: list[bytes], bits: int = CELL_BITS) -> list[tuple[np.ndarray, np
 def train(examples: list[tuple[np.ndarray, np.ndarray, int]], weights: tuple[float, float], bits: int = CELL_BITS, seed: int = 11) -> tuple[np.ndarray, float]:
     """examples: cells, shares, label. Returns one number per cell and a bias: the difference of the two classes' logits."""
     r = np.random.default_rng(seed)
-    p = {
-        "e": r.uniform(-0.1, 0.1, (1 << bits, DIMENSIONS)).astype(np.float32),
-        "w": r.normal(0, 0.5, (DIMENSIONS, 2)).astype(np.float32), "c": np.zeros(2, np.float32),
-    }
-    first, second = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}
+    # Vectors start at zero, so a cell that was never seen says nothing.
+    e, w, c = np.zeros((1 << bits, DIMENSIONS), np.float32), r.normal(0, 0.5, (DIMENSIONS, 2)).astype(np.float32), np.zeros(2, np.float32)
+    seen = np.full((1 << bits, 1), 1e-4, np.float32)
     step, steps = 0, EPOCHS * -(-len(examples) // BATCH)
     for _ in range(EPOCHS):
         order = r.permutation(len(examples))
@@ -106,27 +104,21 @@ def train(examples: list[tuple[np.ndarray, np.ndarray, int]], weights: tuple[flo
             x = np.zeros((len(part), len(cells)), np.float32)
             x[np.repeat(np.arange(len(part)), [len(q[0]) for q in part]), index.reshape(-1)] = np.concatenate([q[1] for q in part]) * GAIN
             y = np.array([q[2] for q in part])
-            e = p["e"][cells]
-            h = x @ e
-            logits = h @ p["w"] + p["c"]
-            prob = np.exp(logits - logits.max(axis=1, keepdims=True))
-            prob /= prob.sum(axis=1, keepdims=True)
-            d = prob.copy()
+            h = x @ e[cells]
+            logits = h @ w + c
+            d = np.exp(logits - logits.max(axis=1, keepdims=True))
+            d /= d.sum(axis=1, keepdims=True)
             d[np.arange(len(y)), y] -= 1
             d *= np.array(weights, np.float32)[y][:, None] / len(y)
+            rate = RATE * (1 - 0.95 * step / steps)
             step += 1
-            rate = RATE * (1 - 0.9 * step / steps)
-            _adam(p, first, second, "w", slice(None), h.T @ d, rate, step)
-            _adam(p, first, second, "c", slice(None), d.sum(axis=0), rate, step)
-            _adam(p, first, second, "e", cells, x.T @ (d @ p["w"].T), rate, step)
-    fold = p["w"][:, 1] - p["w"][:, 0]
-    return (p["e"] @ fold * GAIN).astype(np.float64), float(p["c"][1] - p["c"][0])
-
-
-def _adam(p: dict, first: dict, second: dict, k: str, at: object, g: np.ndarray, rate: float, step: int) -> None:
-    first[k][at] = 0.9 * first[k][at] + 0.1 * g
-    second[k][at] = 0.99 * second[k][at] + 0.01 * g * g
-    p[k][at] -= rate * (first[k][at] / (1 - 0.9**step)) / (np.sqrt(second[k][at] / (1 - 0.99**step)) + 1e-8)
+            down_w, down_e = h.T @ d, x.T @ (d @ w.T)
+            # Adagrad by cell: rare n-grams learn in large steps, frequent ones in small.
+            seen[cells] += (down_e * down_e).mean(axis=1, keepdims=True)
+            e[cells] -= rate * down_e / np.sqrt(seen[cells])
+            w -= 0.1 * rate * down_w
+            c -= 0.1 * rate * d.sum(axis=0)
+    return (e @ (w[:, 1] - w[:, 0]) * GAIN).astype(np.float64), float(c[1] - c[0])
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) -> tuple[np.ndarray, float]:

@@ -1,0 +1,50 @@
+"""Small tables for the text operators, and plain versions of what they compute."""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import SparkSession
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SF = "/root/testdata/sf0.001"
+
+
+def documents(spark: SparkSession, rows: list[tuple]):
+    """rows: doc_id, text, then source or lang where given; two columns with clashing names are added."""
+    rows = [(r[0], r[1], r[2] if len(r) > 2 else "en", r[3] if len(r) > 3 else "a", len(r[1] or ""), 1, "x") for r in rows]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, n long, first string")
+
+
+def ascii_lower(text: str) -> str:
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def shingles(text: str | None, k: int = 5) -> set[tuple[str, ...]]:
+    words = WORD.findall(ascii_lower(text or ""))
+    if len(words) < k:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)}
+
+
+def components(nodes: list, links: list[tuple]) -> dict:
+    label = {n: n for n in nodes}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(label[a], label[b])
+            if label[a] != low or label[b] != low:
+                label[a] = label[b] = low
+                changed = True
+    return label
+
+
+def word_edits(a: list[str], b: list[str]) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
