@@ -138,6 +138,8 @@ def slots(sources: DataFrame, shard_slots: int = SHARD_SLOTS, most: int = MOST,
     counts = extra.unionByName(given).groupBy("shard", "rank").agg(F.sum("n").alias("n")).withColumn("part", F.floor(F.col("shard") / PARTS))
     counts = running_start(counts, ["rank"], "part", [F.col("shard")], "n", "before")
 
+    # The counts are few rows, the slots many: they are dealt out before they are spread.
+    counts = counts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "rank", "shard")
     known = shares.groupBy("rank").agg(F.max("blocks").alias("blocks"))
     filled = counts.join(known, "rank").withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
     place = F.col("before") + F.col("slot")
