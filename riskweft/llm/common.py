@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
-#: Bits of a hash that name a cell of a filter; a filter has a fixed size, whatever it is filled with.
-CELL_BITS = 22
+#: Low bits of a hash that name a cell of a filter; a filter has a fixed size, whatever it is filled with.
+CELL_BITS = 24
 
 #: Parts that a running total is cut into before it is ordered; each part is a window group of its own.
 PARTS = 4096
@@ -55,14 +55,14 @@ def cell_filter(hashes: DataFrame) -> np.ndarray:
     """
     (name,) = hashes.columns
     cells = np.zeros(1 << CELL_BITS, bool)
-    named = hashes.select(F.shiftrightunsigned(name, 64 - CELL_BITS).cast("int").alias("cell")).distinct()
+    named = hashes.select(F.col(name).bitwiseAND((1 << CELL_BITS) - 1).cast("int").alias("cell")).distinct()
     cells[named.toArrow()["cell"].to_numpy()] = True
     return np.packbits(cells)
 
 
 def passes(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which hashes fall into a cell of the filter."""
-    cell = hashes.view(np.uint64) >> np.uint64(64 - CELL_BITS)
+    cell = hashes.view(np.uint64) & np.uint64((1 << CELL_BITS) - 1)
     return (packed[(cell >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (cell & np.uint64(7)).astype(np.uint8))) & np.uint8(1) > 0
 
 

@@ -6,11 +6,13 @@ of documents that links reach, so copies never turn into all their pairs.
 
 1. Equal sets are folded; one document stands for each class.
 2. In one global order of shingles, two linked sets share a shingle among the
-   first n - ceil(0.8 n) + 1 of each. The order puts shingles that many
-   documents have last, by a fixed-size table of counts over all documents, so
-   a passage in a third of all documents joins nothing. Any order is exact.
-3. Each document with the smallest one at every shared shingle is verified, and
-   what is linked is one component from then on: a group of near copies ends here.
+   first n - ceil(0.8 n) + 1 of each. The order puts shingles that repeat last,
+   by a fixed-size table of counts over all documents, so a passage in a third
+   of all documents joins nothing. Any order is exact.
+3. At every shared shingle, all documents are verified against one of them, and
+   what is linked is one component from then on. A few such rounds, each with
+   another leader and only for shingles that still join several components,
+   settle groups of near copies without making their pairs.
 4. Documents of different components that share such a shingle meet in tiles of
    one shingle and one size band (a linked pair's sizes differ by a factor of
    1.25 at most). Each carries a parity bitmap with about one bit per shingle.
@@ -35,14 +37,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskweft.llm.common import cell_filter, passes, passing
 from riskweft.llm.graph import components
 from riskweft.llm.words import mix, pieces, shingle_sets, signed, text_bytes
 from riskweft.session import stage
 
 SHINGLE = 5
 PERCENT = 80
-#: Cells of the table of counts.
-CELLS = 1 << 16
+#: Bits of a hash that name a cell of the table of counts.
+LEVEL_BITS = 22
+#: Shingles that a task sorts at once to see which repeat.
+RUN = 1_500_000
+#: Rounds of verifying the members of a shingle against one of them, each time another.
+STAR_ROUNDS = 3
 #: Documents of one tile that meet in one task; a larger tile is cut into blocks.
 TILE_ROWS = 1024
 #: A little over 1.25, so that rounding cannot put two linked sizes further apart than one band.
@@ -55,22 +62,35 @@ def _source(docs: DataFrame) -> DataFrame:
 
 
 def shingle_levels(docs: DataFrame) -> np.ndarray:
-    """For each cell of shingle hashes, how far its documents exceed the usual cell, as a power of two."""
+    """For each cell of shingle hashes, the logarithm of how often its shingles were seen to repeat.
+
+    Tasks sort their shingles in runs of about RUN and report those that more
+    than one document of a run has. The order that follows need not be right for
+    every shingle, only the same everywhere.
+    """
+
+    def repeated(sets: list[np.ndarray]) -> pa.RecordBatch:
+        found, n = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.uint64), return_counts=True)
+        cells, at = np.unique((found[n > 1] >> np.uint64(64 - LEVEL_BITS)).astype(np.int32), return_inverse=True)
+        total = np.bincount(at.reshape(-1), weights=n[n > 1], minlength=len(cells)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(total)], ["cell", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CELLS, np.int64)
+        held, size = [], 0
         for batch in pieces(batches, "text"):
-            found = np.concatenate(shingle_sets(text_bytes(batch.column("text")), SHINGLE))
-            total += np.bincount((found >> np.uint64(48)).astype(np.int64), minlength=CELLS)
-        cells = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(total[cells])], ["cell", "n"])
+            for s in shingle_sets(text_bytes(batch.column("text")), SHINGLE):
+                held.append(s)
+                size += len(s)
+            if size >= RUN:
+                yield repeated(held)
+                held, size = [], 0
+        yield repeated(held)
 
     counted = _source(docs).select("text").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    total = np.zeros(CELLS, np.int64)
-    for row in counted.toLocalIterator():  # at most CELLS rows
-        total[row["cell"]] = row["n"]
-    usual = max(1.0, float(np.median(total)))
-    return np.floor(np.log2(np.maximum(total / usual, 1.0))).astype(np.uint8)
+    levels = np.zeros(1 << LEVEL_BITS, np.uint8)
+    rows = counted.toArrow()  # at most one row for each cell
+    levels[rows["cell"].to_numpy()] = np.log2(rows["n"].to_numpy())
+    return levels
 
 
 def signatures(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
@@ -89,7 +109,7 @@ def signatures(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> D
                 one.append(int(signed(np.add.reduce(mix(s ^ u(0x5555555555555555)), keepdims=True))[0]))
                 two.append(int(signed(np.bitwise_xor.reduce(mix(s + u(0x1234567887654321)), keepdims=True))[0]))
                 k = n - (percent * n + 99) // 100 + 1
-                level = levels[(s >> u(48)).astype(np.int64)]
+                level = levels[(s >> u(64 - LEVEL_BITS)).astype(np.int64)]
                 prefixes.append(signed(s[np.argsort(level, kind="stable")[:k]]))
                 width = max(64, 1 << (n - 1).bit_length())
                 odd = np.bincount((s & u(width - 1)).astype(np.int64), minlength=width) & 1
@@ -135,13 +155,18 @@ def verified(pairs: DataFrame, signs: DataFrame, docs: DataFrame, percent: int =
 
     near = stage(pairs.join(left, "a").join(right, "b").select("a", "b", "an", "abits", "bn", "bbits").mapInArrow(bound, "a long, b long"), "jaccard-pairs")
 
+    wanted = near.select(F.col("a").alias("doc")).unionByName(near.select(F.col("b").alias("doc"))).distinct()
+    cells = cell_filter(wanted.select(F.xxhash64("doc")))
+
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
-            sets = [s.tobytes() for s in shingle_sets(text_bytes(batch.column("text")), SHINGLE)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(sets, pa.binary())], ["doc", "items"])
+        for batch in batches:
+            for part in pieces(iter([passing(batch, cells, "hash")]), "text"):
+                sets = [s.tobytes() for s in shingle_sets(text_bytes(part.column("text")), SHINGLE)]
+                yield pa.RecordBatch.from_arrays([part.column("doc"), pa.array(sets, pa.binary())], ["doc", "items"])
 
-    wanted = near.select(F.col("a").alias("doc")).unionByName(near.select(F.col("b").alias("doc"))).distinct()
-    sets = stage(_source(docs).join(wanted, "doc", "left_semi").mapInArrow(gather, "doc long, items binary").where("length(items) > 0"), "jaccard-sets")
+    # Only the sets of documents in pairs are made and moved.
+    found = _source(docs).withColumn("hash", F.xxhash64("doc")).mapInArrow(gather, "doc long, items binary").where("length(items) > 0")
+    sets = stage(found.join(wanted, "doc", "left_semi"), "jaccard-sets")
     # Rows that share a doc_id may differ in text: the pair links if any of their sets do.
     both = near.join(sets.select(F.col("doc").alias("a"), F.col("items").alias("aitems")), "a").join(sets.select(F.col("doc").alias("b"), F.col("items").alias("bitems")), "b")
 
@@ -157,13 +182,13 @@ def verified(pairs: DataFrame, signs: DataFrame, docs: DataFrame, percent: int =
     return both.select("a", "b", "aitems", "bitems").mapInArrow(intersect, "a long, b long").distinct()
 
 
-def tile_pairs(members: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """members: key, doc, n, component, bits -> distinct pairs (a, b) of different components that sizes and bit counts allow."""
+def tile_pairs(members: DataFrame, signs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """members: key, doc, n, component; signs: doc, bits -> distinct pairs (a, b) of different components that sizes and bit counts allow."""
     band = F.floor(F.log(F.col("n")) / F.lit(float(np.log(BAND)))).cast("int")
     tiled = members.withColumn("band", F.explode(F.array(band, band + 1)))
     parts = tiled.groupBy("key", "band").agg(F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high"))
     parts = parts.where("low <> high").select("key", "band", F.ceil(F.col("rows") / TILE_ROWS).cast("int").alias("cuts"))
-    tiled = tiled.join(parts, ["key", "band"]).withColumn("cut", F.pmod(F.xxhash64("doc"), F.col("cuts")).cast("int"))
+    tiled = tiled.join(parts, ["key", "band"]).join(signs.select("doc", "bits"), "doc").withColumn("cut", F.pmod(F.xxhash64("doc"), F.col("cuts")).cast("int"))
     tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     block = F.struct("key", "band", F.least("cut", "other").alias("i"), F.greatest("cut", "other").alias("j"))
     tiled = tiled.select(F.xxhash64(block).alias("block"), block.alias("full"), "doc", "n", "component", "bits")
@@ -219,32 +244,75 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
+def _stars(rows: DataFrame, found: DataFrame | None) -> DataFrame:
+    """rows: key, doc, component, leader -> distinct pairs of a key's leader with its members of other components."""
+    if found is None:
+        rows = rows.withColumn("led", F.col("leader"))
+    else:
+        led = found.select(F.col("node").alias("leader"), F.col("component").alias("led"))
+        rows = rows.join(led, "leader", "left").withColumn("led", F.coalesce("led", "leader"))
+    return rows.where("component <> led").select(F.least("leader", "doc").alias("a"), F.greatest("leader", "doc").alias("b")).distinct()
+
+
+def _shared_members(firsts: DataFrame, shared: DataFrame) -> DataFrame:
+    """key, doc, n for the prefix shingles that more than one document has; a filter keeps the others out of the join."""
+    cells = cell_filter(shared.select("key"))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("prefix")
+            keys = lists.flatten().to_numpy()
+            many = np.diff(lists.offsets.to_numpy())
+            keep = passes(cells, keys)
+            columns = [pa.array(np.repeat(batch.column(c).to_numpy(), many)[keep]) for c in ("doc", "n")]
+            yield pa.RecordBatch.from_arrays([pa.array(keys[keep]), *columns], ["key", "doc", "n"])
+
+    return firsts.select("doc", "n", "prefix").mapInArrow(spread, "key long, doc long, n int").distinct().join(shared, "key", "left_semi")
+
+
 def linked_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of docs."""
     signs = stage(signatures(docs, shingle_levels(docs), percent), "jaccard-signs")
-    classes = stage(signs.groupBy("h1", "h2", "n").agg(F.min("doc").alias("doc"), F.count("*").alias("rows")), "jaccard-classes")
-    # One row for each class: rows that are not their class's first go, and repeated rows fold.
-    folded = signs.join(classes.where("rows > 1").select("h1", "h2", "n", F.col("doc").alias("first")), ["h1", "h2", "n"], "left")
-    folded = folded.where("first IS NULL OR first = doc").select("doc", "n", "prefix", "bits").dropDuplicates(["doc", "n", "bits"])
-    folded = stage(folded, "jaccard-folded")
-    slim = folded.select("doc", "n", "bits")
-    rows = folded.select(F.explode("prefix").alias("key"), "doc")
-    shared = stage(rows.groupBy("key").agg(F.min("doc").alias("first"), F.count("*").alias("docs")).where("docs > 1").select("key", "first"), "jaccard-keys")
-    stars = rows.join(shared, "key").where("doc <> first").select(F.col("first").alias("a"), F.col("doc").alias("b")).distinct()
-    links = stage(verified(stars, slim, docs, percent), "jaccard-links")
-    found = stage(components(links), "jaccard-components")
-
-    named = rows.join(shared.select("key"), "key").join(found, F.col("doc") == found["node"], "left")
-    members = named.select("key", "doc", F.coalesce("component", "doc").alias("component"))
-    mixed = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    members = members.join(mixed, "key", "left_semi").join(slim, "doc")
-    more = verified(tile_pairs(members, percent), slim, docs, percent)
-    links = stage(links.unionByName(more), "jaccard-links")
-    found = stage(components(links), "jaccard-components")
+    classes = stage(signs.groupBy("h1", "h2", "n").agg(F.min("doc").alias("doc"), F.max("doc").alias("last")), "jaccard-classes")
+    # One document for each class: the others of a class go.
+    several = classes.where("doc <> last").select("h1", "h2", F.col("doc").alias("first"))
+    copies = stage(signs.select("doc", "h1", "h2").join(several, ["h1", "h2"]).where("doc <> first").select("doc", "h1").distinct(), "jaccard-copies")
+    firsts = signs.join(copies, ["doc", "h1"], "left_anti")
+    slim = stage(firsts.select("doc", "n", "bits").dropDuplicates(), "jaccard-bits")
+    shared = firsts.select(F.explode("prefix").alias("key"), "doc").groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    shared = stage(shared.where("first <> last").select("key"), "jaccard-keys")
+    members = stage(_shared_members(firsts, shared), "jaccard-members")
+    links = found = None
+    for round_ in range(STAR_ROUNDS + 1):
+        named = members.withColumn("component", F.col("doc"))
+        if found is not None:
+            named = members.join(found, F.col("doc") == found["node"], "left").withColumn("component", F.coalesce("component", "doc")).drop("node")
+        named = stage(named, "jaccard-named")
+        leader = F.min_by("doc", F.xxhash64(F.lit(round_), "doc")).alias("leader")
+        mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), leader).where("low <> high").select("key", "leader")
+        if round_ < STAR_ROUNDS:
+            pairs = _stars(named.join(mixed, "key"), found)
+        else:
+            pairs = tile_pairs(named.join(mixed.select("key"), "key", "left_semi"), slim, percent)
+        more = verified(pairs, slim, docs, percent)
+        links = stage(more if links is None else links.unionByName(more), "jaccard-links")
+        found = stage(components(links), "jaccard-components")
 
     first = F.coalesce("component", "first")
-    classed = classes.withColumnRenamed("doc", "first").join(found, F.col("first") == found["node"], "left").select("h1", "h2", "n", first.alias("component"))
+    classed = classes.drop("last").withColumnRenamed("doc", "first").join(found, F.col("first") == found["node"], "left").select("h1", "h2", "n", first.alias("component"))
     named = signs.select("doc", "n", "h1", "h2").join(classed, ["h1", "h2", "n"]).select("doc", "n", "component")
     empty = _source(docs).where(~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")).select("doc", F.lit(0).alias("n"), F.col("doc").alias("component"))
     back = lambda c: F.when(F.col(c) != _LAST, F.col(c))
     return named.unionByName(empty).select(back("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), back("component").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """docs without those that reach a document with a smaller doc_id; of repeated rows one stays. Empty texts all stay."""
+    found = stage(linked_documents(docs, percent), "jaccard-found")
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti")
+    again = stage(found.where("doc_id = component_id AND n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id"), "jaccard-again")
+    if again.isEmpty():
+        return kept.select(*docs.columns)
+    single = kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
+    return single.select(*docs.columns)
