@@ -14,12 +14,22 @@ from pyspark.sql import types as T
 EPSILON = "1e-12D"
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL text, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text_literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def total(parts: Sequence[str]) -> str:
     return "(" + " + ".join(parts) + ")"
 
 
 def number(name: str, dtype: T.DataType) -> str:
-    """Numeric coercion; text that is no number and NaN become null."""
+    """Numeric coercion of a column; text that is no number and NaN become null."""
+    name = quoted(name)
     if isinstance(dtype, (T.IntegralType, T.DecimalType, T.BooleanType)):
         return f"cast({name} as double)"
     if isinstance(dtype, T.NumericType):
@@ -28,7 +38,8 @@ def number(name: str, dtype: T.DataType) -> str:
 
 
 def finite_or_zero(name: str, dtype: T.DataType) -> str:
-    """null, NaN and infinities become 0."""
+    """A column with null, NaN and infinities as 0."""
+    name = quoted(name)
     kind = dtype.simpleString()
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         bad = f"{name} is null or isnan({name}) or abs({name}) = double('Infinity')"

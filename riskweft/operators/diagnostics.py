@@ -24,7 +24,7 @@ def error_contrast(df: DataFrame, features: Sequence[str], outcome: str = "outco
     numbers = df.where(F.col(outcome) != "TN").select(outcome, *[F.col(c).cast("double").alias(c) for c in features])
     stats = moments(numbers, features, [outcome])
     quartiles = exact_quantiles(
-        long_form(numbers, features, [outcome]), [outcome, "feature"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, ["feature"]
+        long_form(numbers, features, [outcome]), [outcome, "feature"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}
     )
     sides = stats.join(quartiles, [outcome, "feature"], "left")
     spark = df.sparkSession
@@ -125,7 +125,7 @@ PERCENTILES = {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}
 
 def score_overlap(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Class percentiles and how far each class reaches past the other's median; one row."""
-    by_class = exact_quantiles(df.select(F.col(label).alias("_c"), F.col(score).alias("_s")), ["_c"], "_s", PERCENTILES, [])
+    by_class = exact_quantiles(df.select(F.col(label).alias("_c"), F.col(score).alias("_s")), ["_c"], "_s", PERCENTILES)
     wide = by_class.agg(*[
         F.max(F.when(F.col("_c") == c, F.col(p))).alias(f"{name}_{p}") for c, name in ((0, "negative"), (1, "positive")) for p in PERCENTILES
     ])
@@ -161,7 +161,7 @@ def hard_negative_analysis(df: DataFrame, label: str = "label", score: str = "sc
     stats = members.groupBy("definition").agg(
         F.min("score").alias("score_cutoff"), F.count(F.lit(1)).alias("hard_negative_count"), F.avg("score").alias("mean_score")
     )
-    medians = exact_quantiles(members, ["definition"], "score", {"median_score": 0.5}, [])
+    medians = exact_quantiles(members, ["definition"], "score", {"median_score": 0.5})
     return stats.join(medians, "definition").select(
         "definition", "score_cutoff", "hard_negative_count", (F.col("hard_negative_count") / negatives).alias("negative_percentage"),
         "mean_score", "median_score",

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskweft.operators.ordered import fold_values, folded_quantiles, long_form, range_number, running_totals
+from riskweft.operators.ordered import fold_values, folded_quantiles, in_ranges, long_form, running_totals
 from riskweft.operators.scoring import evaluate, share
 from riskweft.session import stage
 from riskweft.sources.contract import GATES
@@ -50,7 +50,7 @@ def ks_distance(df: DataFrame, columns: Sequence[str], is_current: Column) -> Da
     """(feature, ks): largest gap between the two empirical distribution functions."""
     rows = long_form(df.withColumn("_now", is_current.cast("int")), columns, ["_now"]).where("value is not null")
     folded = stage(fold_values(rows, ["feature"], "value", {"base": 1 - F.col("_now"), "now": F.col("_now")}), "folded")
-    placed = running_totals(folded, ["feature"], ["value"], ["base", "now"], range_number(folded, "value", ["feature"]))
+    placed = running_totals(in_ranges(folded, ["feature"], "value"), ["feature"], ["value"], ["base", "now"], F.col("_range"))
     totals = folded.groupBy("feature").agg(F.sum("base").alias("n_base"), F.sum("now").alias("n_now"))
     gap = F.abs(share(F.col("cum_base"), F.col("n_base")) - share(F.col("cum_now"), F.col("n_now")))
     return placed.join(totals, "feature").groupBy("feature").agg(F.max(gap).alias("ks"))

@@ -31,7 +31,12 @@ def standardized_vectors(df: DataFrame, columns: Sequence[str], keep: Sequence[s
     return df.select(*keep, F.array(*scaled).alias(vector))
 
 
-def standardize_array(df: DataFrame, array: str, size: int, keep: Sequence[str], vector: str = "vec") -> DataFrame:
+def standardize_array(df: DataFrame, array: str, keep: Sequence[str], vector: str = "vec") -> DataFrame:
+    """Cells scaled like standardized_vectors; the width is that of the data, and vectors of several widths are refused."""
+    widths = df.agg(F.min(F.size(array)).alias("low"), F.max(F.size(array)).alias("high")).first()
+    if widths["low"] != widths["high"]:
+        raise ValueError(f"vectors have between {widths['low']} and {widths['high']} cells")
+    size = widths["low"] or 0
     cells = df.select(*keep, *[F.get(array, F.lit(i)).cast("double").alias(f"_x{i}") for i in range(size)])
     return standardized_vectors(cells, [f"_x{i}" for i in range(size)], keep, vector)
 
@@ -69,22 +74,44 @@ def _assign(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
 _CANDIDATE = "vid bigint, dist double, id bigint, label int"
 
 
+#: Visitors of one matrix product.
+BLOCK = 512
+
+
 def _closest(needed: int):
-    """Best candidates of each visitor among the residents of one chunk."""
+    """Best candidates of each visitor among the residents of one chunk.
+
+    A matrix product gives all distances of a block up to rounding; residents
+    that may be among the needed ones are measured again, exactly.
+    """
     def compare(visitors: pd.DataFrame, residents: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        parts = []
         if len(visitors) and len(residents):
-            data = np.stack(residents["vec"].to_numpy())
-            ids = residents["vid"].to_numpy()
-            heads = residents["heads"].to_numpy()
-            for vid, vec in zip(visitors["vid"], visitors["vec"]):
-                d = np.sqrt(((data - vec) ** 2).sum(axis=1))
-                d[ids == vid] = np.inf
-                # Everything up to the needed-th distance, so equal distances are settled by key.
-                kth = np.partition(d, min(needed, len(d)) - 1)[min(needed, len(d)) - 1]
-                found = [(d[i], h["id"], h["label"]) for i in np.flatnonzero((d <= kth) & np.isfinite(d)) for h in heads[i][:needed]]
-                out += [(vid, *f) for f in sorted(found)[:needed]]
-        return pd.DataFrame(out, columns=["vid", "dist", "id", "label"])
+            data, ids = np.stack(residents["vec"].to_numpy()), residents["vid"].to_numpy()
+            norms = (data**2).sum(axis=1)
+            heads = [h[:needed] for h in residents["heads"]]
+            many = np.array([len(h) for h in heads])
+            head_id = np.array([x["id"] for h in heads for x in h], dtype="int64")
+            head_label = np.array([x["label"] for h in heads for x in h], dtype="int64")
+            first = np.cumsum(many) - many
+            for start in range(0, len(visitors), BLOCK):
+                own = visitors["vid"].to_numpy()[start : start + BLOCK]
+                vecs = np.stack(visitors["vec"].to_numpy()[start : start + BLOCK])
+                size = (vecs**2).sum(axis=1)
+                square = size[:, None] + norms[None, :] - 2 * (vecs @ data.T)
+                slack = 1e-9 * (size[:, None] + norms[None, :] + 1)
+                square[own[:, None] == ids[None, :]] = np.inf
+                kth = np.partition(square + slack, min(needed, len(data)) - 1, axis=1)[:, min(needed, len(data)) - 1]
+                i, j = np.nonzero((square - slack <= kth[:, None]) & np.isfinite(square))
+                exact = np.sqrt(((data[j] - vecs[i]) ** 2).sum(axis=1))
+                at = np.repeat(first[j], many[j]) + np.arange(many[j].sum()) - np.repeat(np.cumsum(many[j]) - many[j], many[j])
+                i, exact = np.repeat(i, many[j]), np.repeat(exact, many[j])
+                order = np.lexsort((head_id[at], exact, i))
+                i, exact, at = i[order], exact[order], at[order]
+                place = np.arange(len(i)) - np.searchsorted(i, i)
+                kept = place < needed
+                parts.append(pd.DataFrame({"vid": own[i[kept]], "dist": exact[kept], "id": head_id[at[kept]], "label": head_label[at[kept]]}))
+        return pd.concat(parts) if parts else pd.DataFrame(columns=["vid", "dist", "id", "label"])
 
     return compare
 

@@ -13,11 +13,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from riskweft.functions.rowmath import quoted
 from riskweft.session import stage
 
-# A range holds about this many folded rows; the folded table is cut into at most MAX_RANGES.
+# A range holds about this many folded rows, so their number follows from the count.
 ROWS_PER_RANGE = 500_000
-MAX_RANGES = 512
 
 
 def fold_values(df: DataFrame, by: Sequence[str], value: str, measures: dict[str, Column]) -> DataFrame:
@@ -25,52 +25,21 @@ def fold_values(df: DataFrame, by: Sequence[str], value: str, measures: dict[str
     return df.groupBy(*by, value).agg(*[F.sum(c).alias(n) for n, c in measures.items()])
 
 
-def range_number(folded: DataFrame, value: str, edge_by: Sequence[str] = (), rows_per_range: int | None = None) -> Column | None:
-    """Monotone range number of value, from approximate quantiles of the folded table.
+def in_ranges(folded: DataFrame, by: Sequence[str], value: str, rows_per_range: int | None = None) -> DataFrame:
+    """Add _range: neighbouring values of a group share one, and none holds much more than rows_per_range rows.
 
-    Two bounded jobs over a staged table: a count per group, and only for large
-    groups a sketch of which at most MAX_RANGES doubles per group come back. The cut points only balance the load; results do not
-    depend on them. None says that every group is counted to fit one range.
+    Spark's range partitioning draws the borders; results do not depend on them.
+    The table is written, so that every later pass sees the same numbers.
     """
-    rows_per_range = rows_per_range or ROWS_PER_RANGE
-    size = F.count(F.lit(1)).alias("n")
-    if (folded.groupBy(*edge_by).agg(size).agg(F.max("n")).first()[0] or 0) <= rows_per_range:
-        return None
-    probs = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
-    sketch = F.percentile_approx(F.col(value).cast("double"), probs, MAX_RANGES * 4)
-    stats = folded.groupBy(*edge_by).agg(size, sketch.alias("edges")).collect()
-
-    def cuts(row) -> list[float]:
-        wanted = min(MAX_RANGES, -(-row["n"] // rows_per_range))
-        if wanted <= 1 or not row["edges"]:
-            return []
-        step = MAX_RANGES / wanted
-        return sorted({float(row["edges"][int(round(step * i)) - 1]) for i in range(1, wanted)})
-
-    def position(edges: list[float]) -> Column:
-        if not edges:
-            return F.lit(0)
-        return F.size(F.filter(F.lit(edges), lambda e: e <= F.col(value).cast("double")))
-
-    result = F.lit(0)
-    for row in stats:
-        edges = cuts(row)
-        if not edges:
-            continue
-        if not edge_by:
-            return position(edges)
-        same = F.lit(True)
-        for c in edge_by:
-            same = same & F.col(c).eqNullSafe(F.lit(row[c]))
-        result = F.when(same, position(edges)).otherwise(result)
-    return result
-
-
-def running_totals(folded: DataFrame, by: Sequence[str], order: Sequence[str], measures: Sequence[str], range_of: Column | None) -> DataFrame:
+    ranges = max(1, -(-folded.count() // (rows_per_range or ROWS_PER_RANGE)))
+    if ranges == 1:
+        return folded.withColumn("_range", F.lit(0))
+    return stage(folded.repartitionByRange(ranges, *by, value).withColumn("_range", F.spark_partition_id()), "ranges")
+
+
+def running_totals(folded: DataFrame, by: Sequence[str], order: Sequence[str], measures: Sequence[str], range_of: Column) -> DataFrame:
     """Add cum_<measure>, the inclusive ascending running total within each group."""
-    if range_of is None:
-        whole = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return folded.select("*", *[F.sum(m).over(whole).alias(f"cum_{m}") for m in measures])
+    names = [c for c in folded.columns if c != "_range"]
     ranged = folded.withColumn("_range", range_of)
     keys = [*by, "_range"]
     totals = ranged.groupBy(*keys).agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
@@ -78,17 +47,15 @@ def running_totals(folded: DataFrame, by: Sequence[str], order: Sequence[str], m
     offsets = totals.select(*keys, *[F.coalesce(F.sum(f"_t_{m}").over(before), F.lit(0)).alias(f"_o_{m}") for m in measures])
     local = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     summed = ranged.select("*", *[F.sum(m).over(local).alias(f"_l_{m}") for m in measures])
-    return summed.join(offsets, keys).select(
-        *folded.columns, *[(F.col(f"_l_{m}") + F.col(f"_o_{m}")).alias(f"cum_{m}") for m in measures]
-    )
+    return summed.join(offsets, keys).select(*names, *[(F.col(f"_l_{m}") + F.col(f"_o_{m}")).alias(f"cum_{m}") for m in measures])
 
 
-def folded_quantiles(folded: DataFrame, by: Sequence[str], value: str, count: str, probs: dict[str, float], edge_by: Sequence[str] | None = None) -> DataFrame:
+def folded_quantiles(folded: DataFrame, by: Sequence[str], value: str, count: str, probs: dict[str, float]) -> DataFrame:
     """Linear-interpolation quantiles per group from a folded (by, value, count) table.
 
     Also gives distinct_values, the number of folded rows of the group.
     """
-    placed = running_totals(folded, by, [value], [count], range_number(folded, value, by if edge_by is None else edge_by))
+    placed = running_totals(in_ranges(folded, by, value), by, [value], [count], F.col("_range"))
     sizes = folded.groupBy(*by).agg(F.sum(count).alias("_size"), F.count(F.lit(1)).alias("distinct_values"))
     if by:
         placed = placed.join(sizes, list(by))
@@ -113,7 +80,7 @@ def folded_quantiles(folded: DataFrame, by: Sequence[str], value: str, count: st
     return wide.select(*by, "distinct_values", *[between(n, p).alias(n) for n, p in probs.items()])
 
 
-def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float], edge_by: Sequence[str] | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Linear-interpolation quantiles of the non-null values, one row per group.
 
     The built-in percentile keeps every distinct value of a group in one buffer;
@@ -121,18 +88,19 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[st
     rank reach the final aggregate.
     """
     folded = stage(fold_values(df.where(F.col(value).isNotNull()), by, value, {"_n": F.lit(1)}), "folded")
-    return folded_quantiles(folded, by, value, "_n", probs, edge_by).drop("distinct_values")
+    return folded_quantiles(folded, by, value, "_n", probs).drop("distinct_values")
 
 
 def long_form(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), name: str = "feature", value: str = "value") -> DataFrame:
     """(keep..., feature, value) with every value as a double."""
-    return df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(list(keep), list(columns), name, value)
+    numbers = [F.col(quoted(c)).cast("double").alias(c) for c in columns]
+    return df.select(*map(quoted, keep), *numbers).unpivot(list(map(quoted, keep)), list(map(quoted, columns)), name, value)
 
 
 def average_ranks(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """(by, value, rows, avg_rank): mean rank of each distinct value, ties sharing their mean."""
     folded = stage(fold_values(df, by, value, {"_n": F.lit(1)}), "folded")
-    placed = running_totals(folded, by, [value], ["_n"], range_number(folded, value))
+    placed = running_totals(in_ranges(folded, by, value), by, [value], ["_n"], F.col("_range"))
     return placed.select(*by, value, F.col("_n").alias("rows"), (F.col("cum__n") - (F.col("_n") - 1) / 2).alias("avg_rank"))
 
 

@@ -5,16 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
+from riskweft.functions.rowmath import quoted, text_literal
 from riskweft.operators.features import behaviour_names
 from riskweft.operators.ordered import exact_quantiles, long_form
 from riskweft.operators.projection import has_contract, identifier_columns, split_columns_by_type
 from riskweft.sources.contract import CATEGORICAL
 
-MAX_CATEGORIES = 10_000
-
 
 @dataclass(frozen=True)
 class NumericFit:
@@ -58,7 +56,7 @@ def plan_columns(df: DataFrame, drop: Sequence[str] = (), keep: Sequence[str] =
     if has_contract(candidates):
         categorical = [c for c in used if c in CATEGORICAL]
     else:
-        numeric, _ = split_columns_by_type(df.select(*used))
+        numeric, _ = split_columns_by_type(df.select(*map(quoted, used)))
         categorical = [c for c in used if c not in numeric]
     engineered = set(behaviour_names())
     return Preparation(
@@ -68,7 +66,7 @@ def plan_columns(df: DataFrame, drop: Sequence[str] = (), keep: Sequence[str] =
 
 
 def _number(c: str) -> str:
-    return f"nanvl(cast({c} as double), cast(null as double))"
+    return f"nanvl(cast({quoted(c)} as double), cast(null as double))"
 
 
 def fit_preparation(train: DataFrame, drop: Sequence[str] = (), keep: Sequence[str] = ("row_id", "Y"), split: str | None = None) -> Preparation:
@@ -78,27 +76,24 @@ def fit_preparation(train: DataFrame, drop: Sequence[str] = (), keep: Sequence[s
     plan = plan_columns(train, drop, keep)
     numeric, categories = {}, {}
     if plan.numeric_columns:
-        numbers = train.selectExpr(*[f"{_number(c)} as {c}" for c in plan.numeric_columns])
+        numbers = train.selectExpr(*[f"{_number(c)} as {quoted(c)}" for c in plan.numeric_columns])
         medians = {
             r["feature"]: r["median"]
             for r in exact_quantiles(long_form(numbers, plan.numeric_columns), ["feature"], "value", {"median": 0.5}).collect()
         }
-        filled = {c: f"coalesce({c}, {_literal(m)})" for c, m in medians.items()}
+        filled = {c: f"coalesce({quoted(c)}, {_literal(m)})" for c, m in medians.items()}
         if filled:
             moments = numbers.agg(*[F.expr(f"struct(avg({v}), stddev_pop({v}))").alias(c) for c, v in filled.items()]).first()
             numeric = {c: NumericFit(medians[c], moments[c][0], moments[c][1]) for c in plan.numeric_columns if c in medians}
     if plan.categorical_columns:
-        texts = train.select(*[F.col(c).cast("string").alias(c) for c in plan.categorical_columns])
+        texts = train.select(*[F.col(quoted(c)).cast("string").alias(c) for c in plan.categorical_columns])
         counts = (
-            texts.unpivot([], list(plan.categorical_columns), "column", "value").where("value is not null").groupBy("column", "value").count()
+            texts.unpivot([], list(map(quoted, plan.categorical_columns)), "column", "value").where("value is not null").groupBy("column", "value").count()
         )
-        limit = MAX_CATEGORIES * len(plan.categorical_columns)
+        # One name for each column of the result, which the schema holds in any case.
         found: dict[str, list[tuple[str, int]]] = {}
-        for row in counts.limit(limit + 1).collect():
+        for row in counts.collect():
             found.setdefault(row["column"], []).append((row["value"], row["count"]))
-        wide = [c for c, values in found.items() if len(values) > MAX_CATEGORIES]
-        if wide or sum(map(len, found.values())) > limit:
-            raise ValueError(f"too many categories for one indicator column each: {wide or list(found)}")
         for c, values in found.items():
             ordered = sorted(values, key=lambda vn: _natural(vn[0]))
             top = max(n for _, n in ordered)
@@ -122,10 +117,6 @@ def _literal(value: float) -> str:
     return f"double('{value!r}')"
 
 
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def impute_number(c: str, fit: NumericFit) -> str:
     return f"coalesce({_number(c)}, {_literal(fit.median)})"
 
@@ -135,7 +126,7 @@ def scale(value: str, fit: NumericFit) -> str:
 
 
 def impute_category(c: str, fit: CategoryFit) -> str:
-    return f"coalesce(cast({c} as string), {_text(fit.mode)})"
+    return f"coalesce(cast({quoted(c)} as string), {text_literal(fit.mode)})"
 
 
 def transform(prep: Preparation, df: DataFrame, keep: Sequence[str] = ("row_id", "Y")) -> DataFrame:
@@ -146,19 +137,19 @@ def transform(prep: Preparation, df: DataFrame, keep: Sequence[str] = ("row_id",
     if not prep.numeric and not prep.categories:
         raise ValueError("preparation has not been fitted")
     kept = [c for c in keep if c in df.columns]
-    numbers = [f"{scale(impute_number(c, prep.numeric[c]), prep.numeric[c])} as {c}" for c in prep.numeric_columns if c in prep.numeric]
+    numbers = [f"{scale(impute_number(c, prep.numeric[c]), prep.numeric[c])} as {quoted(c)}" for c in prep.numeric_columns if c in prep.numeric]
     indicators = [
-        f"cast({impute_category(c, prep.categories[c])} = {_text(v)} as double) as `{c}_{v}`"
+        f"cast({impute_category(c, prep.categories[c])} = {text_literal(v)} as double) as {quoted(f'{c}_{v}')}"
         for c in prep.categorical_columns if c in prep.categories for v in prep.categories[c].values
     ]
-    return df.selectExpr(*kept, *numbers, *indicators)
+    return df.selectExpr(*map(quoted, kept), *numbers, *indicators)
 
 
 def impute(prep: Preparation, df: DataFrame, keep: Sequence[str] = ("row_id", "Y")) -> DataFrame:
     kept = [c for c in keep if c in df.columns]
     return df.selectExpr(
-        *kept, *[f"{impute_number(c, prep.numeric[c])} as {c}" for c in prep.numeric_columns if c in prep.numeric],
-        *[f"{impute_category(c, prep.categories[c])} as {c}" for c in prep.categorical_columns if c in prep.categories],
+        *map(quoted, kept), *[f"{impute_number(c, prep.numeric[c])} as {quoted(c)}" for c in prep.numeric_columns if c in prep.numeric],
+        *[f"{impute_category(c, prep.categories[c])} as {quoted(c)}" for c in prep.categorical_columns if c in prep.categories],
     )
 
 
@@ -185,10 +176,6 @@ def describe(prep: Preparation, df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "role string, position int, column string")
 
 
-def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(columns), outputCol=output).transform(df)
-
-
 def build_and_prepare(
     df: DataFrame, builder: Callable[[DataFrame], DataFrame] | None = None, drop: Sequence[str] = (), keep: Sequence[str] = ("row_id", "Y", "split"),
 ) -> tuple[Preparation, DataFrame]:

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from riskweft.functions.rowmath import finite_or_zero, number
+from riskweft.functions.rowmath import finite_or_zero, number, quoted
 from riskweft.sources.contract import (
     BILL, CATEGORICAL, DELAY, FEATURES, LABEL, MIN_FEATURES, MIN_ROWS, PAYMENT, SEMANTIC_NAMES,
 )
@@ -71,7 +71,7 @@ def coerce_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def clean_numbers(df: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
     """null, NaN and infinities to 0 in one projection."""
-    return df.selectExpr(*[f.name if f.name in skip else f"{finite_or_zero(f.name, f.dataType)} as {f.name}" for f in df.schema.fields])
+    return df.selectExpr(*[quoted(f.name) if f.name in skip else f"{finite_or_zero(f.name, f.dataType)} as {quoted(f.name)}" for f in df.schema.fields])
 
 
 def predict(score: Column, threshold: Column | float) -> Column:
@@ -111,15 +111,15 @@ def audit_column_order(left: DataFrame, right: DataFrame, categorical: Sequence[
 
 
 def stringify(df: DataFrame, columns: Sequence[str] = tuple(CATEGORICAL)) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("string") for c in columns if c in df.columns})
+    return df.withColumns({c: F.col(quoted(c)).cast("string") for c in columns if c in df.columns})
 
 
 def min_max_scores(df: DataFrame, value: str, score: str = "score") -> DataFrame:
     """Rescale decision values to [0, 1]; a constant column becomes 0.5.
 
-    The bounds come in as scalar subqueries: one aggregate row, no join.
+    The bounds come in as one scalar subquery: one aggregate row, one scan, no join.
     """
-    low = df.agg(F.min(value)).scalar()
-    high = df.agg(F.max(value)).scalar()
+    bounds = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
+    low, high = bounds["low"], bounds["high"]
     scaled = F.coalesce(F.try_divide(F.col(value) - low, high - low), F.lit(0.5))
     return df.withColumn(score, F.when(F.col(value).isNotNull(), scaled))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from riskweft.functions.rowmath import number
+from riskweft.functions.rowmath import number, quoted, text_literal
 from riskweft.operators.ordered import exact_quantiles, fold_values, folded_quantiles, long_form
 from riskweft.operators.projection import pick_columns, require_shape, split_columns_by_type
 from riskweft.operators.splitting import class_sizes
@@ -27,22 +27,23 @@ AGE_RANGE = (18, 100)
 
 def missing_test(df: DataFrame, column: str) -> str:
     floating = isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType))
-    return f"{column} is null or isnan({column})" if floating else f"{column} is null"
+    name = quoted(column)
+    return f"{name} is null or isnan({name})" if floating else f"{name} is null"
 
 
 def _coerced(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
-    return df.selectExpr(*keep, *[f"{number(c, types[c])} as {c}" for c in columns])
+    return df.selectExpr(*map(quoted, keep), *[f"{number(c, types[c])} as {quoted(c)}" for c in columns])
 
 
 def label_distribution(df: DataFrame, label: str = "Y") -> DataFrame:
-    counts = df.groupBy(F.col(label).cast("int").alias("target")).agg(F.count(F.lit(1)).alias("count"))
+    counts = df.groupBy(F.col(quoted(label)).cast("int").alias("target")).agg(F.count(F.lit(1)).alias("count"))
     return counts.withColumn("rate", F.col("count") / counts.agg(F.sum("count")).scalar()).orderBy("target")
 
 
 def missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, missing_count, missing_rate) of every column: one wide aggregate, no shuffle of rows."""
-    cells = ", ".join(f"named_struct('column', '{c}', 'missing_count', count_if({missing_test(df, c)}))" for c in columns)
+    cells = ", ".join(f"named_struct('column', {text_literal(c)}, 'missing_count', count_if({missing_test(df, c)}))" for c in columns)
     wide = df.agg(F.expr(f"array({cells})").alias("cells"), F.count(F.lit(1)).alias("n"))
     return wide.select("n", F.inline("cells")).select(
         "column", "missing_count", F.coalesce(F.try_divide("missing_count", "n"), F.lit(0.0)).alias("missing_rate")
@@ -55,7 +56,7 @@ def missing_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def duplicate_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows after the first of each group of equal rows; nulls are equal to each other."""
-    groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    groups = df.groupBy(*map(quoted, columns)).agg(F.count(F.lit(1)).alias("n"))
     surplus = F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
     return groups.agg(surplus.alias("duplicate_rows"), F.sum("n").alias("n")).select(
         "duplicate_rows", F.coalesce(F.try_divide("duplicate_rows", "n"), F.lit(0.0)).alias("duplicate_rate")
@@ -68,9 +69,8 @@ QUARTILES = {"p25": 0.25, "p50": 0.50, "p75": 0.75}
 def moments(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by, feature, count, mean, std, min, max) from one wide aggregate."""
     def cell(c: str) -> str:
-        return (
-            f"named_struct('feature', '{c}', 'count', count({c}), 'mean', avg({c}), 'std', stddev_samp({c}), 'min', min({c}), 'max', max({c}))"
-        )
+        q = quoted(c)
+        return f"named_struct('feature', {text_literal(c)}, 'count', count({q}), 'mean', avg({q}), 'std', stddev_samp({q}), 'min', min({q}), 'max', max({q}))"
 
     wide = df.groupBy(*by).agg(F.expr(f"array({', '.join(cell(c) for c in columns)})").alias("cells"))
     return wide.select(*by, F.inline("cells"))
@@ -101,26 +101,26 @@ def small_domain_columns(df: DataFrame, columns: Sequence[str], limit: int = SMA
     """
     if not columns:
         return []
-    sketch = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    sketch = df.agg(*[F.approx_count_distinct(quoted(c)).alias(c) for c in columns]).first()
     candidates = [c for c in columns if sketch[c] <= 2 * limit + 2]
     if not candidates:
         return []
-    texts = df.select(*[F.col(c).cast("string").alias(c) for c in candidates])
-    counts = texts.unpivot([], candidates, "column", "value").groupBy("column", "value").count().groupBy("column").count().collect()
+    texts = df.select(*[F.col(quoted(c)).cast("string").alias(c) for c in candidates])
+    counts = texts.unpivot([], list(map(quoted, candidates)), "column", "value").groupBy("column", "value").count().groupBy("column").count().collect()
     found = {r["column"]: r["count"] for r in counts}
     return [c for c in columns if 0 < found.get(c, 0) <= limit]
 
 
 def rate_by_category(df: DataFrame, columns: Sequence[str], label: str = "Y") -> DataFrame:
     """(column, value, default_rate, observations); numeric columns with a large domain are left out."""
-    numeric, _ = split_columns_by_type(df.select(*columns))
+    numeric, _ = split_columns_by_type(df.select(*map(quoted, columns)))
     kept_numeric = set(small_domain_columns(df, [c for c in columns if c in numeric]))
     used = [c for c in columns if c not in numeric or c in kept_numeric]
     if not used:
         raise ValueError("no column with a small domain to group by")
-    texts = df.select(label, *[F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias(c) for c in used])
-    grouped = texts.unpivot([label], used, "column", "value").groupBy("column", "value").agg(
-        F.avg(label).alias("default_rate"), F.count(F.lit(1)).alias("observations")
+    texts = df.select(quoted(label), *[F.coalesce(F.col(quoted(c)).cast("string"), F.lit(MISSING)).alias(c) for c in used])
+    grouped = texts.unpivot([quoted(label)], list(map(quoted, used)), "column", "value").groupBy("column", "value").agg(
+        F.avg(quoted(label)).alias("default_rate"), F.count(F.lit(1)).alias("observations")
     )
     return grouped.orderBy("column", F.desc("default_rate"), F.desc("observations"), "value")
 
@@ -147,7 +147,7 @@ def bin_number(value: Column, edges: Column) -> Column:
 def rate_by_bin(df: DataFrame, columns: Sequence[str], label: str = "Y", bins: int = 5) -> DataFrame:
     """(feature, bin, bin_lo, bin_hi, default_rate, observations); missing values form a bin of their own."""
     rows = long_form(_coerced(df, columns, [label]), columns, [label])
-    folded = stage(fold_values(rows, ["feature"], "value", {"n": F.lit(1), "hits": F.col(label)}), "folded")
+    folded = stage(fold_values(rows, ["feature"], "value", {"n": F.lit(1), "hits": F.col(quoted(label))}), "folded")
     edges = bin_edges(folded.where("value is not null"), "n", bins)
     # One row per requested column: safe to broadcast.
     placed = folded.join(F.broadcast(edges), "feature").select(
@@ -230,7 +230,7 @@ def schema_report(
     require_shape(df, features, min_rows, min_features)
     class_sizes(df, label)
     spark = df.sparkSession
-    numbers = df.agg(F.count(F.lit(1)).cast("double").alias("n_rows"), F.avg(label).alias("positive_rate"))
+    numbers = df.agg(F.count(F.lit(1)).cast("double").alias("n_rows"), F.avg(quoted(label)).alias("positive_rate"))
     shape = _facts(numbers, ("section", "name"), {
         ("shape", "n_rows"): F.col("n_rows"),
         ("shape", "n_features"): F.lit(float(len(features))),
@@ -257,8 +257,8 @@ def schema_report(
 def eda_summary(df: DataFrame, label: str = "Y", max_categories: int = 10) -> DataFrame:
     """Long summary (section, column, key, value): shape, label counts, describe, top categories."""
     features = [c for c in df.columns if c != label]
-    numeric, other = split_columns_by_type(df.select(*features))
-    n_rows = df.agg(F.count(F.lit(1)).cast("double").alias("value"), F.avg(label).alias("rate"))
+    numeric, other = split_columns_by_type(df.select(*map(quoted, features)))
+    n_rows = df.agg(F.count(F.lit(1)).cast("double").alias("value"), F.avg(quoted(label)).alias("rate"))
     shape = _facts(n_rows, ("section", "column", "key"), {
         ("shape", None, "rows"): F.col("value"),
         ("shape", None, "features"): F.lit(float(len(features))),
@@ -286,8 +286,8 @@ def top_categories(df: DataFrame, columns: Sequence[str], limit: int) -> DataFra
     The lists are cut in two steps: within hash slices of the folded values,
     then over the limit x slices survivors, so a large domain never meets one task.
     """
-    texts = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias(c) for c in columns])
-    counts = texts.unpivot([], list(columns), "column", "value").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    texts = df.select(*[F.coalesce(F.col(quoted(c)).cast("string"), F.lit(MISSING)).alias(c) for c in columns])
+    counts = texts.unpivot([], list(map(quoted, columns)), "column", "value").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     sliced = counts.withColumn("_slice", F.pmod(F.xxhash64("value"), F.lit(256)))
     order = [F.desc("n"), F.asc("value")]
     local = Window.partitionBy("column", "_slice").orderBy(*order)
@@ -308,7 +308,7 @@ def relation_columns(df: DataFrame, label: str = "Y", limit: int = 6) -> list[st
 def eda_report(df: DataFrame, label: str = "Y", max_numeric: int = 6, max_relation: int = 6) -> dict[str, DataFrame]:
     """All profiling tables of a labelled table, by section name."""
     features = [c for c in df.columns if c != label]
-    numeric, _ = split_columns_by_type(df.select(*features))
+    numeric, _ = split_columns_by_type(df.select(*map(quoted, features)))
     chosen = pick_columns(numeric, NUMERIC_PRIORITY, min(max_numeric, len(numeric)))
     related = relation_columns(df, label, max_relation)
     spark = df.sparkSession
@@ -330,39 +330,55 @@ def feature_audit(df: DataFrame, name: str, key: str = "row_id") -> DataFrame:
     """One row: size, types, missing, infinite, constant, near-constant and duplicated columns, largest magnitude."""
     columns = [c for c in df.columns if c != key]
     fields = {f.name: f.dataType for f in df.schema.fields}
-    numeric, _ = split_columns_by_type(df.select(*columns))
+    numeric, _ = split_columns_by_type(df.select(*map(quoted, columns)))
     numeric = [c for c in numeric if not isinstance(fields[c], T.BooleanType)]
     integers = [c for c in numeric if isinstance(fields[c], T.IntegralType)]
     floats = [c for c in numeric if isinstance(fields[c], T.FractionalType)]
 
     missing = [f"count_if({missing_test(df, c)})" for c in columns]
-    infinite = [f"count_if(abs({c}) = double('Infinity'))" for c in floats]
+    infinite = [f"count_if(abs({quoted(c)}) = double('Infinity'))" for c in floats]
     biggest = [f"max(abs({number(c, fields[c])}))" for c in numeric]
     wide = df.agg(
         F.count(F.lit(1)).alias("rows"), F.expr(" + ".join(["0L", *missing])).alias("nan"), F.expr(" + ".join(["0L", *infinite])).alias("inf"),
         F.expr(f"greatest({', '.join(['0D', '0D', *biggest])})").alias("max_abs_value"),
     )
-    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    distinct = texts.unpivot([], columns, "column", "value").groupBy("column", "value").agg(F.lit(1).alias("one")).groupBy("column").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    rows = wide.select("rows").scalar()
-    limit = F.greatest(F.lit(2), F.floor(rows * 0.001))
-    constancy = distinct.agg(
-        F.count_if(F.col("n") <= 1).alias("constant_columns"), F.count_if(F.col("n") <= limit).alias("near_constant_columns")
-    )
+    distinct = _value_counts_up_to(df, columns, 0.001)
+    constant = sum(n <= 1 for n in distinct.values())
     facts = {
         "columns": len(columns), "number_numeric": len(numeric), "number_integer": len(integers), "number_float": len(floats),
         "number_string": sum(isinstance(fields[c], T.StringType) for c in columns),
         "number_bool": sum(isinstance(fields[c], T.BooleanType) for c in columns),
         "duplicate_column_names": len(columns) - len(set(columns)), "duplicate_features": len(duplicate_columns(df, columns, key)),
     }
+    last = {"constant_columns": constant, "near_constant_columns": len(distinct)}
     return wide.select(
         F.lit(name).alias("feature_set"), "rows", *[F.lit(v).alias(n) for n, v in facts.items()], "nan", "inf",
-        *[constancy.select(c).scalar().alias(c) for c in ("constant_columns", "near_constant_columns")], "max_abs_value",
+        *[F.lit(v).cast("bigint").alias(n) for n, v in last.items()], "max_abs_value",
     )
 
 
+def _value_counts_up_to(df: DataFrame, columns: Sequence[str], share: float) -> dict[str, int]:
+    """Distinct values, null counted as one, of the columns that have at most max(2, share x rows) of them.
+
+    A sketch decides all columns that are clearly above or below the limit; only
+    those near it, and those with few values, are counted exactly.
+    """
+    if not columns:
+        return {}
+    cells = [F.struct(F.approx_count_distinct(quoted(c)), F.count_if(F.col(quoted(c)).isNull())).alias(f"c{i}") for i, c in enumerate(columns)]
+    sketch = df.agg(F.count(F.lit(1)).alias("rows"), *cells).first()
+    limit = max(2, int(sketch["rows"] * share))
+    about = {c: sketch[f"c{i}"][0] + (sketch[f"c{i}"][1] > 0) for i, c in enumerate(columns)}
+    sure = {c: n for c, n in about.items() if 100 < n < limit / 2}
+    near = [c for c, n in about.items() if c not in sure and n <= 2 * limit + 2]
+    if not near:
+        return sure
+    texts = df.select(*[F.col(quoted(c)).cast("string").alias(c) for c in near])
+    values = texts.unpivot([], list(map(quoted, near)), "column", "value").groupBy("column", "value").agg(F.lit(1).alias("one"))
+    exact = {r["column"]: r["n"] for r in values.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return sure | {c: n for c, n in exact.items() if n <= limit}
+
+
 def duplicate_columns(df: DataFrame, columns: Sequence[str], key: str) -> list[str]:
     """Columns equal, row by row, to an earlier column.
 
@@ -373,10 +389,10 @@ def duplicate_columns(df: DataFrame, columns: Sequence[str], key: str) -> list[s
 
     def plain(c: str) -> Column:
         dtype = fields[c]
-        return F.expr(f"{number(c, dtype)} + 0D") if isinstance(dtype, T.NumericType) else F.col(c).cast("string")
+        return F.expr(f"{number(c, dtype)} + 0D") if isinstance(dtype, T.NumericType) else F.col(quoted(c)).cast("string")
 
     prints = df.agg(*[
-        F.struct(F.bit_xor(F.xxhash64(F.col(key), plain(c))), F.count(plain(c))).alias(c) for c in columns
+        F.struct(F.bit_xor(F.xxhash64(F.col(quoted(key)), plain(c))), F.count(plain(c))).alias(c) for c in columns
     ]).first()
     groups: dict[tuple, list[str]] = {}
     for c in columns:

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskweft.operators.ordered import fold_values, range_number, running_totals
+from riskweft.operators.ordered import fold_values, in_ranges, running_totals
 from riskweft.session import stage
 from riskweft.sources.contract import GATES
 
@@ -77,7 +77,7 @@ def fold_scores(df: DataFrame, by: Sequence[str] = (), label: str = "label", sco
 
 def cumulative(folded: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Per distinct score: tp and fp of the rule score >= s, and the class totals."""
-    placed = running_totals(folded, by, ["score"], ["pos", "neg"], range_number(folded, "score"))
+    placed = running_totals(in_ranges(folded, by, "score"), by, ["score"], ["pos", "neg"], F.col("_range"))
     placed = _with_totals(placed, folded, by)
     return placed.select(
         *by, "score", "pos", "neg", "positives", "negatives",

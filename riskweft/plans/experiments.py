@@ -5,14 +5,8 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import replace
+from functools import partial, reduce
 
-from pyspark import keyword_only
-from pyspark.ml import Pipeline
-from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.param.shared import HasLabelCol
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskweft.operators import diagnostics as dg, prep as pp, ranking as rk, scoring as sc, splitting as sp
@@ -136,24 +130,27 @@ def with_hard_negatives(oof: DataFrame) -> DataFrame:
 
 
 def hard_negative_experiments(train: DataFrame, validation: DataFrame, columns: Sequence[str], oof: DataFrame, base: md.ModelSpec) -> DataFrame:
-    """Baseline and refits with heavier hard negatives; thresholds by precision under the recall gate."""
+    """Baseline and refits with heavier hard negatives under the recall gate: the baseline's threshold by F1, the refits' by precision."""
     marked = stage(with_hard_negatives(oof).withColumnRenamed("row_index", "row_id").drop("y_true", "fold", "oof_score"), "marks")
     joined = stage(train.join(marked, "row_id"), "weighted")
     plans = [(name, weight, md.BASE_POS_WEIGHT) for name in dg.HARD_SHARES for weight in (2.0, 3.0)] + [("top_10pct", 2.0, 1.0)]
-    fitted = {"baseline": md.fit(base, train, columns)}
+    tasks = {"baseline": lambda: md.fit(base, train, columns)}
     for name, weight, scale in plans:
         row_weight = F.when(F.col(name), weight).otherwise(1.0)
-        fitted[f"hn_{name}_{weight:g}_spw_{scale:g}"] = md.fit(replace(base, weighting=scale), joined, columns, row_weight=row_weight)
-    return record_columns(search_all(score_all(fitted, validation), objective="precision"))
+        tasks[f"hn_{name}_{weight:g}_spw_{scale:g}"] = partial(md.fit, replace(base, weighting=scale), joined, columns, row_weight=row_weight)
+    fitted = md.fit_many(train.sparkSession, tasks)
+    scores = score_all(fitted, validation)
+    first = search_all(scores.where("experiment = 'baseline'"), objective="f1")
+    return record_columns(first.unionByName(search_all(scores.where("experiment <> 'baseline'"), objective="precision")))
 
 
 def cascade_bands(oof: DataFrame, shares: Sequence[float] = (0.20, 0.30, 0.40)) -> list[tuple[float, float, float]]:
     """(share, low, high): exact score bounds of the central share of out-of-fold scores."""
     probs = {}
-    for s in shares:
-        probs[f"lo{int(s * 100)}"], probs[f"hi{int(s * 100)}"] = (1 - s) / 2, 1 - (1 - s) / 2
+    for i, s in enumerate(shares):
+        probs[f"lo{i}"], probs[f"hi{i}"] = (1 - s) / 2, 1 - (1 - s) / 2
     row = exact_quantiles(oof, [], "oof_score", probs).first()
-    return [(s, row[f"lo{int(s * 100)}"], row[f"hi{int(s * 100)}"]) for s in shares]
+    return [(s, row[f"lo{i}"], row[f"hi{i}"]) for i, s in enumerate(shares)]
 
 
 def cascade_experiments(train: DataFrame, validation: DataFrame, columns: Sequence[str], oof: DataFrame, first: md.FittedModel, max_iter: int = 1000) -> DataFrame:
@@ -316,56 +313,33 @@ def frozen_promotion(train: DataFrame, validation: DataFrame, specs: dict[str, m
 # --- tuning ------------------------------------------------------------------------------------------
 
 
-class StepAveragePrecision(Evaluator, HasLabelCol):
-    """Step-sum average precision of the positive-class probability, for Spark ML model selection."""
-
-    @keyword_only
-    def __init__(self, *, labelCol: str = "_label"):
-        super().__init__()
-        self._set(labelCol=labelCol)
-
-    def _evaluate(self, dataset: DataFrame) -> float:
-        scored = dataset.select(F.col(self.getLabelCol()).alias("label"), vector_to_array("probability")[1].alias("score"))
-        return float(sc.rank_metrics(sc.fold_scores(scored)).first()["average_precision"])
-
-    def isLargerBetter(self) -> bool:
-        return True
-
-
-def grid_search(train: DataFrame, columns: Sequence[str], spec: md.ModelSpec, grid: Sequence[dict], k: int = 3, label: str = "Y", parallelism: int = 2) -> tuple[md.FittedModel, dict, float]:
+def grid_search(train: DataFrame, columns: Sequence[str], spec: md.ModelSpec, grid: Sequence[dict], k: int = 3, label: str = "Y", parallelism: int = 4) -> tuple[md.FittedModel, dict, float]:
     """Cross-validated search on fixed stratified folds, refitted by average precision.
 
-    Settings and class weighting vary together, so each grid point is its own
-    pipeline and CrossValidator runs once per weighting with the folds fixed.
+    Every fold of every point is an independent fit with the weights and the
+    penalty of its own rows; one grouped plan scores them all.
     """
-    negatives, positives = sp.class_sizes(train, label)
     folds = stage(sp.stratified_folds(train, k, label=label), "folds")
-    best: tuple[float, dict, md.FittedModel] | None = None
-    weightings = list(dict.fromkeys(g.get("weighting", spec.weighting) for g in grid))
-    for weighting in weightings:
-        points = [{n: v for n, v in g.items() if n != "weighting"} for g in grid if g.get("weighting", spec.weighting) == weighting]
-        weight = sp.class_weight(F.col(label), weighting, negatives, positives)
-        data = folds.select(*columns, "fold", F.col(label).cast("double").alias("_label"), weight.cast("double").alias("_weight"))
-        data = stage(data, "grid")
-        total = data.agg(F.sum("_weight")).first()[0]
-        assembler = VectorAssembler(inputCols=list(columns), outputCol="_features")
-        pipeline = Pipeline(stages=[])
-        maps = [{pipeline.stages: [assembler, md._estimator(spec.with_params(**p), total)]} for p in points]
-        search = CrossValidator(
-            estimator=pipeline, estimatorParamMaps=maps, evaluator=StepAveragePrecision(), numFolds=k, foldCol="fold", parallelism=parallelism
-        ).fit(data)
-        top = max(range(len(points)), key=lambda i: search.avgMetrics[i])
-        if best is None or search.avgMetrics[top] > best[0]:
-            chosen = spec.with_params(**points[top], weighting=weighting)
-            best = (search.avgMetrics[top], {**points[top], "weighting": weighting}, md.FittedModel(chosen, tuple(columns), search.bestModel))
-    score, params, model = best
-    return model, params, score
+    specs = [spec.with_params(**point) for point in grid]
+    tasks = {
+        (j, i): partial(md.fit, point, folds.where(F.col("fold") != i).drop("fold"), columns, label) for j, point in enumerate(specs) for i in range(k)
+    }
+    fitted = md.fit_many(train.sparkSession, tasks, parallelism)
+    parts = [
+        model.score(folds.where(F.col("fold") == i), [label]).select(F.lit(j).alias("point"), F.lit(i).alias("fold"), F.col(label).alias("label"), "score")
+        for (j, i), model in fitted.items()
+    ]
+    keys = ["point", "fold"]
+    precision = sc.rank_metrics(sc.fold_scores(reduce(DataFrame.unionByName, parts), keys), keys)
+    best = precision.groupBy("point").agg(F.avg("average_precision").alias("ap")).orderBy(F.desc("ap"), "point").first()
+    chosen = specs[best["point"]]
+    return md.fit(chosen, train, columns, label), {"weighting": spec.weighting, **grid[best["point"]]}, best["ap"]
 
 
 def random_search(train: DataFrame, validation: DataFrame, columns: Sequence[str], spec: md.ModelSpec, space: dict[str, list], count: int = 12) -> DataFrame:
     """Sampled settings, each with its own threshold search on validation."""
     sampled = md.sample_params(space, count, spec.seed)
-    fitted = {f"config_{i}": md.fit(spec.with_params(**p), train, columns) for i, p in enumerate(sampled)}
+    fitted = md.fit_many(train.sparkSession, {f"config_{i}": partial(md.fit, spec.with_params(**p), train, columns) for i, p in enumerate(sampled)})
     info = train.sparkSession.createDataFrame(
         [(f"config_{i}", {k: str(v) for k, v in p.items()}) for i, p in enumerate(sampled)], "experiment string, hyperparameters map<string,string>"
     )
@@ -374,7 +348,7 @@ def random_search(train: DataFrame, validation: DataFrame, columns: Sequence[str
 
 def pos_weight_sweep(train: DataFrame, validation: DataFrame, columns: Sequence[str], spec: md.ModelSpec, label: str = "Y") -> DataFrame:
     grid = [r["scale_pos_weight"] for r in sp.pos_weight_grid(train, label).collect()]
-    fitted = {f"scale_pos_weight_sweep:{w}": md.fit(replace(spec, weighting=w), train, columns, label) for w in grid}
+    fitted = md.fit_many(train.sparkSession, {f"scale_pos_weight_sweep:{w}": partial(md.fit, replace(spec, weighting=w), train, columns, label) for w in grid})
     return record_columns(search_all(score_all(fitted, validation, label)))
 
 
@@ -386,7 +360,7 @@ def best_variant(fitted: dict[str, md.FittedModel], validation: DataFrame) -> st
 
 def variant_round(train: DataFrame, validation: DataFrame, columns: Sequence[str], specs: Sequence[md.ModelSpec]) -> DataFrame:
     """Comparison row of every model variant, all evaluated in one grouped plan."""
-    fitted = {f"{s.family}/{s.variant}": md.fit(s, train, columns) for s in specs}
+    fitted = md.fit_many(train.sparkSession, {f"{s.family}/{s.variant}": partial(md.fit, s, train, columns) for s in specs})
     scores = score_all(fitted, validation)
     folded = sc.fold_scores(scores, ["experiment"])
     table = sc.threshold_table(folded, ["experiment"])

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import itertools
 import random
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from typing import Any
 
@@ -18,12 +19,16 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from riskweft.functions.rowmath import quoted
 from riskweft.operators.splitting import class_sizes, class_weight
 from riskweft.sources.contract import CATEGORICAL, SEED
 
 DUMMY = "dummy_classifier"
+#: Bins of a numeric column; a nominal column with more categories gets one bin for each.
+MIN_BINS = 64
 FAMILIES = (DUMMY, "logistic_regression", "decision_tree", "random_forest", "hist_gradient_boosting", "xgboost", "catboost")
 
 # Default and searched settings of each family.
@@ -31,7 +36,7 @@ DEFAULTS: dict[str, dict[str, Any]] = {
     DUMMY: {},
     "logistic_regression": {"C": 1.0, "penalty": "l2", "max_iter": 2000},
     "decision_tree": {"min_samples_leaf": 50, "max_depth": 30},
-    "random_forest": {"n_estimators": 300, "min_samples_leaf": 1, "max_depth": 12, "max_features": "sqrt"},
+    "random_forest": {"n_estimators": 300, "min_samples_leaf": 1, "max_depth": 30, "max_features": "sqrt"},
     "hist_gradient_boosting": {"max_iter": 100, "learning_rate": 0.1, "max_depth": 5, "min_samples_leaf": 20},
     "xgboost": {"n_estimators": 400, "max_depth": 4, "learning_rate": 0.05, "min_child_weight": 3, "subsample": 0.85, "colsample_bytree": 0.85},
     "catboost": {"iterations": 250, "depth": 6, "learning_rate": 0.05},
@@ -88,10 +93,10 @@ class FittedModel:
 
     def score(self, df: DataFrame, keep: Sequence[str] | None = None, score: str = "score") -> DataFrame:
         """Kept columns (default: all) and the positive-class probability."""
-        kept = list(df.columns if keep is None else keep)
+        kept = [quoted(c) for c in (df.columns if keep is None else keep)]
         if self.prior is not None:
             return df.select(*kept, F.lit(self.prior).alias(score))
-        scored = self.model.transform(df)
+        scored = self.model.transform(df.withColumns(dict(zip(_inputs(self.columns), (F.col(quoted(c)) for c in self.columns)))))
         return scored.select(*kept, vector_to_array("probability")[1].alias(score))
 
     @property
@@ -99,7 +104,12 @@ class FittedModel:
         return self.model.stages[-1]
 
 
-def _estimator(spec: ModelSpec, total_weight: float):
+def _inputs(columns: Sequence[str]) -> list[str]:
+    """Names for the columns that the ML stages accept, whatever characters the columns have."""
+    return [f"_in_{i}" for i in range(len(columns))]
+
+
+def _estimator(spec: ModelSpec, total_weight: float, bins: int = MIN_BINS):
     s = spec.settings
     common = {"featuresCol": "_features", "labelCol": "_label", "weightCol": "_weight"}
     if spec.family == "logistic_regression":
@@ -108,7 +118,7 @@ def _estimator(spec: ModelSpec, total_weight: float):
             maxIter=s["max_iter"], regParam=1.0 / (s["C"] * total_weight), elasticNetParam=1.0 if s["penalty"] == "l1" else 0.0,
             standardization=False, **common,
         )
-    tree = {"seed": spec.seed, "maxBins": 64, **common}
+    tree = {"seed": spec.seed, "maxBins": bins, **common}
     if spec.family == "decision_tree":
         return DecisionTreeClassifier(maxDepth=min(30, s["max_depth"]), minInstancesPerNode=s["min_samples_leaf"], **tree)
     if spec.family == "random_forest":
@@ -140,17 +150,28 @@ def fit(spec: ModelSpec, train: DataFrame, columns: Sequence[str], label: str =
     weight = class_weight(F.col(label), spec.weighting, negatives, positives)
     if row_weight is not None:
         weight = weight * row_weight
-    data = train.select(*columns, F.col(label).cast("double").alias("_label"), weight.cast("double").alias("_weight"))
+    names = _inputs(columns)
+    data = train.select(*[F.col(quoted(c)).alias(n) for c, n in zip(columns, names)], F.col(label).cast("double").alias("_label"), weight.cast("double").alias("_weight"))
     total = data.agg(F.sum("_weight")).first()[0] if spec.family == "logistic_regression" else 0.0
-    stages, inputs = [], list(columns)
+    stages, inputs, bins = [], names, MIN_BINS
     if categorical:
-        names = {c: f"_index_{c}" for c in categorical}
-        stages.append(StringIndexer(inputCols=list(names), outputCols=list(names.values()), handleInvalid="keep", stringOrderType="alphabetAsc"))
-        inputs = [names.get(c, c) for c in columns]
-    stages += [VectorAssembler(inputCols=inputs, outputCol="_features"), _estimator(spec, total)]
+        indexed = {n: f"{n}_index" for c, n in zip(columns, names) if c in categorical}
+        indexer = StringIndexer(inputCols=list(indexed), outputCols=list(indexed.values()), handleInvalid="keep", stringOrderType="alphabetAsc").fit(data)
+        # One bin for each category, and one for those that training has not seen.
+        bins = max(bins, *(len(labels) + 1 for labels in indexer.labelsArray))
+        stages.append(indexer)
+        inputs = [indexed.get(n, n) for n in names]
+    stages += [VectorAssembler(inputCols=inputs, outputCol="_features"), _estimator(spec, total, bins)]
     return FittedModel(spec, tuple(columns), Pipeline(stages=stages).fit(data))
 
 
+def fit_many(spark: SparkSession, tasks: dict[Any, Callable[[], FittedModel]], parallelism: int = 4) -> dict[Any, FittedModel]:
+    """Independent fits, a few at a time: while one waits for its last tasks, others use the executors."""
+    with ThreadPoolExecutor(parallelism) as pool:
+        started = {name: pool.submit(inheritable_thread_target(spark)(task)) for name, task in tasks.items()}
+        return {name: f.result() for name, f in started.items()}
+
+
 def base_boosted(**overrides) -> ModelSpec:
     """The fixed boosted model that the feature experiments share."""
     return ModelSpec("xgboost", "fixed", {**BOOSTED_BASE, **overrides}, BASE_POS_WEIGHT)

@@ -120,17 +120,18 @@ def _neighbour_sql(rank: int) -> str:
         round(avg(case when label <> other then 1.0 else 0.0 end), 9) as opposite_rate from near where r = {rank}"""
 
 
-def _register_neighbours(rank: int) -> None:
-    @query(f"dia5_opposite_label_rate_{rank}", _neighbour_sql(rank))
+def _register_neighbours(name: str, rank: int, pivots: int | None = None) -> None:
+    @query(name, _neighbour_sql(rank))
     def run(spark, sf):
         df = spark.read.parquet(f"{sf}/embeddings.parquet")
-        size = 64  # width of the embedding column
-        vectors = nn.standardize_array(df, "embedding", size, ("vec_id", "label"))
-        return rounded(nn.opposite_label_rate(vectors, "vec_id", "label", "vec", rank), 9)
+        vectors = nn.standardize_array(df, "embedding", ("vec_id", "label"))
+        return rounded(nn.opposite_label_rate(vectors, "vec_id", "label", "vec", rank, pivots=pivots), 9)
 
 
 for _rank in (1, 2):
-    _register_neighbours(_rank)
+    _register_neighbours(f"dia5_opposite_label_rate_{_rank}", _rank)
+# With pivots, the search leaves out cells by the triangle inequality.
+_register_neighbours("dia5_opposite_label_rate_pruned", 2, 8)
 
 
 _PCT = {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}

@@ -341,7 +341,7 @@ def xai1_global_importance(spark, sf):
 def xai1_permutation_importance(spark, sf):
     columns, train, validation = prepared(spark, sf)
     fitted = md.fit(LOGISTIC, train, columns)
-    return pd_.permutation_importance(fitted, validation, columns[:3])
+    return pd_.permutation_importance(fitted, validation, columns)
 
 
 @query("xai2_local_contributions")

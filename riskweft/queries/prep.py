@@ -135,7 +135,17 @@ def pp7_transform_all_splits(spark, sf):
     return rounded(out, 6)
 
 
-@query("pp8_describe")
+def _listed(role: str, columns) -> str:
+    return " union all ".join(f"select '{role}' as role, {i} as position, '{c}' as \"column\"" for i, c in enumerate(columns))
+
+
+@query(
+    "pp8_describe",
+    " union all ".join([
+        _listed("feature", [*NUM, *CAT]), _listed("numeric", NUM), _listed("categorical", CAT),
+        _listed("numeric_step", ["median_imputer", "standard_scaler"]), _listed("categorical_step", ["most_frequent_imputer", "one_hot_encoder"]),
+    ]),
+)
 def pp8_describe(spark, sf):
     df = split_profile(spark, sf)
     return pp.describe(pp.fit_preparation(df, keep=KEEP, split="split"), df)

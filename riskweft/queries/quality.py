@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskweft.operators import features as fe, projection as pr, quality as q
 from riskweft.queries.features import BEHAVIOUR_SQL, CELLS_SQL, RATIOS_SQL, STATS_SQL, inputs, rounded, select_sql, _merge
-from riskweft.queries.registry import query
+from riskweft.queries.registry import ORACLE, query
 from riskweft.session import stage
 from riskweft.sources.contract import FEATURES, SEMANTIC_NAMES
 from riskweft.sources.panel import panel, with_panel
@@ -169,7 +169,25 @@ def eda10_inconsistent_values(spark, sf):
     return q.inconsistent_values(profile(spark, sf))
 
 
-@query("eda11_report_sections")
+def _section(name: str, sql: str) -> str:
+    return f"select '{name}' as section, count(*) as rows from ({sql})"
+
+
+_RELATED = " union all ".join(
+    f"select '{c}' as c, cast({c} as varchar) as v from profile group by all" for c in q.RELATION_PRIORITY
+)
+
+
+@query(
+    "eda11_report_sections",
+    " union all ".join([
+        _section("target_distribution", ORACLE["eda3_label_distribution"]), _section("descriptive_stats", ORACLE["eda6_descriptive_stats"]),
+        _section("missing_values", ORACLE["eda4_missing_table"]), _section("duplicate_summary", ORACLE["eda5_duplicate_summary"]),
+        _section("numeric_distribution_summary", ORACLE["eda7_numeric_distribution"]), _section("default_rate_by_category", with_profile(_RELATED)),
+        _section("default_rate_by_numeric_bin", f"select * from ({ORACLE['eda9_rate_by_bin']}) where feature in {tuple(NUMERIC)}"), _section("inconsistent_values", ORACLE["eda10_inconsistent_values"]),
+        f"select 'selected_columns', cast({len(NUMERIC) + len(q.RELATION_PRIORITY)} as bigint)",
+    ]),
+)
 def eda11_report_sections(spark, sf):
     """Row count of every table of the report bundle."""
     report = q.eda_report(staged_profile(spark, sf))

@@ -122,12 +122,12 @@ def variants(spark, sf):
     with_candidates(
         f"select model_family, variant_name, {_r(_VCOLS)} from (select *, row_number() over (partition by model_family order by constrained_max_f1 desc,"
         " average_precision desc, roc_auc desc, constrained_precision desc, variant_name desc) as pos from variants) where pos = 1"
-        " order by constrained_max_f1 desc, average_precision desc, roc_auc desc, constrained_precision desc, model_family limit 2",
+        " order by constrained_max_f1 desc, average_precision desc, roc_auc desc, constrained_precision desc, model_family limit 4",
         _RANKED_TT, _VARIANTS,
     ),
 )
 def rnk3_promising_families(spark, sf):
-    return rounded(rk.promising_families(variants(spark, sf), 2).select("model_family", "variant_name", *_VCOLS), R)
+    return rounded(rk.promising_families(variants(spark, sf)).select("model_family", "variant_name", *_VCOLS), R)
 
 
 @query(

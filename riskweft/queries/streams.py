@@ -1,4 +1,4 @@
-"""Streaming queries: the stream result of a finite input equals its batch result over closed windows."""
+"""Streaming queries: the stream result of a finite input, its open windows closed, equals its batch result."""
 
 from __future__ import annotations
 
@@ -11,10 +11,6 @@ from riskweft.session import staging_path
 from riskweft.streaming import monitor as st
 
 
-def _closed(table: str, time: str, delay: str) -> str:
-    return f"period_start + interval 1 day <= (select max({time}) from {table}) - interval '{delay}'"
-
-
 def _drained(spark, df):
     path = staging_path(spark, "stream")
     st.drain(df, path, staging_path(spark, "checkpoint"))
@@ -25,26 +21,28 @@ def _drained(spark, df):
     "mon7_stream_quality",
     f"select cast(period_start as date) as day, rows, missing, invalid, broken from (select date_trunc('day', ts) as period_start, count(*) as rows,"
     f" count(*) filter (where {_K} is null or {_K} % 10 = 0) as missing, count(*) filter (where value < 0.0 or value > 200.0) as invalid,"
-    f" count(*) filter (where event_type not in {VALID_TYPES}) as broken from events group by 1) where {_closed('events', 'ts', '1 day')}",
+    f" count(*) filter (where event_type not in {VALID_TYPES}) as broken from events group by 1)",
 )
 def mon7_stream_quality(spark, sf):
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    events = st.read_stream(spark, sf, schema, "events.parquet")
-    counted = st.quality_stream(events, "ts", *quality_conditions())
-    return _drained(spark, counted).select(F.to_date("period_start").alias("day"), "rows", "missing", "invalid", "broken")
+    path = f"{sf}/events.parquet"
+    events = spark.read.parquet(path)
+    make = lambda df: st.quality_stream(df, "ts", *quality_conditions())
+    closed = _drained(spark, make(st.read_stream(spark, st.table_glob(path), events.schema)))
+    return st.close_windows(closed, events, make, "ts").select(F.to_date("period_start").alias("day"), "rows", "missing", "invalid", "broken")
 
 
 @query(
     "mon7_stream_predictions",
     "select cast(period_start as date) as day, bin, rows, positives from (select date_trunc('day', ts) as period_start,"
     " cast(least(9, floor(least(value/500.0, 1.0)*10)) as integer) as bin, count(*) as rows, count(*) filter (where least(value/500.0, 1.0) >= 0.2) as positives"
-    f" from events group by 1, 2) where {_closed('events', 'ts', '1 day')}",
+    " from events group by 1, 2)",
 )
 def mon7_stream_predictions(spark, sf):
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    events = st.read_stream(spark, sf, schema, "events.parquet").withColumn("score", F.least(F.col("value") / 500.0, F.lit(1.0)))
-    counted = st.prediction_stream(events, "ts", "score", 0.2)
-    return _drained(spark, counted).select(F.to_date("period_start").alias("day"), "bin", "rows", "positives")
+    path = f"{sf}/events.parquet"
+    events = spark.read.parquet(path)
+    make = lambda df: st.prediction_stream(df.withColumn("score", F.least(F.col("value") / 500.0, F.lit(1.0))), "ts", "score", 0.2)
+    closed = _drained(spark, make(st.read_stream(spark, st.table_glob(path), events.schema)))
+    return st.close_windows(closed, events, make, "ts").select(F.to_date("period_start").alias("day"), "bin", "rows", "positives")
 
 
 @query(

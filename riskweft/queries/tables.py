@@ -9,7 +9,7 @@ from riskweft.queries.features import rounded
 from riskweft.queries.metrics import BY, CTES, TIERED, best_sql, table
 from riskweft.queries.registry import query
 from riskweft.queries.scores import scored_wide, scores_long, with_scores
-from riskweft.queries.splits import RANKED_SQL, SPLIT_SQL, keyed
+from riskweft.queries.splits import RANKED_SQL, SPLIT_SQL, _fold_sql, keyed
 from riskweft.session import staging_path
 from riskweft.sources import tables as tb
 from riskweft.sources.contract import FEATURES
@@ -86,7 +86,10 @@ def snk2_write_json(spark, sf):
     return tb.read_json(spark, path, "model string, threshold double, fpr double, tpr double")
 
 
-@query("snk3_fold_store")
+@query(
+    "snk3_fold_store",
+    f"select fold, count(*) as rows, cast(sum(Y) as bigint) as positives, count(distinct row_id) as keys from ({_fold_sql(3)}) group by fold",
+)
 def snk3_fold_store(spark, sf):
     """Two folds written, the store re-opened, the missing fold added, nothing written twice."""
     folds = sp.stratified_folds(keyed(spark, sf), 3)

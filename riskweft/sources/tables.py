@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from riskweft.sources.contract import FEATURES, LABEL, MIN_FEATURES, MIN_ROWS, ROW_ID
@@ -190,13 +189,11 @@ class FoldStore:
         return f"{self.path}/fold={fold}"
 
     def finished(self) -> set[int]:
-        """Folds whose write has committed, from the partition directories."""
-        try:
-            return {r["fold"] for r in self.load().select("fold").distinct().collect()}
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return set()
-            raise
+        """Folds whose write has committed: their folders hold the commit's marker. No rows are read."""
+        jvm = self.spark._jvm
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path}/fold=*/_SUCCESS")
+        found = pattern.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).globStatus(pattern)
+        return {int(status.getPath().getParent().getName().removeprefix("fold=")) for status in found or ()}
 
     def save(self, fold: int, df: DataFrame) -> None:
         df.drop("fold").write.mode("overwrite").parquet(self._fold_path(fold))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,6 +16,12 @@ def read_stream(spark: SparkSession, path: str, schema, glob: str | None = None,
     return reader.load(path)
 
 
+def table_glob(path: str) -> str:
+    """A pattern that matches this table only; a file and a folder of part files are then read alike."""
+    path = path.rstrip("/")
+    return f"{path[:-1]}[{path[-1]}]"
+
+
 def event_time(df: DataFrame, column: str, delay: str) -> DataFrame:
     """Watermarks need a zoned timestamp, so zone-free ones are cast first."""
     return df.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)
@@ -36,6 +44,16 @@ def prediction_stream(scored: DataFrame, time: str, score: str, threshold: float
     return counted.select(F.col("window.start").alias("period_start"), "bin", "rows", "positives")
 
 
+def close_windows(closed: DataFrame, events: DataFrame, make: Callable[[DataFrame], DataFrame], time: str, width: str = "1 day") -> DataFrame:
+    """What the stream has written, and a batch pass over the windows after its last one, which were still open when it stopped.
+
+    make is the stream's own aggregation: without a stream, the watermark has no effect.
+    """
+    end = closed.agg(F.max(F.col("period_start") + F.expr(f"interval {width}"))).scalar()
+    rest = events.where(end.isNull() | (F.col(time).cast("timestamp") >= end))
+    return closed.unionByName(make(rest))
+
+
 def late_labels(predictions: DataFrame, labels: DataFrame, key: str, time: str, label_time: str, wait: str = "200 days") -> DataFrame:
     """Stream-stream join of predictions with labels that arrive within wait; older state is dropped by the watermarks."""
     left = event_time(predictions, time, wait)

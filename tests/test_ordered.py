@@ -37,15 +37,15 @@ def test_running_totals_do_not_depend_on_ranges(spark, values, monkeypatch):
     folded = od.fold_values(df.where("v is not null"), ["g"], "v", {"n": F.lit(1)})
     results = []
     for size in (3, 50, 10**6):
-        out = od.running_totals(folded, ["g"], ["v"], ["n"], od.range_number(folded, "v", ["g"], size))
+        out = od.running_totals(od.in_ranges(folded, ["g"], "v", size), ["g"], ["v"], ["n"], F.col("_range"))
         results.append(sorted((r["g"], r["v"], r["cum_n"]) for r in out.collect()))
     assert results[0] == results[1] == results[2]
 
 
-def test_range_number_cuts_groups(spark, values):
+def test_ranges_cut_groups(spark, values):
     _, df = values
     folded = od.fold_values(df.where("v is not null"), ["g"], "v", {"n": F.lit(1)})
-    ranged = folded.withColumn("r", od.range_number(folded, "v", ["g"], 10))
+    ranged = od.in_ranges(folded, ["g"], "v", 10).withColumnRenamed("_range", "r")
     sizes = {(r["g"], r["r"]): r["count"] for r in ranged.groupBy("g", "r").count().collect()}
     assert len([k for k in sizes if k[0] == "a"]) > 5 and max(sizes.values()) <= 40
 
