@@ -30,9 +30,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweft.llm.common import SPACE
 from riskweft.session import stage
 
+#: Bits of a hash that name a cell of a broadcast filter.
+CELL_BITS = 19
 MIN_WORDS = 3
 MIN_NEAR = 5
 _LAST = (1 << 63) - 1
@@ -42,46 +43,58 @@ def _key() -> list[Column]:
     return [F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("tie")]
 
 
-def _words(line: Column) -> Column:
-    return F.filter(F.split(F.lower(line), SPACE), lambda w: w != "")
+def _plain(text: Column) -> Column:
+    """Lower-cased text, its words with one space between, its lines kept.
+
+    Only texts that need it pay for regular expressions.
+    """
+    odd = F.startswith(text, F.lit(" ")) | F.endswith(text, F.lit(" "))
+    for said in ("  ", " \n", "\n ", "\t", "\r", "\x0b", "\x0c"):
+        odd = odd | F.contains(text, F.lit(said))
+    spaced = F.regexp_replace(F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " "), r"\x20?\n\x20?", "\n")
+    return F.lower(F.when(odd, F.trim(spaced)).otherwise(text))
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """doc, tie, line (its number from 0), words, n; lines of at least MIN_WORDS words."""
-    lines = docs.select(*_key(), "text")
-    lines = lines.select("doc", "tie", F.posexplode(F.split("text", "\n")).alias("line", "said"))
-    lines = lines.select("doc", "tie", "line", _words(F.col("said")).alias("words"))
-    return lines.withColumn("n", F.size("words")).where(F.col("n") >= MIN_WORDS)
+    """doc, tie, line (its number from 0), said (its words, one space between), n, h1, h2; lines of at least MIN_WORDS words."""
+    lines = docs.select(*_key(), F.posexplode(F.split(_plain(F.col("text")), "\n")).alias("line", "said"))
+    n = F.octet_length("said") - F.octet_length(F.replace("said", F.lit(" "))) + F.when(F.col("said") == "", 0).otherwise(1)
+    return lines.withColumn("n", n).where(F.col("n") >= MIN_WORDS).withColumns({"h1": F.xxhash64("said"), "h2": F.xxhash64(F.lit(7), "said")})
 
 
-def _ids() -> list[Column]:
-    return [F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(7), F.col("words")).alias("h2")]
+def _halves() -> Column:
+    """Keys of which two lines within one edit share one: their first or last m words, where the longer one has n words and m is n / 2 or (n - 1) / 2."""
 
+    def ends(m: Column) -> list[Column]:
+        return [F.xxhash64(F.lit(side), m, F.call_function("substring_index", F.col("said"), F.lit(" "), m * side)) for side in (1, -1)]
 
-def _halves() -> Column:
-    """Keys that two lines within one edit have in common: halves of a line among lines as long, one shorter, one longer."""
-    n = F.col("n")
+    m = F.floor(F.col("n") / 2).cast("int")
+    return F.when(F.col("n") % 2 == 1, F.array(*ends(m))).otherwise(F.array(*ends(m), *ends(m - 1)))
 
-    def pair(kind: str, longer: Column) -> list[Column]:
-        m = F.floor((longer if kind == "same" else longer - 1) / 2).cast("int")
-        head, tail = F.slice("words", F.lit(1), m), F.slice("words", n - m + 1, m)
-        return [F.xxhash64(F.lit(kind + side), longer, part) for side, part in (("head", head), ("tail", tail))]
 
-    return F.array(*pair("same", n), *pair("other", n), *pair("other", n + 1))
+def _cell(h: str) -> Column:
+    return F.shiftrightunsigned(h, 64 - CELL_BITS).alias("__cell")
 
 
-def near_lines(spots: DataFrame, lines: DataFrame) -> DataFrame:
+def _keep_cells(rows: DataFrame, h: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose hash h shares a cell with a wanted one: a first, coarse filter whose broadcast table has 2 ** CELL_BITS rows at most."""
+    cells = stage(wanted.select(_cell(h)).distinct(), "line-cells")
+    return rows.withColumn("__cell", _cell(h)).join(F.broadcast(cells), "__cell", "left_semi").drop("__cell")
+
+
+def near_lines(slim: DataFrame, spots: DataFrame, found: DataFrame) -> DataFrame:
     """Classes (h1, h2) with an earlier class within one edit.
 
-    spots: classes with their first place (h1, h2, n, at); lines: their words.
+    slim: line places with their halves; spots: classes with their first place `at`; found: line places with their words.
     """
-    halves = spots.where(F.col("n") >= MIN_NEAR).select("h1", "h2", F.explode("halves").alias("half"))
-    shared = halves.groupBy("half").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high").select("half")
-    going = halves.join(shared, "half", "left_semi").select("h1", "h2").distinct()
-    first = spots.join(going, ["h1", "h2"], "left_semi").select("h1", "h2", "n", "at")
+    halves = slim.where(F.col("n") >= MIN_NEAR).select("h1", "h2", F.explode("halves").alias("half"))
+    shared = stage(halves.groupBy("half").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high").select("half"), "line-halves")
+    going = _keep_cells(halves, "half", shared).join(shared, "half", "left_semi").select("h1", "h2").distinct()
+    first = stage(spots.where(F.col("n") >= MIN_NEAR).join(going, ["h1", "h2"]).select("h1", "h2", "n", "at"), "line-firsts")
     # Words of a class, taken from its first place.
-    said = first.join(lines.select("h1", "h2", F.struct("doc", "tie", "line").alias("at"), "words"), ["h1", "h2", "at"])
-    said = stage(said.dropDuplicates(["h1", "h2"]), "near-lines")
+    said = _keep_cells(found, "h1", first).select("h1", "h2", F.struct("doc", "tie", "line").alias("at"), "said")
+    said = first.join(said, ["h1", "h2", "at"]).dropDuplicates(["h1", "h2"]).withColumn("words", F.split("said", " ")).drop("said")
+    said = stage(said, "near-lines")
 
     me = F.struct("at", "h1", "h2").alias("me")
     word = said.select(me, "n", F.posexplode("words").alias("i", "word"))
@@ -121,13 +134,11 @@ def near_lines(spots: DataFrame, lines: DataFrame) -> DataFrame:
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """doc, tie, gone (sorted line numbers), n_near: documents that lose lines. gone holds repeated lines and near copies."""
-    found = occurrences(docs).select("doc", "tie", "line", "n", "words", *_ids())
+    found = occurrences(docs)
     slim = stage(found.select("doc", "tie", "line", "n", "h1", "h2", F.when(F.col("n") >= MIN_NEAR, _halves()).alias("halves")), "lines")
     at = F.struct("doc", "tie", "line")
-    spots = slim.groupBy("h1", "h2").agg(F.min(at).alias("at"), F.max(at).alias("last"), F.min("n").alias("n"))
-    spots = stage(spots, "line-classes")
-    firsts = slim.where(F.col("n") >= MIN_NEAR).select("h1", "h2", at.alias("at"), "halves").join(spots.select("h1", "h2", "at", "n"), ["h1", "h2", "at"]).dropDuplicates(["h1", "h2"])
-    near = stage(near_lines(firsts, found.where(F.col("n") >= MIN_NEAR)), "near-classes").withColumn("near", F.lit(True))
+    spots = stage(slim.groupBy("h1", "h2").agg(F.min(at).alias("at"), F.max(at).alias("last"), F.min("n").alias("n")), "line-classes")
+    near = stage(near_lines(slim, spots, found), "near-classes").withColumn("near", F.lit(True))
     # Classes that take a line away somewhere; most lines stand once and have no near copy.
     acting = spots.join(near, ["h1", "h2"], "left").where("near OR at <> last").select("h1", "h2", "at", F.coalesce("near", F.lit(False)).alias("near"))
     gone = slim.select("doc", "tie", "line", "h1", "h2").join(acting, ["h1", "h2"]).where(F.col("near") | (F.col("at") != at))
@@ -140,8 +151,23 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     doc, tie = _key()
     rows = docs.withColumn("__doc", doc).withColumn("__tie", tie)
     gone = out.select(F.col("doc").alias("__doc"), F.col("tie").alias("__tie"), F.col("gone").alias("lines_gone"), F.col("n_near").alias("near_gone"))
-    rows = rows.join(gone, ["__doc", "__tie"], "left")
+    # Documents in no cell of a document that loses lines stay where they are.
+    cells = F.broadcast(stage(gone.select(_cell("__tie")).distinct(), "line-cells"))
+    rows = rows.withColumn("__cell", _cell("__tie"))
+    joined = rows.join(cells, "__cell", "left_semi").join(gone, ["__doc", "__tie"], "left")
+    whole = rows.join(cells, "__cell", "left_anti").withColumns({"lines_gone": F.lit(None).cast("array<int>"), "near_gone": F.lit(None).cast("long")})
+    rows = joined.unionByName(whole).drop("__cell")
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("lines_gone", i)), "\n")
     text = F.when(F.col("lines_gone").isNull(), F.col("text")).otherwise(kept)
     none = F.array().cast("array<int>")
     return rows.withColumn("text", text).withColumns({"lines_gone": F.coalesce("lines_gone", none), "near_gone": F.coalesce("near_gone", F.lit(0))}).drop("__doc", "__tie")
+
+
+def drop_repeated(docs: DataFrame) -> DataFrame:
+    """docs with the lines that stay; a document that lost lines and has no word left goes. n_chars follows the text."""
+    done = dedup_lines(docs)
+    changed = F.size("lines_gone") > 0
+    done = done.where(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    if "n_chars" in docs.columns:
+        done = done.withColumn("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return done.select(*docs.columns)
