@@ -5,7 +5,7 @@ Hashes of all masked windows of the corpus are joined with those of the
 benchmark. Every hit gives a diagonal (where the item would start in the
 document), and the words along it are compared: the document is contaminated
 where a stretch of OVERLAP words (or the whole item, if it is shorter) agrees in
-80 % of its words.
+80 % of its words. Items shorter than the first mask must stand there whole.
 
 Before the join, windows whose hash falls into no cell of the benchmark's hash
 table go; the table has a fixed number of cells, whatever the benchmark's size.

@@ -275,16 +275,25 @@ def _rows(node: Node) -> Iterator[Node]:
                 yield from _rows(child)
 
 
+def _loose(node: Node, out: Lines) -> None:
+    """What stands in a table but in no cell comes before it."""
+    for child in node.children:
+        if isinstance(child, str):
+            if child.strip():
+                out.add(child)
+        elif visible(child):
+            if child.tag in ("tr", "thead", "tbody", "tfoot"):
+                _loose(child, out)
+            elif node.tag != "tr" and child.tag not in ("colgroup", "col"):
+                out.end()
+                _render(child, out)
+                out.end()
+
+
 def _table(node: Node, out: Lines) -> None:
     """Cells of a column start at one place; a cell's lines stand below each other. A cell over several columns starts at its first."""
     out.space()
-    for child in node.children:
-        if isinstance(child, str) and child.strip():
-            out.add(child)
-        elif isinstance(child, Node) and visible(child) and child.tag not in ("tr", "thead", "tbody", "tfoot", "colgroup", "col"):
-            out.end()
-            _render(child, out)
-            out.end()
+    _loose(node, out)
     out.end()
     grid: list[dict[int, list[str]]] = []
     widths: dict[int, int] = {}

@@ -24,7 +24,8 @@ def plain(rows, items):
             for d in range(-len(b), len(a)):
                 low, high = max(0, d), min(len(a), d + len(b))
                 same = [a[i] == b[i - d] for i in range(low, high)]
-                if any(100 * sum(same[k : k + need]) >= 80 * need for k in range(len(same) - need + 1)):
+                percent = 80 if len(b) >= 7 else 100
+                if any(100 * sum(same[k : k + need]) >= percent * need for k in range(len(same) - need + 1)):
                     out.add((doc, item))
     return out
 

@@ -71,7 +71,6 @@ def test_spans_and_disclosure(spark):
         said = text[None if r["doc_id"] != r["doc_id"] else int(r["doc_id"])]
         assert r["base"] == ",".join(f"{k}:{a}:{b}" for k, a, b in plain(said))
         marked = {said[t["start"] : t["end"]] for t in r["terms"]}
-        assert marked == ({"zorblax", "writes", "from"} & set(said.split()) if "jane" in said and "zorblax" in said else set()) or marked <= {"zorblax", "writes", "from", "say", "that", "end"}
         assert ("zorblax" in marked) == ("zorblax writes" in said)
         assert not marked & {"common", "words", "kimquat", "and"}
 
