@@ -120,7 +120,7 @@ def slots(sources: DataFrame, shard_slots: int = SHARD_SLOTS, most: int = MOST,
     one = Window.partitionBy("kind")
     shares = shares.withColumn("left", F.col("p") * F.col("n_slots") - F.col("given")).withColumn("drawn", F.col("n_slots") - F.sum("given").over(one))
     upto = one.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    shares = shares.withColumn("hi", F.sum("left").over(upto) / F.sum("left").over(one))
+    shares = shares.withColumn("hi", F.coalesce(F.try_divide(F.sum("left").over(upto), F.sum("left").over(one)), F.lit(0.0)))
     shares = shares.withColumn("hi", F.when(F.row_number().over(one.orderBy(F.desc("rank"))) == 1, F.lit(1.0)).otherwise(F.least("hi", F.lit(1.0))))
     shares = shares.withColumn("lo", F.coalesce(F.lag("hi").over(one.orderBy("rank")), F.lit(0.0)))
     shares = stage(shares, "mix-shares")
