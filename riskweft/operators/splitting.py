@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from riskweft.functions.rowmath import quoted
 from riskweft.sources.contract import SEED
 
 BUCKET_DIGITS = 3  # hex digits of the hash: 4096 buckets per stratum
@@ -75,12 +76,12 @@ def cut_by_hash(df: DataFrame, key: str, label: str, seed: int, uppers: Callable
         F.broadcast(table.withColumn("_first", interval(F.col("_lo"))).withColumn("_last", interval(F.col("_hi") - 1))),
         (F.col(label) == F.col("_label")) & (F.col("_b") == F.col("_bucket")),
     )
-    inside = placed.where("_first = _last").select(*df.columns, F.col("_first").alias(piece))
+    inside = placed.where("_first = _last").select(*map(quoted, df.columns), F.col("_first").alias(piece))
     within = Window.partitionBy(label, "_b").orderBy("_h", key)
     straddling = (
         placed.where("_first <> _last")
         .withColumn("_rank", F.col("_lo") + F.row_number().over(within) - 1)
-        .select(*df.columns, interval(F.col("_rank")).alias(piece))
+        .select(*map(quoted, df.columns), interval(F.col("_rank")).alias(piece))
     )
     return inside.unionByName(straddling)
 
@@ -91,7 +92,7 @@ def rank_in_class(df: DataFrame, key: str, label: str, seed: int, rank: str = "r
     table = _bucket_table(hashed, label)
     within = Window.partitionBy(label, "_b").orderBy("_h", key)
     joined = hashed.join(F.broadcast(table), (F.col(label) == F.col("_label")) & (F.col("_b") == F.col("_bucket")))
-    return joined.select(*df.columns, (F.col("_lo") + F.row_number().over(within) - 1).alias(rank))
+    return joined.select(*map(quoted, df.columns), (F.col("_lo") + F.row_number().over(within) - 1).alias(rank))
 
 
 def split_sizes(n: int, train: float = 0.70, validation: float = 0.15, test: float = 0.15) -> tuple[int, int, int]:
@@ -179,7 +180,7 @@ def oversample(df: DataFrame, ratio: float, key: str = "row_id", label: str = "Y
     )
     ranked = rank_in_class(df.where(F.col(label) == 1), key, label, seed, "_rank")
     copies = ranked.join(draws, "_rank").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
-    return copies.select(*df.columns).unionByName(df.where(F.col(label) == 0))
+    return copies.select(*map(quoted, df.columns)).unionByName(df.where(F.col(label) == 0))
 
 
 def resample(df: DataFrame, ratio: float, strategy: str, **kwargs) -> DataFrame:

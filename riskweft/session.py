@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_STAGED: dict[str, list[str]] = {}
 
 
 def build_session(app: str = "riskweft", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -65,4 +66,16 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = staging_path(spark, label)
     df.write.parquet(path)
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the tables that this application has staged; call it when their results have been read. Returns how many went."""
+    paths = _STAGED.pop(spark.sparkContext.applicationId, [])
+    settings = spark._jsparkSession.sessionState().newHadoopConf()
+    gone = 0
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(place.getFileSystem(settings).delete(place, True))
+    return gone
