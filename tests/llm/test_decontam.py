@@ -1,6 +1,6 @@
 import random
 
-from helpers import WORD, ascii_lower, documents
+from plain import WORD, ascii_lower, documents
 
 from riskweft.llm import decontam
 
@@ -11,7 +11,7 @@ def words(text):
     return WORD.findall(ascii_lower(text or ""))
 
 
-def plain(rows, items):
+def expected(rows, items):
     """All diagonals of all pairs, without seeds."""
     out = set()
     for doc, text in rows:
@@ -55,7 +55,7 @@ def test_against_plain_version(spark):
     rows, items = corpus()
     found = decontam.matches(documents(spark, rows), spark.createDataFrame([(*i, "x") for i in items], ITEMS)).collect()
     # Item 23 has the words of item 0 and goes by its name.
-    want = {(d, i) for d, i in plain(rows, items) if i != 23}
+    want = {(d, i) for d, i in expected(rows, items) if i != 23}
     assert {(r["doc_id"], r["item_id"]) for r in found} == want and len(want) > 30
     text = dict(rows)
     for r in found:

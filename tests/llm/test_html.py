@@ -52,7 +52,7 @@ def test_all_visible_words_come_out_once(spark):
     import os
     import re
 
-    from helpers import SF
+    from plain import SF
 
     if not os.path.isdir(SF):
         pytest.skip("test tables not present")

@@ -1,12 +1,12 @@
 import random
 
-from helpers import components, documents, shingles
+from plain import components, documents, shingles
 
 from riskweft.llm import jaccard
 from riskweft.llm.words import PIECE, shingle_sets, word_hashes
 
 
-def plain(rows):
+def expected(rows):
     sets = [shingles(t) for _, t in rows]
     links = []
     for i, a in enumerate(sets):
@@ -40,7 +40,7 @@ def corpus():
 def test_against_plain_version(spark):
     rows = corpus()
     found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.linked_documents(documents(spark, rows)).collect()}
-    assert found == plain(rows)
+    assert found == expected(rows)
     assert len({c for _, c in found.values()}) < len(rows) - 20
 
 
@@ -48,7 +48,7 @@ def test_small_tiles_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "TILE_ROWS", 3)
     rows = corpus()
     found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.linked_documents(documents(spark, rows)).collect()}
-    assert found == plain(rows)
+    assert found == expected(rows)
 
 
 def test_one_of_each_group(spark):

@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
-from helpers import documents
+from plain import documents
 
 from riskweft.llm import language, toxicity
 

@@ -1,11 +1,11 @@
 import random
 
-from helpers import documents, word_edits
+from plain import documents, word_edits
 
 from riskweft.llm import lines
 
 
-def plain(rows):
+def expected(rows):
     """Lines that stay, by (doc_id, text)."""
     places, first = [], {}
     for doc, text in sorted({(d, t) for d, t in rows if t is not None}, key=lambda x: (x[0] is None, x[0] or 0)):
@@ -37,7 +37,7 @@ def test_against_plain_version(spark):
             said.append((" " if r.random() < 0.3 else "") + ("  " if r.random() < 0.1 else " ").join(words).title())
         rows.append((d, "\n".join(said)))
     rows += [(None, rows[3][1] + "\none more line of words"), (70, None), (71, ""), (72, "\n\n"), rows[5], (73, "long word " * 5000)]
-    want = plain(rows)
+    want = expected(rows)
     found = lines.dedup_lines(documents(spark, rows)).collect()
     assert len(found) == len(rows)
     given = sorted((r[0] is None, r[0] or 0, r[1] or "") for r in rows)

@@ -1,5 +1,5 @@
 import pytest
-from helpers import WORD, documents
+from plain import WORD, documents
 
 from riskweft.llm import mixing
 

@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from helpers import WORD, documents, shingles
+from plain import WORD, documents, shingles
 
 from riskweft.llm import decontam, jaccard, language, lines
 

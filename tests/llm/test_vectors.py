@@ -2,7 +2,7 @@ import math
 import random
 
 import numpy as np
-from helpers import components
+from plain import components
 
 from riskweft.llm import vectors
 
@@ -23,7 +23,7 @@ def corpus():
     return rows
 
 
-def plain(rows):
+def expected(rows):
     def fine(v):
         return v and all(x is not None and math.isfinite(x) for x in v) and any(v)
 
@@ -46,7 +46,7 @@ def found(df):
 def test_against_plain_version(spark):
     rows = corpus()
     random.Random(1).shuffle(rows)
-    want = plain(rows)
+    want = expected(rows)
     table = spark.createDataFrame(rows, SCHEMA)
     assert found(vectors.linked_vectors(table)) == want
     assert found(vectors.linked_vectors(table, tile_rows=20, slice_rows=50)) == want
