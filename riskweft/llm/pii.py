@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweft.llm.common import cell_filter, passes
@@ -44,6 +44,8 @@ SUPPORT = 2
 GENERALISE = 0.75
 REMOVE = 0.95
 KEPT_LETTERS = 2
+#: Term counts that a task holds before it sends them on.
+HELD = 2_000_000
 _LAST = (1 << 63) - 1
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -152,7 +154,12 @@ def _document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """term, n_t: documents of the corpus that hold the term. terms: a column `term` of hashes."""
     cells = cell_filter(terms.select("term"))
 
+    def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        found, at = np.unique(np.concatenate([f for f, _ in held]), return_inverse=True)
+        return found, np.bincount(at.reshape(-1), weights=np.concatenate([n for _, n in held]), minlength=len(found)).astype(np.int64)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in pieces(batches, "text"):
             texts = text_bytes(batch.column("text"))
             starts, hashes = _hash_piece(b" ".join(texts).translate(_TERM_FOLD))
@@ -162,7 +169,16 @@ def _document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
                 continue
             row = np.searchsorted(ends, starts[hit], side="right")
             pairs = np.unique(np.stack([hashes[hit], row.astype(np.uint64)], axis=1), axis=0)
-            found, n = np.unique(pairs[:, 0], return_counts=True)
+            held.append(np.unique(pairs[:, 0], return_counts=True))
+            size += len(held[-1][0])
+            if size > HELD:
+                held = [merged(held)]
+                size = len(held[0][0])
+                if size > HELD // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(held[0][0])), pa.array(held[0][1])], ["term", "n"])
+                    held, size = [], 0
+        if held:
+            found, n = merged(held)
             yield pa.RecordBatch.from_arrays([pa.array(signed(found)), pa.array(n)], ["term", "n"])
 
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n_t"))
@@ -173,12 +189,19 @@ def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
     total = found.count()
     near = found.where("size(near) > 0")
     pair = near.select(F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))).alias("x")).select("x.*")
-    pairs = stage(pair.groupBy("entity", "term").agg(F.count("*").alias("n_ct")).where(F.col("n_ct") >= SUPPORT), "pii-pairs")
-    entities = near.select(F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_c"))
-    counted = pairs.join(entities.where(F.col("n_c") >= SUPPORT), "entity").join(_document_counts(docs, pairs.select("term")), "term")
+    pairs = pair.groupBy("entity", "term").agg(F.count("*").alias("n_ct")).where(F.col("n_ct") >= SUPPORT)
+    each = lambda field: near.select(F.explode(F.array_distinct(F.transform("near", lambda x: x[field]))).alias(field)).groupBy(field)
+    entities = each("entity").agg(F.count("*").alias("n_c")).where((F.col("n_c") >= SUPPORT) & (F.col("n_c") < total))
     n = F.lit(float(max(total, 1)))
-    shown = F.log(n * F.col("n_ct") / (F.col("n_c") * F.col("n_t"))) / F.log(n / F.col("n_c"))
-    return counted.where(F.col("n_c") < n).select("entity", "term", shown.alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
+
+    def shown(n_t: str) -> Column:
+        return F.log(n * F.col("n_ct") / (F.col("n_c") * F.col(n_t))) / F.log(n / F.col("n_c"))
+
+    # A term stands in at least as many documents as it stands in near entities: what falls short with those is out.
+    least = each("term").agg(F.count("*").alias("n_near"))
+    likely = stage(pairs.join(entities, "entity").join(least, "term").where(shown("n_near") >= GENERALISE).drop("n_near"), "pii-pairs")
+    counted = likely.join(_document_counts(docs, likely.select("term")), "term")
+    return counted.select("entity", "term", shown("n_t").alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
 
 
 def find_spans(docs: DataFrame) -> DataFrame:
