@@ -13,8 +13,8 @@ linear up to the softmax, a trained table folds to one number per cell, and a
 whole text is scored in one pass over its bytes.
 
 Nulls: a null or empty text has an empty bag and the score of the bias alone.
-Null labels are not learned from; a document with several label rows is learned
-once for each. Without a label of both kinds every score is 0.5 of the missing
+Null labels are not learned from; a document with both labels is learned once
+for each, repeated rows are learned once. Without a label of both kinds every score is 0.5 of the missing
 evidence: the share of label 1, or 0 without labels. A null doc_id joins no
 label. Repeated rows get equal scores. Extra columns are ignored.
 """
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from riskweft.llm.common import crc_mod
 from riskweft.llm.words import _BYTE, _power_tables, mix, pieces, text_bytes
+from riskweft.session import stage
 
 GRAMS = (3, 4, 5)
 CELL_BITS = 16
@@ -123,18 +124,25 @@ def train(examples: list[tuple[np.ndarray, np.ndarray, int]], weights: tuple[flo
 
 def learn(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) -> tuple[np.ndarray, float]:
     """docs: doc_id, text of the rows to learn from; labels: doc_id, toxic."""
-    known = labels.select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("y")).where("y IN (0, 1)")
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(known, F.col("doc_id") == F.col("__id")).select("y", "text", F.xxhash64("doc_id", "text").alias("h"))
-    shares = {r["y"]: r["n"] for r in known.join(docs.select("doc_id"), F.col("__id") == F.col("doc_id"), "left_semi").groupBy("y").agg(F.count("*").alias("n")).collect()}
+    known = labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("y")).where("y IN (0, 1)")
+    # The sample is chosen by hashes alone; only its texts are fetched.
+    hashed = docs.select(F.col("doc_id").alias("id"), F.xxhash64("doc_id", "text").alias("h"))
+    rows = stage(hashed.join(known, "id").select("y", "id", "h").distinct(), "toxic-labels")
+    shares = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     total = sum(shares.values())
     if len(shares) < 2:
         known_share = float(1 in shares)
         return np.zeros(1 << CELL_BITS), 30.0 if known_share else -30.0
-    place = Window.partitionBy("y").orderBy("h", "text")
-    sample = rows.withColumn("k", F.row_number().over(place)).where(F.col("k") <= per_label).select("y", "k", "text")
+    # First within slices of a label, then over what the slices leave.
+    slices, place = Window.partitionBy("y", "slice").orderBy("h", "id"), Window.partitionBy("y").orderBy("h", "id")
+    rows = rows.withColumn("slice", F.pmod("h", F.lit(64))).withColumn("k", F.row_number().over(slices)).where(F.col("k") <= per_label)
+    chosen = stage(rows.withColumn("k", F.row_number().over(place)).where(F.col("k") <= per_label).select("y", "id", "h", "k"), "toxic-sample")
+    texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64("doc_id", "text").alias("h"), F.col("text").cast("string").alias("text"))
+    # At most per_label rows of each label.
+    sample = texts.join(F.broadcast(chosen), ["id", "h"]).select("y", "k", "text").dropDuplicates(["y", "k"])
 
     def bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text", 1 << 20):
+        for batch in pieces(batches, "text"):
             found = bags(text_bytes(batch.column("text")))
             columns = [batch.column("y"), batch.column("k"), pa.array([c.tobytes() for c, _ in found], pa.binary()), pa.array([w.tobytes() for _, w in found], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["y", "k", "cells", "shares"])
@@ -152,7 +160,7 @@ def score(docs: DataFrame, table: np.ndarray, bias: float, carry: tuple[str, ...
     rows = docs.select(*(F.col(c).alias(f"__{c}") for c in carry), F.col("text").cast("string").alias("__text"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "__text", 1 << 20):
+        for batch in pieces(batches, "__text"):
             texts = text_bytes(batch.column("__text"))
             cells, first, many, text = cells_of(texts)
             words = np.add.reduceat(table[cells], first) / many if len(first) else np.zeros(0)
