@@ -251,7 +251,7 @@ def predict(docs: DataFrame, net: Network | None, languages: list[str], carry: t
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(net, len(languages))
-        for batch in pieces(batches, "__read", 2 << 20):
+        for batch in pieces(batches, "__read"):
             p = labeller.documents(text_bytes(batch.column("__read")))
             best = p.argmax(axis=1)
             score = np.minimum(p[np.arange(len(p)), best], 1.0)

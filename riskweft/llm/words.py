@@ -130,7 +130,7 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.large_binary()).to_pylist()]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches again, cut so that the named text column of each holds about `limit` bytes, or one row."""
     for batch in batches:
         sizes = [0 if n is None else n for n in pa.compute.binary_length(batch.column(column)).to_pylist()]
