@@ -9,7 +9,10 @@ its neighbourhood discloses c by PMI(c, t) / IC(c), with
 over documents: 1 means that whoever reads t knows c. Terms at or above
 GENERALISE are cut to their first letters, at or above REMOVE they go. n_ct
 counts documents in which t stands within REACH words of c and must be at least
-SUPPORT; n_t counts all documents of the corpus that hold t anywhere.
+SUPPORT; n_t counts all documents of the corpus that hold t anywhere. With
+`everywhere`, as the registered query asks, a term that discloses any entity is
+marked at all its places in all documents by its highest disclosure; what stands
+in a base span goes with it.
 
 Terms are counted in a second scan that keeps only candidates (a fixed-size
 table of cells says which hashes may be one), so what is shuffled follows the
@@ -204,21 +207,72 @@ def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
     return counted.select("entity", "term", shown("n_t").alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
 
 
-def find_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, tie, base, n_email, n_ip, n_card, n_phone, terms (sorted array of start, end, disclosure) for every row."""
+def _outside(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[str, int, int, str]]) -> np.ndarray:
+    """Which places touch no span."""
+    if not spans:
+        return np.ones(len(starts), bool)
+    taken = np.array(sorted((a, b) for _, a, b, _ in spans))
+    furthest = np.concatenate(([0], np.maximum.accumulate(taken[:, 1])))
+    return furthest[np.searchsorted(taken[:, 0], ends, side="left")] <= starts
+
+
+def _places(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """doc_id, tie, term, start, end: every place outside base spans whose hash may be one of `terms`; an exact join must follow."""
+    cells = cell_filter(terms)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            texts = text_bytes(batch.column("text"))
+            folded = b" ".join(texts).translate(_TERM_FOLD) + b" "
+            starts, hashes = _hash_piece(folded)
+            hit = np.flatnonzero(passes(cells, hashes))
+            if not len(hit):
+                continue
+            starts, hashes = starts[hit], hashes[hit]
+            bounds = np.cumsum([0] + [len(t) + 1 for t in texts])
+            row = np.searchsorted(bounds, starts, side="right") - 1
+            ends = np.array([folded.find(b" ", at) for at in starts.tolist()])
+            edges = np.flatnonzero(np.diff(row, prepend=-1)).tolist() + [len(row)]
+            for first, last in zip(edges, edges[1:]):
+                i = int(row[first])
+                # Characters up to each byte: the spans are in characters.
+                upto = np.cumsum((np.frombuffer(texts[i], np.uint8) & 0xC0) != 0x80, dtype=np.int32)
+                a, b = upto[starts[first:last] - bounds[i]] - 1, upto[ends[first:last] - bounds[i] - 1]
+                free = _outside(a, b, base_spans(texts[i].decode()))
+                a, b, found = a[free], b[free], hashes[first:last][free]
+                at = pa.array(np.full(len(a), i))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(at), batch.column("tie").take(at), pa.array(signed(found)), pa.array(a, pa.int32()), pa.array(b, pa.int32())],
+                    ["doc_id", "tie", "term", "start", "end"],
+                )
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(scan, "doc_id long, tie long, term long, start int, end int")
+
+
+def find_spans(docs: DataFrame, everywhere: bool = False) -> DataFrame:
+    """doc_id, tie, base, n_email, n_ip, n_card, n_phone, terms (sorted array of start, end, disclosure) for every row.
+
+    everywhere: terms at all their places in all documents, else only beside the entity that they disclose.
+    """
     found = _found(docs)
     shown = stage(disclosing(docs, found), "pii-terms")
-    rows = found.where("size(near) > 0").select("doc_id", "tie", F.explode("near").alias("x")).select("doc_id", "tie", "x.*")
-    marked = rows.join(shown, ["entity", "term"]).groupBy("doc_id", "tie", "start", "end").agg(F.max("disclosure").alias("disclosure"))
+    if everywhere:
+        highest = stage(shown.groupBy("term").agg(F.max("disclosure").alias("disclosure")), "pii-highest")
+        placed = _places(docs, highest.select("term")).join(highest, "term")
+    else:
+        rows = found.where("size(near) > 0").select("doc_id", "tie", F.explode("near").alias("x")).select("doc_id", "tie", "x.*")
+        placed = rows.join(shown, ["entity", "term"])
+    marked = placed.groupBy("doc_id", "tie", "start", "end").agg(F.max("disclosure").alias("disclosure"))
     spans = marked.groupBy("doc_id", "tie").agg(F.array_sort(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms"))
     spans = spans.select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), "terms")
     joined = found.drop("near").join(spans, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("tie") == F.col("__tie")), "left")
     return joined.drop("__id", "__tie").withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,disclosure:double>>")))
 
 
-def sanitise(docs: DataFrame) -> DataFrame:
-    """doc_id, text: base spans as <KIND>, disclosing terms cut to their first letters or removed."""
-    spans = find_spans(docs).dropDuplicates(["doc_id", "tie"])
+def sanitise(docs: DataFrame, everywhere: bool = False) -> DataFrame:
+    """doc_id, text: base spans as <KIND>, disclosing terms cut to their first letters or removed. everywhere: as in find_spans."""
+    spans = find_spans(docs, everywhere).dropDuplicates(["doc_id", "tie"])
     rows = docs.select("doc_id", F.xxhash64("text").alias("__tie"), "text").withColumnRenamed("doc_id", "__doc")
     joined = rows.join(spans, F.col("__doc").eqNullSafe(F.col("doc_id")) & (F.col("__tie") == F.col("tie")))
 

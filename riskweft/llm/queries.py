@@ -136,7 +136,7 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_pii")
 def pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.find_spans(table(spark, sf_dir, "documents"))
+    found = pii.find_spans(table(spark, sf_dir, "documents"), everywhere=True)
     terms = F.array_join(F.transform("terms", lambda t: F.format_string("term:%d:%d", t["start"], t["end"])), ",")
     return found.select(
         "doc_id", *(f"n_{k}" for k in pii.KINDS), F.sha2("base", 256).alias("base_sha256"),

@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from riskweft.llm import pii
+from riskweft.llm.queries import QUERIES
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -81,8 +82,28 @@ def test_sanitised_text(spark):
     assert "jane" not in done[300] and "<EMAIL>" in done[300] and "zorblax" not in done[300] and done[5] == corpus()[5][1]
 
 
+def test_disclosing_terms_go_wherever_they_stand(spark, tmp_path):
+    far = " ".join(f"filler{i}" for i in range(30))
+    rows = corpus() + [
+        (500, f"Zorblax, {far} ünd ZORBLAX at zorblax@other.org é zorblax."), (501, f"jane.doe@example.com {far} zorblax"), (502, "xzorblax zorblax2 zor blax"), (503, "\U0001f600é zorblax"),
+    ]
+    found = {r["doc_id"]: r for r in pii.find_spans(documents(spark, rows), everywhere=True).collect()}
+    for doc, text in rows:
+        base = [(a, b) for _, a, b in expected(text or "")]
+        want = [(m.start(), m.end()) for m in re.finditer("[0-9A-Za-z\x80-\U0010ffff]+", text or "") if m.group().lower() == "zorblax" and not any(a < m.end() and m.start() < b for a, b in base)]
+        marked = [(t["start"], t["end"]) for t in found[doc]["terms"] if "zorblax" in text[t["start"] : t["end"]].lower()]
+        assert marked == want, doc
+    assert len(found[500]["terms"]) >= 3 and found[401]["terms"] and found[501]["terms"] and not found[502]["terms"]
+    done = {r["doc_id"]: r["text"] for r in pii.sanitise(documents(spark, rows), everywhere=True).collect()}
+    assert all("zorblax" not in (done[d] or "").lower() for d, _ in rows if d != 502)
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    registered = {r["doc_id"]: r["n_terms"] for r in QUERIES["op1_pii"](spark, str(tmp_path)).collect()}
+    assert registered == {d: len(r["terms"]) for d, r in found.items()}
+
+
 def test_empty(spark):
     assert pii.find_spans(documents(spark, [])).count() == 0
+    assert pii.find_spans(documents(spark, []), everywhere=True).count() == 0
 
 
 def test_query_digest(spark):
