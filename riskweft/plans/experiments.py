@@ -251,13 +251,12 @@ def compare_models(fitted: dict[str, md.FittedModel], validation: DataFrame) ->
 
 def feature_group_experiments(df: DataFrame, sets: dict[str, Sequence[str]], spec: md.ModelSpec) -> DataFrame:
     """One fixed model per named feature set, compared on validation."""
-    scores = None
+    ready = {name: prepared_splits(df, a3_builder(groups=groups)) for name, groups in sets.items()}
+    fitted = md.fit_many(df.sparkSession, {n: partial(md.fit, spec, part(data, "train"), prep.output_columns) for n, (prep, data) in ready.items()})
+    scores = reduce(DataFrame.unionByName, [score_all({n: fitted[n]}, part(data, "validation")) for n, (_, data) in ready.items()])
     sizes = []
     for name, groups in sets.items():
-        prep, data = prepared_splits(df, a3_builder(groups=groups))
-        fitted = md.fit(spec, part(data, "train"), prep.output_columns)
-        scored = score_all({name: fitted}, part(data, "validation"))
-        scores = scored if scores is None else scores.unionByName(scored)
+        prep = ready[name][0]
         sizes.append((name, "+".join(groups), 23, len(prep.engineered_columns), len(prep.output_columns)))
     info = df.sparkSession.createDataFrame(
         sizes, "experiment string, feature_groups string, n_original_features int, n_new_features int, n_model_features int"
@@ -266,9 +265,8 @@ def feature_group_experiments(df: DataFrame, sets: dict[str, Sequence[str]], spe
 
 
 def resampling_experiments(train: DataFrame, validation: DataFrame, columns: Sequence[str], spec: md.ModelSpec, plans: Iterable[tuple[str, float]]) -> DataFrame:
-    fitted = {}
-    for strategy, ratio in plans:
-        fitted[f"{strategy}_{ratio:g}"] = md.fit(spec, stage(sp.resample(train, ratio, strategy), "resampled"), columns)
+    tables = {f"{strategy}_{ratio:g}": stage(sp.resample(train, ratio, strategy), "resampled") for strategy, ratio in plans}
+    fitted = md.fit_many(train.sparkSession, {n: partial(md.fit, spec, t, columns) for n, t in tables.items()})
     return record_columns(search_all(score_all(fitted, validation)))
 
 

@@ -1,12 +1,13 @@
 """Model, tuning, production and explanation queries (MOD*, TUN*, PRD*, XAI*).
 
-The registered runs use few and small trees, so that the protocol can be
-checked quickly; the operators default to the full settings.
+The registered runs use the operators' full settings: every default, search
+space, feature set, configuration and fold count of the protocol.
 """
 
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import functions as F
 
@@ -23,12 +24,12 @@ from riskweft.sources.contract import DELAY, FEATURES
 from riskweft.sources.panel import panel, with_panel
 
 R = 9
-BOOST = md.base_boosted(n_estimators=3, max_depth=2)
-LOGISTIC = md.ModelSpec("logistic_regression", "balanced", {"max_iter": 20}, "balanced")
-TREE = md.ModelSpec("decision_tree", "balanced", {"max_depth": 4, "min_samples_leaf": 5}, "balanced")
-FOREST = md.ModelSpec("random_forest", "balanced_subsample", {"n_estimators": 5, "max_depth": 4}, "balanced_subsample")
-HIST = md.ModelSpec("hist_gradient_boosting", "none", {"max_iter": 3, "max_depth": 3})
-CAT = md.ModelSpec("catboost", "C1_3", {"iterations": 3, "depth": 3})
+BOOST = md.base_boosted()
+LOGISTIC = md.ModelSpec("logistic_regression", "balanced", weighting="balanced")
+TREE = md.ModelSpec("decision_tree", "balanced", weighting="balanced")
+FOREST = md.ModelSpec("random_forest", "balanced_subsample", weighting="balanced_subsample")
+HIST = md.ModelSpec("hist_gradient_boosting", "none")
+CAT = md.ModelSpec("catboost", "C1_3", md.CATBOOST_CONFIGS[3])
 
 
 def labelled(spark, sf):
@@ -41,9 +42,13 @@ def prepared(spark, sf, groups=fe.ABLATIONS["A3"]):
     return prep.output_columns, ex.part(data, "train").drop("split"), ex.part(data, "validation").drop("split")
 
 
+def fit_all(specs: dict[str, md.ModelSpec], train, columns) -> dict[str, md.FittedModel]:
+    return md.fit_many(train.sparkSession, {n: partial(md.fit, s, train, columns) for n, s in specs.items()})
+
+
 def validated(spark, sf, specs: dict[str, md.ModelSpec]):
     columns, train, validation = prepared(spark, sf)
-    fitted = {n: md.fit(s, train, columns) for n, s in specs.items()}
+    fitted = fit_all(specs, train, columns)
     return ex.record_columns(ex.search_all(ex.score_all(fitted, validation)))
 
 
@@ -68,13 +73,15 @@ def mod2_logistic_regression(spark, sf):
 
 @query("mod3_decision_tree")
 def mod3_decision_tree(spark, sf):
-    return validated(spark, sf, {"none": replace(TREE, weighting=None), "balanced": TREE})
+    variants = {"none": None, "balanced": "balanced", "manual_light": "manual_light"}
+    return validated(spark, sf, {v: replace(TREE, variant=v, weighting=w) for v, w in variants.items()})
 
 
 @query("mod4_random_forest")
 def mod4_random_forest(spark, sf):
     columns, train, validation = prepared(spark, sf)
-    fitted = {v: md.fit(replace(FOREST, weighting=v), train, columns) for v in ("none", "balanced", "balanced_subsample", "manual_light")}
+    variants = {"none": None, "balanced": "balanced", "balanced_subsample": "balanced_subsample", "manual_light": "manual_light"}
+    fitted = fit_all({v: replace(FOREST, variant=v, weighting=w) for v, w in variants.items()}, train, columns)
     best = ex.best_variant(fitted, validation)
     return ex.record_columns(ex.search_all(ex.score_all(fitted, validation))).withColumn("is_best", F.col("experiment") == best)
 
@@ -102,7 +109,7 @@ def mod7_native_categorical_boosting(spark, sf):
 def mod8_model_ladder(spark, sf):
     columns, train, validation = prepared(spark, sf)
     ladder = {md.DUMMY: md.ModelSpec(md.DUMMY), "logistic_regression": LOGISTIC, "decision_tree": TREE, "random_forest": FOREST}
-    fitted = {n: md.fit(s, train, columns) for n, s in ladder.items()}
+    fitted = fit_all(ladder, train, columns)
     return sc.evaluate(ex.score_all(fitted, validation), 0.5, ["experiment"])
 
 
@@ -151,8 +158,8 @@ def mod10_hard_negative_mask(spark, sf):
 @query("mod10_hard_negative_experiments")
 def mod10_hard_negative_experiments(spark, sf):
     columns, train, validation = prepared(spark, sf)
-    oof = ex.oof_scores(train_features(spark, sf), BOOST, 2)
-    return ex.hard_negative_experiments(train, validation, columns, oof, replace(BOOST, params={**BOOST.params, "n_estimators": 2}))
+    oof = ex.oof_scores(train_features(spark, sf), BOOST, 5)
+    return ex.hard_negative_experiments(train, validation, columns, oof, BOOST)
 
 
 _BAND = [(s, (1 - s) / 2, 1 - (1 - s) / 2) for s in (0.2, 0.3, 0.4)]
@@ -172,8 +179,8 @@ def mod11_cascade_bands(spark, sf):
 @query("mod11_cascade")
 def mod11_cascade(spark, sf):
     columns, train, validation = prepared(spark, sf)
-    oof = ex.oof_scores(train_features(spark, sf), LOGISTIC, 2)
-    return ex.cascade_experiments(train, validation, columns, oof, md.fit(LOGISTIC, train, columns), max_iter=20)
+    oof = ex.oof_scores(train_features(spark, sf), BOOST, 5)
+    return ex.cascade_experiments(train, validation, columns, oof, md.fit(BOOST, train, columns))
 
 
 _SEGMENT = "case when late <= 0 then 'no_delay' when late <= 2 then 'light_delay' else 'recurrent_delay' end"
@@ -240,14 +247,14 @@ def mod13_weighted_ensemble(spark, sf):
 def mod13_model_comparison(spark, sf):
     columns, train, validation = prepared(spark, sf)
     specs = {"XGBoostClassifier": BOOST, "HistGradientBoostingClassifier": HIST, "RandomForestClassifier": FOREST}
-    out = ex.compare_models({n: md.fit(s, train, columns) for n, s in specs.items()}, validation)
+    out = ex.compare_models(fit_all(specs, train, columns), validation)
     return out["correlations"].join(out["overlaps"], ["model_a", "model_b"])
 
 
 @query("mod14_resampled_refits")
 def mod14_resampled_refits(spark, sf):
     columns, train, validation = prepared(spark, sf)
-    return ex.resampling_experiments(train, validation, columns, LOGISTIC, ex.RESAMPLING)
+    return ex.resampling_experiments(train, validation, columns, BOOST, ex.RESAMPLING)
 
 
 @query("mod15_ablations")
@@ -258,23 +265,21 @@ def mod15_ablations(spark, sf):
 @query("mod15_temporal_sets")
 def mod15_temporal_sets(spark, sf):
     train = ex.part(labelled(spark, sf), "train").drop("split")
-    sets = {n: fe.TEMPORAL_SETS[n] for n in ("T0_A3", "T1_PAY")}
-    return ex.temporal_experiments(train, LOGISTIC, 2, sets, staging_path(spark, "folds"))
+    return ex.temporal_experiments(train, BOOST, 3, fe.TEMPORAL_SETS, staging_path(spark, "folds"))
 
 
 @query("mod16_frozen_promotion")
 def mod16_frozen_promotion(spark, sf):
     built = stage(ex.a3_builder()(labelled(spark, sf)), "features")
     train, validation = (ex.part(built, s).drop("split") for s in ("train", "validation"))
-    specs = {"C1_0": replace(CAT, params={"iterations": 2, "depth": 2}), "C1_1": replace(CAT, params={"iterations": 2, "depth": 3})}
+    specs = {f"C1_{i}": md.ModelSpec("catboost", f"C1_{i}", params) for i, params in enumerate(md.CATBOOST_CONFIGS)}
     return ex.frozen_promotion(train, validation, specs, 3)
 
 
 @query("tun1_grid_search")
 def tun1_grid_search(spark, sf):
     columns, train, validation = prepared(spark, sf)
-    grid = [{"C": c, "penalty": p, "weighting": "balanced"} for c, p in ((0.3, "l2"), (1.0, "l1"))]
-    model, params, score = ex.grid_search(train, columns, LOGISTIC, grid)
+    model, params, score = ex.grid_search(train, columns, LOGISTIC, md.param_grid("logistic_regression"))
     record = ex.record_columns(ex.search_all(ex.score_all({"tuned": model}, validation)))
     return record.select("*", F.lit(score).alias("best_cv_score"), F.lit(str(sorted(params.items()))).alias("best_params"))
 
@@ -282,8 +287,7 @@ def tun1_grid_search(spark, sf):
 @query("tun2_random_search")
 def tun2_random_search(spark, sf):
     columns, train, validation = prepared(spark, sf)
-    space = {"n_estimators": [2, 3], "max_depth": [2, 3], "learning_rate": [0.05, 0.1], "weighting": [1.0, "light"]}
-    return ex.random_search(train, validation, columns, BOOST, space, 3)
+    return ex.random_search(train, validation, columns, BOOST, md.SEARCH_SPACES["xgboost"])
 
 
 @query("tun3_pos_weight_sweep")
@@ -354,35 +358,34 @@ def xai2_local_contributions(spark, sf):
 
 @query("flow_modeling_workflow")
 def flow_modeling_workflow(spark, sf):
-    ladder = {md.DUMMY: md.ModelSpec(md.DUMMY), "logistic_regression": LOGISTIC, "decision_tree": TREE}
-    grids = {"logistic_regression": [{"C": 1.0}], "decision_tree": [{"max_depth": 3}]}
-    return wf.modeling_workflow(labelled(spark, sf), ladder, grids, max_candidates=1)["champion_test"]
+    return wf.modeling_workflow(labelled(spark, sf))["champion_test"]
 
 
 @query("flow_variant_workflow")
 def flow_variant_workflow(spark, sf):
-    specs = [md.ModelSpec(md.DUMMY, "prior"), LOGISTIC, replace(TREE, variant="balanced")]
-    grids = {"logistic_regression": [{"C": 1.0}], "decision_tree": [{"max_depth": 3}]}
-    return wf.variant_workflow(labelled(spark, sf), specs, grids, 1)["frozen"]
+    # The boosted family is tuned on a sample of its space, as in the reference.
+    grids = {"xgboost": md.sample_params(md.SEARCH_SPACES["xgboost"], 18)}
+    return wf.variant_workflow(labelled(spark, sf), grids=grids)["frozen"]
 
 
 @query("flow_optimization_workflow")
 def flow_optimization_workflow(spark, sf):
-    space = {"n_estimators": [2, 3], "max_depth": [2], "learning_rate": [0.05, 0.1]}
-    return wf.optimization_workflow(labelled(spark, sf), BOOST, [{"max_depth": 2}], space, {"random_forest": FOREST}, 2)["records"]
+    space = md.SEARCH_SPACES["xgboost"]
+    rivals = {f"random_forest_{v}": replace(FOREST, variant=v, weighting=w) for v, w in (("none", None), ("balanced", "balanced"), ("balanced_subsample", "balanced_subsample"), ("manual_light", "manual_light"))}
+    rivals["hist_gradient_boosting"] = HIST
+    return wf.optimization_workflow(labelled(spark, sf), BOOST, md.sample_params(space, 18), space, rivals)["records"]
 
 
 @query("flow_trajectory_workflow")
 def flow_trajectory_workflow(spark, sf):
-    sets = {"T3_SHORTFALL": fe.TEMPORAL_SETS["T3_SHORTFALL"]}
-    return wf.trajectory_workflow(labelled(spark, sf), staging_path(spark, "run"), LOGISTIC, sets, 2, 2)["validation"]
+    return wf.trajectory_workflow(labelled(spark, sf), staging_path(spark, "run"))["validation"]
 
 
 @query("flow_hard_negative_workflow")
 def flow_hard_negative_workflow(spark, sf):
-    return wf.hard_negative_workflow(labelled(spark, sf), replace(BOOST, params={**BOOST.params, "n_estimators": 2}), 2)["best"]
+    return wf.hard_negative_workflow(labelled(spark, sf))["best"]
 
 
 @query("flow_continuation_workflow")
 def flow_continuation_workflow(spark, sf):
-    return wf.continuation_workflow(labelled(spark, sf), LOGISTIC, {"A0": fe.ABLATIONS["A0"]}, [("undersampling", 2.0)])["best"]
+    return wf.continuation_workflow(labelled(spark, sf))["best"]
