@@ -6,6 +6,9 @@ benchmark. Every hit gives a diagonal (where the item would start in the
 document), and the words along it are compared: the document is contaminated
 where a stretch of OVERLAP words (or the whole item, if it is shorter) agrees in
 80 % of its words. Items shorter than the first mask must stand there whole.
+The masks are chosen by enumeration: whichever words of a stretch the 80 % leave
+free to differ, one mask finds the rest. Masks for items of 7 to 9 and of 10 to
+14 words are used only where the benchmark holds such items.
 
 Before the join, windows whose hash falls into no cell of the benchmark's hash
 table go; the table has a fixed number of cells, whatever the benchmark's size.
@@ -29,8 +32,13 @@ from riskweft.llm.common import cell_filter, passes, passing
 from riskweft.llm.words import mix, pieces, signed, text_bytes, windows, word_hashes
 from riskweft.session import stage
 
-#: Word positions that count. The first skips every fifth word, so a replacement in each five words is always found.
-MASKS = ((0, 1, 2, 3, 5, 6), (0, 1, 3, 4, 7, 8), (0, 2, 3, 5, 8, 9))
+#: Word positions that count; with these, four words of 20 and three of 15 may differ anywhere.
+MASKS = ((0, 1, 2, 3, 5, 6), (0, 1, 3, 4, 7, 8), (0, 2, 3, 5, 8, 9), (0, 1, 2, 6, 10, 11))
+#: Further masks, by the lengths of the items that need them: two words of 10 to 14 may differ, one of 7 to 9.
+SHORT_MASKS = {
+    (10, 14): ((0, 1, 4, 5, 6, 7), (0, 2, 4, 5, 6, 7), (0, 1, 2, 3, 4, 6)),
+    (7, 9): ((0, 1, 2, 3, 4, 5), (0, 1, 2, 3, 4, 6), (0, 1, 2, 4, 5, 6), (0, 1, 3, 4, 5, 6), (0, 2, 3, 4, 5, 6)),
+}
 MIN_ITEM = 5
 OVERLAP = 20
 PERCENT = 80
@@ -41,11 +49,17 @@ def _document_key() -> list[Column]:
     return [F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("tie")]
 
 
-def _seeds(hashes: np.ndarray, short: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Position and hash of every masked window; windows of the lengths in `short` count whole."""
-    for k, mask in enumerate((*MASKS, *(tuple(range(n)) for n in short))):
-        found = mix(windows(hashes, mask) + np.uint64(1000 * k + mask[-1]))
-        yield np.arange(len(found)), found
+def _masks(n: int) -> tuple[tuple[int, ...], ...]:
+    """Masks by which an item of n words is found."""
+    if n <= MASKS[0][-1]:
+        return (tuple(range(n)),)
+    return MASKS + tuple(mask for (low, high), masks in SHORT_MASKS.items() if low <= n <= high for mask in masks)
+
+
+def _seeds(hashes: np.ndarray, masks: list[tuple[int, ...]]) -> Iterator[tuple[tuple[int, ...], np.ndarray]]:
+    """Each mask and the hashes of its windows, by their start. Masks are told apart by their positions."""
+    for mask in masks:
+        yield mask, mix(windows(hashes, mask) + np.uint64(sum(1 << i for i in mask)))
 
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
@@ -66,19 +80,19 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc, tie, item, first (word of the document, from 0), words, matched: one row per document text and item."""
     items = benchmark_items(benchmark)
-    span = 1 + MASKS[0][-1]
-    lengths = items.select((F.length("said") / 8).cast("int").alias("n")).where(F.col("n") < span).distinct()
-    short = sorted(r["n"] for r in lengths.collect())  # at most span lengths
+    # Lengths from OVERLAP on need the same masks, so few rows come to the driver.
+    lengths = items.select(F.least((F.length("said") / 8).cast("int"), F.lit(OVERLAP)).alias("n")).distinct()
+    masks = sorted({mask for r in lengths.collect() for mask in _masks(r["n"])})
 
     # Items shorter than the masks are looked for as whole windows of their length.
     def item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for item, said in zip(batch.column("item").to_pylist(), batch.column("said").to_pylist()):
                 said = np.frombuffer(said, np.uint64)
-                for k, (at, found) in enumerate(_seeds(said, short)):
-                    whole = k < len(MASKS) or short[k - len(MASKS)] == len(said)
-                    if whole and len(at):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), item)), pa.array(at.astype(np.int32)), pa.array(signed(found))], ["item", "at", "seed"])
+                for _, found in _seeds(said, _masks(len(said))):
+                    if len(found):
+                        at = pa.array(np.arange(len(found), dtype=np.int32))
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), item)), at, pa.array(signed(found))], ["item", "at", "seed"])
 
     seeds = stage(items.mapInArrow(item_seeds, "item long, at int, seed long"), "benchmark-seeds")
     cells = cell_filter(seeds.select("seed"))
@@ -87,8 +101,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         for batch in pieces(batches, "text"):
             hashes, counts = word_hashes(text_bytes(batch.column("text")))
             ends = np.cumsum(counts)
-            for k, (at, found) in enumerate(_seeds(hashes, short)):
-                mask = (*MASKS, *(tuple(range(n)) for n in short))[k]
+            for mask, found in _seeds(hashes, masks):
                 hit = np.flatnonzero(passes(cells, found))
                 row = np.searchsorted(ends, hit, side="right")
                 inside = hit + mask[-1] < ends[row]

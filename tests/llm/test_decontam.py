@@ -1,10 +1,13 @@
 import random
+from itertools import combinations
 
 from plain import WORD, ascii_lower, documents
 
 from riskweft.llm import decontam
 
 ITEMS = "item_id long, text string, first string"
+OLD = ((0, 1, 2, 3, 5, 6), (0, 1, 3, 4, 7, 8), (0, 2, 3, 5, 8, 9))
+OPEN = {c for c in combinations(range(20), 4) if all(set(c) & {at + i for i in m} for m in OLD for at in range(20 - m[-1]))}
 
 
 def words(text):
@@ -70,6 +73,31 @@ def test_every_fifth_word_changed_is_found(spark):
     assert sorted(str(r["doc_id"]) for r in left.collect()) == ["2", "None"] and left.columns == documents(spark, []).columns
 
 
+def test_masks_leave_no_placement_out():
+    for n in range(7, 60):
+        size = min(n, decontam.OVERLAP)
+        places = [frozenset(at + i for i in mask) for mask in decontam._masks(n) for at in range(size - mask[-1])]
+        for changed in combinations(range(size), size * (100 - decontam.PERCENT) // 100):
+            assert any(p.isdisjoint(changed) for p in places), (n, changed)
+
+
+def test_every_placement_in_short_items(spark):
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n)), "x") for n in range(5, 21)]
+    rows, want = [], set()
+    for n, said, _ in items:
+        for free in {0, n // 5, n // 5 + 1} if n >= 7 else {0, 1}:
+            # All placements, of 20 words only each tenth and those that three masks had left out.
+            for k, changed in enumerate(combinations(range(n), free)):
+                if n > 17 and k % 10 and changed not in OPEN:
+                    continue
+                text = " ".join("other" if i in changed else w for i, w in enumerate(said.split()))
+                rows.append((len(rows), f"before {text} after"))
+                if free <= (n // 5 if n >= 7 else 0):
+                    want.add((rows[-1][0], n))
+    found = decontam.matches(documents(spark, rows), spark.createDataFrame(items, ITEMS)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == want and len(want) > 2000
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], ITEMS)
     assert decontam.matches(documents(spark, [(1, "a b c d e f g")]), none).count() == 0
