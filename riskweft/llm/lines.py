@@ -16,8 +16,10 @@ stays; a line with an earlier near copy goes everywhere.
    pairs inside a group are made.
 4. The joined pairs are verified on the words themselves.
 
-Lines under MIN_WORDS words stay, and lines under MIN_NEAR words are only
-compared for equality (one edit in five words is a similarity of 0.8).
+Lines under MIN_NEAR words are only compared for equality (one edit in five
+words is a similarity of 0.8). drop_repeated, the stage of the pipeline, compares
+every line that has a word; dedup_lines leaves lines under `least` words where
+they are, by default MIN_WORDS as its SQL does.
 
 Nulls: a null text has no lines and stays null; a null doc_id stands last.
 Repeated rows with the same doc_id and text are one document and keep the same
@@ -55,11 +57,11 @@ def _plain(text: Column) -> Column:
     return F.lower(F.when(odd, F.trim(spaced)).otherwise(text))
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """doc, tie, line (its number from 0), said (its words, one space between), n, h1, h2; lines of at least MIN_WORDS words."""
+def occurrences(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """doc, tie, line (its number from 0), said (its words, one space between), n, h1, h2; lines of at least `least` words."""
     lines = docs.select(*_key(), F.posexplode(F.split(_plain(F.col("text")), "\n")).alias("line", "said"))
     n = F.octet_length("said") - F.octet_length(F.replace("said", F.lit(" "))) + F.when(F.col("said") == "", 0).otherwise(1)
-    return lines.withColumn("n", n).where(F.col("n") >= MIN_WORDS).withColumns({"h1": F.xxhash64("said"), "h2": F.xxhash64(F.lit(7), "said")})
+    return lines.withColumn("n", n).where(F.col("n") >= least).withColumns({"h1": F.xxhash64("said"), "h2": F.xxhash64(F.lit(7), "said")})
 
 
 def _halves() -> Column:
@@ -132,9 +134,9 @@ def near_lines(slim: DataFrame, spots: DataFrame, found: DataFrame) -> DataFrame
     return pairs.where(a == b).select("me.h1", "me.h2").distinct()
 
 
-def dropped_lines(docs: DataFrame) -> DataFrame:
+def dropped_lines(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """doc, tie, gone (sorted line numbers), n_near: documents that lose lines. gone holds repeated lines and near copies."""
-    found = occurrences(docs)
+    found = occurrences(docs, least)
     slim = stage(found.select("doc", "tie", "line", "n", "h1", "h2", F.when(F.col("n") >= MIN_NEAR, _halves()).alias("halves")), "lines")
     at = F.struct("doc", "tie", "line")
     spots = stage(slim.groupBy("h1", "h2").agg(F.min(at).alias("at"), F.max(at).alias("last"), F.min("n").alias("n")), "line-classes")
@@ -145,9 +147,9 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     return gone.groupBy("doc", "tie").agg(F.array_sort(F.collect_set("line")).alias("gone"), F.count(F.when(F.col("near"), 1)).alias("n_near"))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """docs without the lines that go, and with the added columns lines_gone (their numbers) and near_gone (near copies among them)."""
-    out = stage(dropped_lines(docs), "lines-gone")
+    out = stage(dropped_lines(docs, least), "lines-gone")
     doc, tie = _key()
     rows = docs.withColumn("__doc", doc).withColumn("__tie", tie)
     gone = out.select(F.col("doc").alias("__doc"), F.col("tie").alias("__tie"), F.col("gone").alias("lines_gone"), F.col("n_near").alias("near_gone"))
@@ -164,8 +166,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
 
 def drop_repeated(docs: DataFrame) -> DataFrame:
-    """docs with the lines that stay; a document that lost lines and has no word left goes. n_chars follows the text."""
-    done = dedup_lines(docs)
+    """docs with the lines that stay, of all lines with a word; a document that lost lines and has no word left goes. n_chars follows the text."""
+    done = dedup_lines(docs, least=1)
     changed = F.size("lines_gone") > 0
     done = done.where(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:

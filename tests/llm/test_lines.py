@@ -59,6 +59,14 @@ def test_earliest_of_many_near_copies_stays(spark):
     assert sorted(r["doc_id"] for r in left) == [0, 500]
 
 
+def test_stage_takes_short_lines_too(spark):
+    copy = "a line that stands in two documents\nEauouon.\n\n長い文章は一語\nyes  no"
+    rows = [(1, copy), (2, copy.upper()), (3, " eauouon. \nits own\n\nyes no\n\nyes"), (4, "長い文章は一語"), (5, "no"), (6, "yes\nits"), (7, "\n\n"), (None, "its\nother")]
+    left = {r["doc_id"]: (r["text"], r["n_chars"]) for r in lines.drop_repeated(documents(spark, rows)).collect()}
+    want = {1: copy, 3: "its own\n\n\nyes", 5: "no", 6: "its", 7: "\n\n", None: "other"}
+    assert left == {d: (t, len(t)) for d, t in want.items()}
+
+
 def test_empty(spark):
     assert lines.dedup_lines(documents(spark, [])).count() == 0
     assert [r["text"] for r in lines.drop_repeated(documents(spark, [(1, None), (2, "")])).collect()] in ([None, ""], ["", None])
