@@ -262,6 +262,16 @@ def mod15_ablations(spark, sf):
     return ex.feature_group_experiments(labelled(spark, sf), fe.ABLATIONS, BOOST)
 
 
+@query("mod15_feature_experiments")
+def mod15_feature_experiments(spark, sf):
+    return ex.feature_group_experiments(labelled(spark, sf), fe.EXPERIMENTS, BOOST)
+
+
+@query("mod15_focused_experiments")
+def mod15_focused_experiments(spark, sf):
+    return ex.feature_group_experiments(labelled(spark, sf), fe.FOCUSED_EXPERIMENTS, BOOST)
+
+
 @query("mod15_temporal_sets")
 def mod15_temporal_sets(spark, sf):
     train = ex.part(labelled(spark, sf), "train").drop("split")

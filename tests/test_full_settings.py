@@ -5,6 +5,7 @@ import pytest
 from riskweft.operators import features as fe
 from riskweft.plans import experiments as ex, models as md, workflows as wf
 from riskweft.queries import modeling as mq
+from riskweft.queries.registry import QUERIES
 
 
 @pytest.fixture
@@ -33,7 +34,7 @@ def calls(monkeypatch):
     catch(ex, "a3_builder", lambda df: df)
     catch(ex, "oof_scores", "oof")
     for module, names in (
-        (ex, ("temporal_experiments", "frozen_promotion", "grid_search", "random_search", "hard_negative_experiments", "resampling_experiments")),
+        (ex, ("temporal_experiments", "frozen_promotion", "grid_search", "random_search", "hard_negative_experiments", "resampling_experiments", "feature_group_experiments")),
         (wf, ("modeling_workflow", "variant_workflow", "optimization_workflow", "trajectory_workflow", "hard_negative_workflow", "continuation_workflow")),
     ):
         for name in names:
@@ -72,6 +73,12 @@ def test_searches_sets_and_folds_are_whole(calls, monkeypatch):
     assert [s.weighting for s in asked.values()] == [None, "balanced", "manual_light"]
 
 
+def test_feature_group_experiments_are_registered(calls):
+    for name, sets, n in (("feature_experiments", fe.EXPERIMENTS, 6), ("focused_experiments", fe.FOCUSED_EXPERIMENTS, 3), ("ablations", fe.ABLATIONS, 4)):
+        args, kwargs = calls(QUERIES[f"mod15_{name}"], "feature_group_experiments")
+        assert args == ("panel", sets, md.base_boosted()) and len(sets) == n and not kwargs
+
+
 def test_workflows_run_with_their_defaults(calls):
     for name in ("modeling", "hard_negative", "continuation"):
         assert calls(getattr(mq, f"flow_{name}_workflow"), f"{name}_workflow") == (("panel",), {})
