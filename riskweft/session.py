@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,25 +58,35 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return os.path.join(staging_root(spark), f"{label}-{uuid.uuid4().hex}")
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+def stage(df: DataFrame, label: str = "stage", folders: Sequence[str] = ()) -> DataFrame:
     """Write df once as Parquet in the shared folder and read it back.
 
     Later passes scan only the columns they need, and a lost executor costs a
-    re-read of files, not a recomputation of the lineage.
+    re-read of files, not a recomputation of the lineage. With folders, a pass
+    that filters on these columns reads only its own files.
     """
     spark = df.sparkSession
     path = staging_path(spark, label)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(*folders) if folders else df.write
+    writer.parquet(path)
     _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def release(table: DataFrame) -> None:
+    """Delete one staged table before the others, when nothing will read it any more."""
+    spark = table.sparkSession
+    _STAGED[spark.sparkContext.applicationId].remove(table.staged_path)
+    _delete(spark, table.staged_path)
 
 
 def drop_staged(spark: SparkSession) -> int:
     """Delete the tables that this application has staged; call it when their results have been read. Returns how many went."""
-    paths = _STAGED.pop(spark.sparkContext.applicationId, [])
-    settings = spark._jsparkSession.sessionState().newHadoopConf()
-    gone = 0
-    for path in paths:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        gone += bool(place.getFileSystem(settings).delete(place, True))
-    return gone
+    return sum(_delete(spark, path) for path in _STAGED.pop(spark.sparkContext.applicationId, []))
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True))
