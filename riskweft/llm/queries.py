@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweft.llm import chat, decontam, html, jaccard, language, lines, mixing, pii, toxicity, vectors
+from riskweft.llm import chat, codes, decontam, html, jaccard, language, lines, mixing, phrases, pii, toxicity, urls, vectors
 from riskweft.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +167,93 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_html_extraction")
 def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
+
+
+def _codes_sql(parts: int = codes.PARTS, entries: int = codes.ENTRIES, rounds: int = codes.ROUNDS) -> str:
+    """Every round in full: x is one part as exact doubles, b the codebook, s the assignment."""
+    steps = [f"""v AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda c: floor({codes.SCALE} * c::DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), x AS MATERIALIZED (
+  SELECT vec_id, label, p, x[p * len(x) // {parts} + 1 : (p + 1) * len(x) // {parts}] AS x FROM v, range({parts}) t(p)
+), b0 AS MATERIALIZED (
+  SELECT p, rank - 1 AS e, x FROM (SELECT *, row_number() OVER (PARTITION BY p ORDER BY vec_id) AS rank FROM x) WHERE rank <= {entries}
+)"""]
+    for i in range(rounds + 1):
+        steps.append(f"""s{i} AS MATERIALIZED (
+  SELECT vec_id, label, p, x, (near).e AS e, (near).d AS d FROM (
+    SELECT vec_id, any_value(label) AS label, x.p AS p, any_value(x.x) AS x, min({{'d': (list_inner_product(x.x, x.x) + list_inner_product(b.x, b.x) - 2 * list_inner_product(x.x, b.x))::BIGINT, 'e': e}}) AS near
+    FROM x JOIN b{i} b ON b.p = x.p GROUP BY vec_id, x.p)
+)""")
+        if i < rounds:
+            steps.append(f"""b{i + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM b{i} b LEFT JOIN (
+    SELECT p, e, list(floor(total / n) ORDER BY place) AS x FROM (
+      SELECT p, e, place, sum(c) AS total, count(*) AS n FROM (SELECT p, e, unnest(x) AS c, generate_subscripts(x, 1) AS place FROM s{i}) GROUP BY p, e, place
+    ) GROUP BY p, e) m ON m.p = b.p AND m.e = b.e
+)""")
+    return f"""WITH {", ".join(steps)}, c AS (
+  SELECT vec_id, any_value(label) AS label, string_agg(lower(format('{{:02x}}', e::BIGINT)), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM s{rounds} GROUP BY vec_id
+), h AS (
+  SELECT sha256(string_agg(c::BIGINT::VARCHAR, ',' ORDER BY p, e, place)) AS sha FROM (SELECT p, e, unnest(x) AS c, generate_subscripts(x, 1) AS place FROM b{rounds})
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, sha AS codebooks_sha256 FROM c, h
+"""
+
+
+PHRASES_SQL = rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p
+), total AS (
+  SELECT lang, sum(len(w))::HUGEINT AS n FROM w GROUP BY lang
+), f AS MATERIALIZED (
+  SELECT lang, g, count(*)::HUGEINT AS f FROM (SELECT lang, w[i:i+k-1] AS g FROM w, unnest(range(1, {phrases.LONGEST + 1})) t(k), unnest(range(1, len(w) - k + 2)) s(i)) GROUP BY lang, g HAVING count(*) >= {phrases.THRESHOLD}
+), held AS (
+  SELECT lang, g[i:i+k-1] AS g, max(f) AS most FROM f, unnest(range(2, len(g))) t(k), unnest(range(1, len(g) - k + 2)) s(i) GROUP BY ALL
+), c AS (
+  SELECT f.lang, f.g, f.f AS a FROM f LEFT JOIN held ON held.lang = f.lang AND held.g = f.g WHERE len(f.g) > 1 AND (most IS NULL OR 100 * most < 100 * f.f)
+), cuts AS (
+  SELECT c.lang, c.g, a, k, x.f AS l, y.f AS r, n, (1000 * a * n) // (x.f * y.f) AS score
+  FROM c CROSS JOIN LATERAL unnest(range(1, len(c.g))) t(k) JOIN f x ON x.lang = c.lang AND x.g = c.g[1:k] JOIN f y ON y.lang = c.lang AND y.g = c.g[k+1:] JOIN total ON total.lang = c.lang
+), best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS place FROM cuts) WHERE place = 1
+), ranked AS (
+  SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank FROM best
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= {phrases.PER_LANGUAGE}
+"""
+
+_SITES = ", ".join(f"('{verdict}', '{name.partition('/')[0]}', '/{name.partition('/')[2]}', '{name}')" for verdict, name in urls.SITE_RULES)
+_BLOCKED = "|".join(p.removeprefix("||").replace(".", "[.]") for v, p in urls.PATTERNS if v == urls.BLOCK)
+
+URLS_SQL = rf"""
+WITH rules(verdict, h, p, name) AS (VALUES {_SITES}), u AS (
+  SELECT page_id, row_number() OVER () AS place, coalesce(regexp_extract(url, '://([^/?#]*)', 1), '') AS host, coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages
+), l AS (
+  SELECT page_id, place, translate(host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM u
+), b AS (
+  SELECT place, arg_max(name, len(name)) AS name, arg_max(verdict, len(name)) AS verdict FROM l JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY place
+)
+SELECT page_id, host, path, b.name AS rule, coalesce(b.verdict, CASE WHEN regexp_matches(host, '(?:^|[.])(?:{_BLOCKED})') THEN 'block' ELSE 'allow' END) AS verdict
+FROM l LEFT JOIN b USING (place)
+"""
+
+
+@query("op11_vector_codes", _codes_sql())
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codes.compress(table(spark, sf_dir, "embeddings"))
+    return codes.label_errors(coded).select(
+        "vec_id", codes.code_text(F.col("entry")).alias("code"), "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"),
+    )
+
+
+@query("op12_collocations", PHRASES_SQL)
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(phrases.frequent_phrases(table(spark, sf_dir, "documents")))
+
+
+@query("op13_url_filters", URLS_SQL)
+def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
