@@ -14,7 +14,7 @@ cells, each with the step from which phrases whose hash falls into it are
 active. The table has this size whatever the corpus. Phrases that share a cell
 are active together; such a phrase starts earlier than it had to, or at all, but
 it too is counted for one whole cycle from its start, which is a function of the
-two cells of its subphrases. So a full table costs time and changes no count.
+cells of the phrases inside it. So a full table costs time and changes no count.
 Phrases are compared by their texts, never by hashes.
 
 Between steps only phrases inside their cycle are kept, and of those that have
@@ -62,7 +62,6 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: All separators become line feeds and both blanks become spaces.
 _FOLD = bytes(10 if b in b".,;:!?\x0a\x0b\x0c\x0d" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _FACTORS = mix(np.arange(1, 17, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
-_MASK = np.uint64((1 << CELL_BITS) - 1)
 
 #: lang, the step in which the phrase is first counted, phrase, occurrences. The empty phrase counts all words.
 COUNTS = "lang string, start int, phrase string, n bigint"
@@ -73,12 +72,12 @@ def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
-def _cells_of(hashes: list[np.ndarray]) -> np.ndarray:
-    """Cells of phrases whose j-th words have hashes[j]."""
+def _cells_of(hashes: list[np.ndarray], cells: int) -> np.ndarray:
+    """Cells of phrases whose j-th words have hashes[j]; their number is a power of two."""
     total = np.full(len(hashes[0]), len(hashes), np.uint64)
     for h, factor in zip(hashes, _FACTORS):
         total += h * factor
-    return (mix(total) & _MASK).astype(np.int64)
+    return (mix(total) & np.uint64(cells - 1)).astype(np.int64)
 
 
 def _blocks(texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray]]:
@@ -131,7 +130,7 @@ def _count(lang: str, words: list[bytes], places: np.ndarray, cells: np.ndarray,
 
     solid = places != 0
     # The step from which the phrase at each place lets longer ones start.
-    active = cells[_cells_of([hashes])].astype(np.int64)
+    active = cells[_cells_of([hashes], len(cells))].astype(np.int64)
     active[0] = NEVER
     here = active[places]
     if step < shards:
@@ -157,7 +156,8 @@ def _count(lang: str, words: list[bytes], places: np.ndarray, cells: np.ndarray,
             n = np.bincount(codes, minlength=len(unique))
             yield rows(start[counted], [p[counted] for p in parts], n[counted])
         if k < longest:
-            found = cells[_cells_of([hashes[p] for p in parts])]
+            # A cell that others have set says nothing before the phrase's own start.
+            found = np.maximum(cells[_cells_of([hashes[p] for p in parts], len(cells))], start)
             ids = np.full(len(places), -1, np.int64)
             ids[at] = codes
             here = np.full(len(places), NEVER, np.int64)
@@ -177,7 +177,7 @@ def _scan(cells: np.ndarray, step: int, shards: int, longest: int):
     return run
 
 
-def _reached(phrases: DataFrame) -> np.ndarray:
+def _reached(phrases: DataFrame, cells: int) -> np.ndarray:
     """Cells of the given phrases; at most one value for each cell comes to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +185,7 @@ def _reached(phrases: DataFrame) -> np.ndarray:
             found = []
             for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").cast(pa.large_binary()).to_pylist()):
                 hashes = _word_hashes(lang, phrase.split(b" "))
-                found.append(int(_cells_of([hashes[j : j + 1] for j in range(len(hashes))])[0]))
+                found.append(int(_cells_of([hashes[j : j + 1] for j in range(len(hashes))], cells)[0]))
             yield pa.RecordBatch.from_pydict({"cell": pa.array(found, pa.int32())})
 
     return phrases.mapInArrow(run, "cell int").distinct().toArrow()["cell"].to_numpy()
@@ -202,12 +202,12 @@ def shard_texts(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     return stage(rows.where("text <> ''"), "phrases-texts", ["shard"])
 
 
-def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST, shards: int = SHARDS) -> DataFrame:
+def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST, shards: int = SHARDS, cell_bits: int = CELL_BITS) -> DataFrame:
     """lang, phrase, n for every phrase of at most `longest` words with n >= threshold; the empty phrase holds all words of a language."""
     if longest * shards >= NEVER or longest > len(_FACTORS):
         raise ValueError("too many steps or words")
     texts = shard_texts(docs, shards)
-    cells = np.full(1 << CELL_BITS, NEVER, np.uint8)
+    cells = np.full(1 << cell_bits, NEVER, np.uint8)
     counts, complete, step, latest = None, [], 0, -1
     # The last phrases that can start do so in the step after the latest one in which a phrase reached the threshold.
     while step < shards or step <= latest + shards:
@@ -221,7 +221,7 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int =
             release(before)
         complete.append(stage(counts.where(ends).select("lang", "phrase", "n"), "phrases-complete"))
         grown = counts.where((F.col("n") >= threshold) & (F.col("phrase") != "") & (_words(F.col("phrase")) < longest))
-        new = _reached(grown.select("lang", "phrase"))
+        new = _reached(grown.select("lang", "phrase"), len(cells))
         new = new[cells[new] == NEVER]
         if len(new):
             cells[new] = step + 1
