@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import replace
-from functools import partial, reduce
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -63,50 +63,82 @@ def record_columns(best: DataFrame, keep: Sequence[str] = ("experiment",)) -> Da
 # --- out-of-fold scores ----------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class OofRun:
+    """One out-of-fold run: train holds row_id, the label and already built, label-free features."""
+
+    train: DataFrame
+    spec: md.ModelSpec
+    store: FoldStore | None = None
+    native: bool = False
+
+
+def _fold_fit(run: OofRun, folds: DataFrame, i: int, label: str) -> tuple[md.Fit, DataFrame]:
+    """The fit on all folds but one, with the preparation of its own rows, and the held-out rows ready to be scored."""
+    fit_rows, held = folds.where(F.col("fold") != i).drop("fold"), folds.where(F.col("fold") == i).drop("fold")
+    keep = ("row_id", label)
+    if run.native:
+        columns = [c for c in run.train.columns if c not in keep]
+        return md.Fit(run.spec, fit_rows, columns, label, categorical=md.raw_and_native(columns)[1]), held
+    prep = pp.fit_preparation(fit_rows, keep=keep)
+    return md.Fit(run.spec, pp.transform(prep, fit_rows, keep), prep.output_columns, label), pp.transform(prep, held, keep)
+
+
+def oof_many(runs: dict[str, OofRun], k: int = 3, label: str = "Y", seed: int = SEED) -> dict[str, DataFrame]:
+    """(row_index, y_true, oof_score, fold) of each run: each row scored once, by a model that has not seen its fold.
+
+    All folds of all runs are independent fits and are handed over together.
+    Runs on the same table share its folds; runs with the same native columns
+    also share the tables of their fits. Folds found in a store are not computed
+    again.
+    """
+    tasks, held, shared, started = {}, {}, {}, time.monotonic()
+    folded: dict[int, DataFrame] = {}
+    for name, run in runs.items():
+        folds = folded.setdefault(id(run.train), None) or stage(sp.stratified_folds(run.train, k, label=label, seed=seed), "folds")
+        folded[id(run.train)] = folds
+        done = run.store.finished() if run.store else set()
+        for i in range(k):
+            if i in done:
+                continue
+            if (id(run.train), run.native, i) not in shared:
+                shared[id(run.train), run.native, i] = _fold_fit(run, folds, i, label)
+            first, rows = shared[id(run.train), run.native, i]
+            tasks[name, i], held[name, i] = replace(first, spec=run.spec), rows
+    fitted = md.fit_many(next(iter(runs.values())).train.sparkSession, tasks) if tasks else {}
+    elapsed = (time.monotonic() - started) / max(1, len(tasks))
+    out = {}
+    for name, run in runs.items():
+        parts = []
+        for i in range(k):
+            if (name, i) not in fitted:
+                continue
+            rows = fitted[name, i].score(held[name, i], ["row_id", label]).select("row_id", F.col(label).cast("int").alias("label"), "score")
+            if run.store:
+                rows = stage(rows, "fold")
+                folded_scores = sc.fold_scores(rows)
+                auc = sc.rank_metrics(folded_scores).first()["roc_auc"]
+                f1 = sc.fast_threshold(sc.threshold_counts(folded_scores)).first()["f1_binary"]
+                run.store.save(i, rows.select("*", F.lit(auc).alias("auc"), F.lit(f1).alias("f1_binary"), F.lit(elapsed).alias("elapsed_seconds")))
+            else:
+                parts.append(rows.withColumn("fold", F.lit(i)))
+        result = run.store.load() if run.store else stage(reduce(DataFrame.unionByName, parts), "oof")
+        out[name] = result.select(F.col("row_id").alias("row_index"), F.col("label").alias("y_true"), F.col("score").alias("oof_score"), "fold")
+        require_one_score(out[name], run.train)
+    return out
+
+
 def oof_scores(
     train: DataFrame, spec: md.ModelSpec, k: int = 3, label: str = "Y", store: FoldStore | None = None, seed: int = SEED, native: bool = False,
 ) -> DataFrame:
-    """(row_index, y_true, oof_score, fold): each row scored once, by a model that has not seen its fold.
+    """One run of oof_many."""
+    return oof_many({"": OofRun(train, spec, store, native)}, k, label, seed)[""]
 
-    train holds row_id, the label and already built, label-free features; the
-    preparation is refitted inside every fold. Folds found in the store are not
-    computed again.
-    """
-    folds = stage(sp.stratified_folds(train, k, label=label, seed=seed), "folds")
-    done = store.finished() if store else set()
-    parts = []
-    for i in range(k):
-        if i in done:
-            continue
-        started = time.monotonic()
-        fit_rows, held = folds.where(F.col("fold") != i).drop("fold"), folds.where(F.col("fold") == i).drop("fold")
-        if native:
-            columns = [c for c in train.columns if c not in ("row_id", label)]
-            fitted = md.fit(spec, fit_rows, columns, label, categorical=md.raw_and_native(columns)[1])
-            scored = fitted.score(held, ["row_id", label])
-        else:
-            prep = pp.fit_preparation(fit_rows, keep=("row_id", label))
-            fitted = md.fit(spec, pp.transform(prep, fit_rows, ("row_id", label)), prep.output_columns, label)
-            scored = fitted.score(pp.transform(prep, held, ("row_id", label)), ["row_id", label])
-        rows = scored.select("row_id", F.col(label).cast("int").alias("label"), "score")
-        if store:
-            rows = stage(rows, "fold")
-            folded = sc.fold_scores(rows)
-            auc = sc.rank_metrics(folded).first()["roc_auc"]
-            f1 = sc.fast_threshold(sc.threshold_counts(folded)).first()["f1_binary"]
-            store.save(i, rows.select("*", F.lit(auc).alias("auc"), F.lit(f1).alias("f1_binary"), F.lit(time.monotonic() - started).alias("elapsed_seconds")))
-        else:
-            parts.append(rows.withColumn("fold", F.lit(i)))
-    if store:
-        result = store.load()
-    else:
-        result = parts[0]
-        for p in parts[1:]:
-            result = result.unionByName(p)
-        result = stage(result, "oof")
-    out = result.select(F.col("row_id").alias("row_index"), F.col("label").alias("y_true"), F.col("score").alias("oof_score"), "fold")
-    require_one_score(out, train)
-    return out
+
+def _named_scores(oofs: dict[str, DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [
+        oof.select(F.lit(name).alias("experiment"), F.col("row_index").alias("row_id"), F.col("y_true").alias("label"), F.col("oof_score").alias("score")) for name, oof in oofs.items()
+    ])
 
 
 def require_one_score(oof: DataFrame, train: DataFrame) -> None:
@@ -134,10 +166,11 @@ def hard_negative_experiments(train: DataFrame, validation: DataFrame, columns:
     marked = stage(with_hard_negatives(oof).withColumnRenamed("row_index", "row_id").drop("y_true", "fold", "oof_score"), "marks")
     joined = stage(train.join(marked, "row_id"), "weighted")
     plans = [(name, weight, md.BASE_POS_WEIGHT) for name in dg.HARD_SHARES for weight in (2.0, 3.0)] + [("top_10pct", 2.0, 1.0)]
-    tasks = {"baseline": lambda: md.fit(base, train, columns)}
+    # The baseline stands on the joined table too, with weight one, so all models share their passes.
+    tasks = {"baseline": md.Fit(base, joined, columns)}
     for name, weight, scale in plans:
         row_weight = F.when(F.col(name), weight).otherwise(1.0)
-        tasks[f"hn_{name}_{weight:g}_spw_{scale:g}"] = partial(md.fit, replace(base, weighting=scale), joined, columns, row_weight=row_weight)
+        tasks[f"hn_{name}_{weight:g}_spw_{scale:g}"] = md.Fit(replace(base, weighting=scale), joined, columns, row_weight=row_weight)
     fitted = md.fit_many(train.sparkSession, tasks)
     scores = score_all(fitted, validation)
     first = search_all(scores.where("experiment = 'baseline'"), objective="f1")
@@ -158,16 +191,16 @@ def cascade_experiments(train: DataFrame, validation: DataFrame, columns: Sequen
     scored = stage(train.join(oof.select(F.col("row_index").alias("row_id"), F.col("oof_score").alias("stage1_score")), "row_id"), "stage1")
     held = stage(first.score(validation, score="stage1_score"), "stage1")
     spec = md.ModelSpec("logistic_regression", "specialist", {"max_iter": max_iter}, "balanced")
+    bands = {f"cascade_central_{round(share * 100, 6):g}": (low, high) for share, low, high in cascade_bands(oof)}
+    inner = {name: scored.where(F.col("stage1_score").between(low, high)) for name, (low, high) in bands.items()}
+    specialists = md.fit_many(train.sparkSession, {name: md.Fit(spec, band, [*columns, "stage1_score"]) for name, band in inner.items()})
     parts, facts = [], []
-    for share, low, high in cascade_bands(oof):
-        band = scored.where(F.col("stage1_score").between(low, high))
-        specialist = md.fit(spec, band, [*columns, "stage1_score"])
+    for name, (low, high) in bands.items():
         inside = F.col("stage1_score").between(low, high)
-        name = f"cascade_central_{int(share * 100)}"
-        parts.append(specialist.score(held, ["row_id", "Y", "stage1_score"]).select(
+        parts.append(specialists[name].score(held, ["row_id", "Y", "stage1_score"]).select(
             F.lit(name).alias("experiment"), "row_id", F.col("Y").alias("label"), F.when(inside, F.col("score")).otherwise(F.col("stage1_score")).alias("score")
         ))
-        row = band.agg(F.count(F.lit(1)).alias("n"), F.avg("Y").alias("rate")).first()
+        row = inner[name].agg(F.count(F.lit(1)).alias("n"), F.avg("Y").alias("rate")).first()
         facts.append((name, low, high, row["n"], row["rate"]))
     scores = parts[0]
     for p in parts[1:]:
@@ -252,7 +285,7 @@ def compare_models(fitted: dict[str, md.FittedModel], validation: DataFrame) ->
 def feature_group_experiments(df: DataFrame, sets: dict[str, Sequence[str]], spec: md.ModelSpec) -> DataFrame:
     """One fixed model per named feature set, compared on validation."""
     ready = {name: prepared_splits(df, a3_builder(groups=groups)) for name, groups in sets.items()}
-    fitted = md.fit_many(df.sparkSession, {n: partial(md.fit, spec, part(data, "train"), prep.output_columns) for n, (prep, data) in ready.items()})
+    fitted = md.fit_many(df.sparkSession, {n: md.Fit(spec, part(data, "train"), prep.output_columns) for n, (prep, data) in ready.items()})
     scores = reduce(DataFrame.unionByName, [score_all({n: fitted[n]}, part(data, "validation")) for n, (_, data) in ready.items()])
     sizes = []
     for name, groups in sets.items():
@@ -266,7 +299,7 @@ def feature_group_experiments(df: DataFrame, sets: dict[str, Sequence[str]], spe
 
 def resampling_experiments(train: DataFrame, validation: DataFrame, columns: Sequence[str], spec: md.ModelSpec, plans: Iterable[tuple[str, float]]) -> DataFrame:
     tables = {f"{strategy}_{ratio:g}": stage(sp.resample(train, ratio, strategy), "resampled") for strategy, ratio in plans}
-    fitted = md.fit_many(train.sparkSession, {n: partial(md.fit, spec, t, columns) for n, t in tables.items()})
+    fitted = md.fit_many(train.sparkSession, {n: md.Fit(spec, t, columns) for n, t in tables.items()})
     return record_columns(search_all(score_all(fitted, validation)))
 
 
@@ -275,27 +308,19 @@ RESAMPLING = tuple((s, r) for s in ("undersampling", "oversampling") for r in (3
 
 def temporal_experiments(df: DataFrame, spec: md.ModelSpec, k: int = 3, sets: dict[str, Sequence[str]] | None = None, store_root: str | None = None) -> DataFrame:
     """Out-of-fold records per trajectory set; train is a table of raw columns and the label."""
-    parts, sizes = None, []
+    runs, sizes = {}, []
     for name, groups in (sets or TEMPORAL_SETS).items():
         built = stage(a3_builder(groups, carry=("row_id", "Y"))(df), "features")
-        store = FoldStore(df.sparkSession, f"{store_root}/{name}") if store_root else None
-        oof = oof_scores(built, spec, k, store=store).select(
-            F.lit(name).alias("experiment"), F.col("row_index").alias("row_id"), F.col("y_true").alias("label"), F.col("oof_score").alias("score")
-        )
-        parts = oof if parts is None else parts.unionByName(oof)
+        runs[name] = OofRun(built, spec, FoldStore(df.sparkSession, f"{store_root}/{name}") if store_root else None)
         sizes.append((name, "A3+" + ("+".join(groups) or "none"), len(built.columns) - 2))
+    parts = _named_scores(oof_many(runs, k))
     info = df.sparkSession.createDataFrame(sizes, "experiment string, feature_set string, n_features int")
     return record_columns(search_all(parts, objective="f1")).join(info, "experiment")
 
 
 def frozen_promotion(train: DataFrame, validation: DataFrame, specs: dict[str, md.ModelSpec], k: int = 3, native: bool = True) -> DataFrame:
     """Configuration and threshold come from out-of-fold scores on train; validation is scored once with both frozen."""
-    parts = None
-    for name, spec in specs.items():
-        oof = oof_scores(train, spec, k, native=native).select(
-            F.lit(name).alias("experiment"), F.col("row_index").alias("row_id"), F.col("y_true").alias("label"), F.col("oof_score").alias("score")
-        )
-        parts = oof if parts is None else parts.unionByName(oof)
+    parts = _named_scores(oof_many({name: OofRun(train, spec, native=native) for name, spec in specs.items()}, k))
     records = stage(search_all(parts, objective="f1"), "oof")
     chosen = records.orderBy(F.desc("f1_binary"), F.desc("precision"), F.desc("roc_auc"), "experiment").first()
     columns = [c for c in train.columns if c not in ("row_id", "Y")]
@@ -319,9 +344,8 @@ def grid_search(train: DataFrame, columns: Sequence[str], spec: md.ModelSpec, gr
     """
     folds = stage(sp.stratified_folds(train, k, label=label), "folds")
     specs = [spec.with_params(**point) for point in grid]
-    tasks = {
-        (j, i): partial(md.fit, point, folds.where(F.col("fold") != i).drop("fold"), columns, label) for j, point in enumerate(specs) for i in range(k)
-    }
+    others = [folds.where(F.col("fold") != i).drop("fold") for i in range(k)]
+    tasks = {(j, i): md.Fit(point, others[i], columns, label) for j, point in enumerate(specs) for i in range(k)}
     fitted = md.fit_many(train.sparkSession, tasks, parallelism)
     parts = [
         model.score(folds.where(F.col("fold") == i), [label]).select(F.lit(j).alias("point"), F.lit(i).alias("fold"), F.col(label).alias("label"), "score")
@@ -337,7 +361,7 @@ def grid_search(train: DataFrame, columns: Sequence[str], spec: md.ModelSpec, gr
 def random_search(train: DataFrame, validation: DataFrame, columns: Sequence[str], spec: md.ModelSpec, space: dict[str, list], count: int = 12) -> DataFrame:
     """Sampled settings, each with its own threshold search on validation."""
     sampled = md.sample_params(space, count, spec.seed)
-    fitted = md.fit_many(train.sparkSession, {f"config_{i}": partial(md.fit, spec.with_params(**p), train, columns) for i, p in enumerate(sampled)})
+    fitted = md.fit_many(train.sparkSession, {f"config_{i}": md.Fit(spec.with_params(**p), train, columns) for i, p in enumerate(sampled)})
     info = train.sparkSession.createDataFrame(
         [(f"config_{i}", {k: str(v) for k, v in p.items()}) for i, p in enumerate(sampled)], "experiment string, hyperparameters map<string,string>"
     )
@@ -346,7 +370,7 @@ def random_search(train: DataFrame, validation: DataFrame, columns: Sequence[str
 
 def pos_weight_sweep(train: DataFrame, validation: DataFrame, columns: Sequence[str], spec: md.ModelSpec, label: str = "Y") -> DataFrame:
     grid = [r["scale_pos_weight"] for r in sp.pos_weight_grid(train, label).collect()]
-    fitted = md.fit_many(train.sparkSession, {f"scale_pos_weight_sweep:{w}": partial(md.fit, replace(spec, weighting=w), train, columns, label) for w in grid})
+    fitted = md.fit_many(train.sparkSession, {f"scale_pos_weight_sweep:{w}": md.Fit(replace(spec, weighting=w), train, columns, label) for w in grid})
     return record_columns(search_all(score_all(fitted, validation, label)))
 
 
@@ -358,7 +382,7 @@ def best_variant(fitted: dict[str, md.FittedModel], validation: DataFrame) -> st
 
 def variant_round(train: DataFrame, validation: DataFrame, columns: Sequence[str], specs: Sequence[md.ModelSpec]) -> DataFrame:
     """Comparison row of every model variant, all evaluated in one grouped plan."""
-    fitted = md.fit_many(train.sparkSession, {f"{s.family}/{s.variant}": partial(md.fit, s, train, columns) for s in specs})
+    fitted = md.fit_many(train.sparkSession, {f"{s.family}/{s.variant}": md.Fit(s, train, columns) for s in specs})
     scores = score_all(fitted, validation)
     folded = sc.fold_scores(scores, ["experiment"])
     table = sc.threshold_table(folded, ["experiment"])

@@ -1,9 +1,8 @@
-"""Distributed model training on Spark ML.
+"""Distributed model training: Spark ML for linear models, trees and forests, boosting.py for boosted families.
 
 A model is a specification (family, variant, parameters, weighting); fitting
 gives an object that adds a score column to any table with the same columns.
-Boosted families map to GBTClassifier, so the contract is protocol and
-quality, not digits.
+The contract is protocol and quality, not digits.
 """
 
 from __future__ import annotations
@@ -16,14 +15,16 @@ from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskweft.functions.rowmath import quoted
+from riskweft.operators.encoding import TargetStatistics, fit_target_statistics
 from riskweft.operators.splitting import class_sizes, class_weight
+from riskweft.plans import boosting as bo
 from riskweft.sources.contract import CATEGORICAL, SEED
 
 DUMMY = "dummy_classifier"
@@ -37,11 +38,16 @@ DEFAULTS: dict[str, dict[str, Any]] = {
     "logistic_regression": {"C": 1.0, "penalty": "l2", "max_iter": 2000},
     "decision_tree": {"min_samples_leaf": 50, "max_depth": 30},
     "random_forest": {"n_estimators": 300, "min_samples_leaf": 1, "max_depth": 30, "max_features": "sqrt"},
-    "hist_gradient_boosting": {"max_iter": 100, "learning_rate": 0.1, "max_depth": 5, "min_samples_leaf": 20},
-    "xgboost": {"n_estimators": 400, "max_depth": 4, "learning_rate": 0.05, "min_child_weight": 3, "subsample": 0.85, "colsample_bytree": 0.85},
-    "catboost": {"iterations": 250, "depth": 6, "learning_rate": 0.05},
+    "hist_gradient_boosting": {"max_iter": 100, "learning_rate": 0.1, "max_depth": None, "max_leaf_nodes": 31, "min_samples_leaf": 20, "l2_regularization": 0.0},
+    "xgboost": {
+        "n_estimators": 400, "max_depth": 4, "learning_rate": 0.05, "min_child_weight": 3, "subsample": 0.85, "colsample_bytree": 0.85,
+        "reg_lambda": 5.0, "reg_alpha": 0.0, "gamma": 0.0,
+    },
+    "catboost": {"iterations": 250, "depth": 6, "learning_rate": 0.05, "l2_leaf_reg": 3.0},
+}
+BOOSTED_BASE = {
+    "n_estimators": 200, "max_depth": 4, "learning_rate": 0.03, "min_child_weight": 1, "subsample": 0.85, "colsample_bytree": 0.7, "reg_lambda": 5.0, "reg_alpha": 0.5,
 }
-BOOSTED_BASE = {"n_estimators": 200, "max_depth": 4, "learning_rate": 0.03, "min_child_weight": 1, "subsample": 0.85, "colsample_bytree": 0.7}
 BASE_POS_WEIGHT = 2.640743
 CATBOOST_CONFIGS = (
     {"iterations": 300, "depth": 4, "learning_rate": 0.05},
@@ -55,12 +61,19 @@ SEARCH_SPACES: dict[str, dict[str, list]] = {
     "random_forest": {
         "n_estimators": [200, 400], "max_depth": [8, 12], "min_samples_leaf": [5, 25], "weighting": ["balanced_subsample", None, "manual_light"],
     },
-    "hist_gradient_boosting": {"learning_rate": [0.03, 0.05, 0.1], "max_iter": [200, 400], "max_depth": [4, 5, 6], "min_samples_leaf": [20, 50]},
+    "hist_gradient_boosting": {
+        "learning_rate": [0.03, 0.05, 0.1], "max_iter": [200, 400], "max_leaf_nodes": [15, 31], "max_depth": [None, 6], "min_samples_leaf": [20, 50],
+        "l2_regularization": [0.0, 0.1, 1.0],
+    },
     "xgboost": {
         "n_estimators": [200, 400, 800], "max_depth": [3, 4, 5, 6], "learning_rate": [0.03, 0.05, 0.1], "min_child_weight": [1, 3, 5],
-        "subsample": [0.7, 0.85, 1.0], "colsample_bytree": [0.7, 0.85, 1.0], "weighting": [1.0, "light", "scale_balanced"],
+        "subsample": [0.7, 0.85, 1.0], "colsample_bytree": [0.7, 0.85, 1.0], "reg_lambda": [1.0, 5.0, 10.0], "reg_alpha": [0.0, 0.5, 1.0],
+        "weighting": [1.0, "light", "scale_balanced"],
     },
 }
+#: What the search after threshold tuning draws from: the tuning space and the minimum gain.
+F1_SPACE = {**SEARCH_SPACES["xgboost"], "gamma": [0.0, 0.25, 0.5]}
+BOOSTED = ("hist_gradient_boosting", "xgboost", "catboost")
 
 
 @dataclass(frozen=True)
@@ -90,12 +103,18 @@ class FittedModel:
     columns: tuple[str, ...]
     model: Any
     prior: float | None = None
+    statistics: TargetStatistics | None = None
 
     def score(self, df: DataFrame, keep: Sequence[str] | None = None, score: str = "score") -> DataFrame:
         """Kept columns (default: all) and the positive-class probability."""
         kept = [quoted(c) for c in (df.columns if keep is None else keep)]
         if self.prior is not None:
             return df.select(*kept, F.lit(self.prior).alias(score))
+        if isinstance(self.model, bo.BoostedModel):
+            if self.statistics is not None:
+                df = self.statistics.transform(df, kept)
+                return df.select(*kept, self.model.probability([F.col(quoted(self.statistics.coded(c))) for c in self.columns]).alias(score))
+            return df.select(*kept, self.model.probability([F.col(quoted(c)) for c in self.columns]).alias(score))
         scored = self.model.transform(df.withColumns(dict(zip(_inputs(self.columns), (F.col(quoted(c)) for c in self.columns)))))
         return scored.select(*kept, vector_to_array("probability")[1].alias(score))
 
@@ -103,6 +122,12 @@ class FittedModel:
     def stage(self):
         return self.model.stages[-1]
 
+    @property
+    def importances(self) -> list[float]:
+        """Share of each column in the gains of all splits, for tree models."""
+        values = self.model.importances() if isinstance(self.model, bo.BoostedModel) else self.stage.featureImportances.toArray()
+        return [float(v) for v in values]
+
 
 def _inputs(columns: Sequence[str]) -> list[str]:
     """Names for the columns that the ML stages accept, whatever characters the columns have."""
@@ -126,24 +151,28 @@ def _estimator(spec: ModelSpec, total_weight: float, bins: int = MIN_BINS):
             numTrees=s["n_estimators"], maxDepth=s["max_depth"], minInstancesPerNode=s["min_samples_leaf"],
             featureSubsetStrategy=str(s["max_features"]), **tree,
         )
+    raise ValueError(f"no estimator for {spec.family}")
+
+
+def growth_of(spec: ModelSpec) -> bo.Growth:
+    """How a boosted family grows its trees."""
+    s = spec.settings
     if spec.family == "hist_gradient_boosting":
-        return GBTClassifier(
-            maxIter=s["max_iter"], stepSize=s["learning_rate"], maxDepth=s["max_depth"], minInstancesPerNode=s["min_samples_leaf"], **tree
+        return bo.Growth(
+            s["max_iter"], s["learning_rate"], s["max_depth"], s["max_leaf_nodes"], min_hessian=1e-3, min_rows=s["min_samples_leaf"], l2=s["l2_regularization"], seed=spec.seed,
         )
     if spec.family == "xgboost":
-        return GBTClassifier(
-            maxIter=s["n_estimators"], stepSize=s["learning_rate"], maxDepth=s["max_depth"], minInstancesPerNode=s["min_child_weight"],
-            subsamplingRate=s["subsample"], featureSubsetStrategy=_share_text(s["colsample_bytree"]), **tree,
+        return bo.Growth(
+            s["n_estimators"], s["learning_rate"], s["max_depth"], min_hessian=s["min_child_weight"], l2=s["reg_lambda"], l1=s["reg_alpha"], min_gain=s["gamma"],
+            row_share=s["subsample"], column_share=s["colsample_bytree"], seed=spec.seed,
         )
-    return GBTClassifier(maxIter=s["iterations"], stepSize=s["learning_rate"], maxDepth=s["depth"], **tree)
-
-
-def _share_text(share: float) -> str:
-    return "all" if share >= 1.0 else str(share)
+    return bo.Growth(s["iterations"], s["learning_rate"], s["depth"], l2=s["l2_leaf_reg"], symmetric=True, seed=spec.seed)
 
 
 def fit(spec: ModelSpec, train: DataFrame, columns: Sequence[str], label: str = "Y", row_weight: Column | None = None, categorical: Sequence[str] = ()) -> FittedModel:
-    """Fit on the given columns; categorical ones are indexed and handed over as nominal features."""
+    """Fit on the given columns; categorical ones are indexed and handed over as nominal features, or as target statistics to boosted families."""
+    if spec.family in BOOSTED:
+        return fit_many(train.sparkSession, {0: Fit(spec, train, columns, label, row_weight, categorical)})[0]
     negatives, positives = class_sizes(train, label)
     if spec.family == DUMMY:
         return FittedModel(spec, tuple(columns), None, positives / (negatives + positives))
@@ -165,11 +194,58 @@ def fit(spec: ModelSpec, train: DataFrame, columns: Sequence[str], label: str =
     return FittedModel(spec, tuple(columns), Pipeline(stages=stages).fit(data))
 
 
-def fit_many(spark: SparkSession, tasks: dict[Any, Callable[[], FittedModel]], parallelism: int = 4) -> dict[Any, FittedModel]:
-    """Independent fits, a few at a time: while one waits for its last tasks, others use the executors."""
+@dataclass(frozen=True)
+class Fit:
+    """A fit that is still to be made."""
+
+    spec: ModelSpec
+    train: DataFrame
+    columns: Sequence[str]
+    label: str = "Y"
+    row_weight: Column | None = None
+    categorical: Sequence[str] = ()
+
+    def __call__(self) -> FittedModel:
+        return fit(self.spec, self.train, self.columns, self.label, self.row_weight, self.categorical)
+
+
+def fit_many(spark: SparkSession, tasks: dict[Any, Fit], parallelism: int = 4) -> dict[Any, FittedModel]:
+    """Independent fits. Boosted models all share their passes; of the others a few run at a time, so that one's last tasks do not idle the executors."""
+    boosted = {n: t for n, t in tasks.items() if t.spec.family in BOOSTED}
     with ThreadPoolExecutor(parallelism) as pool:
-        started = {name: pool.submit(inheritable_thread_target(spark)(task)) for name, task in tasks.items()}
-        return {name: f.result() for name, f in started.items()}
+        started = {n: pool.submit(inheritable_thread_target(spark)(t)) for n, t in tasks.items() if n not in boosted}
+        found = _fit_boosted(spark, boosted) if boosted else {}
+        found |= {n: f.result() for n, f in started.items()}
+    return {n: found[n] for n in tasks}
+
+
+def _fit_boosted(spark: SparkSession, tasks: dict[Any, Fit]) -> dict[Any, FittedModel]:
+    """Fits on the same table and columns stand on one binned table, each with its own row weight."""
+    groups: dict[tuple, list[Any]] = {}
+    for name, t in tasks.items():
+        groups.setdefault((id(t.train), tuple(t.columns), t.label, tuple(t.categorical)), []).append(name)
+    wanted, statistics = {}, {}
+    for (_, columns, label, categorical), names in groups.items():
+        train = tasks[names[0]].train
+        negatives, positives = class_sizes(train, label)
+        weights: list[Column] = []
+        slots: dict[tuple, int] = {}
+        for n in names:
+            slot = (tasks[n].spec.weighting, id(tasks[n].row_weight))
+            if slot not in slots:
+                weight = class_weight(F.col(quoted(label)), tasks[n].spec.weighting, negatives, positives)
+                slots[slot] = len(weights)
+                weights.append(weight if tasks[n].row_weight is None else weight * tasks[n].row_weight)
+        frame, key = train, "row_id" if "row_id" in train.columns else None
+        coded = None
+        if categorical:
+            coded, frame = fit_target_statistics(train, categorical, label, key or "row_id")
+        training = bo.Training(frame, tuple(columns), label, tuple(weights), key)
+        for n in names:
+            statistics[n] = coded
+            wanted[n] = bo.Wanted(training, growth_of(tasks[n].spec), slots[tasks[n].spec.weighting, id(tasks[n].row_weight)])
+    models = bo.fit_models(spark, wanted)
+    return {n: FittedModel(t.spec, tuple(t.columns), models[n], statistics=statistics[n]) for n, t in tasks.items()}
 
 
 def base_boosted(**overrides) -> ModelSpec:

@@ -3,7 +3,7 @@
 from importlib import import_module
 
 FAMILIES = (
-    "tables", "features", "quality", "metrics", "splits", "prep", "diagnostics", "ranking", "monitoring", "modeling", "streams", "odd_names",
+    "tables", "features", "quality", "metrics", "splits", "prep", "diagnostics", "ranking", "monitoring", "modeling", "boosted", "streams", "odd_names",
 )
 
 

@@ -7,7 +7,6 @@ space, feature set, configuration and fold count of the protocol.
 from __future__ import annotations
 
 from dataclasses import replace
-from functools import partial
 
 from pyspark.sql import functions as F
 
@@ -43,7 +42,7 @@ def prepared(spark, sf, groups=fe.ABLATIONS["A3"]):
 
 
 def fit_all(specs: dict[str, md.ModelSpec], train, columns) -> dict[str, md.FittedModel]:
-    return md.fit_many(train.sparkSession, {n: partial(md.fit, s, train, columns) for n, s in specs.items()})
+    return md.fit_many(train.sparkSession, {n: md.Fit(s, train, columns) for n, s in specs.items()})
 
 
 def validated(spark, sf, specs: dict[str, md.ModelSpec]):
@@ -297,7 +296,7 @@ def tun1_grid_search(spark, sf):
 @query("tun2_random_search")
 def tun2_random_search(spark, sf):
     columns, train, validation = prepared(spark, sf)
-    return ex.random_search(train, validation, columns, BOOST, md.SEARCH_SPACES["xgboost"])
+    return ex.random_search(train, validation, columns, BOOST, md.F1_SPACE)
 
 
 @query("tun3_pos_weight_sweep")
@@ -383,7 +382,7 @@ def flow_optimization_workflow(spark, sf):
     space = md.SEARCH_SPACES["xgboost"]
     rivals = {f"random_forest_{v}": replace(FOREST, variant=v, weighting=w) for v, w in (("none", None), ("balanced", "balanced"), ("balanced_subsample", "balanced_subsample"), ("manual_light", "manual_light"))}
     rivals["hist_gradient_boosting"] = HIST
-    return wf.optimization_workflow(labelled(spark, sf), BOOST, md.sample_params(space, 18), space, rivals)["records"]
+    return wf.optimization_workflow(labelled(spark, sf), BOOST, md.sample_params(space, 18), md.F1_SPACE, rivals)["records"]
 
 
 @query("flow_trajectory_workflow")

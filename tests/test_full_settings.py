@@ -59,7 +59,7 @@ def test_models_have_the_full_settings():
 def test_searches_sets_and_folds_are_whole(calls, monkeypatch):
     assert len(calls(mq.tun1_grid_search, "grid_search")[0][3]) == 18
     args, kwargs = calls(mq.tun2_random_search, "random_search")
-    assert args[4] == md.SEARCH_SPACES["xgboost"] and not args[5:] and not kwargs
+    assert args[4] == md.F1_SPACE and not args[5:] and not kwargs
     args, _ = calls(mq.mod15_temporal_sets, "temporal_experiments")
     assert args[1] == md.base_boosted() and args[2] == 3 and args[3] == fe.TEMPORAL_SETS
     args, _ = calls(mq.mod16_frozen_promotion, "frozen_promotion")
@@ -86,4 +86,4 @@ def test_workflows_run_with_their_defaults(calls):
     args, kwargs = calls(mq.flow_variant_workflow, "variant_workflow")
     assert args == ("panel",) and list(kwargs) == ["grids"] and len(kwargs["grids"]["xgboost"]) == 18
     args, kwargs = calls(mq.flow_optimization_workflow, "optimization_workflow")
-    assert args[1] == md.base_boosted() and len(args[2]) == 18 and args[3] == md.SEARCH_SPACES["xgboost"] and not args[5:] and not kwargs
+    assert args[1] == md.base_boosted() and len(args[2]) == 18 and args[3] == md.F1_SPACE and not args[5:] and not kwargs
