@@ -15,11 +15,12 @@ active. The table has this size whatever the corpus. Phrases that share a cell
 are active together; such a phrase starts earlier than it had to, or at all, but
 it too is counted for one whole cycle from its start, which is a function of the
 cells of the phrases inside it. So a full table costs time and changes no count.
-Phrases are compared by their texts, never by hashes.
 
-Between steps only phrases inside their cycle are kept, and of those that have
-completed it the frequent ones. Counts are summed in the task before they are
-shuffled, by phrase, so a hot language or source does not gather in one task.
+Counting works on 128-bit hashes of (language, phrase), which are folded per block
+in the task before they are shuffled, so a hot language or source does not gather
+in one task. Between steps only phrases inside their cycle are kept, and of those
+that have completed it the frequent ones. A last scan reads the texts of the
+frequent phrases.
 
 Defined results: a null text has no words, a null language counts as `und`,
 together with rows that say so. Repeated rows count each. An empty table, or one
@@ -41,7 +42,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweft.llm.words import mix
+from riskweft.llm.common import cell_filter, passes
+from riskweft.llm.words import mix, signed
 from riskweft.session import release, stage
 
 THRESHOLD = 100
@@ -63,21 +65,29 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _FOLD = bytes(10 if b in b".,;:!?\x0a\x0b\x0c\x0d" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _FACTORS = mix(np.arange(1, 17, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
 
-#: lang, the step in which the phrase is first counted, phrase, occurrences. The empty phrase counts all words.
-COUNTS = "lang string, start int, phrase string, n bigint"
+#: Both halves of the hash, number of words, the step in which the phrase is first counted, occurrences.
+COUNTS = "h1 bigint, h2 bigint, k int, start int, n bigint"
+#: Texts of phrases; the empty phrase counts all words of a language.
+TEXTS = "h1 bigint, h2 bigint, lang string, phrase string, n bigint"
 
 
 def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
+    """(2, words): 128 bits of each word."""
     seed = zlib.crc32(lang.encode())
-    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
+    return np.frombuffer(b"".join(xxhash.xxh3_128_digest(w, seed) for w in words), np.uint64).reshape(-1, 2).T
 
 
-def _cells_of(hashes: list[np.ndarray], cells: int) -> np.ndarray:
-    """Cells of phrases whose j-th words have hashes[j]; their number is a power of two."""
-    total = np.full(len(hashes[0]), len(hashes), np.uint64)
-    for h, factor in zip(hashes, _FACTORS):
-        total += h * factor
-    return (mix(total) & np.uint64(cells - 1)).astype(np.int64)
+def _phrase_hashes(hashes: np.ndarray, parts: list[np.ndarray]) -> np.ndarray:
+    """(2, phrases): 128 bits of the phrases whose j-th words are parts[j]."""
+    total = np.full((2, len(parts[0])), len(parts), np.uint64)
+    for p, factor in zip(parts, _FACTORS):
+        total += hashes[:, p] * factor
+    return mix(total)
+
+
+def _cells(hashes: np.ndarray, cells: int) -> np.ndarray:
+    """Cells of hashed phrases: low bits of the first half; their number is a power of two."""
+    return (hashes[0] & np.uint64(cells - 1)).astype(np.int64)
 
 
 def _blocks(texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray]]:
@@ -116,30 +126,18 @@ def _blocks(texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray]]:
         yield list(known), np.concatenate(held)
 
 
-def _count(lang: str, words: list[bytes], places: np.ndarray, cells: np.ndarray, step: int, shards: int, longest: int) -> Iterator[pa.RecordBatch]:
-    """Counts of the phrases of one block that are inside their cycle."""
-    hashes, texts = _word_hashes(lang, words), pa.array(words, pa.binary())
-
-    def rows(start: np.ndarray, parts: list[np.ndarray], n: np.ndarray) -> pa.RecordBatch:
-        said = [texts.take(pa.array(p)) for p in parts]
-        phrase = said[0] if len(said) == 1 else pa.compute.binary_join_element_wise(*said, b" ")
-        return pa.RecordBatch.from_arrays(
-            [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(n), np.int64))), pa.array(start, pa.int32()), phrase.cast(pa.string()), pa.array(n, pa.int64())],
-            ["lang", "start", "phrase", "n"],
-        )
-
-    solid = places != 0
+def _levels(lang: str, words: list[bytes], places: np.ndarray, cells: np.ndarray, step: int, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]]:
+    """(hashes, start, words at each position, occurrences) of the distinct phrases of one block that are active in the step, length by length."""
+    known = _word_hashes(lang, words)
+    hashes = _phrase_hashes(known, [np.arange(len(words))])
+    n = np.bincount(places, minlength=len(words))
+    n[0] = 0
+    used = np.flatnonzero(n)
+    yield hashes[:, used], np.zeros(len(used), np.int64), [used], n[used]
     # The step from which the phrase at each place lets longer ones start.
-    active = cells[_cells_of([hashes], len(cells))].astype(np.int64)
+    active = cells[_cells(hashes, len(cells))].astype(np.int64)
     active[0] = NEVER
     here = active[places]
-    if step < shards:
-        n = np.bincount(places, minlength=len(words))
-        n[0] = 0
-        used = np.flatnonzero(n)
-        yield rows(np.zeros(len(used)), [used], n[used])
-        total = pa.array([int(solid.sum())], pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([0], pa.int32()), pa.array([""]), total], ["lang", "start", "phrase", "n"])
     ids = places
     for k in range(2, longest + 1):
         at = np.flatnonzero(np.maximum(here[:-1], here[1:]) <= step)
@@ -151,20 +149,50 @@ def _count(lang: str, words: list[bytes], places: np.ndarray, cells: np.ndarray,
         first[codes[::-1]] = at[::-1]
         start = np.maximum(here[first], here[first + 1])
         parts = [places[first + j] for j in range(k)]
-        counted = start > step - shards
-        if counted.any():
-            n = np.bincount(codes, minlength=len(unique))
-            yield rows(start[counted], [p[counted] for p in parts], n[counted])
+        hashes = _phrase_hashes(known, parts)
+        yield hashes, start, parts, np.bincount(codes, minlength=len(unique))
         if k < longest:
             # A cell that others have set says nothing before the phrase's own start.
-            found = np.maximum(cells[_cells_of([hashes[p] for p in parts], len(cells))], start)
+            found = np.maximum(cells[_cells(hashes, len(cells))], start)
             ids = np.full(len(places), -1, np.int64)
             ids[at] = codes
             here = np.full(len(places), NEVER, np.int64)
             here[at] = found[codes]
 
 
-def _scan(cells: np.ndarray, step: int, shards: int, longest: int):
+def _counted(lang: str, words: list[bytes], places: np.ndarray, cells: np.ndarray, step: int, shards: int, longest: int) -> Iterator[pa.RecordBatch]:
+    """Counts of the phrases of one block that are inside their cycle."""
+    for hashes, start, parts, n in _levels(lang, words, places, cells, step, longest):
+        inside = start > step - shards
+        if inside.any():
+            h1, h2 = (signed(h[inside]) for h in hashes)
+            k = np.full(len(h1), len(parts), np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h1), pa.array(h2), pa.array(k), pa.array(start[inside], pa.int32()), pa.array(n[inside], pa.int64())], ["h1", "h2", "k", "start", "n"]
+            )
+
+
+def _said(lang: str, words: list[bytes], places: np.ndarray, cells: np.ndarray, wanted: np.ndarray, longest: int) -> Iterator[pa.RecordBatch]:
+    """Texts of the phrases of one block whose cell is wanted, and the number of its words."""
+    texts = pa.array(words, pa.binary())
+
+    def rows(h1: np.ndarray, h2: np.ndarray, phrase: pa.Array, n: int | None) -> pa.RecordBatch:
+        many = len(h1)
+        columns = [pa.array(signed(h1)), pa.array(signed(h2)), pa.array([lang] * many, pa.string()), phrase, pa.array([n] * many, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["h1", "h2", "lang", "phrase", "n"])
+
+    zero = np.zeros(1, np.uint64)
+    yield rows(zero, zero, pa.array([""]), int((places != 0).sum()))
+    for hashes, _, parts, _ in _levels(lang, words, places, cells, NEVER - 1, longest):
+        keep = passes(wanted, hashes[0].view(np.int64))
+        if keep.any():
+            said = [texts.take(pa.array(p[keep])) for p in parts]
+            phrase = said[0] if len(said) == 1 else pa.compute.binary_join_element_wise(*said, b" ")
+            yield rows(hashes[0][keep], hashes[1][keep], phrase.cast(pa.string()), None)
+
+
+def _over_blocks(cells: np.ndarray, count):
+    """A task that runs count(lang, words, places, cells) over the blocks of each language."""
     # Most cells stay empty, so what travels with the task is about as large as the number of set cells.
     packed = zlib.compress(cells.tobytes(), 1)
 
@@ -176,27 +204,18 @@ def _scan(cells: np.ndarray, step: int, shards: int, longest: int):
                 by_lang.setdefault(lang, []).append(text)
             for lang, texts in by_lang.items():
                 for words, places in _blocks(texts):
-                    yield from _count(lang, words, places, cells, step, shards, longest)
+                    yield from count(lang, words, places, cells)
 
     return run
 
 
-def _reached(phrases: DataFrame, cells: int) -> np.ndarray:
-    """Cells of the given phrases; at most one value for each cell comes to the driver."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").cast(pa.large_binary()).to_pylist()):
-                hashes = _word_hashes(lang, phrase.split(b" "))
-                found.append(int(_cells_of([hashes[j : j + 1] for j in range(len(hashes))], cells)[0]))
-            yield pa.RecordBatch.from_pydict({"cell": pa.array(found, pa.int32())})
-
-    return phrases.mapInArrow(run, "cell int").distinct().toArrow()["cell"].to_numpy()
+def _scan(cells: np.ndarray, step: int, shards: int, longest: int):
+    return _over_blocks(cells, lambda lang, words, places, cells: _counted(lang, words, places, cells, step, shards, longest))
 
 
-def _words(phrase: Column) -> Column:
-    return F.length(phrase) - F.length(F.translate(phrase, " ", "")) + 1
+def _reached(phrases: DataFrame, cells: int) -> np.ndarray:
+    """Cells of the given phrases; at most one value for each cell comes to the driver."""
+    return phrases.select(F.col("h1").bitwiseAND(cells - 1).cast("int").alias("cell")).distinct().toArrow()["cell"].to_numpy()
 
 
 def shard_texts(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -218,25 +237,29 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int =
         seen = texts.where(F.col("shard") == step % shards).select("lang", "text").mapInArrow(_scan(cells, step, shards, longest), COUNTS)
         if counts is not None:
             seen = seen.unionByName(counts.where(F.col("start") > step - shards))
-        seen = seen.groupBy("lang", "start", "phrase").agg(F.sum("n").alias("n"))
+        seen = seen.groupBy("h1", "h2", "k", "start").agg(F.sum("n").alias("n"))
         ends = F.col("start") == step - shards + 1
         before, counts = counts, stage(seen.where(~ends | (F.col("n") >= threshold)), "phrases-counts")
         if before is not None:
             release(before)
-        complete.append(stage(counts.where(ends).select("lang", "phrase", "n"), "phrases-complete"))
-        grown = counts.where((F.col("n") >= threshold) & (F.col("phrase") != "") & (_words(F.col("phrase")) < longest))
-        new = _reached(grown.select("lang", "phrase"), len(cells))
+        complete.append(stage(counts.where(ends).select("h1", "h2", "n"), "phrases-complete"))
+        new = _reached(counts.where((F.col("n") >= threshold) & (F.col("k") < longest)), len(cells))
         new = new[cells[new] == NEVER]
         if len(new):
             cells[new] = step + 1
             latest = step
         step += 1
     release(counts)
-    release(texts)
-    out = complete[0]
+    found = complete[0]
     for more in complete[1:]:
-        out = out.unionByName(more)
-    return out
+        found = found.unionByName(more)
+    # One more scan for the texts; a filter of fixed size keeps the other phrases out of the shuffle.
+    wanted = cell_filter(found.select("h1"))
+    said = texts.select("lang", "text").mapInArrow(_over_blocks(cells, lambda lang, words, places, cells: _said(lang, words, places, cells, wanted, longest)), TEXTS)
+    said = stage(said.groupBy("h1", "h2", "lang", "phrase").agg(F.sum("n").alias("words")), "phrases-said")
+    release(texts)
+    totals = said.where("phrase = ''").select("lang", "phrase", F.col("words").alias("n"))
+    return said.where("phrase <> ''").select("h1", "h2", "lang", "phrase").join(found, ["h1", "h2"]).select("lang", "phrase", "n").unionByName(totals)
 
 
 def _exact(name: str) -> Column:
