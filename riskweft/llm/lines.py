@@ -98,24 +98,41 @@ def near_lines(slim: DataFrame, spots: DataFrame, found: DataFrame) -> DataFrame
     said = first.join(said, ["h1", "h2", "at"]).dropDuplicates(["h1", "h2"]).withColumn("words", F.split("said", " ")).drop("said")
     said = stage(said, "near-lines")
 
+    # The words stand in the line's task: one move by class, then windows that need none.
     me = F.struct("at", "h1", "h2").alias("me")
-    word = said.select(me, "n", F.posexplode("words").alias("i", "word"))
-    here, before = F.xxhash64("word", "i"), F.xxhash64("word", F.col("i") - 1)
-    line = Window.partitionBy("me")
+    word = said.repartition("h1", "h2").select("h1", "h2", "at", "n", F.posexplode("words").alias("i", "word"))
+    line = Window.partitionBy("h1", "h2")
     upto = line.orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    word = word.select("me", "n", "i", here.alias("t0"), before.alias("t1"))
+    word = word.select("h1", "h2", "at", "n", "i", F.xxhash64("word", "i").alias("t0"), F.xxhash64("word", F.col("i") - 1).alias("t1"))
     word = word.withColumns({"all0": F.bit_xor("t0").over(line), "all1": F.bit_xor("t1").over(line), "run0": F.bit_xor("t0").over(upto), "run1": F.bit_xor("t1").over(upto)})
     replaced = F.col("all0").bitwiseXOR(F.col("t0"))
     deleted = F.col("run0").bitwiseXOR(F.col("t0")).bitwiseXOR(F.col("all1").bitwiseXOR(F.col("run1")))
-    variants = stage(word.select("me", "n", "i", replaced.alias("replaced"), deleted.alias("deleted"), "all0"), "line-variants")
+    variants = word.select(me, F.col("n").cast("int").alias("n"), "i", replaced.alias("replaced"), deleted.alias("deleted"), "all0")
+    # One hash for each group that a variant, or a whole line (for deletions), stands in.
+    variants = variants.withColumns({
+        "same": F.xxhash64(F.lit(0), "replaced", "i", "n"), "less": F.xxhash64(F.lit(1), "deleted", "n"), "whole": F.when(F.col("i") == 0, F.xxhash64(F.lit(1), "all0", F.col("n") + 1)),
+    })
+    variants = stage(variants, "line-variants")
+
+    # Groups with a pair in them; only hashes move, and few groups are left.
+    one = F.explode(F.array(
+        F.struct(F.col("same").alias("g"), F.lit(1).alias("kind")), F.struct(F.col("less").alias("g"), F.lit(2).alias("kind")), F.struct(F.col("whole").alias("g"), F.lit(4).alias("kind")),
+    )).alias("x")
+    groups = variants.select(one).select("x.*").where("g IS NOT NULL").groupBy("g").agg(F.count(F.lit(1)).alias("members"), F.bit_or("kind").alias("kinds"))
+    groups = stage(groups.where("(kinds = 1 AND members > 1) OR kinds = 6").select("g"), "line-groups")
+
+    def in_groups(name: str) -> DataFrame:
+        rows = variants.withColumnRenamed(name, "g").where("g IS NOT NULL")
+        return _keep_cells(rows, "g", groups).join(groups, "g", "left_semi")
 
     # Replacement: every member of a group against the group's earliest.
     place = ["replaced", "i", "n"]
-    earliest = variants.groupBy(*place).agg(F.min("me").alias("other"), F.max("me").alias("last")).where("other <> last").drop("last")
-    replacements = variants.join(earliest, place).where("me <> other").select("me", "other", "i")
+    same = stage(in_groups("same").select("me", "n", "i", "replaced"), "line-same")
+    earliest = same.groupBy(*place).agg(F.min("me").alias("other"), F.max("me").alias("last")).where("other <> last").drop("last")
+    replacements = same.join(earliest, place).where("me <> other").select("me", "other", "i")
     # Deletion: lines with one word less whose whole hash is the variant.
-    whole = variants.where("i = 0").select(F.col("me").alias("short"), F.col("all0").alias("deleted"), (F.col("n") + 1).alias("n"))
-    deletions = variants.select("me", "n", "i", "deleted").join(whole, ["deleted", "n"])
+    whole = in_groups("whole").select(F.col("me").alias("short"), F.col("all0").alias("deleted"), (F.col("n") + 1).alias("n"))
+    deletions = stage(in_groups("less").select("me", "n", "i", "deleted").join(whole, ["deleted", "n"]), "line-deletions")
     later_long = deletions.where("short < me").select("me", F.col("short").alias("other"), "i")
     later_short = deletions.where("me < short").groupBy("short").agg(F.min(F.struct("me", "i")).alias("x"))
     pairs = replacements.withColumn("kind", F.lit(0)).unionByName(later_long.withColumn("kind", F.lit(1)))
