@@ -168,15 +168,29 @@ def taken_words(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: in
 def mixture(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """The mix itself: shard, source, slot, block, doc_id, first, words, text (words joined by one space).
 
-    A slot has one row for each document in its block; text moves once, by source and block.
+    A slot has one row for each document in its block. Documents are placed and
+    dealt out without their texts; a text then moves once, to the list of its
+    pieces, and is split once.
     """
     rows = stage(measured(docs), "mix-sizes")
     sources = source_table(rows, block_words, weights, most)
+    pieces = segments(rows, sources, block_words).select("rank", "block", "doc_id", "tie", "first", "words")
+    dealt = slots(sources, shard_slots, most).join(pieces, ["rank", "block"])
+    # A document's pieces are as many as its blocks times the passes, so the list is bounded by its length.
+    lists = dealt.groupBy(F.col("doc_id").alias("doc"), "tie").agg(F.collect_list(F.struct("shard", "rank", "slot", "block", "first", "words")).alias("pieces"))
+    # Rows with the same id and text are placed one by one, but any of their texts serves.
+    texts = docs.select(F.col("doc_id").alias("id"), "text", F.xxhash64("text").alias("hash")).dropDuplicates(["id", "hash"])
+    held = texts.join(lists, F.col("doc").eqNullSafe(F.col("id")) & (F.col("tie") == F.col("hash")))
     split = F.filter(F.split("text", SPACE), lambda w: w != "")
-    pieces = segments(measured(docs, ("text",)), sources, block_words)
-    pieces = pieces.withColumn("text", F.array_join(F.slice(split, (F.col("first") + 1).cast("int"), F.col("words").cast("int")), " "))
-    return (
-        slots(sources, shard_slots, most)
-        .join(pieces.select("rank", "block", "doc_id", "source", "first", "words", "text"), ["rank", "block"])
-        .select("shard", "source", "slot", "block", "doc_id", "first", "words", "text")
-    )
+
+    def cut(words: Column) -> Column:
+        return F.transform("pieces", lambda p: F.struct(
+            p["shard"].alias("shard"), p["rank"].alias("rank"), p["slot"].alias("slot"), p["block"].alias("block"), p["first"].alias("first"), p["words"].alias("words"),
+            F.array_join(F.slice(words, (p["first"] + 1).cast("int"), p["words"].cast("int")), " ").alias("text"),
+        ))
+
+    # The words are bound to a variable, so that a text is not split again for each piece.
+    cells = F.get(F.transform(F.array(split), cut), F.lit(0))
+    out = held.select(F.col("id").alias("doc_id"), F.explode(cells).alias("x")).select("doc_id", "x.*")
+    # One row for each source.
+    return out.join(sources.select("rank", "source"), "rank").select("shard", "source", "slot", "block", "doc_id", "first", "words", "text")
