@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from riskweft.session import stage
+
 #: A word of the contracts: a run of anything but space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -14,6 +16,9 @@ SPACE = r"[\x20\x09-\x0D]+"
 #: Low bits of a hash that name a cell of a filter; a filter has a fixed size, whatever it is filled with.
 CELL_BITS = 24
 
+#: Bits of a hash that name a cell when rows are removed; the cells are broadcast.
+REMOVAL_BITS = 19
+
 #: Parts that a running total is cut into before it is ordered; each part is a window group of its own.
 PARTS = 4096
 
@@ -47,6 +52,22 @@ def running_start(df: DataFrame, group: list[str], part: str, order: list[Column
     return rows.join(bases, [*group, part]).withColumn(out, F.col("__base") + F.col("__inside")).drop("__base", "__inside")
 
 
+def keep_others(docs: DataFrame, gone: DataFrame, doc: Column, tie: Column) -> DataFrame:
+    """docs without the rows whose (doc, tie) is in gone, which has columns of these names.
+
+    Only rows in a cell of such a key meet the exact join; the others stay where
+    they are. The broadcast table has 2 ** REMOVAL_BITS rows at most. A row is
+    kept in one struct, so its column names do not matter.
+    """
+    row = F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("row")
+    cell = F.shiftrightunsigned("tie", 64 - REMOVAL_BITS).alias("cell")
+    rows = docs.select(row, doc.alias("doc"), tie.alias("tie")).select("*", cell)
+    gone = stage(gone.select("doc", "tie").distinct(), "gone")
+    cells = F.broadcast(stage(gone.select(cell).distinct(), "gone-cells"))
+    near = rows.join(cells, "cell", "left_semi").join(gone, ["doc", "tie"], "left_anti")
+    return rows.join(cells, "cell", "left_anti").select("row.*").unionByName(near.select("row.*"))
+
+
 def cell_filter(hashes: DataFrame) -> np.ndarray:
     """Which cells the values of a one-column table of hashes fall into.
 

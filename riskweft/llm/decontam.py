@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweft.llm.common import cell_filter, passes, passing
+from riskweft.llm.common import cell_filter, keep_others, passes, passing
 from riskweft.llm.words import mix, pieces, signed, text_bytes, windows, word_hashes
 from riskweft.session import stage
 
@@ -170,6 +170,4 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without contaminated documents."""
-    doc, tie = _document_key()
-    bad = contaminated(docs, benchmark).select(F.col("doc").alias("__doc"), F.col("tie").alias("__tie")).distinct()
-    return docs.withColumn("__doc", doc).withColumn("__tie", tie).join(bad, ["__doc", "__tie"], "left_anti").drop("__doc", "__tie")
+    return keep_others(docs, contaminated(docs, benchmark), *_document_key())

@@ -34,10 +34,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweft.llm.common import cell_filter, passes, passing
+from riskweft.llm.common import cell_filter, keep_others, passes, passing
 from riskweft.llm.graph import components
 from riskweft.llm.words import mix, pieces, shingle_sets, signed, text_bytes
 from riskweft.session import stage
@@ -55,10 +55,16 @@ TILE_ROWS = 1024
 #: A little over 1.25, so that rounding cannot put two linked sizes further apart than one band.
 BAND = 1.26
 _LAST = (1 << 63) - 1
+#: Documents without an id are nodes by a hash of their text, above all ids up to this one.
+_NO_ID = _LAST - (1 << 40)
+
+
+def _node() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST) - F.pmod(F.xxhash64(F.col("text").cast("string")), F.lit(1 << 40)))
 
 
 def _source(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.col("text").cast("string").alias("text"))
+    return docs.select(_node().alias("doc"), F.col("text").cast("string").alias("text"))
 
 
 def shingle_levels(docs: DataFrame) -> np.ndarray:
@@ -272,6 +278,12 @@ def _shared_members(firsts: DataFrame, shared: DataFrame) -> DataFrame:
 
 def linked_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of docs."""
+    back = lambda c: F.when(F.col(c) <= _NO_ID, F.col(c))
+    return linked_nodes(docs, percent).select(back("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), back("component").alias("component_id"))
+
+
+def linked_nodes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc, n, component for every row of docs, by node."""
     signs = stage(signatures(docs, shingle_levels(docs), percent), "jaccard-signs")
     classes = stage(signs.groupBy("h1", "h2", "n").agg(F.min("doc").alias("doc"), F.max("doc").alias("last")), "jaccard-classes")
     # One document for each class: the others of a class go.
@@ -302,17 +314,20 @@ def linked_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classed = classes.drop("last").withColumnRenamed("doc", "first").join(found, F.col("first") == found["node"], "left").select("h1", "h2", "n", first.alias("component"))
     named = signs.select("doc", "n", "h1", "h2").join(classed, ["h1", "h2", "n"]).select("doc", "n", "component")
     empty = _source(docs).where(~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")).select("doc", F.lit(0).alias("n"), F.col("doc").alias("component"))
-    back = lambda c: F.when(F.col(c) != _LAST, F.col(c))
-    return named.unionByName(empty).select(back("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), back("component").alias("component_id"))
+    return named.unionByName(empty)
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """docs without those that reach a document with a smaller doc_id; of repeated rows one stays. Empty texts all stay."""
-    found = stage(linked_documents(docs, percent), "jaccard-found")
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    again = stage(found.where("doc_id = component_id AND n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id"), "jaccard-again")
+    """docs without those that reach a document with a smaller node; of repeated rows one stays. Empty texts all stay."""
+    found = stage(linked_nodes(docs, percent), "jaccard-found")
+    hashed = F.xxhash64("doc").alias("tie")
+    kept = keep_others(docs, found.where("doc <> component").select("doc", hashed), _node(), F.xxhash64(_node()))
+    again = found.where("doc = component AND n > 0").groupBy("doc").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    again = stage(again.select("doc", hashed), "jaccard-again")
     if again.isEmpty():
-        return kept.select(*docs.columns)
-    single = kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
-    return single.select(*docs.columns)
+        return kept
+    # Rows that share a node: of those with one text, one stays.
+    single = keep_others(kept, again, _node(), F.xxhash64(_node()))
+    node = _node()
+    repeated = kept.join(again.select("doc"), node == F.col("doc"), "left_semi").dropDuplicates(["doc_id", "text"])
+    return single.unionByName(repeated)
