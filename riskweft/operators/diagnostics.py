@@ -7,8 +7,9 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskweft.operators.ordered import attach_by_value, average_ranks, exact_quantiles, long_form
+from riskweft.operators.ordered import attach_by_value, average_ranks, long_form
 from riskweft.operators.quality import moments
+from riskweft.operators.quantiles import bracketed_quantiles
 from riskweft.sources.contract import SEMANTIC_NAMES
 
 CONTRASTS = (("FP_vs_TP", "FP", "TP"), ("TP_vs_FN", "TP", "FN"))
@@ -23,8 +24,10 @@ def error_contrast(df: DataFrame, features: Sequence[str], outcome: str = "outco
     """
     numbers = df.where(F.col(outcome) != "TN").select(outcome, *[F.col(c).cast("double").alias(c) for c in features])
     stats = moments(numbers, features, [outcome])
-    quartiles = exact_quantiles(
-        long_form(numbers, features, [outcome]), [outcome, "feature"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    parts = {(o, f): F.when(F.col(outcome) == o, F.col(f)) for o in dict.fromkeys(x for c in CONTRASTS for x in c[1:]) for f in features}
+    found = bracketed_quantiles(numbers, parts, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    quartiles = df.sparkSession.createDataFrame(
+        [(*key, *q.values()) for key, q in found.items()], f"`{outcome}` string, feature string, q25 double, q50 double, q75 double"
     )
     sides = stats.join(quartiles, [outcome, "feature"], "left")
     spark = df.sparkSession
@@ -125,10 +128,9 @@ PERCENTILES = {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}
 
 def score_overlap(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Class percentiles and how far each class reaches past the other's median; one row."""
-    by_class = exact_quantiles(df.select(F.col(label).alias("_c"), F.col(score).alias("_s")), ["_c"], "_s", PERCENTILES)
-    wide = by_class.agg(*[
-        F.max(F.when(F.col("_c") == c, F.col(p))).alias(f"{name}_{p}") for c, name in ((0, "negative"), (1, "positive")) for p in PERCENTILES
-    ])
+    found = bracketed_quantiles(df, {name: F.when(F.col(label) == c, F.col(score)) for c, name in ((0, "negative"), (1, "positive"))}, PERCENTILES)
+    cells = {f"{name}_{p}": v for name, q in found.items() for p, v in q.items()}
+    wide = df.sparkSession.createDataFrame([tuple(cells.values())], ", ".join(f"{c} double" for c in cells))
     negative, positive = F.col(label) == 0, F.col(label) == 1
     high, low = wide.select("positive_p50").scalar(), wide.select("negative_p50").scalar()
     shares = df.agg(
@@ -140,8 +142,8 @@ def score_overlap(df: DataFrame, label: str = "label", score: str = "score") ->
 
 def hard_negative_cutoffs(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """One row: the exact upper quantiles of the negative scores, one column per definition."""
-    negatives = df.where(F.col(label) == 0)
-    return exact_quantiles(negatives, [], score, {n: 1.0 - q for n, q in HARD_SHARES.items()})
+    found = bracketed_quantiles(df, {score: F.when(F.col(label) == 0, F.col(score))}, {n: 1.0 - q for n, q in HARD_SHARES.items()})[score]
+    return df.sparkSession.createDataFrame([tuple(found.values())], ", ".join(f"{n} double" for n in found))
 
 
 def hard_negative_masks(df: DataFrame, label: str = "label", score: str = "score", cutoffs: DataFrame | None = None) -> DataFrame:
@@ -161,7 +163,8 @@ def hard_negative_analysis(df: DataFrame, label: str = "label", score: str = "sc
     stats = members.groupBy("definition").agg(
         F.min("score").alias("score_cutoff"), F.count(F.lit(1)).alias("hard_negative_count"), F.avg("score").alias("mean_score")
     )
-    medians = exact_quantiles(members, ["definition"], "score", {"median_score": 0.5})
+    found = bracketed_quantiles(marked, {n: F.when(F.col(n), F.col(score)) for n in HARD_SHARES}, {"median_score": 0.5})
+    medians = df.sparkSession.createDataFrame([(n, q["median_score"]) for n, q in found.items()], "definition string, median_score double")
     return stats.join(medians, "definition").select(
         "definition", "score_cutoff", "hard_negative_count", (F.col("hard_negative_count") / negatives).alias("negative_percentage"),
         "mean_score", "median_score",

@@ -6,7 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskweft.operators.ordered import fold_values, folded_quantiles, in_ranges, long_form, running_totals
+from riskweft.functions.rowmath import quoted
+from riskweft.operators.ordered import fold_values, in_ranges, long_form, running_totals
+from riskweft.operators.quality import edges_below, literal_edges
+from riskweft.operators.quantiles import bracketed_quantiles
 from riskweft.operators.scoring import evaluate, share
 from riskweft.session import stage
 from riskweft.sources.contract import GATES
@@ -30,14 +33,18 @@ def psi(df: DataFrame, columns: Sequence[str], is_current: Column, bins: int = 1
     Values beyond the baseline range fall into the outer bins; an empty share
     counts as floor.
     """
-    rows = long_form(df.withColumn("_now", is_current.cast("int")), columns, ["_now"]).where("value is not null")
-    folded = stage(fold_values(rows, ["feature"], "value", {"base": 1 - F.col("_now"), "now": F.col("_now")}), "folded")
-    inner = {f"e{i}": i / bins for i in range(1, bins)}
-    edges = folded_quantiles(folded.where("base > 0").select("feature", "value", "base"), ["feature"], "value", "base", inner).select(
-        "feature", F.array_distinct(F.array(*inner)).alias("edges")
-    )
-    # One row per monitored column.
-    placed = folded.join(F.broadcast(edges), "feature").withColumn("bin", F.size(F.filter("edges", lambda e: e < F.col("value"))))
+    now = F.coalesce(is_current.cast("int"), F.lit(0))
+    values = {c: F.col(quoted(c)).cast("double") for c in columns}
+    found = bracketed_quantiles(df, {c: F.when(now == 0, v) for c, v in values.items()}, {f"e{i}": i / bins for i in range(1, bins)})
+    cells = []
+    for c, points in found.items():
+        if None not in points.values():
+            bin_ = edges_below(values[c], literal_edges(list(dict.fromkeys(points.values()))))
+            cells.append(F.when(values[c].isNotNull(), F.struct(F.lit(c).alias("feature"), bin_.alias("bin"), (1 - now).alias("base"), now.alias("now"))))
+    if not cells:
+        return df.sparkSession.createDataFrame([], "feature string, psi double")
+    # Summed in the task: what is shuffled is one row for each feature and bin.
+    placed = df.select(F.inline(F.array_compact(F.array(*cells))))
     binned = placed.groupBy("feature", "bin").agg(F.sum("base").alias("base"), F.sum("now").alias("now"))
     whole = Window.partitionBy("feature")
     p = F.greatest(F.col("base") / F.sum("base").over(whole), F.lit(floor))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskweft.functions.rowmath import quoted, text_literal
 from riskweft.operators.features import behaviour_names
-from riskweft.operators.ordered import exact_quantiles, long_form
+from riskweft.operators.quantiles import bracketed_quantiles
 from riskweft.operators.projection import has_contract, identifier_columns, split_columns_by_type
 from riskweft.sources.contract import CATEGORICAL
 
@@ -77,10 +77,8 @@ def fit_preparation(train: DataFrame, drop: Sequence[str] = (), keep: Sequence[s
     numeric, categories = {}, {}
     if plan.numeric_columns:
         numbers = train.selectExpr(*[f"{_number(c)} as {quoted(c)}" for c in plan.numeric_columns])
-        medians = {
-            r["feature"]: r["median"]
-            for r in exact_quantiles(long_form(numbers, plan.numeric_columns), ["feature"], "value", {"median": 0.5}).collect()
-        }
+        found = bracketed_quantiles(numbers, {c: F.col(quoted(c)) for c in plan.numeric_columns}, {"median": 0.5})
+        medians = {c: q["median"] for c, q in found.items() if q["median"] is not None}
         filled = {c: f"coalesce({quoted(c)}, {_literal(m)})" for c, m in medians.items()}
         if filled:
             moments = numbers.agg(*[F.expr(f"struct(avg({v}), stddev_pop({v}))").alias(c) for c, v in filled.items()]).first()

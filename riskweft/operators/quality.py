@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from riskweft.functions.rowmath import number, quoted, text_literal
-from riskweft.operators.ordered import exact_quantiles, fold_values, folded_quantiles, long_form
+from riskweft.operators.ordered import long_form
 from riskweft.operators.projection import pick_columns, require_shape, split_columns_by_type
+from riskweft.operators.quantiles import bracketed_quantiles, quantile_table
 from riskweft.operators.splitting import class_sizes
 from riskweft.session import stage
 from riskweft.sources.contract import MIN_FEATURES, MIN_ROWS
@@ -79,7 +80,7 @@ def moments(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
 def descriptive_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std (ddof 1), min, quartiles, max: one row per feature."""
     numbers = _coerced(df, columns)
-    quartiles = exact_quantiles(long_form(numbers, columns), ["feature"], "value", QUARTILES)
+    quartiles = quantile_table(numbers, {c: F.col(quoted(c)) for c in columns}, QUARTILES)
     return moments(numbers, columns).join(quartiles, "feature", "left").select(
         "feature", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
     )
@@ -92,23 +93,29 @@ def numeric_distribution(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def small_domain_columns(df: DataFrame, columns: Sequence[str], limit: int = SMALL_DOMAIN) -> list[str]:
-    """Columns with at most limit distinct values, null counted as one.
+def few_values(df: DataFrame, columns: Sequence[str], limit: int, null: bool = False) -> dict[str, int]:
+    """How many distinct values each column with at most limit of them has, null counted as one if asked for.
 
     The sketch only rules columns out: d distinct values fill at most d
     registers, so an estimate above twice the limit cannot come from d <= limit.
     The rest - columns with few values - is counted exactly.
     """
     if not columns:
-        return []
+        return {}
     sketch = df.agg(*[F.approx_count_distinct(quoted(c)).alias(c) for c in columns]).first()
     candidates = [c for c in columns if sketch[c] <= 2 * limit + 2]
     if not candidates:
-        return []
+        return {}
     texts = df.select(*[F.col(quoted(c)).cast("string").alias(c) for c in candidates])
-    counts = texts.unpivot([], list(map(quoted, candidates)), "column", "value").groupBy("column", "value").count().groupBy("column").count().collect()
-    found = {r["column"]: r["count"] for r in counts}
-    return [c for c in columns if 0 < found.get(c, 0) <= limit]
+    values = texts.unpivot([], list(map(quoted, candidates)), "column", "value").groupBy("column", "value").count()
+    counts = (values if null else values.where("value is not null")).groupBy("column").count().collect()
+    return {r["column"]: r["count"] for r in counts if r["count"] <= limit}
+
+
+def small_domain_columns(df: DataFrame, columns: Sequence[str], limit: int = SMALL_DOMAIN) -> list[str]:
+    """Columns with at most limit distinct values, null counted as one."""
+    found = few_values(df, columns, limit, null=True)
+    return [c for c in columns if c in found]
 
 
 def rate_by_category(df: DataFrame, columns: Sequence[str], label: str = "Y") -> DataFrame:
@@ -125,38 +132,56 @@ def rate_by_category(df: DataFrame, columns: Sequence[str], label: str = "Y") ->
     return grouped.orderBy("column", F.desc("default_rate"), F.desc("observations"), "value")
 
 
-def bin_edges(folded: DataFrame, count: str, bins: int) -> DataFrame:
-    """(feature, edges): quantile cut points of each feature without repeats.
+def bin_edges(numbers: DataFrame, columns: Sequence[str], bins: int) -> dict[str, list[float]]:
+    """Quantile cut points of each column without repeats.
 
-    The number of bins is min(bins, distinct values); features with one value have none.
+    The number of bins is min(bins, distinct values); columns with one value have none.
     """
-    points = {f"q{k}_{i}": i / k for k in range(2, bins + 1) for i in range(k + 1)}
-    quantiles = folded_quantiles(folded, ["feature"], "value", count, points)
-    effective = F.least(F.lit(bins), F.col("distinct_values"))
-    edges = F.lit(None).cast("array<double>")
+    # Adding 0.0 makes a negative zero the same text as a plain one.
+    few = few_values(numbers.select(*[(F.col(quoted(c)) + F.lit(0.0)).alias(c) for c in columns]), columns, bins)
+    filled = numbers.agg(*[F.count(quoted(c)).alias(c) for c in columns]).first()
+    edges = {}
     for k in range(2, bins + 1):
-        edges = F.when(effective == k, F.array(*[F.col(f"q{k}_{i}") for i in range(k + 1)])).otherwise(edges)
-    return quantiles.where("distinct_values >= 2").select("feature", F.array_distinct(edges).alias("edges"))
+        chosen = [c for c in columns if filled[c] and few.get(c, bins) == k]
+        if chosen:
+            points = {f"q{i}": i / k for i in range(k + 1)}
+            found = bracketed_quantiles(numbers, {c: F.col(quoted(c)) for c in chosen}, points)
+            edges |= {c: list(dict.fromkeys(found[c].values())) for c in chosen}
+    return edges
+
+
+def literal_edges(edges: Sequence[float]) -> Column:
+    """Numbers as an array; its text reads back to the same values."""
+    return F.expr("array(" + ", ".join(f"double('{e!r}')" for e in edges) + ")")
+
+
+def edges_below(value: Column, edges: Column) -> Column:
+    return F.size(F.filter(edges, lambda e: e < value))
 
 
 def bin_number(value: Column, edges: Column) -> Column:
     """1-based right-closed bin; the first bin also holds its lower edge."""
-    return F.greatest(F.lit(1), F.size(F.filter(edges, lambda e: e < value)))
+    return F.greatest(F.lit(1), edges_below(value, edges))
 
 
 def rate_by_bin(df: DataFrame, columns: Sequence[str], label: str = "Y", bins: int = 5) -> DataFrame:
     """(feature, bin, bin_lo, bin_hi, default_rate, observations); missing values form a bin of their own."""
-    rows = long_form(_coerced(df, columns, [label]), columns, [label])
-    folded = stage(fold_values(rows, ["feature"], "value", {"n": F.lit(1), "hits": F.col(quoted(label))}), "folded")
-    edges = bin_edges(folded.where("value is not null"), "n", bins)
+    numbers = _coerced(df, columns, [label])
+    edges = bin_edges(numbers, columns, bins)
+    cells = [
+        F.struct(
+            F.lit(c).alias("feature"), F.when(F.col(quoted(c)).isNotNull(), bin_number(F.col(quoted(c)).cast("double"), literal_edges(e))).alias("bin"),
+            F.col(quoted(label)).alias("hit"),
+        )
+        for c, e in edges.items()
+    ]
+    if not cells:
+        return df.sparkSession.createDataFrame([], "feature string, bin int, bin_lo double, bin_hi double, default_rate double, observations bigint")
+    # Summed in the task: what is shuffled is one row for each feature and bin.
+    grouped = numbers.select(F.inline(F.array(*cells))).groupBy("feature", "bin").agg(F.sum("hit").alias("hits"), F.count(F.lit(1)).alias("observations"))
     # One row per requested column: safe to broadcast.
-    placed = folded.join(F.broadcast(edges), "feature").select(
-        "feature", "n", "hits", "edges", F.when(F.col("value").isNotNull(), bin_number(F.col("value"), F.col("edges"))).alias("bin")
-    )
-    grouped = placed.groupBy("feature", "bin").agg(
-        F.first("edges").alias("edges"), F.sum("hits").alias("hits"), F.sum("n").alias("observations")
-    )
-    return grouped.select(
+    bounds = df.sparkSession.createDataFrame(list(edges.items()), "feature string, edges array<double>")
+    return grouped.join(F.broadcast(bounds), "feature").select(
         "feature", "bin", F.get("edges", F.col("bin") - 1).alias("bin_lo"), F.get("edges", F.col("bin")).alias("bin_hi"),
         (F.col("hits") / F.col("observations")).alias("default_rate"), "observations",
     )

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskweft.operators import diagnostics as dg, prep as pp, ranking as rk, scoring as sc, splitting as sp
 from riskweft.operators.features import ABLATIONS, TEMPORAL_SETS, behavioral_features, feature_set
-from riskweft.operators.ordered import exact_quantiles
+from riskweft.operators.quantiles import bracketed_quantiles
 from riskweft.plans import models as md
 from riskweft.session import stage
 from riskweft.sources.contract import DELAY, SEED
@@ -182,7 +182,7 @@ def cascade_bands(oof: DataFrame, shares: Sequence[float] = (0.20, 0.30, 0.40))
     probs = {}
     for i, s in enumerate(shares):
         probs[f"lo{i}"], probs[f"hi{i}"] = (1 - s) / 2, 1 - (1 - s) / 2
-    row = exact_quantiles(oof, [], "oof_score", probs).first()
+    row = bracketed_quantiles(oof, {"score": F.col("oof_score")}, probs)["score"]
     return [(s, row[f"lo{i}"], row[f"hi{i}"]) for i, s in enumerate(shares)]
 
 
@@ -236,6 +236,26 @@ def with_segment(df: DataFrame) -> DataFrame:
     return df.withColumn("segment", delay_segment([F.col(c) for c in DELAY]))
 
 
+def segment_decisions(chosen_on: DataFrame, applied_to: DataFrame, segment: str = "segment") -> DataFrame:
+    """One row: thresholds per segment found on the first scores, and the metrics of their decisions on the second; both are (segment, label, score)."""
+    thresholds = stage(segment_thresholds(chosen_on, segment), "thresholds")
+    # Three segments.
+    listed = thresholds.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(segment, "threshold")))).alias("thresholds"))
+    return apply_segment_thresholds(applied_to, thresholds, segment).withColumn("thresholds", listed.scalar())
+
+
+def segment_experiment(df: DataFrame, spec: md.ModelSpec, k: int = 5) -> DataFrame:
+    """Thresholds per delay segment from out-of-fold scores of the training rows, applied to the validation scores of the model of all training rows."""
+    builder = a3_builder()
+    prep, data = prepared_splits(df, builder)
+    built = stage(part(builder(df), "train").drop("split"), "features")
+    segments = with_segment(df).select("row_id", "segment")
+    oof = oof_scores(built, spec, k).select(F.col("row_index").alias("row_id"), F.col("y_true").alias("label"), F.col("oof_score").alias("score"))
+    fitted = md.fit(spec, part(data, "train"), prep.output_columns)
+    held = stage(fitted.score(part(data, "validation"), ["row_id", "Y"]).withColumnRenamed("Y", "label"), "scores")
+    return segment_decisions(oof.join(segments, "row_id"), held.join(segments, "row_id"))
+
+
 # The compared weight triples.
 ENSEMBLE_WEIGHTS = (
     (1.0, 0.0, 0.0), (0.8, 0.1, 0.1), (0.7, 0.15, 0.15), (0.6, 0.2, 0.2),
@@ -274,11 +294,25 @@ def compare_models(fitted: dict[str, md.FittedModel], validation: DataFrame) ->
     overlap = stage(dg.error_overlap(dg.predictions_wide(predicted, names), names), "overlap")
     diversity = dg.is_diverse(correlation, overlap)
     out = {"comparison": record_columns(best), "correlations": correlation, "overlaps": overlap, "diversity": diversity}
-    if len(names) == 3 and diversity.first()["diverse"]:
-        out["ensemble"] = ensemble_search(dg.predictions_wide(long, names, value="score"), names)
+    if len(names) == 3:
+        out |= ensemble_outcome(dg.predictions_wide(long, names, value="score"), names, diversity)
     return out
 
 
+def ensemble_outcome(wide: DataFrame, models: Sequence[str], diversity: DataFrame, label: str = "label") -> dict[str, DataFrame]:
+    """decision: one row that says whether an ensemble is justified, with the best one if so; ensemble: all weightings if so."""
+    # One row with one flag.
+    if not diversity.first()["diverse"]:
+        nothing = "weights string, threshold double, roc_auc double, precision_positive double, f1_binary double"
+        row = wide.sparkSession.createDataFrame([("ENSEMBLE_NOT_JUSTIFIED",) + (None,) * 5], f"decision string, {nothing}")
+        return {"decision": row}
+    ensemble = stage(ensemble_search(wide, models, label), "ensemble")
+    order = [F.desc(c) for c in ("f1_binary", "precision_positive", "roc_auc")]
+    best = ensemble.orderBy(*order, F.desc("weights")).limit(1)
+    picked = best.select(F.lit("JUSTIFIED").alias("decision"), "weights", "threshold", "roc_auc", "precision_positive", "f1_binary")
+    return {"decision": picked, "ensemble": ensemble}
+
+
 # --- experiment series -------------------------------------------------------------------------------
 
 

@@ -30,6 +30,8 @@ from riskweft.sources.contract import CATEGORICAL, SEED
 DUMMY = "dummy_classifier"
 #: Bins of a numeric column; a nominal column with more categories gets one bin for each.
 MIN_BINS = 64
+#: Leaf penalty of the symmetric family where the settings name none.
+LEAF_L2 = 3.0
 FAMILIES = (DUMMY, "logistic_regression", "decision_tree", "random_forest", "hist_gradient_boosting", "xgboost", "catboost")
 
 # Default and searched settings of each family.
@@ -43,7 +45,7 @@ DEFAULTS: dict[str, dict[str, Any]] = {
         "n_estimators": 400, "max_depth": 4, "learning_rate": 0.05, "min_child_weight": 3, "subsample": 0.85, "colsample_bytree": 0.85,
         "reg_lambda": 5.0, "reg_alpha": 0.0, "gamma": 0.0,
     },
-    "catboost": {"iterations": 250, "depth": 6, "learning_rate": 0.05, "l2_leaf_reg": 3.0},
+    "catboost": {"iterations": 250, "depth": 6, "learning_rate": 0.05},
 }
 BOOSTED_BASE = {
     "n_estimators": 200, "max_depth": 4, "learning_rate": 0.03, "min_child_weight": 1, "subsample": 0.85, "colsample_bytree": 0.7, "reg_lambda": 5.0, "reg_alpha": 0.5,
@@ -166,7 +168,7 @@ def growth_of(spec: ModelSpec) -> bo.Growth:
             s["n_estimators"], s["learning_rate"], s["max_depth"], min_hessian=s["min_child_weight"], l2=s["reg_lambda"], l1=s["reg_alpha"], min_gain=s["gamma"],
             row_share=s["subsample"], column_share=s["colsample_bytree"], seed=spec.seed,
         )
-    return bo.Growth(s["iterations"], s["learning_rate"], s["depth"], l2=s["l2_leaf_reg"], symmetric=True, seed=spec.seed)
+    return bo.Growth(s["iterations"], s["learning_rate"], s["depth"], l2=s.get("l2_leaf_reg", LEAF_L2), symmetric=True, seed=spec.seed)
 
 
 def fit(spec: ModelSpec, train: DataFrame, columns: Sequence[str], label: str = "Y", row_weight: Column | None = None, categorical: Sequence[str] = ()) -> FittedModel:

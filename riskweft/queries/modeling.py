@@ -6,6 +6,7 @@ space, feature set, configuration and fold count of the protocol.
 
 from __future__ import annotations
 
+import re
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -222,6 +223,39 @@ def mod12_segment_decisions(spark, sf):
     return rounded(out.select("tn", "fp", "fn", "tp", "precision_positive", "recall_positive", "f1_binary", "f1_macro"), R)
 
 
+_SEG_SPLIT = (
+    f"split_scores as (select {_SEGMENT} as segment, label, score, split from (select row_id, Y as label, delay_rule as score, "
+    + " + ".join(f"(case when {c} > 0 then 1 else 0 end)" for c in DELAY)
+    + " as late from scored) join (select row_id, split from split_table) s using (row_id))"
+)
+
+
+@query(
+    "mod12_oof_to_validation",
+    _with_scored(
+        "select tn, fp, fn, tp, round(precision_positive, 9) as precision_positive, round(recall_positive, 9) as recall_positive, round(f1_binary, 9) as f1_binary,"
+        f" round(f1_macro, 9) as f1_macro, (select string_agg(segment || '=' || round(threshold, 6)::varchar, ',' order by segment) from seg) as thresholds"
+        f" from (select *, {METRIC_SQL} from decided)",
+        RANKED_SQL, SPLIT_SQL, _SEG_SPLIT, "scores as (select segment, label, score from split_scores where split = 'train')", *_SEG_TT, _SEG_BEST,
+        "decided as (select " + ", ".join(
+            f"count(*) filter (where label={y} and coalesce(score >= threshold, false) = {p}) as {n}" for n, y, p in (("tn", 0, "false"), ("fp", 0, "true"), ("fn", 1, "false"), ("tp", 1, "true"))
+        ) + " from (select * from split_scores where split = 'validation') v left join seg using (segment))",
+    ),
+)
+def mod12_oof_to_validation(spark, sf):
+    """Thresholds of the training rows' segments, applied to the validation rows."""
+    scored = ex.with_segment(scored_wide(spark, sf)).select("row_id", "Y", "segment", F.col("Y").alias("label"), F.col("delay_rule").alias("score"))
+    data = stage(sp.stratified_split(stage(scored, "segments")), "segments")
+    out = ex.segment_decisions(*(ex.part(data, s).select("segment", "label", "score") for s in ("train", "validation")))
+    text = F.array_join(F.transform(F.array_sort(F.map_entries("thresholds")), lambda e: F.concat(e["key"], F.lit("="), F.round(e["value"], 6).cast("string"))), ",")
+    return rounded(out.select("tn", "fp", "fn", "tp", "precision_positive", "recall_positive", "f1_binary", "f1_macro", text.alias("thresholds")), R)
+
+
+@query("mod12_segment_experiment")
+def mod12_segment_experiment(spark, sf):
+    return ex.segment_experiment(labelled(spark, sf), BOOST)
+
+
 _W = ", ".join(f"('{'/'.join(f'{x:.2f}' for x in w)}', {w[0]}::double, {w[1]}::double, {w[2]}::double)" for w in ex.ENSEMBLE_WEIGHTS)
 _ENS = threshold_ctes("scores", "weights")
 
@@ -242,6 +276,46 @@ def mod13_weighted_ensemble(spark, sf):
     return rounded(out.select("weights", "threshold", "roc_auc", "f1_binary", "tn", "fp", "fn", "tp"), R, ("threshold",))
 
 
+def _pair_sql() -> str:
+    parts = []
+    for i, a in enumerate(MODELS):
+        for b in MODELS[i + 1:]:
+            wrong = {m: f"(({m} >= (select threshold from single where model = '{m}')) <> (Y = 1))" for m in (a, b)}
+            counts = ", ".join(
+                f"count(*) filter (where Y = {y} and {wrong[x]} and not {wrong[z]})" for y in (0, 1) for x, z in ((a, b), (b, a))
+            )
+            parts.append(f"select corr({a}, {b}) as pearson, greatest({counts}) as most from scored")
+    return "pairs as (" + " union all ".join(parts) + ")"
+
+
+# The threshold tables of the single models, beside those of the weightings.
+_SINGLE = [re.sub(r"\b(folded|totals|cum|rank_metrics|cand|counts|tt)\b", r"\g<1>_1", c) for c in threshold_ctes("long", "model")]
+
+
+@query(
+    "mod13_ensemble_decision",
+    _with_scored(
+        "select case when diverse then 'JUSTIFIED' else 'ENSEMBLE_NOT_JUSTIFIED' end as decision, case when diverse then weights end as weights, case when diverse then threshold end as threshold,"
+        " case when diverse then round(roc_auc, 9) end as roc_auc, case when diverse then round(precision_positive, 9) end as precision_positive, case when diverse then round(f1_binary, 9) end as f1_binary"
+        " from (select avg(pearson) < 0.995 or max(most) > 50 as diverse from pairs), (select * from (select *, row_number() over (partition by weights"
+        f" order by {TIERED}) as pos from tt) where pos = 1 order by f1_binary desc, precision_positive desc, roc_auc desc, weights desc limit 1)",
+        "long as (" + " union all ".join(f"select '{m}' as model, Y as label, {m} as score from scored" for m in MODELS) + ")", *_SINGLE,
+        f"single as (select model, threshold from (select *, row_number() over (partition by model order by {TIERED}) as pos from tt_1) where pos = 1)", _pair_sql(),
+        f"w as (select * from (values {_W}) t(weights, a, b, c))",
+        f"scores as (select weights, Y as label, a*{MODELS[0]} + b*{MODELS[1]} + c*{MODELS[2]} as score from scored, w)",
+        *_ENS,
+    ),
+)
+def mod13_ensemble_decision(spark, sf):
+    """Whether the models differ enough for an ensemble, and the best one."""
+    wide = stage(scored_wide(spark, sf).select("row_id", F.col("Y").alias("label"), *MODELS), "scores")
+    long = stage(wide.unpivot(["row_id", "label"], list(MODELS), "model", "score"), "scores")
+    best = stage(ex.search_all(long, by="model").select("model", "threshold"), "best")
+    predicted = long.join(F.broadcast(best), "model").withColumn("predicted", (F.col("score") >= F.col("threshold")).cast("int"))
+    diversity = dg.is_diverse(dg.score_correlation(long, list(MODELS)), dg.error_overlap(dg.predictions_wide(predicted, list(MODELS)), list(MODELS)))
+    return rounded(ex.ensemble_outcome(wide, MODELS, diversity)["decision"], R, ("threshold",))
+
+
 @query("mod13_model_comparison")
 def mod13_model_comparison(spark, sf):
     columns, train, validation = prepared(spark, sf)
