@@ -12,7 +12,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from riskweft.operators import diagnostics as dg, features as fe, scoring as sc, splitting as sp
-from riskweft.plans import experiments as ex, models as md, production as pd_, workflows as wf
+from riskweft.plans import experiments as ex, models as md, production as pd_, published as pub, workflows as wf
 from riskweft.queries.features import rounded
 from riskweft.queries.metrics import TIERED
 from riskweft.queries.registry import query
@@ -418,6 +418,31 @@ def prd2_predict_records(spark, sf):
     return model.predict(data.drop("Y", "split"))
 
 
+@query(
+    "prd2_published_records",
+    with_panel("select count(*) as records, count(*) as equal_scores, true as refused_before_marker, true as refused_other_columns from panel"),
+)
+def prd2_published_records(spark, sf):
+    """A scorer published and loaded again: how many records it scores like the fitted one, and what it refuses."""
+    model, data = scorer(spark, sf)
+    records, folder = data.drop("Y", "split"), staging_path(spark, "model")
+    refused = []
+    for attempt in (lambda: pub.load(spark, folder), lambda: pub.load(spark, folder).predict(records.withColumn("X24", F.lit(0)))):
+        try:
+            attempt()
+            refused.append(False)
+        except (RuntimeError, ValueError):
+            refused.append(True)
+        if len(refused) == 1:
+            pub.publish(spark, folder, model, records, fe.ABLATIONS["A3"])
+    mine = model.predict(records).select("row_id", F.col("probability").alias("mine"), F.col("predicted_class").alias("mine_class"))
+    both = mine.join(pub.load(spark, folder).predict(records), "row_id", "full")
+    same = (F.abs(F.col("mine") - F.col("probability")) < 1e-12) & (F.col("mine_class") == F.col("predicted_class"))
+    return both.agg(F.count(F.lit(1)).alias("records"), F.count_if(same).alias("equal_scores")).select(
+        "records", "equal_scores", F.lit(refused[0]).alias("refused_before_marker"), F.lit(refused[1]).alias("refused_other_columns")
+    )
+
+
 @query("xai1_global_importance")
 def xai1_global_importance(spark, sf):
     columns, train, _ = prepared(spark, sf)
