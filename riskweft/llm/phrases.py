@@ -16,11 +16,12 @@ are active together; such a phrase starts earlier than it had to, or at all, but
 it too is counted for one whole cycle from its start, which is a function of the
 cells of the phrases inside it. So a full table costs time and changes no count.
 
-Counting works on 128-bit hashes of (language, phrase), which are folded per block
-in the task before they are shuffled, so a hot language or source does not gather
-in one task. Between steps only phrases inside their cycle are kept, and of those
-that have completed it the frequent ones. A last scan reads the texts of the
-frequent phrases.
+Texts are split into words once and staged as blocks of numbers. Counting works on
+128-bit hashes of (language, phrase), which are folded per block in the task
+before they are shuffled, so a hot language or source does not gather in one
+task. Between steps only phrases inside their cycle are kept, and of those that
+have completed it the frequent ones. A last scan reads the texts of the frequent
+phrases, each in one block.
 
 Defined results: a null text has no words, a null language counts as `und`,
 together with rows that say so. Repeated rows count each. An empty table, or one
@@ -39,11 +40,12 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (makes pa.compute)
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweft.llm.common import cell_filter, passes
-from riskweft.llm.words import mix, signed
+from riskweft.llm.words import mix, pieces, signed, text_bytes
 from riskweft.session import release, stage
 
 THRESHOLD = 100
@@ -57,16 +59,19 @@ CELL_BITS = 24
 NEVER = 255
 #: Words that a scan works on at once.
 BLOCK = 1 << 20
+#: Bytes of text whose documents are read at once; a longer text by itself.
+READ = 1 << 23
 #: Bytes of a long text that are split at once.
 SLICE = 1 << 20
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: All separators become line feeds and both blanks become spaces.
 _FOLD = bytes(10 if b in b".,;:!?\x0a\x0b\x0c\x0d" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _FACTORS = mix(np.arange(1, 17, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
 
-#: Both halves of the hash, number of words, the step in which the phrase is first counted, occurrences.
-COUNTS = "h1 bigint, h2 bigint, k int, start int, n bigint"
+#: A block of words: which shard it belongs to, its number, its distinct words with their 128-bit hashes, and the text as indexes into them, 0 between two pieces.
+BLOCKS = "lang string, shard int, id bigint, words binary, hashes binary, places binary"
+#: Both halves of the hash, number of words, the step in which the phrase is first counted, occurrences, a block that holds the phrase.
+COUNTS = "h1 bigint, h2 bigint, k int, start int, n bigint, block bigint"
 #: Texts of phrases; the empty phrase counts all words of a language.
 TEXTS = "h1 bigint, h2 bigint, lang string, phrase string, n bigint"
 
@@ -74,7 +79,7 @@ TEXTS = "h1 bigint, h2 bigint, lang string, phrase string, n bigint"
 def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
     """(2, words): 128 bits of each word."""
     seed = zlib.crc32(lang.encode())
-    return np.frombuffer(b"".join(xxhash.xxh3_128_digest(w, seed) for w in words), np.uint64).reshape(-1, 2).T
+    return np.frombuffer(b"".join(xxhash.xxh3_128_digest(w, seed) for w in words), np.uint64).reshape(-1, 2).T.copy()
 
 
 def _phrase_hashes(hashes: np.ndarray, parts: list[np.ndarray]) -> np.ndarray:
@@ -126,11 +131,11 @@ def _blocks(texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray]]:
         yield list(known), np.concatenate(held)
 
 
-def _levels(lang: str, words: list[bytes], places: np.ndarray, cells: np.ndarray, step: int, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]]:
+def _levels(known: np.ndarray, places: np.ndarray, cells: np.ndarray, step: int, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]]:
     """(hashes, start, words at each position, occurrences) of the distinct phrases of one block that are active in the step, length by length."""
-    known = _word_hashes(lang, words)
-    hashes = _phrase_hashes(known, [np.arange(len(words))])
-    n = np.bincount(places, minlength=len(words))
+    size = known.shape[1]
+    hashes = _phrase_hashes(known, [np.arange(size)])
+    n = np.bincount(places, minlength=size)
     n[0] = 0
     used = np.flatnonzero(n)
     yield hashes[:, used], np.zeros(len(used), np.int64), [used], n[used]
@@ -144,7 +149,7 @@ def _levels(lang: str, words: list[bytes], places: np.ndarray, cells: np.ndarray
         at = at[at + k <= len(places)]
         if not len(at):
             return
-        codes, unique = pd.factorize(ids[at] * len(words) + places[at + k - 1])
+        codes, unique = pd.factorize(ids[at] * size + places[at + k - 1])
         first = np.empty(len(unique), np.int64)
         first[codes[::-1]] = at[::-1]
         start = np.maximum(here[first], here[first + 1])
@@ -160,21 +165,25 @@ def _levels(lang: str, words: list[bytes], places: np.ndarray, cells: np.ndarray
             here[at] = found[codes]
 
 
-def _counted(lang: str, words: list[bytes], places: np.ndarray, cells: np.ndarray, step: int, shards: int, longest: int) -> Iterator[pa.RecordBatch]:
+def _counted(block: int, known: np.ndarray, places: np.ndarray, cells: np.ndarray, step: int, shards: int, longest: int) -> Iterator[pa.RecordBatch]:
     """Counts of the phrases of one block that are inside their cycle."""
-    for hashes, start, parts, n in _levels(lang, words, places, cells, step, longest):
+    for hashes, start, parts, n in _levels(known, places, cells, step, longest):
         inside = start > step - shards
         if inside.any():
             h1, h2 = (signed(h[inside]) for h in hashes)
-            k = np.full(len(h1), len(parts), np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h1), pa.array(h2), pa.array(k), pa.array(start[inside], pa.int32()), pa.array(n[inside], pa.int64())], ["h1", "h2", "k", "start", "n"]
-            )
+            k, at = np.full(len(h1), len(parts), np.int32), np.full(len(h1), block, np.int64)
+            columns = [h1, h2, k, start[inside].astype(np.int32), n[inside].astype(np.int64), at]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h1", "h2", "k", "start", "n", "block"])
 
 
-def _said(lang: str, words: list[bytes], places: np.ndarray, cells: np.ndarray, wanted: np.ndarray, longest: int) -> Iterator[pa.RecordBatch]:
-    """Texts of the phrases of one block whose cell is wanted, and the number of its words."""
-    texts = pa.array(words, pa.binary())
+def _place_hash(h1: np.ndarray, block: int) -> np.ndarray:
+    """A hash of a phrase in a block."""
+    return mix(h1 ^ mix(np.array([block], np.int64).view(np.uint64))).view(np.int64)
+
+
+def _said(lang: str, block: int, words: bytes, known: np.ndarray, places: np.ndarray, cells: np.ndarray, wanted: np.ndarray, longest: int) -> Iterator[pa.RecordBatch]:
+    """Texts of the phrases that are wanted of this block, and the number of its words."""
+    texts = pa.array([b"\n", *words.split(b"\n")], pa.binary())
 
     def rows(h1: np.ndarray, h2: np.ndarray, phrase: pa.Array, n: int | None) -> pa.RecordBatch:
         many = len(h1)
@@ -183,34 +192,51 @@ def _said(lang: str, words: list[bytes], places: np.ndarray, cells: np.ndarray,
 
     zero = np.zeros(1, np.uint64)
     yield rows(zero, zero, pa.array([""]), int((places != 0).sum()))
-    for hashes, _, parts, _ in _levels(lang, words, places, cells, NEVER - 1, longest):
-        keep = passes(wanted, hashes[0].view(np.int64))
+    for hashes, _, parts, _ in _levels(known, places, cells, NEVER - 1, longest):
+        keep = passes(wanted, _place_hash(hashes[0], block))
         if keep.any():
             said = [texts.take(pa.array(p[keep])) for p in parts]
             phrase = said[0] if len(said) == 1 else pa.compute.binary_join_element_wise(*said, b" ")
             yield rows(hashes[0][keep], hashes[1][keep], phrase.cast(pa.string()), None)
 
 
-def _over_blocks(cells: np.ndarray, count):
-    """A task that runs count(lang, words, places, cells) over the blocks of each language."""
+def _packed(cells: np.ndarray) -> bytes:
     # Most cells stay empty, so what travels with the task is about as large as the number of set cells.
-    packed = zlib.compress(cells.tobytes(), 1)
+    return zlib.compress(cells.tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), np.uint8)
+
+
+def _arrays(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(row["hashes"], np.uint64).reshape(-1, 2).T.copy(), np.frombuffer(row["places"], np.int32).astype(np.int64)
+
+
+def _scan(cells: np.ndarray, step: int, shards: int, longest: int):
+    packed = _packed(cells)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.frombuffer(zlib.decompress(packed), np.uint8)
+        cells = _unpacked(packed)
         for batch in batches:
-            by_lang: dict[str, list[bytes]] = {}
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist()):
-                by_lang.setdefault(lang, []).append(text)
-            for lang, texts in by_lang.items():
-                for words, places in _blocks(texts):
-                    yield from count(lang, words, places, cells)
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                yield from _counted(row["id"], *_arrays(row), cells, step, shards, longest)
 
     return run
 
 
-def _scan(cells: np.ndarray, step: int, shards: int, longest: int):
-    return _over_blocks(cells, lambda lang, words, places, cells: _counted(lang, words, places, cells, step, shards, longest))
+def _read_back(cells: np.ndarray, wanted: np.ndarray, longest: int):
+    packed = _packed(cells)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = _unpacked(packed)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                yield from _said(row["lang"], row["id"], row["words"], *_arrays(row), cells, wanted, longest)
+
+    return run
 
 
 def _reached(phrases: DataFrame, cells: int) -> np.ndarray:
@@ -218,31 +244,49 @@ def _reached(phrases: DataFrame, cells: int) -> np.ndarray:
     return phrases.select(F.col("h1").bitwiseAND(cells - 1).cast("int").alias("cell")).distinct().toArrow()["cell"].to_numpy()
 
 
-def shard_texts(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """lang, text, shard, staged so that a step reads its own shard only."""
-    text = F.translate(F.coalesce("text", F.lit("")), _UPPER, _LOWER)
-    rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), text.alias("text"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard"))
-    return stage(rows.where("text <> ''"), "phrases-texts", ["shard"])
+def _tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    made = TaskContext.get().partitionId() << 32
+    for batch in pieces(batches, "text", READ):
+        groups: dict[tuple[str, int], list[bytes]] = {}
+        for lang, shard, text in zip(batch.column("lang").to_pylist(), batch.column("shard").to_pylist(), text_bytes(batch.column("text"))):
+            groups.setdefault((lang, shard), []).append(text)
+        for (lang, shard), texts in groups.items():
+            for words, places in _blocks(texts):
+                if not places.any():
+                    continue
+                cells = [b"\n".join(words[1:]), _word_hashes(lang, words).T.tobytes(), places.astype(np.int32).tobytes()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang]), pa.array([shard], pa.int32()), pa.array([made], pa.int64()), *[pa.array([c], pa.binary()) for c in cells]],
+                    ["lang", "shard", "id", "words", "hashes", "places"],
+                )
+                made += 1
+
+
+def word_blocks(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """Texts as blocks of words, staged by shard: a text is split into words once, and a step reads the numbers of its own shard only."""
+    shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int")
+    rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"), shard.alias("shard")).where("text <> ''")
+    return stage(rows.mapInArrow(_tokenised, BLOCKS), "phrases-blocks", ["shard"])
 
 
 def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST, shards: int = SHARDS, cell_bits: int = CELL_BITS) -> DataFrame:
     """lang, phrase, n for every phrase of at most `longest` words with n >= threshold; the empty phrase holds all words of a language."""
     if longest * shards >= NEVER or longest > len(_FACTORS):
         raise ValueError("too many steps or words")
-    texts = shard_texts(docs, shards)
+    blocks = word_blocks(docs, shards)
     cells = np.full(1 << cell_bits, NEVER, np.uint8)
     counts, complete, step, latest = None, [], 0, -1
     # The last phrases that can start do so in the step after the latest one in which a phrase reached the threshold.
     while step < shards or step <= latest + shards:
-        seen = texts.where(F.col("shard") == step % shards).select("lang", "text").mapInArrow(_scan(cells, step, shards, longest), COUNTS)
+        seen = blocks.where(F.col("shard") == step % shards).select("id", "hashes", "places").mapInArrow(_scan(cells, step, shards, longest), COUNTS)
         if counts is not None:
             seen = seen.unionByName(counts.where(F.col("start") > step - shards))
-        seen = seen.groupBy("h1", "h2", "k", "start").agg(F.sum("n").alias("n"))
+        seen = seen.groupBy("h1", "h2", "k", "start").agg(F.sum("n").alias("n"), F.min("block").alias("block"))
         ends = F.col("start") == step - shards + 1
         before, counts = counts, stage(seen.where(~ends | (F.col("n") >= threshold)), "phrases-counts")
         if before is not None:
             release(before)
-        complete.append(stage(counts.where(ends).select("h1", "h2", "n"), "phrases-complete"))
+        complete.append(stage(counts.where(ends).select("h1", "h2", "n", "block"), "phrases-complete"))
         new = _reached(counts.where((F.col("n") >= threshold) & (F.col("k") < longest)), len(cells))
         new = new[cells[new] == NEVER]
         if len(new):
@@ -253,13 +297,20 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int =
     found = complete[0]
     for more in complete[1:]:
         found = found.unionByName(more)
-    # One more scan for the texts; a filter of fixed size keeps the other phrases out of the shuffle.
-    wanted = cell_filter(found.select("h1"))
-    said = texts.select("lang", "text").mapInArrow(_over_blocks(cells, lambda lang, words, places, cells: _said(lang, words, places, cells, wanted, longest)), TEXTS)
-    said = stage(said.groupBy("h1", "h2", "lang", "phrase").agg(F.sum("n").alias("words")), "phrases-said")
-    release(texts)
-    totals = said.where("phrase = ''").select("lang", "phrase", F.col("words").alias("n"))
-    return said.where("phrase <> ''").select("h1", "h2", "lang", "phrase").join(found, ["h1", "h2"]).select("lang", "phrase", "n").unionByName(totals)
+    # One more scan for the texts. Each phrase is read in one block that holds it: a filter of fixed size knows the
+    # hashes of (phrase, block), and what passes it by chance is left out by the join.
+    wanted = cell_filter(found.select("h1", "block").mapInArrow(_place_hashes, "h bigint"))
+    said = stage(blocks.select("lang", "id", "words", "hashes", "places").mapInArrow(_read_back(cells, wanted, longest), TEXTS), "phrases-said")
+    release(blocks)
+    totals = said.where("phrase = ''").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    texts = said.where("phrase <> ''").select("h1", "h2", "lang", "phrase").dropDuplicates(["h1", "h2"])
+    return texts.join(found.select("h1", "h2", "n"), ["h1", "h2"]).select("lang", "phrase", "n").unionByName(totals)
+
+
+def _place_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        h1, block = (batch.column(c).to_numpy() for c in ("h1", "block"))
+        yield pa.RecordBatch.from_pydict({"h": mix(h1.view(np.uint64) ^ mix(block.view(np.uint64))).view(np.int64)})
 
 
 def _exact(name: str) -> Column:

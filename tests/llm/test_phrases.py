@@ -91,7 +91,7 @@ def test_every_phrase_is_counted_for_one_cycle():
         # Few cells with unlike steps: phrases meet cells that others have set.
         cells = np.array([1, 2, 1, 3], np.uint8)
         for words, places in phrases._blocks([b"a b c a b c. a b"]):
-            for batch in phrases._counted("en", words, places, cells, step, 2, 4):
+            for batch in phrases._counted(7, phrases._word_hashes("en", words), places, cells, step, 2, 4):
                 starts += [(step, (r["h1"], r["h2"]), r["start"], r["n"]) for r in batch.to_pylist()]
     for phrase in {p for _, p, _, _ in starts}:
         own = [(s, start, n) for s, p, start, n in starts if p == phrase]
