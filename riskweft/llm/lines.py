@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweft.session import stage
+from riskweft.session import release, stage
 
 #: Bits of a hash that name a cell of a broadcast filter.
 CELL_BITS = 19
@@ -85,7 +85,7 @@ def _keep_cells(rows: DataFrame, h: str, wanted: DataFrame) -> DataFrame:
 
 
 def near_lines(slim: DataFrame, spots: DataFrame, found: DataFrame) -> DataFrame:
-    """Classes (h1, h2) with an earlier class within one edit.
+    """Classes (h1, h2) with an earlier class within one edit, staged; what was staged on the way is dropped.
 
     slim: line places with their halves; spots: classes with their first place `at`; found: line places with their words.
     """
@@ -96,7 +96,7 @@ def near_lines(slim: DataFrame, spots: DataFrame, found: DataFrame) -> DataFrame
     # Words of a class, taken from its first place.
     said = _keep_cells(found, "h1", first).select("h1", "h2", F.struct("doc", "tie", "line").alias("at"), "said")
     said = first.join(said, ["h1", "h2", "at"]).dropDuplicates(["h1", "h2"]).withColumn("words", F.split("said", " ")).drop("said")
-    said = stage(said, "near-lines")
+    said = lines = stage(said, "near-lines")
 
     # The words stand in the line's task: one move by class, then windows that need none.
     me = F.struct("at", "h1", "h2").alias("me")
@@ -148,7 +148,10 @@ def near_lines(slim: DataFrame, spots: DataFrame, found: DataFrame) -> DataFrame
 
     a = F.when(F.col("kind") == 2, F.col("a")).otherwise(without(F.col("a")))
     b = F.when(F.col("kind") == 1, F.col("b")).otherwise(without(F.col("b")))
-    return pairs.where(a == b).select("me.h1", "me.h2").distinct()
+    near = stage(pairs.where(a == b).select("me.h1", "me.h2").distinct(), "near-classes")
+    for used in (shared, first, lines, variants, groups, same, deletions):
+        release(used)
+    return near
 
 
 def dropped_lines(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
@@ -157,7 +160,7 @@ def dropped_lines(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     slim = stage(found.select("doc", "tie", "line", "n", "h1", "h2", F.when(F.col("n") >= MIN_NEAR, _halves()).alias("halves")), "lines")
     at = F.struct("doc", "tie", "line")
     spots = stage(slim.groupBy("h1", "h2").agg(F.min(at).alias("at"), F.max(at).alias("last"), F.min("n").alias("n")), "line-classes")
-    near = stage(near_lines(slim, spots, found), "near-classes").withColumn("near", F.lit(True))
+    near = near_lines(slim, spots, found).withColumn("near", F.lit(True))
     # Classes that take a line away somewhere; most lines stand once and have no near copy.
     acting = spots.join(near, ["h1", "h2"], "left").where("near OR at <> last").select("h1", "h2", "at", F.coalesce("near", F.lit(False)).alias("near"))
     gone = slim.select("doc", "tie", "line", "h1", "h2").join(acting, ["h1", "h2"]).where(F.col("near") | (F.col("at") != at))
