@@ -177,10 +177,11 @@ def mixture(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int =
     pieces = segments(rows, sources, block_words).select("rank", "block", "doc_id", "tie", "first", "words")
     dealt = slots(sources, shard_slots, most).join(pieces, ["rank", "block"])
     # A document's pieces are as many as its blocks times the passes, so the list is bounded by its length.
-    lists = dealt.groupBy(F.col("doc_id").alias("doc"), "tie").agg(F.collect_list(F.struct("shard", "rank", "slot", "block", "first", "words")).alias("pieces"))
+    # Both keys are hashes and never null, so that a text is shuffled once, for the fold and the join.
+    lists = dealt.groupBy(F.xxhash64("doc_id").alias("id"), "tie").agg(F.collect_list(F.struct("shard", "rank", "slot", "block", "first", "words")).alias("pieces"))
     # Rows with the same id and text are placed one by one, but any of their texts serves.
-    texts = docs.select(F.col("doc_id").alias("id"), "text", F.xxhash64("text").alias("hash")).dropDuplicates(["id", "hash"])
-    held = texts.join(lists, F.col("doc").eqNullSafe(F.col("id")) & (F.col("tie") == F.col("hash")))
+    texts = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("id"), F.xxhash64("text").alias("tie")).dropDuplicates(["id", "tie"])
+    held = texts.join(lists, ["id", "tie"])
     split = F.filter(F.split("text", SPACE), lambda w: w != "")
 
     def cut(words: Column) -> Column:
@@ -191,6 +192,6 @@ def mixture(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int =
 
     # The words are bound to a variable, so that a text is not split again for each piece.
     cells = F.get(F.transform(F.array(split), cut), F.lit(0))
-    out = held.select(F.col("id").alias("doc_id"), F.explode(cells).alias("x")).select("doc_id", "x.*")
+    out = held.select("doc_id", F.explode(cells).alias("x")).select("doc_id", "x.*")
     # One row for each source.
     return out.join(sources.select("rank", "source"), "rank").select("shard", "source", "slot", "block", "doc_id", "first", "words", "text")
