@@ -10,14 +10,17 @@ of documents that links reach, so copies never turn into all their pairs.
    by a fixed-size table of counts over all documents, so a passage in a third
    of all documents joins nothing. Any order is exact.
 3. At every shared shingle, all documents are verified against one of them, and
-   what is linked is one component from then on. A few such rounds, each with
-   another leader and only for shingles that still join several components,
-   settle groups of near copies without making their pairs.
+   what is linked is one component from then on. The first leader is the most
+   central document, whose rarest shingles repeat most: it has the fewest edits
+   of its own, so it links with whatever can link in its group. A few rounds with
+   other leaders follow, only for shingles that still join several components,
+   and settle groups of near copies without making their pairs.
 4. Documents of different components that share such a shingle meet in tiles of
    one shingle and one size band (a linked pair's sizes differ by a factor of
    1.25 at most). Each carries a parity bitmap with about one bit per shingle.
    Bits that differ are shingles that differ, so the bit count bounds the
    intersection from above. A large tile is cut into blocks that meet pairwise.
+   Two documents of one band meet in its own tile, not in the next one's.
 5. Pairs that pass are verified by intersecting the whole sorted sets.
 
 Nulls and empty texts have an empty set and link with nothing. A null doc_id
@@ -40,7 +43,7 @@ from pyspark.sql import functions as F
 from riskweft.llm.common import cell_filter, keep_others, passes, passing
 from riskweft.llm.graph import components
 from riskweft.llm.words import mix, pieces, shingle_sets, signed, text_bytes
-from riskweft.session import stage
+from riskweft.session import release, stage
 
 SHINGLE = 5
 PERCENT = 80
@@ -100,12 +103,15 @@ def shingle_levels(docs: DataFrame) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """doc, n, h1, h2 (hashes of the set), prefix, bits; documents with at least one shingle."""
+    """doc, n, h1, h2 (hashes of the set), prefix, centre, bits; documents with at least one shingle.
+
+    centre: how much the shingles of the prefix repeat, the mean of their levels in eighths.
+    """
     u = np.uint64
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
-            ids, sizes, one, two, prefixes, bits = [], [], [], [], [], []
+            ids, sizes, one, two, prefixes, centres, bits = [], [], [], [], [], [], []
             for doc, s in zip(batch.column("doc").to_pylist(), shingle_sets(text_bytes(batch.column("text")), SHINGLE)):
                 n = len(s)
                 if not n:
@@ -116,7 +122,9 @@ def signatures(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> D
                 two.append(int(signed(np.bitwise_xor.reduce(mix(s + u(0x1234567887654321)), keepdims=True))[0]))
                 k = n - (percent * n + 99) // 100 + 1
                 level = levels[(s >> u(64 - LEVEL_BITS)).astype(np.int64)]
-                prefixes.append(signed(s[np.argsort(level, kind="stable")[:k]]))
+                first = np.argsort(level, kind="stable")[:k]
+                prefixes.append(signed(s[first]))
+                centres.append(int(8 * level[first].sum(dtype=np.int64) // k))
                 width = max(64, 1 << (n - 1).bit_length())
                 odd = np.bincount((s & u(width - 1)).astype(np.int64), minlength=width) & 1
                 bits.append(np.packbits(odd.astype(np.uint8), bitorder="little").tobytes())
@@ -124,11 +132,11 @@ def signatures(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> D
                 offsets = np.cumsum([0] + [len(p) for p in prefixes])
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(prefixes)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), lists, pa.array(bits, pa.binary())],
-                    ["doc", "n", "h1", "h2", "prefix", "bits"],
+                    [pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), lists, pa.array(centres, pa.int16()), pa.array(bits, pa.binary())],
+                    ["doc", "n", "h1", "h2", "prefix", "centre", "bits"],
                 )
 
-    return _source(docs).mapInArrow(sign, "doc long, n int, h1 long, h2 long, prefix array<long>, bits binary")
+    return _source(docs).mapInArrow(sign, "doc long, n int, h1 long, h2 long, prefix array<long>, centre short, bits binary")
 
 
 def _may_link(n: int, a: bytes, m: int, b: bytes, percent: int) -> bool:
@@ -185,22 +193,26 @@ def verified(pairs: DataFrame, signs: DataFrame, docs: DataFrame, percent: int =
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "aitems", "bitems").mapInArrow(intersect, "a long, b long").distinct()
+    links = stage(both.select("a", "b", "aitems", "bitems").mapInArrow(intersect, "a long, b long").distinct(), "jaccard-links")
+    release(near)
+    release(sets)
+    return links
 
 
 def tile_pairs(members: DataFrame, signs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """members: key, doc, n, component; signs: doc, bits -> distinct pairs (a, b) of different components that sizes and bit counts allow."""
     band = F.floor(F.log(F.col("n")) / F.lit(float(np.log(BAND)))).cast("int")
-    tiled = members.withColumn("band", F.explode(F.array(band, band + 1)))
-    parts = tiled.groupBy("key", "band").agg(F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high"))
-    parts = parts.where("low <> high").select("key", "band", F.ceil(F.col("rows") / TILE_ROWS).cast("int").alias("cuts"))
+    tile = F.inline(F.array(*[F.struct((band + i).alias("band"), F.lit(bool(i)).alias("guest")) for i in (0, 1)]))
+    tiled = members.select("key", "doc", "n", "component", tile)
+    parts = tiled.groupBy("key", "band").agg(F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high"), F.every("guest").alias("guests"))
+    parts = parts.where("low <> high AND NOT guests").select("key", "band", F.ceil(F.col("rows") / TILE_ROWS).cast("int").alias("cuts"))
     tiled = tiled.join(parts, ["key", "band"]).join(signs.select("doc", "bits"), "doc").withColumn("cut", F.pmod(F.xxhash64("doc"), F.col("cuts")).cast("int"))
     tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     block = F.struct("key", "band", F.least("cut", "other").alias("i"), F.greatest("cut", "other").alias("j"))
-    tiled = tiled.select(F.xxhash64(block).alias("block"), block.alias("full"), "doc", "n", "component", "bits")
+    tiled = tiled.select(F.xxhash64(block).alias("block"), block.alias("full"), "doc", "n", "guest", "component", "bits")
     # Blocks of one partition stand together; a block is never split between tasks.
     dealt = tiled.repartition("block", "full").sortWithinPartitions("block", "full")
-    dealt = dealt.select(F.xxhash64(F.lit(3), "full").alias("check"), "block", "doc", "n", "component", "bits")
+    dealt = dealt.select(F.xxhash64(F.lit(3), "full").alias("check"), "block", "doc", "n", "guest", "component", "bits")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -221,7 +233,7 @@ def tile_pairs(members: DataFrame, signs: DataFrame, percent: int = PERCENT) ->
 
 def _block_pairs(rows: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs of neighbours at distance 1, 2, ... inside the blocks, for all blocks at once."""
-    block, check, doc, n, component = (rows.column(x).to_numpy() for x in ("block", "check", "doc", "n", "component"))
+    block, check, doc, n, guest, component = (rows.column(x).to_numpy() for x in ("block", "check", "doc", "n", "guest", "component"))
     bits = rows.column("bits").to_pylist()
     at = np.arange(len(block))
     found: list[tuple[int, int]] = []
@@ -234,7 +246,7 @@ def _block_pairs(rows: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
             break
         to = at + step
         low, high = np.minimum(n[at], n[to]).astype(np.int64), np.maximum(n[at], n[to])
-        open_pairs = (component[at] != component[to]) & (100 * low >= percent * high)
+        open_pairs = (component[at] != component[to]) & ~(guest[at] & guest[to]) & (100 * low >= percent * high)
         for i, j in zip(at[open_pairs].tolist(), to[open_pairs].tolist()):
             if _may_link(int(n[i]), bits[i], int(n[j]), bits[j], percent):
                 found.append((min(doc[i], doc[j]), max(doc[i], doc[j])))
@@ -250,18 +262,13 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
-def _stars(rows: DataFrame, found: DataFrame | None) -> DataFrame:
-    """rows: key, doc, component, leader -> distinct pairs of a key's leader with its members of other components."""
-    if found is None:
-        rows = rows.withColumn("led", F.col("leader"))
-    else:
-        led = found.select(F.col("node").alias("leader"), F.col("component").alias("led"))
-        rows = rows.join(led, "leader", "left").withColumn("led", F.coalesce("led", "leader"))
+def _stars(rows: DataFrame) -> DataFrame:
+    """rows: key, doc, component, leader, led (the leader's component) -> distinct pairs of a key's leader with its members of other components."""
     return rows.where("component <> led").select(F.least("leader", "doc").alias("a"), F.greatest("leader", "doc").alias("b")).distinct()
 
 
 def _shared_members(firsts: DataFrame, shared: DataFrame) -> DataFrame:
-    """key, doc, n for the prefix shingles that more than one document has; a filter keeps the others out of the join."""
+    """key, doc, n, centre for the prefix shingles that more than one document has; a filter keeps the others out of the join."""
     cells = cell_filter(shared.select("key"))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,10 +277,11 @@ def _shared_members(firsts: DataFrame, shared: DataFrame) -> DataFrame:
             keys = lists.flatten().to_numpy()
             many = np.diff(lists.offsets.to_numpy())
             keep = passes(cells, keys)
-            columns = [pa.array(np.repeat(batch.column(c).to_numpy(), many)[keep]) for c in ("doc", "n")]
-            yield pa.RecordBatch.from_arrays([pa.array(keys[keep]), *columns], ["key", "doc", "n"])
+            columns = [pa.array(np.repeat(batch.column(c).to_numpy(), many)[keep]) for c in ("doc", "n", "centre")]
+            yield pa.RecordBatch.from_arrays([pa.array(keys[keep]), *columns], ["key", "doc", "n", "centre"])
 
-    return firsts.select("doc", "n", "prefix").mapInArrow(spread, "key long, doc long, n int").distinct().join(shared, "key", "left_semi")
+    spread_out = firsts.select("doc", "n", "centre", "prefix").mapInArrow(spread, "key long, doc long, n int, centre short")
+    return spread_out.join(shared, "key", "left_semi").distinct()
 
 
 def linked_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -291,24 +299,34 @@ def linked_nodes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     copies = stage(signs.select("doc", "h1", "h2").join(several, ["h1", "h2"]).where("doc <> first").select("doc", "h1").distinct(), "jaccard-copies")
     firsts = signs.join(copies, ["doc", "h1"], "left_anti")
     slim = stage(firsts.select("doc", "n", "bits").dropDuplicates(), "jaccard-bits")
-    shared = firsts.select(F.explode("prefix").alias("key"), "doc").groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-    shared = stage(shared.where("first <> last").select("key"), "jaccard-keys")
+    shared = firsts.select(F.explode("prefix").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
+    shared = stage(shared.where("rows > 1").select("key"), "jaccard-keys")
     members = stage(_shared_members(firsts, shared), "jaccard-members")
+    for done in (copies, shared):
+        release(done)
     links = found = None
     for round_ in range(STAR_ROUNDS + 1):
         named = members.withColumn("component", F.col("doc"))
         if found is not None:
             named = members.join(found, F.col("doc") == found["node"], "left").withColumn("component", F.coalesce("component", "doc")).drop("node")
-        named = stage(named, "jaccard-named")
-        leader = F.min_by("doc", F.xxhash64(F.lit(round_), "doc")).alias("leader")
-        mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), leader).where("low <> high").select("key", "leader")
-        if round_ < STAR_ROUNDS:
-            pairs = _stars(named.join(mixed, "key"), found)
-        else:
-            pairs = tile_pairs(named.join(mixed.select("key"), "key", "left_semi"), slim, percent)
+            named = stage(named, "jaccard-named")
+        # The most central document first, then others by chance.
+        rank = F.struct(F.col("centre") if round_ == 0 else F.lit(0), F.xxhash64(F.lit(round_), "doc"))
+        leader = F.max_by(F.struct(F.col("doc").alias("leader"), F.col("component").alias("led")), rank).alias("x")
+        mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), leader).where("low <> high").select("key", "x.*")
+        # A shingle whose documents are one component stays so: later rounds see the others only.
+        mixed = stage(named.join(mixed, "key"), "jaccard-open")
+        pairs = _stars(mixed) if round_ < STAR_ROUNDS else tile_pairs(mixed, slim, percent)
         more = verified(pairs, slim, docs, percent)
-        links = stage(more if links is None else links.unionByName(more), "jaccard-links")
+        if found is not None:
+            for done in (named, found):
+                release(done)
+        release(members)
+        members = mixed.drop("component", "leader", "led")
+        members.staged_path = mixed.staged_path
+        links = more if links is None else links.unionByName(more)
         found = stage(components(links), "jaccard-components")
+    release(members)
 
     first = F.coalesce("component", "first")
     classed = classes.drop("last").withColumnRenamed("doc", "first").join(found, F.col("first") == found["node"], "left").select("h1", "h2", "n", first.alias("component"))
