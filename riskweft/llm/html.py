@@ -9,8 +9,9 @@ numbered, tables have their cells in columns, `pre` keeps its spaces.
 
 Nulls: a null page has null text. Text that is no HTML comes back with its white
 space folded. Broken markup never fails: what is no tag is text, what is not
-closed ends with the page. Tags nested deeper than DEPTH are read as if they
-stood at that depth. Repeated rows get equal texts. Extra columns are ignored.
+closed ends with the page. Tags nest as deep as they do: neither the builder nor
+the renderer recurses, and a tag finds what it ends in a fixed number of looks.
+Repeated rows get equal texts. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Generator, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,9 +50,13 @@ IMPLIED_ENDS = {
 }
 #: A block start ends an open p, as far as one of these.
 P_SCOPE = frozenset("button td th caption object table".split())
-#: End tags do not reach out of these.
+#: End tags do not reach out of these, but for those of the second list.
 WALLS = frozenset("td th table caption button".split())
-DEPTH = 150
+_THROUGH = frozenset("table tr tbody thead tfoot td th body html".split())
+_ROWS = frozenset("thead tbody tfoot tr".split())
+_PARTS = frozenset("table thead tbody tfoot".split())
+#: Columns and rows that a cell may span in HTML.
+SPANS = {"colspan": 1000, "rowspan": 65534}
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
@@ -66,10 +71,36 @@ class Node:
         self.tag, self.attributes, self.children = tag, attributes, []
 
 
+class Open:
+    """Elements that are open, outermost first, and where each tag stands among them."""
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.at: dict[str, list[int]] = {}
+
+    @property
+    def top(self) -> Node:
+        return self.nodes[-1]
+
+    def push(self, node: Node) -> None:
+        self.at.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, i: int) -> None:
+        """Ends the i-th element and all inside it."""
+        for node in self.nodes[i:]:
+            self.at[node.tag].pop()
+        del self.nodes[i:]
+
+    def last(self, tags: Iterable[str]) -> int:
+        """Place of the innermost open element with one of the tags, 0 for none."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+
 def parse(page: str) -> Node:
     """The tree of a page; children are nodes and text."""
     root = Node("#root", {})
-    stack, at, end = [root], 0, len(page)
+    stack, at, end = Open(root), 0, len(page)
     while at < end:
         m = _TAG.search(page, at)
         if m is None:
@@ -89,65 +120,54 @@ def parse(page: str) -> Node:
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             body = page[at : close.start() if close else end]
             if body and tag not in ("script", "style"):
-                stack[-1].children.append(html.unescape(body) if tag in ("textarea", "title") else body)
-            stack.pop()
+                stack.top.children.append(html.unescape(body) if tag in ("textarea", "title") else body)
+            stack.cut(len(stack.nodes) - 1)
             at = close.end() if close else end
     return root
 
 
-def _text(stack: list[Node], said: str) -> None:
-    top = stack[-1].tag
-    if top in ("table", "tbody", "thead", "tfoot", "tr", "ul", "ol", "dl") and not said.strip():
+def _text(stack: Open, said: str) -> None:
+    if stack.top.tag in ("table", "tbody", "thead", "tfoot", "tr", "ul", "ol", "dl") and not said.strip():
         return
-    stack[-1].children.append(html.unescape(said) if "&" in said else said)
+    stack.top.children.append(html.unescape(said) if "&" in said else said)
 
 
-def _open(stack: list[Node], tag: str, said: str) -> None:
+def _open(stack: Open, tag: str, said: str) -> None:
     rule = IMPLIED_ENDS.get(tag)
     if rule:
         ended, scope = rule
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in scope:
-                break
-            if stack[i].tag in ended:
-                del stack[i:]
-                break
-        if tag in ("thead", "tbody", "tfoot", "tr"):  # rows end what a cell left open
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in ("table", "thead", "tbody", "tfoot") or (stack[i].tag == "tr" and tag == "tr"):
-                    del stack[i + (stack[i].tag != "tr") :]
-                    break
+        i = stack.last(ended)
+        if i > stack.last(scope):
+            stack.cut(i)
+        if tag in _ROWS:  # rows end what a cell left open
+            i = stack.last(_PARTS | {"tr"} if tag == "tr" else _PARTS)
+            if i:
+                stack.cut(i + (stack.nodes[i].tag != "tr"))
     elif tag in BLOCK:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in P_SCOPE:
-                break
-            if stack[i].tag == "p":
-                del stack[i:]
-                break
-    if tag in _CELLS and stack[-1].tag in ("table", "thead", "tbody", "tfoot"):
+        i = stack.last(("p",))
+        if i > stack.last(P_SCOPE):
+            stack.cut(i)
+    if tag in _CELLS and stack.top.tag in _PARTS:
         row = Node("tr", {})
-        stack[-1].children.append(row)
-        stack.append(row)
+        stack.top.children.append(row)
+        stack.push(row)
     attributes = {}
     if said and said.strip(" \t\r\n\f/"):
         for name, a, b, c in _ATTRIBUTE.findall(said):
             attributes.setdefault(name.lower(), html.unescape(a or b or c))
     node = Node(tag, attributes)
-    stack[-1].children.append(node)
-    if tag not in VOID and (len(stack) < DEPTH or tag in RAW):
-        stack.append(node)
+    stack.top.children.append(node)
+    if tag not in VOID:
+        stack.push(node)
 
 
-def _close(stack: list[Node], tag: str) -> None:
+def _close(stack: Open, tag: str) -> None:
     if tag == "br":
-        stack[-1].children.append(Node("br", {}))
+        stack.top.children.append(Node("br", {}))
         return
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag == tag:
-            del stack[i:]
-            return
-        if stack[i].tag in WALLS and tag not in ("table", "tr", "tbody", "thead", "tfoot", "td", "th", "body", "html"):
-            return
+    i = stack.last((tag,))
+    if i and (i >= stack.last(WALLS) or tag in _THROUGH):
+        stack.cut(i)
 
 
 def visible(node: Node) -> bool:
@@ -191,7 +211,26 @@ class Lines:
         self.gap = 1
 
 
-def _render(node: Node, out: Lines) -> None:
+#: A step of rendering yields the step that has to be done before it goes on, and gets its result.
+Step = Generator
+
+
+def _done(step: Step):
+    """Runs a step and all that it asks for; what waits stands in a list, not on the call stack."""
+    waiting, value = [step], None
+    while waiting:
+        try:
+            step = waiting[-1].send(value)
+        except StopIteration as end:
+            waiting.pop()
+            value = end.value
+        else:
+            waiting.append(step)
+            value = None
+    return value
+
+
+def _render(node: Node, out: Lines) -> Step:
     for child in node.children:
         if isinstance(child, str):
             out.add(child)
@@ -202,9 +241,9 @@ def _render(node: Node, out: Lines) -> None:
         if tag == "br":
             out.end()
         elif tag in ("ul", "ol", "menu", "dir"):
-            _list(child, out)
+            yield _list(child, out)
         elif tag == "table":
-            _table(child, out)
+            yield _table(child, out)
         elif tag in ("pre", "xmp", "textarea"):
             out.space()
             for line in _plain(child).strip("\n").split("\n"):
@@ -212,28 +251,28 @@ def _render(node: Node, out: Lines) -> None:
             out.space()
         elif tag == "dd":
             out.end()
-            _indented(child, out, "    ", "    ")
+            yield _indented(child, out, "    ", "    ")
         elif tag in BLOCK:
             out.space() if tag in SPACED else out.end()
-            _render(child, out)
+            yield _render(child, out)
             out.space() if tag in SPACED else out.end()
         else:
-            _render(child, out)
+            yield _render(child, out)
 
 
-def _inner(node: Node) -> list[str]:
+def _inner(node: Node) -> Step:
     out = Lines()
-    _render(node, out)
+    yield _render(node, out)
     out.end()
     return out.done
 
 
-def _indented(node: Node, out: Lines, first: str, rest: str) -> None:
-    for i, line in enumerate(_inner(node)):
+def _indented(node: Node, out: Lines, first: str, rest: str) -> Step:
+    for i, line in enumerate((yield _inner(node))):
         out.put((first if i == 0 else rest) + line if line else line)
 
 
-def _list(node: Node, out: Lines) -> None:
+def _list(node: Node, out: Lines) -> Step:
     """Items stand by a dash or their number; lists inside an item are indented under it."""
     out.space()
     start = node.attributes.get("start", "1")
@@ -246,11 +285,11 @@ def _list(node: Node, out: Lines) -> None:
             if child.tag == "li":
                 mark = f"{number}. " if node.tag == "ol" else "- "
                 number += 1
-                _indented(child, out, mark, " " * len(mark))
+                yield _indented(child, out, mark, " " * len(mark))
             else:
                 shell = Node("li", {})
                 shell.children.append(child)
-                _indented(shell, out, "  ", "  ")
+                yield _indented(shell, out, "  ", "  ")
     out.space()
 
 
@@ -263,7 +302,7 @@ def _width(said: str) -> int:
 
 def _span(cell: Node, name: str) -> int:
     said = cell.attributes.get(name, "1")
-    return min(max(int(said), 1), 100) if re.fullmatch("[0-9]{1,6}", said) else 1
+    return min(max(int(said), 1), SPANS[name]) if re.fullmatch("[0-9]{1,6}", said) else 1
 
 
 def _rows(node: Node) -> Iterator[Node]:
@@ -275,7 +314,7 @@ def _rows(node: Node) -> Iterator[Node]:
                 yield from _rows(child)
 
 
-def _loose(node: Node, out: Lines) -> None:
+def _loose(node: Node, out: Lines) -> Step:
     """What stands in a table but in no cell comes before it."""
     for child in node.children:
         if isinstance(child, str):
@@ -283,17 +322,17 @@ def _loose(node: Node, out: Lines) -> None:
                 out.add(child)
         elif visible(child):
             if child.tag in ("tr", "thead", "tbody", "tfoot"):
-                _loose(child, out)
+                yield _loose(child, out)
             elif node.tag != "tr" and child.tag not in ("colgroup", "col"):
                 out.end()
-                _render(child, out)
+                yield _render(child, out)
                 out.end()
 
 
-def _table(node: Node, out: Lines) -> None:
+def _table(node: Node, out: Lines) -> Step:
     """Cells of a column start at one place; a cell's lines stand below each other. A cell over several columns starts at its first."""
     out.space()
-    _loose(node, out)
+    yield _loose(node, out)
     out.end()
     grid: list[dict[int, list[str]]] = []
     widths: dict[int, int] = {}
@@ -306,7 +345,7 @@ def _table(node: Node, out: Lines) -> None:
             while below.get(column, 0) > 0:
                 column += 1
             wide, high = _span(cell, "colspan"), _span(cell, "rowspan")
-            lines = [x for x in _inner(cell) if x]
+            lines = [x for x in (yield _inner(cell)) if x]
             cells[column] = lines
             if wide == 1:
                 widths[column] = max([widths.get(column, 0), *map(_width, lines)])
@@ -335,11 +374,20 @@ def _table(node: Node, out: Lines) -> None:
 
 def _plain(node: Node) -> str:
     """Text as it stands, for `pre`."""
-    return "".join(c if isinstance(c, str) else "\n" if c.tag == "br" else _plain(c) if visible(c) else "" for c in node.children)
+    said, waiting = [], [node]
+    while waiting:
+        now = waiting.pop()
+        if isinstance(now, str):
+            said.append(now)
+        elif now.tag == "br":
+            said.append("\n")
+        elif now is node or visible(now):
+            waiting.extend(reversed(now.children))
+    return "".join(said)
 
 
 def page_text(page: str) -> str:
-    return "\n".join(_inner(parse(page)))
+    return "\n".join(_done(_inner(parse(page))))
 
 
 def page_title(page: str) -> str:

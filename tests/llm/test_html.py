@@ -48,6 +48,24 @@ def test_deep_and_long_pages():
     html.page_text("<" * 200_000)
 
 
+def test_depth_changes_nothing():
+    for depth in (0, 149, 150, 200, 3000):
+        page = "<div>" * depth + "%s" + "</div>" * depth
+        for inner, text in CASES:
+            if "<!-- open" not in inner and "end</div>" not in inner:  # these two change what is around them
+                said = html.page_text(page % inner)
+                assert [x for x in said.split("\n") if x] == [x for x in text.split("\n") if x], (depth, inner)
+        hidden = "a<span style='display:none'>b<i>c</i></span><select><option>x<option>y</select><template>z</template>d"
+        assert html.page_text(page % hidden) == "ad"
+
+
+def test_many_open_elements_take_linear_time():
+    for many in ("<div>", "<p><button>", "<li><ul>", "<option>", "<td>", "<i>", "<dd><dl>"):
+        html.page_text("<p><button><table><li><ul>" + many * 30_000)
+        html.page_text("<div>" * 30_000 + many * 30_000 + "</b>" * 30_000)
+    assert html.page_text("<table><tr><td colspan=150>a<td>b<tr>" + "<td>c" * 151 + "</table>").split("\n")[0].split() == ["a", "b"]
+
+
 def test_all_visible_words_come_out_once(spark):
     import os
     import re
