@@ -21,13 +21,15 @@ with partial aggregation and never gathered.
 
 Nulls: a null text is empty. A null doc_id is a document like any other.
 Repeated rows count each, and get the same spans. An empty table gives an empty
-result. Extra columns are ignored. Patterns take time in proportion to the text.
+result. Extra columns are ignored. Patterns and neighbours take time in
+proportion to the text and the values found in it.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,14 +37,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweft.llm.common import cell_filter, passes
+from riskweft.llm.common import cell_filter, keep_others, passes, passing
 from riskweft.llm.words import _FOLD, _hash_piece, pieces, signed, text_bytes
 from riskweft.session import stage
 
 KINDS = ("email", "ip", "card", "phone")
 REACH = 10
-#: Characters beyond an entity in which its neighbours are looked for.
-REACH_CHARS = 400
 SUPPORT = 2
 GENERALISE = 0.75
 REMOVE = 0.95
@@ -107,31 +107,46 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
 
 
 def _neighbours(text: str, spans: list[tuple[str, int, int, str]]) -> tuple[list[int], list[str], list[int], list[int]]:
-    """Entity hash, term, start, end for each term that stands near an entity and in no base span."""
-    taken = sorted((a, b) for _, a, b, _ in spans)
+    """Entity hash, term, start, end for each term among the REACH words before and after an entity that has a letter and touches no base span."""
     entities, terms, starts, ends = [], [], [], []
+    every = [(m.start(), m.end()) for m in _TERM.finditer(text)]
+    if not every:
+        return entities, terms, starts, ends
+    first, last = np.array(every).T
+    free = _outside(first, last, spans).tolist()
+    first, last = first.tolist(), last.tolist()
+    usable = [f and bool(_LETTER.search(text, a, b)) for f, a, b in zip(free, first, last)]
     for kind, a, b, value in spans:
         entity = int.from_bytes(hashlib.blake2b(f"{kind}:{value}".encode(), digest_size=8).digest(), "little", signed=True)
-        low = max(0, a - REACH_CHARS)
-        before = [m for m in _TERM.finditer(text, low, a) if m.start() > low or low == 0][-REACH:]
-        after = []
-        for m in _TERM.finditer(text, b, min(len(text), b + REACH_CHARS)):
-            if len(after) == REACH or m.end() == b + REACH_CHARS < len(text):
-                break
-            after.append(m)
-        for m in before + after:
-            if _LETTER.search(m.group()) and not any(x < m.end() and m.start() < y for x, y in taken):
+        before, after = bisect_right(last, a), bisect_left(first, b)
+        for i in (*range(max(0, before - REACH), before), *range(after, min(len(every), after + REACH))):
+            if usable[i]:
                 entities.append(entity)
-                terms.append(m.group())
-                starts.append(m.start())
-                ends.append(m.end())
+                terms.append(text[first[i] : last[i]])
+                starts.append(first[i])
+                ends.append(last[i])
     return entities, terms, starts, ends
 
 
+def _new(entities: list[int], terms: list[int]) -> list[bool]:
+    """Which pairs are the first of their kind."""
+    seen: set[tuple[int, int]] = set()
+    return [pair not in seen and not seen.add(pair) for pair in zip(entities, terms)]
+
+
 def _term_hashes(terms: list[str]) -> np.ndarray:
     return _hash_piece(" ".join(terms).encode().translate(_FOLD))[1] if terms else np.zeros(0, np.uint64)
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), F.col("text").cast("string").alias("text"))
+
+
+def _key() -> Column:
+    """doc_id, with a number for null."""
+    return F.coalesce("doc_id", F.lit(_LAST))
+
+
 def _found(docs: DataFrame) -> DataFrame:
     """Per row: doc, tie, base (spans as text), counts, and the terms near each entity."""
 
@@ -143,14 +158,14 @@ def _found(docs: DataFrame) -> DataFrame:
                 base.append(",".join(f"{k}:{a}:{b}" for k, a, b, _ in spans))
                 counts.append([sum(s[0] == k for s in spans) for k in KINDS])
                 entities, terms, starts, ends = _neighbours(text, spans) if spans else ([], [], [], [])
-                near.append([{"entity": e, "term": t, "start": a, "end": b} for e, t, a, b in zip(entities, signed(_term_hashes(terms)).tolist(), starts, ends)])
-            kind = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
+                hashes = signed(_term_hashes(terms)).tolist()
+                near.append([{"entity": e, "term": t, "start": a, "end": b, "new": n} for e, t, a, b, n in zip(entities, hashes, starts, ends, _new(entities, hashes))])
+            kind = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("new", pa.bool_())]))
             columns = [batch.column("doc_id"), batch.column("tie"), pa.array(base, pa.string()), *(pa.array([c[i] for c in counts], pa.int64()) for i in range(4)), pa.array(near, kind)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tie", "base", *(f"n_{k}" for k in KINDS), "near"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, tie long, base string, n_email long, n_ip long, n_card long, n_phone long, near array<struct<entity: long, term: long, start: int, end: int>>"
-    return stage(rows.mapInArrow(scan, schema), "pii-base")
+    schema = "doc_id long, tie long, base string, n_email long, n_ip long, n_card long, n_phone long, near array<struct<entity: long, term: long, start: int, end: int, new: boolean>>"
+    return stage(_rows(docs).mapInArrow(scan, schema), "pii-base")
 
 
 def _document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -191,7 +206,7 @@ def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
     """entity, term, disclosure: the pairs at or above GENERALISE."""
     total = found.count()
     near = found.where("size(near) > 0")
-    pair = near.select(F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))).alias("x")).select("x.*")
+    pair = near.select(F.explode(F.filter("near", lambda x: x["new"])).alias("x")).select("x.entity", "x.term")
     pairs = pair.groupBy("entity", "term").agg(F.count("*").alias("n_ct")).where(F.col("n_ct") >= SUPPORT)
     each = lambda field: near.select(F.explode(F.array_distinct(F.transform("near", lambda x: x[field]))).alias(field)).groupBy(field)
     entities = each("entity").agg(F.count("*").alias("n_c")).where((F.col("n_c") >= SUPPORT) & (F.col("n_c") < total))
@@ -246,8 +261,7 @@ def _places(docs: DataFrame, terms: DataFrame) -> DataFrame:
                     ["doc_id", "tie", "term", "start", "end"],
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(scan, "doc_id long, tie long, term long, start int, end int")
+    return _rows(docs).mapInArrow(scan, "doc_id long, tie long, term long, start int, end int")
 
 
 def find_spans(docs: DataFrame, everywhere: bool = False) -> DataFrame:
@@ -270,20 +284,33 @@ def find_spans(docs: DataFrame, everywhere: bool = False) -> DataFrame:
     return joined.drop("__id", "__tie").withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,disclosure:double>>")))
 
 
-def sanitise(docs: DataFrame, everywhere: bool = False) -> DataFrame:
-    """doc_id, text: base spans as <KIND>, disclosing terms cut to their first letters or removed. everywhere: as in find_spans."""
-    spans = find_spans(docs, everywhere).dropDuplicates(["doc_id", "tie"])
-    rows = docs.select("doc_id", F.xxhash64("text").alias("__tie"), "text").withColumnRenamed("doc_id", "__doc")
-    joined = rows.join(spans, F.col("__doc").eqNullSafe(F.col("doc_id")) & (F.col("__tie") == F.col("tie")))
+def changed(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """doc_id, tie, text: base spans as <KIND>, disclosing terms cut to their first letters or removed, for rows that have spans.
+
+    spans: what find_spans returns for docs. Only texts whose hash may be one of
+    these rows' are moved.
+    """
+    marked = spans.where("base <> '' OR size(terms) > 0").dropDuplicates(["doc_id", "tie"]).select(F.col("doc_id").alias("__doc"), "tie", "base", "terms")
+    cells = cell_filter(marked.select("tie"))
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield passing(batch, cells, "tie")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
-            out = []
-            for text, base, terms in zip(*(batch.column(c).to_pylist() for c in ("text", "base", "terms"))):
-                out.append(None if text is None else _cleaned(text, base, terms))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.string())], ["doc_id", "text"])
+            out = [_cleaned(*row) for row in zip(*(batch.column(c).to_pylist() for c in ("text", "base", "terms")))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tie"), pa.array(out, pa.string())], ["doc_id", "tie", "text"])
 
-    return joined.select("doc_id", "text", "base", "terms").mapInArrow(clean, "doc_id long, text string")
+    joined = _rows(docs).mapInArrow(some, "doc_id long, tie long, text string").join(marked, "tie").where(F.col("__doc").eqNullSafe(F.col("doc_id")))
+    return joined.select("doc_id", "tie", "text", "base", "terms").mapInArrow(clean, "doc_id long, tie long, text string")
+
+
+def sanitise(docs: DataFrame, everywhere: bool = False) -> DataFrame:
+    """doc_id, text of every row, as in `changed` where it has spans. everywhere: as in find_spans."""
+    spans = stage(find_spans(docs, everywhere), "pii-spans")
+    same = keep_others(_rows(docs), spans.where("base <> '' OR size(terms) > 0").select(_key().alias("doc"), "tie"), _key(), F.col("tie"))
+    return same.select("doc_id", "text").unionByName(changed(docs, spans).select("doc_id", "text"))
 
 
 def _cleaned(text: str, base: str, terms: list[dict]) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskweft.llm import chat, codes, decontam, html, jaccard, language, lines, mixing, phrases, pii, toxicity, urls, vectors
 from riskweft.llm.common import table
+from riskweft.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -136,11 +137,17 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_pii")
 def pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.find_spans(table(spark, sf_dir, "documents"), everywhere=True)
+    docs = table(spark, sf_dir, "documents")
+    found = stage(pii.find_spans(docs, everywhere=True), "pii-spans")
+    # The text after removal and generalisation, as a digest; null where nothing is changed.
+    clean = pii.changed(docs, found).select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), F.sha2("text", 256).alias("sanitised_sha256")).distinct()
+    found = found.join(clean, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("tie") == F.col("__tie")), "left")
+    removed = F.size(F.filter("terms", lambda t: t["disclosure"] >= pii.REMOVE)).cast("long")
     terms = F.array_join(F.transform("terms", lambda t: F.format_string("term:%d:%d", t["start"], t["end"])), ",")
     return found.select(
         "doc_id", *(f"n_{k}" for k in pii.KINDS), F.sha2("base", 256).alias("base_sha256"),
         F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.when(F.size("terms") > 0, terms)).alias("spans"), F.size("terms").cast("long").alias("n_terms"),
+        removed.alias("n_removed"), (F.size("terms") - removed).alias("n_generalised"), "sanitised_sha256",
     )
 
 

@@ -1,7 +1,11 @@
 import hashlib
+import math
+import random
 import re
+import time
+from collections import Counter
 
-from plain import documents
+from plain import ascii_lower, documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -101,6 +105,85 @@ def test_disclosing_terms_go_wherever_they_stand(spark, tmp_path):
     assert registered == {d: len(r["terms"]) for d, r in found.items()}
 
 
+def digest(kind, value):
+    return int.from_bytes(hashlib.blake2b(f"{kind}:{value}".encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def disclosures(rows):
+    """(entity, term) -> PMI / IC by plain loops over whole texts."""
+    together, of_entity, of_term = Counter(), Counter(), Counter()
+    for _, text in rows:
+        base = pii.base_spans(text or "")
+        words = [(m.start(), m.end(), ascii_lower(m.group())) for m in re.finditer("[0-9A-Za-z\x80-\U0010ffff]+", text or "")]
+        pairs = set()
+        for kind, a, b, value in base:
+            for x, y, w in [w for w in words if w[1] <= a][-10:] + [w for w in words if w[0] >= b][:10]:
+                if re.search(r"[^\W\d_]", w) and not any(x < d and c < y for _, c, d, _ in base):
+                    pairs.add((digest(kind, value), w))
+        together.update(pairs)
+        of_entity.update({e for e, _ in pairs})
+        of_term.update({w for _, _, w in words})
+    n, out = len(rows), {}
+    for (e, t), k in together.items():
+        if k >= 2 and 2 <= of_entity[e] < n:
+            shown = math.log(n * k / (of_entity[e] * of_term[t])) / math.log(n / of_entity[e])
+            if shown >= 0.75:
+                out[e, t] = shown
+    return out
+
+
+def test_every_disclosure_number(spark):
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(400)] + ["É", "straße", "x9"]
+    people = [("ann@a.org", "annie"), ("bob@b.net", "bobby"), ("10.0.0.7", "gateway"), ("4111 1111 1111 1111", "cardholder"), ("+1 (017) 555-7713", "caller")]
+    rows = []
+    for i in range(400):
+        said = [r.choice(words) for _ in range(r.randrange(0, 60))]
+        for value, term in r.sample(people, r.randrange(0, 3)):
+            k = r.randrange(len(said) + 1)
+            long = "x" * 700 if r.random() < 0.2 else "near"
+            said[k:k] = [term, long, value, term.upper()] if r.random() < 0.8 else [value]
+        rows.append((i, " ".join(said)))
+    want = disclosures(rows)
+    docs = documents(spark, rows)
+    found = {(x["entity"], x["term"]): x["disclosure"] for x in pii.disclosing(docs, pii._found(docs)).collect()}
+    terms = sorted({t for _, t in want})
+    hashed = dict(zip(terms, (int(h) for h in pii._term_hashes(terms).view("int64"))))
+    assert len(want) >= 5 and set(found) == {(e, hashed[t]) for e, t in want}
+    assert all(abs(found[e, hashed[t]] - v) < 1e-9 for (e, t), v in want.items())
+
+
+def test_neighbours_are_counted_in_words():
+    text = "one " + "y" * 900 + " two a@b.org three " + "z" * 900 + " four"
+    assert set(pii._neighbours(text, pii.base_spans(text))[1]) == {"one", "y" * 900, "two", "three", "z" * 900, "four"}
+
+
+def test_many_values_in_one_text(spark):
+    text = " ".join(f"word{i % 7} u{i}@site.org" for i in range(40_000))
+    start = time.perf_counter()
+    spans = pii.base_spans(text)
+    assert len(spans) == 40_000 and len(pii._neighbours(text, spans)[0]) > 200_000
+    assert time.perf_counter() - start < 20
+    found = pii.find_spans(documents(spark, [(1, text), (2, text)]), everywhere=True).first()
+    assert found["n_email"] == 40_000
+    assert time.perf_counter() - start < 60
+
+
+def test_changed_texts(spark, tmp_path):
+    docs = documents(spark, corpus())
+    spans = pii.find_spans(docs, everywhere=True)
+    marked = {r["doc_id"] for r in spans.collect() if r["base"] or r["terms"]}
+    whole = {r["doc_id"]: r["text"] for r in pii.sanitise(docs, everywhere=True).collect()}
+    new = {r["doc_id"]: r["text"] for r in pii.changed(docs, spans).collect()}
+    assert set(new) == marked and all(whole[d] == t for d, t in new.items())
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op1_pii"](spark, str(tmp_path)).collect()
+    assert len(rows) == len(corpus())
+    for r in rows:
+        assert r["sanitised_sha256"] == (hashlib.sha256(new[r["doc_id"]].encode()).hexdigest() if r["doc_id"] in new else None)
+        assert r["n_removed"] + r["n_generalised"] == r["n_terms"]
+
+
 def test_empty(spark):
     assert pii.find_spans(documents(spark, [])).count() == 0
     assert pii.find_spans(documents(spark, []), everywhere=True).count() == 0
