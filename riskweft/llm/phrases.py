@@ -20,8 +20,10 @@ Texts are split into words once and staged as blocks of numbers. Counting works
 128-bit hashes of (language, phrase), which are folded per block in the task
 before they are shuffled, so a hot language or source does not gather in one
 task. Between steps only phrases inside their cycle are kept, and of those that
-have completed it the frequent ones. A last scan reads the texts of the frequent
-phrases, each in one block.
+have completed it the frequent ones. At last the frequent phrases are joined with
+one block each that holds them, and their texts are read there: a block meets the
+hashes to be read in it and makes one row for each, so this too grows with the
+number of frequent phrases.
 
 Defined results: a null text has no words, a null language counts as `und`,
 together with rows that say so. Repeated rows count each. An empty table, or one
@@ -44,7 +46,6 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweft.llm.common import cell_filter, passes
 from riskweft.llm.words import mix, pieces, signed, text_bytes
 from riskweft.session import release, stage
 
@@ -68,12 +69,12 @@ SLICE = 1 << 20
 _FOLD = bytes(10 if b in b".,;:!?\x0a\x0b\x0c\x0d" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _FACTORS = mix(np.arange(1, 17, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
 
-#: A block of words: which shard it belongs to, its number, its distinct words with their 128-bit hashes, and the text as indexes into them, 0 between two pieces.
-BLOCKS = "lang string, shard int, id bigint, words binary, hashes binary, places binary"
+#: A block of words: which shard it belongs to, its number, how many words it has, its distinct words with their 128-bit hashes, and the text as indexes into them, 0 between two pieces.
+BLOCKS = "lang string, shard int, id bigint, n bigint, words binary, hashes binary, places binary"
 #: Both halves of the hash, number of words, the step in which the phrase is first counted, occurrences, a block that holds the phrase.
 COUNTS = "h1 bigint, h2 bigint, k int, start int, n bigint, block bigint"
-#: Texts of phrases; the empty phrase counts all words of a language.
-TEXTS = "h1 bigint, h2 bigint, lang string, phrase string, n bigint"
+#: Texts of phrases with their occurrences; the empty phrase counts all words of a language.
+TEXTS = "lang string, phrase string, n bigint"
 
 
 def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
@@ -176,28 +177,20 @@ def _counted(block: int, known: np.ndarray, places: np.ndarray, cells: np.ndarra
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h1", "h2", "k", "start", "n", "block"])
 
 
-def _place_hash(h1: np.ndarray, block: int) -> np.ndarray:
-    """A hash of a phrase in a block."""
-    return mix(h1 ^ mix(np.array([block], np.int64).view(np.uint64))).view(np.int64)
-
-
-def _said(lang: str, block: int, words: bytes, known: np.ndarray, places: np.ndarray, cells: np.ndarray, wanted: np.ndarray, longest: int) -> Iterator[pa.RecordBatch]:
-    """Texts of the phrases that are wanted of this block, and the number of its words."""
-    texts = pa.array([b"\n", *words.split(b"\n")], pa.binary())
-
-    def rows(h1: np.ndarray, h2: np.ndarray, phrase: pa.Array, n: int | None) -> pa.RecordBatch:
-        many = len(h1)
-        columns = [pa.array(signed(h1)), pa.array(signed(h2)), pa.array([lang] * many, pa.string()), phrase, pa.array([n] * many, pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, ["h1", "h2", "lang", "phrase", "n"])
-
-    zero = np.zeros(1, np.uint64)
-    yield rows(zero, zero, pa.array([""]), int((places != 0).sum()))
-    for hashes, _, parts, _ in _levels(known, places, cells, NEVER - 1, longest):
-        keep = passes(wanted, _place_hash(hashes[0], block))
-        if keep.any():
-            said = [texts.take(pa.array(p[keep])) for p in parts]
+def _said(lang: str, words: bytes, places: np.ndarray, cells: np.ndarray, wanted: pd.DataFrame, longest: int) -> Iterator[pa.RecordBatch]:
+    """Texts of the phrases that are wanted of this block: h1, h2 and n of each."""
+    known = [b"\n", *words.split(b"\n")]
+    texts = pa.array(known, pa.binary())
+    halves = np.sort(wanted["h1"].to_numpy())
+    for hashes, _, parts, _ in _levels(_word_hashes(lang, known), places, cells, NEVER - 1, longest):
+        h1, h2 = (signed(h) for h in hashes)
+        near = np.flatnonzero(halves[np.minimum(np.searchsorted(halves, h1), len(halves) - 1)] == h1)
+        here = pd.DataFrame({"h1": h1[near], "h2": h2[near], "at": near}).merge(wanted, on=["h1", "h2"])
+        if len(here):
+            said = [texts.take(pa.array(p[here["at"].to_numpy()])) for p in parts]
             phrase = said[0] if len(said) == 1 else pa.compute.binary_join_element_wise(*said, b" ")
-            yield rows(hashes[0][keep], hashes[1][keep], phrase.cast(pa.string()), None)
+            columns = [pa.array([lang] * len(here), pa.string()), phrase.cast(pa.string()), pa.array(here["n"].to_numpy())]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n"])
 
 
 def _packed(cells: np.ndarray) -> bytes:
@@ -209,8 +202,8 @@ def _unpacked(packed: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(packed), np.uint8)
 
 
-def _arrays(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(row["hashes"], np.uint64).reshape(-1, 2).T.copy(), np.frombuffer(row["places"], np.int32).astype(np.int64)
+def _places(row: dict) -> np.ndarray:
+    return np.frombuffer(row["places"], np.int32).astype(np.int64)
 
 
 def _scan(cells: np.ndarray, step: int, shards: int, longest: int):
@@ -221,20 +214,22 @@ def _scan(cells: np.ndarray, step: int, shards: int, longest: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                yield from _counted(row["id"], *_arrays(row), cells, step, shards, longest)
+                known = np.frombuffer(row["hashes"], np.uint64).reshape(-1, 2).T.copy()
+                yield from _counted(row["id"], known, _places(row), cells, step, shards, longest)
 
     return run
 
 
-def _read_back(cells: np.ndarray, wanted: np.ndarray, longest: int):
+def _read_back(cells: np.ndarray, longest: int):
     packed = _packed(cells)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = _unpacked(packed)
         for batch in batches:
             for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                yield from _said(row["lang"], row["id"], row["words"], *_arrays(row), cells, wanted, longest)
+                row = batch.select(["lang", "words", "places"]).slice(i, 1).to_pylist()[0]
+                wanted = pa.RecordBatch.from_struct_array(batch.column("wanted")[i].values).to_pandas()
+                yield from _said(row["lang"], row["words"], _places(row), cells, wanted, longest)
 
     return run
 
@@ -255,9 +250,10 @@ def _tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if not places.any():
                     continue
                 cells = [b"\n".join(words[1:]), _word_hashes(lang, words).T.tobytes(), places.astype(np.int32).tobytes()]
+                numbers = [pa.array([made], pa.int64()), pa.array([np.count_nonzero(places)], pa.int64())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang]), pa.array([shard], pa.int32()), pa.array([made], pa.int64()), *[pa.array([c], pa.binary()) for c in cells]],
-                    ["lang", "shard", "id", "words", "hashes", "places"],
+                    [pa.array([lang]), pa.array([shard], pa.int32()), *numbers, *[pa.array([c], pa.binary()) for c in cells]],
+                    ["lang", "shard", "id", "n", "words", "hashes", "places"],
                 )
                 made += 1
 
@@ -297,20 +293,15 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int =
     found = complete[0]
     for more in complete[1:]:
         found = found.unionByName(more)
-    # One more scan for the texts. Each phrase is read in one block that holds it: a filter of fixed size knows the
-    # hashes of (phrase, block), and what passes it by chance is left out by the join.
-    wanted = cell_filter(found.select("h1", "block").mapInArrow(_place_hashes, "h bigint"))
-    said = stage(blocks.select("lang", "id", "words", "hashes", "places").mapInArrow(_read_back(cells, wanted, longest), TEXTS), "phrases-said")
+    # One block holds each phrase. A block that some phrase is to be read in moves once; the others stay where they are.
+    wanted = stage(found.groupBy("block").agg(F.collect_list(F.struct("h1", "h2", "n")).alias("wanted")), "phrases-wanted")
+    read = stage(wanted.select(F.col("block").alias("id")), "phrases-read")
+    held = blocks.select("id", "lang", "words", "places").join(read, "id", "left_semi")
+    held = held.join(wanted.withColumnRenamed("block", "id").hint("merge"), "id").select("lang", "words", "places", "wanted")
+    totals = blocks.groupBy("lang").agg(F.lit("").alias("phrase"), F.sum("n").alias("n"))
+    said = stage(held.mapInArrow(_read_back(cells, longest), TEXTS).unionByName(totals), "phrases-said")
     release(blocks)
-    totals = said.where("phrase = ''").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    texts = said.where("phrase <> ''").select("h1", "h2", "lang", "phrase").dropDuplicates(["h1", "h2"])
-    return texts.join(found.select("h1", "h2", "n"), ["h1", "h2"]).select("lang", "phrase", "n").unionByName(totals)
-
-
-def _place_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        h1, block = (batch.column(c).to_numpy() for c in ("h1", "block"))
-        yield pa.RecordBatch.from_pydict({"h": mix(h1.view(np.uint64) ^ mix(block.view(np.uint64))).view(np.int64)})
+    return said
 
 
 def _exact(name: str) -> Column:

@@ -5,6 +5,7 @@ from fractions import Fraction
 from math import floor
 
 import numpy as np
+import pandas as pd
 import pytest
 from plain import ascii_lower, documents
 
@@ -108,6 +109,31 @@ def test_lengths_are_interleaved(spark, monkeypatch):
     assert found["new york city"] == 1200 and steps[:4] == [0, 3, 5, 6] and len(steps) == 7
 
 
+def test_last_scan_makes_rows_of_frequent_phrases_only(spark, monkeypatch):
+    # So many phrases that a filter of hashes lets some pass by chance.
+    r = random.Random(8)
+    rows = [(i, " ".join(f"w{r.randrange(2000)}" for _ in range(200)), "en", "a") for i in range(300)]
+    staged = {}
+
+    def keep(df, label, *more):
+        staged[label] = stage(df, label, *more)
+        return staged[label]
+
+    monkeypatch.setattr(phrases, "stage", keep)
+    got = {tuple(r["phrase"].split(" ")): r["n"] for r in phrases.frequent_phrases(table(spark, rows), 2).collect() if r["phrase"]}
+    f = plain_counts(rows, 2, 5)["en"][1]
+    assert got == f and staged["phrases-said"].where("phrase <> ''").count() == len(f)
+
+
+def test_a_phrase_is_read_by_its_whole_hash():
+    (words, places), cells = next(phrases._blocks([b"a b c. a b"])), np.zeros(4, np.uint8)
+    known = phrases._word_hashes("en", words)
+    h1, h2 = (int(h[0]) for h in phrases._phrase_hashes(known, [np.array([words.index(w)]) for w in (b"a", b"b")]).view(np.int64))
+    wanted = pd.DataFrame({"h1": [h1, h1, 5], "h2": [h2 ^ 1, h2, 5], "n": [3, 4, 5]})
+    said = [row for batch in phrases._said("en", b"\n".join(words[1:]), places, cells, wanted, 3) for row in batch.to_pylist()]
+    assert said == [{"lang": "en", "phrase": "a b", "n": 4}]
+
+
 def test_blocks_end_between_pieces(monkeypatch):
     monkeypatch.setattr(phrases, "BLOCK", 7)
     monkeypatch.setattr(phrases, "SLICE", 11)
