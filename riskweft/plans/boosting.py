@@ -11,6 +11,11 @@ portable hash of the row's key, row weights, and each model's margin as of the
 last refresh. Trees grown since then are applied in the pass; after REFRESH
 trees the margins are brought up to date.
 
+A table of up to TASK_BYTES needs no passes: a task reads its blocks once and
+grows whole models on them, with the same sums, splits and order of additions,
+so the trees are the same bit by bit. Models of one table are dealt out over
+tasks, which run beside each other.
+
 Gradients and hessians are rounded to 2^-24 and summed as integers, so sums do
 not depend on the order of rows, tasks or retries. Ties go to the lower column,
 then the lower border.
@@ -32,24 +37,26 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from functools import partial
 from typing import Any
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import RDD, StorageLevel, inheritable_thread_target
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskweft.functions.rowmath import quoted
-from riskweft.session import release, stage
+from riskweft.session import release, side_by_side, stage
 from riskweft.sources.contract import SEED
 
 #: Bins of a column; the borders are quantiles of its training values.
 BINS = 64
 BLOCK_ROWS = 1 << 16
-REFRESH = 24
+REFRESH = 8
+#: A table whose blocks, with one model's margins and gradients, take up to so many bytes is grown in single tasks.
+TASK_BYTES = 192 << 20
 #: Gradients and hessians are multiples of 1 / SCALE.
 SCALE = 1 << 24
 #: A tree without a depth limit stops here; a path this long splits off one bin after the other.
@@ -424,33 +431,52 @@ class _Work:
     bins: int
 
 
+def _sums(bins: np.ndarray, columns: np.ndarray, at: np.ndarray, nodes: int, width: int, g: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Integer sums (nodes, 3, columns, width) of rows that stand in nodes; bins: (all columns, rows).
+
+    Gradients and hessians are whole numbers whose sums over a block of at most
+    2^16 rows stay below 2^53, so the additions are exact.
+    """
+    out = np.empty((nodes, 3, len(columns), width), np.int64)
+    start = at.astype(np.int64) * width
+    for i, column in enumerate(columns):
+        cell = start + bins[column]
+        out[:, 0, i] = np.bincount(cell, g, nodes * width).reshape(nodes, width)
+        out[:, 1, i] = np.bincount(cell, h, nodes * width).reshape(nodes, width)
+        out[:, 2, i] = np.bincount(cell, minlength=nodes * width).reshape(nodes, width)
+    return out
+
+
+def _gradients(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and hessian of each row in units of 1 / SCALE."""
+    p = 1.0 / (1.0 + np.exp(-margin))
+    return np.rint(weight * (p - label) * SCALE), np.rint(weight * p * (1.0 - p) * SCALE)
+
+
+def _sampled(weight: np.ndarray, key: np.ndarray, growth: Growth, tree: int) -> np.ndarray:
+    """Rows that a tree is grown on."""
+    use = weight > 0
+    if growth.row_share < 1.0:
+        use = use & drawn(key, growth.seed, tree, growth.row_share)
+    return use
+
+
 def _node_sums(block: _Block, work: _Work) -> dict[int, np.ndarray]:
     """Integer sums (3, columns, bins) of each asked node over one block."""
     weight = block.weights[work.weight]
-    use = weight > 0
-    if work.growth.row_share < 1.0:
-        use = use & drawn(block.key, work.growth.seed, work.tree, work.growth.row_share)
     slots = np.full(len(work.growing.column), -1, np.int32)
     slots[list(work.asked)] = np.arange(len(work.asked))
     at = slots[work.growing.place(block.bins)]
-    rows = np.flatnonzero(use & (at >= 0))
+    rows = np.flatnonzero(_sampled(weight, block.key, work.growth, work.tree) & (at >= 0))
     if not len(rows):
         return {}
     margin = block.margins[work.slot][rows]
     bins = block.bins[:, rows]
     for tree in work.grown:
         margin = margin + tree.value[tree.place(bins)]
-    p = 1.0 / (1.0 + np.exp(-margin))
-    w = weight[rows]
-    g, h = np.rint(w * (p - block.label[rows]) * SCALE), np.rint(w * p * (1.0 - p) * SCALE)
-    width = len(work.columns) * work.bins
-    cell = (at[rows].astype(np.int64) * width)[None, :] + (np.arange(len(work.columns)) * work.bins)[:, None] + bins[work.columns]
-    cell = cell.ravel()
-    size = width * len(work.asked)
-    # Whole numbers below 2^53 in a block of at most 2^16 rows, so these sums are exact.
-    sums = [np.bincount(cell, np.tile(x, len(work.columns)), size) for x in (g, h)] + [np.bincount(cell, minlength=size)]
-    whole = np.stack(sums).astype(np.int64).reshape(3, len(work.asked), len(work.columns), work.bins)
-    return {node: whole[:, i] for i, node in enumerate(work.asked) if whole[2, i].any()}
+    g, h = _gradients(margin, block.label[rows], weight[rows])
+    whole = _sums(bins, work.columns, at[rows], len(work.asked), work.bins, g, h)
+    return {node: whole[i] for i, node in enumerate(work.asked) if whole[i, 2].any()}
 
 
 def _best(work: _Work, nodes: dict[int, np.ndarray]) -> dict[int, tuple[tuple[int, int, int], Split | None]]:
@@ -513,8 +539,8 @@ class _Data:
         if self.whole:
             found = self.rows.mapPartitions(lambda rows: chosen(_rows_of(work, rows).items())).collect()
         else:
-            partial = self.rows.mapPartitions(lambda rows: list(_rows_of(work, rows).items()))
-            found = partial.reduceByKey(_merged, self.reducers).mapPartitions(chosen).collect()
+            parts = self.rows.mapPartitions(lambda rows: list(_rows_of(work, rows).items()))
+            found = parts.reduceByKey(_merged, self.reducers).mapPartitions(chosen).collect()
         out: dict[int, dict] = {}
         for model, nodes in found:
             out.setdefault(model, {}).update(nodes)
@@ -537,6 +563,128 @@ class _Data:
         return after
 
 
+# --- whole models in one task ------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class _Job:
+    """One model that a task grows from its first tree to its last."""
+
+    model: int
+    weight: int
+    base: float
+    growth: Growth
+    n_columns: int
+    bins: int
+
+
+class _Sample:
+    """The rows of one block that one tree is grown on, and the node of the growing tree in which each stands."""
+
+    def __init__(self, block: _Block, job: _Job, margin: np.ndarray, tree: int):
+        weight = block.weights[job.weight]
+        rows = np.flatnonzero(_sampled(weight, block.key, job.growth, tree))
+        self.bins = block.bins if len(rows) == len(weight) else np.take(block.bins, rows, axis=1)
+        self.g, self.h = _gradients(margin[rows], block.label[rows], weight[rows])
+        self.at = np.zeros(len(rows), np.int32)
+
+    def move(self, tree: Tree, split: list[int]) -> None:
+        """Rows of nodes that have just been split go to their children."""
+        moves = np.zeros(len(tree.column), bool)
+        moves[split] = True
+        rows = np.flatnonzero(moves[self.at])
+        column, border, left, right = (np.array(x, np.int32) for x in (tree.column, tree.bin, tree.left, tree.right))
+        at = self.at[rows]
+        self.at[rows] = np.where(self.bins[column[at], rows] <= border[at], left[at], right[at])
+
+    def sums(self, nodes: list[int], total: int, columns: np.ndarray, width: int) -> np.ndarray:
+        slots = np.full(total, -1, np.int32)
+        slots[nodes] = np.arange(len(nodes))
+        at = slots[self.at]
+        rows = np.flatnonzero(at >= 0)
+        if len(rows) == len(at):
+            return _sums(self.bins, columns, at, len(nodes), width, self.g, self.h)
+        picked = np.take(self.bins[columns], rows, axis=1)
+        return _sums(picked, np.arange(len(columns)), at[rows], len(nodes), width, self.g[rows], self.h[rows])
+
+
+def _grown_whole(blocks: list[_Block], job: _Job) -> list[Tree]:
+    """All trees of one model. Of two children only the one with fewer rows is summed; the other is what is left of the parent."""
+    grower = _Grower(job.growth, job.n_columns)
+    margins = [np.full(len(b.label), job.base) for b in blocks]
+    while not grower.done:
+        t, columns, tree = len(grower.trees), grower.columns, grower.tree
+        samples = [_Sample(b, job, m, t) for b, m in zip(blocks, margins)]
+        sums: dict[int, np.ndarray] = {}
+        parent: dict[int, int] = {}
+        while True:
+            asked, among = list(grower.asked), set(grower.asked)
+            # The smaller child of each parent, and nodes without one.
+            derived = {}
+            for node in asked:
+                p = parent.get(node)
+                if p in sums and tree.left[p] in among and tree.right[p] in among:
+                    pair = (tree.left[p], tree.right[p])
+                    if node == max(pair, key=lambda c: (tree.sums[c][2], c)):
+                        derived[node] = (p, *[c for c in pair if c != node])
+            summed = [n for n in asked if n not in derived]
+            whole = sum(s.sums(summed, len(tree.column), columns, job.bins) for s in samples)
+            sums |= {n: whole[i] for i, n in enumerate(summed)}
+            for n, (p, other) in derived.items():
+                sums[n] = sums.pop(p) - sums[other]
+            nodes = {n: sums[n] for n in asked if sums[n][2].any()}
+            found = {}
+            if nodes and job.growth.symmetric:
+                found = best_level(nodes, columns, job.growth)
+            elif nodes:
+                found = {n: best_split(x, columns, job.growth) for n, x in nodes.items()}
+            grower.take(found)
+            if len(grower.trees) > t:
+                break
+            split = [n for n in asked if grower.known[n] is not None]
+            for n in split:
+                parent[tree.left[n]] = parent[tree.right[n]] = n
+            for s in samples:
+                s.move(tree, split)
+        last = flat(grower.trees[-1], job.growth)
+        for block, margin in zip(blocks, margins):
+            margin += last.value[last.place(block.bins)]
+    return grower.trees
+
+
+def _dealt(jobs: dict[int, list[_Job]], tasks: int) -> list[tuple[int, list[_Job]]]:
+    """(place, jobs) of each task, the longest first: the jobs of a table go to as many tasks as its share of the work asks for."""
+    def cost(job: _Job) -> int:
+        return job.growth.rounds * min(job.growth.depth, 8)
+
+    out = []
+    for place, listed in jobs.items():
+        hands: list[list[_Job]] = [[] for _ in range(min(len(listed), max(1, -(-tasks // len(jobs)))))]
+        for job in sorted(listed, key=cost, reverse=True):
+            min(hands, key=lambda hand: sum(map(cost, hand))).append(job)
+        out += [(place, hand) for hand in hands]
+    return sorted(out, key=lambda x: -sum(map(cost, x[1])))
+
+
+def _grow_in_tasks(spark: SparkSession, blocks: DataFrame, jobs: dict[int, list[_Job]]) -> dict[int, list[Tree]]:
+    """model -> trees. Each task receives the blocks of one table; the driver receives tree tables."""
+    dealt = _dealt(jobs, 2 * spark.sparkContext.defaultParallelism)
+    wanted: dict[int, list[int]] = {}
+    for i, (place, _) in enumerate(dealt):
+        wanted.setdefault(place, []).append(i)
+
+    def grow(rows: Iterator[tuple[int, tuple]]) -> Iterator[tuple[int, list[Tree]]]:
+        held: dict[int, list[_Block]] = {}
+        for task, row in rows:
+            held.setdefault(task, []).append(_Block.of(row))
+        for task, found in held.items():
+            for job in dealt[task][1]:
+                yield job.model, _grown_whole(found, job)
+
+    copies = blocks.rdd.map(tuple).flatMap(lambda row: [(i, row) for i in wanted.get(row[0], ())])
+    return dict(copies.partitionBy(len(dealt), lambda k: k).mapPartitions(grow).collect())
+
+
 # --- models ------------------------------------------------------------------------------------------
 
 
@@ -621,8 +769,8 @@ def _key(training: Training) -> Column:
     return F.xxhash64(*[F.col(quoted(c)) for c in training.columns], F.col(quoted(training.label)))
 
 
-def _blocks_of(place: int, t: Training, wanted: list[Wanted], bins: int, block_rows: int) -> tuple[DataFrame, list[np.ndarray], list[float], int]:
-    """(blocks, borders, base margin of each model, number of blocks) of one table."""
+def _blocks_of(place: int, t: Training, wanted: list[Wanted], bins: int, block_rows: int, task_bytes: int) -> tuple[DataFrame, list[np.ndarray], list[float], int]:
+    """(blocks, borders, base margin of each model, number of blocks) of one table; 0 blocks: its models are grown in single tasks."""
     borders = [np.array(b, np.float64) for b in t.borders] if t.borders else borders_of(t.frame, t.columns, bins)
     label = F.col(quoted(t.label)).cast("double")
     sums = t.frame.agg(
@@ -638,12 +786,17 @@ def _blocks_of(place: int, t: Training, wanted: list[Wanted], bins: int, block_r
     cells = [F.col(quoted(c)).cast("double").alias(f"c{j}") for j, c in enumerate(t.columns)]
     rows = t.frame.select(*cells, label.cast("int").alias("label"), _key(t).alias("key"), *[w.cast("double").alias(f"w{j}") for j, w in enumerate(t.weights)])
     blocks = max(1, -(-sums["n"] // block_rows))
+    # Per row: bins, and those of a tree's sample, label, key, weights; margin, gradient, hessian, node and what sums need for a moment.
+    small = sums["n"] * (2 * len(t.columns) + 8 * len(t.weights) + 64) <= task_bytes
     # A task gathers the rows of one block at most, so no more tasks than blocks are needed.
-    return rows.coalesce(blocks).mapInArrow(_pack(place, borders, len(t.weights), np.array(base), block_rows), BLOCK), borders, base, blocks
+    packed = rows.coalesce(blocks).mapInArrow(_pack(place, borders, len(t.weights), np.array([] if small else base), block_rows), BLOCK)
+    return packed, borders, base, 0 if small else blocks
 
 
-def fit_models(spark: SparkSession, wanted: dict[Any, Wanted], bins: int = BINS, block_rows: int = BLOCK_ROWS, parallelism: int = 4) -> dict[Any, BoostedModel]:
-    """Fit all models together; they share each pass, and a model that has its trees leaves."""
+def fit_models(
+    spark: SparkSession, wanted: dict[Any, Wanted], bins: int = BINS, block_rows: int = BLOCK_ROWS, task_bytes: int = TASK_BYTES,
+) -> dict[Any, BoostedModel]:
+    """Fit all models together: those of small tables whole in tasks, the others in passes that they share."""
     tables: list[Training] = []
     for w in wanted.values():
         if not any(w.training is t for t in tables):
@@ -652,34 +805,64 @@ def fit_models(spark: SparkSession, wanted: dict[Any, Wanted], bins: int = BINS,
     by_place: dict[int, list[Any]] = {i: [] for i in range(len(tables))}
     for name, w in wanted.items():
         by_place[place_of[id(w.training)]].append(name)
-    with ThreadPoolExecutor(parallelism) as pool:
-        prepare = inheritable_thread_target(spark)(_blocks_of)
-        made = list(pool.map(lambda i: prepare(i, tables[i], [wanted[n] for n in by_place[i]], bins, block_rows), range(len(tables))))
-    parts, borders, sizes = [m[0] for m in made], [m[1] for m in made], [m[3] for m in made]
+    made = side_by_side(spark, [partial(_blocks_of, i, t, [wanted[n] for n in by_place[i]], bins, block_rows, task_bytes) for i, t in enumerate(tables)])
+    borders, sizes = [m[1] for m in made], [m[3] for m in made]
     base = {n: b for i, m in enumerate(made) for n, b in zip(by_place[i], m[2])}
+    trees: dict[Any, list[Tree]] = {}
+    small, large = [i for i, n in enumerate(sizes) if not n], [i for i, n in enumerate(sizes) if n]
+    if small:
+        names = list(wanted)
+        number = {n: i for i, n in enumerate(names)}
+        blocks = _staged_blocks([made[i][0] for i in small])
+        jobs = {
+            i: [_Job(number[n], wanted[n].weight, base[n], wanted[n].growth, len(wanted[n].training.columns), _width(borders[i])) for n in by_place[i]] for i in small
+        }
+        trees |= {names[i]: t for i, t in _grow_in_tasks(spark, blocks, jobs).items()}
+        release(blocks)
+    if large:
+        blocks = _staged_blocks([made[i][0] for i in large])
+        trees |= _grow_in_passes(spark, blocks, {i: sizes[i] for i in large}, {i: {n: wanted[n] for n in by_place[i]} for i in large}, borders)
+        release(blocks)
+    return {
+        n: BoostedModel(w.training.columns, tuple(borders[place_of[id(w.training)]]), base[n], w.growth, tuple(trees[n])) for n, w in wanted.items()
+    }
+
+
+def _staged_blocks(parts: list[DataFrame]) -> DataFrame:
     whole = parts[0]
     for p in parts[1:]:
         whole = whole.unionByName(p)
-    blocks = stage(whole, "boost-blocks")
+    return stage(whole, "boost-blocks")
+
+
+def _width(borders: list[np.ndarray]) -> int:
+    """Bins of a table's widest column, with the one of what is missing."""
+    return max((len(b) for b in borders), default=0) + 2
+
+
+def _grow_in_passes(spark: SparkSession, blocks: DataFrame, sizes: dict[int, int], by_place: dict[int, dict[Any, Wanted]], borders: list[list[np.ndarray]]) -> dict[Any, list[Tree]]:
+    """All models of large tables, level by level; they share each pass, and a model that has its trees leaves."""
     # Few blocks are copied, so that their models are spread over the executors too.
-    chunks = max(1, min(max(map(len, by_place.values())), spark.sparkContext.defaultParallelism // max(1, sum(sizes))))
-    data = _Data.of(spark, blocks, sizes, chunks)
+    chunks = max(1, min(max(map(len, by_place.values())), spark.sparkContext.defaultParallelism // max(1, sum(sizes.values()))))
+    data = _Data.of(spark, blocks, list(sizes.values()), chunks)
 
+    wanted = {n: w for listed in by_place.values() for n, w in listed.items()}
     names = list(wanted)
+    # (table, margins) of each model.
+    at = {n: (place, slot) for place, listed in by_place.items() for slot, n in enumerate(listed)}
     growers = {n: _Grower(w.growth, len(w.training.columns)) for n, w in wanted.items()}
     applied = dict.fromkeys(names, 0)
-    flats: dict[str, list[FlatTree]] = {n: [] for n in names}
+    flats: dict[Any, list[FlatTree]] = {n: [] for n in names}
     while any(not g.done for g in growers.values()):
         work = []
         for i, n in enumerate(names):
             g = growers[n]
             if g.done:
                 continue
-            place = place_of[id(wanted[n].training)]
-            used = max((len(b) for b in borders[place]), default=0) + 2
+            place, slot = at[n]
             work.append(_Work(
-                i, place, by_place[place].index(n) % chunks, by_place[place].index(n), wanted[n].weight, g.growth, len(g.trees), g.columns,
-                tuple(flats[n][applied[n]:]), flat(g.tree, g.growth), tuple(g.asked), used,
+                i, place, slot % chunks, slot, wanted[n].weight, g.growth, len(g.trees), g.columns,
+                tuple(flats[n][applied[n]:]), flat(g.tree, g.growth), tuple(g.asked), _width(borders[place]),
             ))
         found = data.best(work)
         for w in work:
@@ -690,12 +873,9 @@ def fit_models(spark: SparkSession, wanted: dict[Any, Wanted], bins: int = BINS,
         if going and max(len(flats[n]) - applied[n] for n in going) >= REFRESH:
             grown: dict[int, list] = {}
             for n in going:
-                place = place_of[id(wanted[n].training)]
-                grown.setdefault(place, []).append((by_place[place].index(n), tuple(flats[n][applied[n]:])))
+                place, slot = at[n]
+                grown.setdefault(place, []).append((slot, tuple(flats[n][applied[n]:])))
                 applied[n] = len(flats[n])
             data = data.refreshed(grown)
     data.rows.unpersist()
-    release(blocks)
-    return {
-        n: BoostedModel(w.training.columns, tuple(borders[place_of[id(w.training)]]), base[n], w.growth, tuple(growers[n].trees)) for n, w in wanted.items()
-    }
+    return {n: g.trees for n, g in growers.items()}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, replace
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,7 +13,7 @@ from riskweft.operators import diagnostics as dg, prep as pp, ranking as rk, sco
 from riskweft.operators.features import ABLATIONS, TEMPORAL_SETS, behavioral_features, feature_set
 from riskweft.operators.quantiles import bracketed_quantiles
 from riskweft.plans import models as md
-from riskweft.session import stage
+from riskweft.session import side_by_side, stage
 from riskweft.sources.contract import DELAY, SEED
 from riskweft.sources.tables import FoldStore
 
@@ -92,40 +92,41 @@ def oof_many(runs: dict[str, OofRun], k: int = 3, label: str = "Y", seed: int =
     also share the tables of their fits. Folds found in a store are not computed
     again.
     """
-    tasks, held, shared, started = {}, {}, {}, time.monotonic()
-    folded: dict[int, DataFrame] = {}
-    for name, run in runs.items():
-        folds = folded.setdefault(id(run.train), None) or stage(sp.stratified_folds(run.train, k, label=label, seed=seed), "folds")
-        folded[id(run.train)] = folds
-        done = run.store.finished() if run.store else set()
-        for i in range(k):
-            if i in done:
-                continue
-            if (id(run.train), run.native, i) not in shared:
-                shared[id(run.train), run.native, i] = _fold_fit(run, folds, i, label)
-            first, rows = shared[id(run.train), run.native, i]
-            tasks[name, i], held[name, i] = replace(first, spec=run.spec), rows
-    fitted = md.fit_many(next(iter(runs.values())).train.sparkSession, tasks) if tasks else {}
+    spark, started = next(iter(runs.values())).train.sparkSession, time.monotonic()
+    trains = {id(run.train): run.train for run in runs.values()}
+    staged = side_by_side(spark, [lambda t=t: stage(sp.stratified_folds(t, k, label=label, seed=seed), "folds") for t in trains.values()])
+    folded = dict(zip(trains, staged))
+    done = {name: run.store.finished() if run.store else set() for name, run in runs.items()}
+    missing = [(name, i) for name in runs for i in range(k) if i not in done[name]]
+    first = {(id(runs[name].train), runs[name].native, i): runs[name] for name, i in reversed(missing)}
+    shared = dict(zip(first, side_by_side(spark, [partial(_fold_fit, run, folded[train], i, label) for (train, _, i), run in first.items()])))
+    tasks, held = {}, {}
+    for name, i in missing:
+        common, held[name, i] = shared[id(runs[name].train), runs[name].native, i]
+        tasks[name, i] = replace(common, spec=runs[name].spec)
+    fitted = md.fit_many(spark, tasks) if tasks else {}
     elapsed = (time.monotonic() - started) / max(1, len(tasks))
-    out = {}
-    for name, run in runs.items():
-        parts = []
-        for i in range(k):
-            if (name, i) not in fitted:
-                continue
-            rows = fitted[name, i].score(held[name, i], ["row_id", label]).select("row_id", F.col(label).cast("int").alias("label"), "score")
-            if run.store:
-                rows = stage(rows, "fold")
-                folded_scores = sc.fold_scores(rows)
-                auc = sc.rank_metrics(folded_scores).first()["roc_auc"]
-                f1 = sc.fast_threshold(sc.threshold_counts(folded_scores)).first()["f1_binary"]
-                run.store.save(i, rows.select("*", F.lit(auc).alias("auc"), F.lit(f1).alias("f1_binary"), F.lit(elapsed).alias("elapsed_seconds")))
-            else:
-                parts.append(rows.withColumn("fold", F.lit(i)))
-        result = run.store.load() if run.store else stage(reduce(DataFrame.unionByName, parts), "oof")
-        out[name] = result.select(F.col("row_id").alias("row_index"), F.col("label").alias("y_true"), F.col("score").alias("oof_score"), "fold")
-        require_one_score(out[name], run.train)
-    return out
+
+    def scored(name: str, i: int) -> DataFrame:
+        rows = fitted[name, i].score(held[name, i], ["row_id", label]).select("row_id", F.col(label).cast("int").alias("label"), "score")
+        if runs[name].store is None:
+            return rows.withColumn("fold", F.lit(i))
+        rows = stage(rows, "fold")
+        folded_scores = sc.fold_scores(rows)
+        auc = sc.rank_metrics(folded_scores).first()["roc_auc"]
+        f1 = sc.fast_threshold(sc.threshold_counts(folded_scores)).first()["f1_binary"]
+        runs[name].store.save(i, rows.select("*", F.lit(auc).alias("auc"), F.lit(f1).alias("f1_binary"), F.lit(elapsed).alias("elapsed_seconds")))
+        return rows
+
+    parts = dict(zip(missing, side_by_side(spark, [partial(scored, name, i) for name, i in missing])))
+
+    def whole(name: str, run: OofRun) -> DataFrame:
+        result = run.store.load() if run.store else stage(reduce(DataFrame.unionByName, [parts[name, i] for i in range(k)]), "oof")
+        oof = result.select(F.col("row_id").alias("row_index"), F.col("label").alias("y_true"), F.col("score").alias("oof_score"), "fold")
+        require_one_score(oof, run.train)
+        return oof
+
+    return dict(zip(runs, side_by_side(spark, [partial(whole, name, run) for name, run in runs.items()])))
 
 
 def oof_scores(
@@ -318,9 +319,11 @@ def ensemble_outcome(wide: DataFrame, models: Sequence[str], diversity: DataFram
 
 def feature_group_experiments(df: DataFrame, sets: dict[str, Sequence[str]], spec: md.ModelSpec) -> DataFrame:
     """One fixed model per named feature set, compared on validation."""
-    ready = {name: prepared_splits(df, a3_builder(groups=groups)) for name, groups in sets.items()}
+    spark = df.sparkSession
+    ready = dict(zip(sets, side_by_side(spark, [partial(prepared_splits, df, a3_builder(groups=groups)) for groups in sets.values()])))
     fitted = md.fit_many(df.sparkSession, {n: md.Fit(spec, part(data, "train"), prep.output_columns) for n, (prep, data) in ready.items()})
-    scores = reduce(DataFrame.unionByName, [score_all({n: fitted[n]}, part(data, "validation")) for n, (_, data) in ready.items()])
+    parts = side_by_side(spark, [partial(score_all, {n: fitted[n]}, part(data, "validation")) for n, (_, data) in ready.items()])
+    scores = reduce(DataFrame.unionByName, parts)
     sizes = []
     for name, groups in sets.items():
         prep = ready[name][0]
@@ -332,7 +335,9 @@ def feature_group_experiments(df: DataFrame, sets: dict[str, Sequence[str]], spe
 
 
 def resampling_experiments(train: DataFrame, validation: DataFrame, columns: Sequence[str], spec: md.ModelSpec, plans: Iterable[tuple[str, float]]) -> DataFrame:
-    tables = {f"{strategy}_{ratio:g}": stage(sp.resample(train, ratio, strategy), "resampled") for strategy, ratio in plans}
+    plans = list(plans)
+    made = side_by_side(train.sparkSession, [lambda s=s, r=r: stage(sp.resample(train, r, s), "resampled") for s, r in plans])
+    tables = {f"{strategy}_{ratio:g}": table for (strategy, ratio), table in zip(plans, made)}
     fitted = md.fit_many(train.sparkSession, {n: md.Fit(spec, t, columns) for n, t in tables.items()})
     return record_columns(search_all(score_all(fitted, validation)))
 
@@ -342,9 +347,9 @@ RESAMPLING = tuple((s, r) for s in ("undersampling", "oversampling") for r in (3
 
 def temporal_experiments(df: DataFrame, spec: md.ModelSpec, k: int = 3, sets: dict[str, Sequence[str]] | None = None, store_root: str | None = None) -> DataFrame:
     """Out-of-fold records per trajectory set; train is a table of raw columns and the label."""
-    runs, sizes = {}, []
-    for name, groups in (sets or TEMPORAL_SETS).items():
-        built = stage(a3_builder(groups, carry=("row_id", "Y"))(df), "features")
+    runs, sizes, sets = {}, [], sets or TEMPORAL_SETS
+    tables = side_by_side(df.sparkSession, [lambda g=g: stage(a3_builder(g, carry=("row_id", "Y"))(df), "features") for g in sets.values()])
+    for (name, groups), built in zip(sets.items(), tables):
         runs[name] = OofRun(built, spec, FoldStore(df.sparkSession, f"{store_root}/{name}") if store_root else None)
         sizes.append((name, "A3+" + ("+".join(groups) or "none"), len(built.columns) - 2))
     parts = _named_scores(oof_many(runs, k))

@@ -12,6 +12,7 @@ import random
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from functools import partial
 from typing import Any
 
 from pyspark.ml import Pipeline
@@ -25,6 +26,7 @@ from riskweft.functions.rowmath import quoted
 from riskweft.operators.encoding import TargetStatistics, fit_target_statistics
 from riskweft.operators.splitting import class_sizes, class_weight
 from riskweft.plans import boosting as bo
+from riskweft.session import side_by_side
 from riskweft.sources.contract import CATEGORICAL, SEED
 
 DUMMY = "dummy_classifier"
@@ -226,8 +228,9 @@ def _fit_boosted(spark: SparkSession, tasks: dict[Any, Fit]) -> dict[Any, Fitted
     groups: dict[tuple, list[Any]] = {}
     for name, t in tasks.items():
         groups.setdefault((id(t.train), tuple(t.columns), t.label, tuple(t.categorical)), []).append(name)
-    wanted, statistics = {}, {}
-    for (_, columns, label, categorical), names in groups.items():
+
+    def prepared(group: tuple, names: list[Any]) -> tuple[dict, TargetStatistics | None]:
+        _, columns, label, categorical = group
         train = tasks[names[0]].train
         negatives, positives = class_sizes(train, label)
         weights: list[Column] = []
@@ -243,9 +246,12 @@ def _fit_boosted(spark: SparkSession, tasks: dict[Any, Fit]) -> dict[Any, Fitted
         if categorical:
             coded, frame = fit_target_statistics(train, categorical, label, key or "row_id")
         training = bo.Training(frame, tuple(columns), label, tuple(weights), key)
-        for n in names:
-            statistics[n] = coded
-            wanted[n] = bo.Wanted(training, growth_of(tasks[n].spec), slots[tasks[n].spec.weighting, id(tasks[n].row_weight)])
+        return {n: bo.Wanted(training, growth_of(tasks[n].spec), slots[tasks[n].spec.weighting, id(tasks[n].row_weight)]) for n in names}, coded
+
+    wanted, statistics = {}, {}
+    for found, coded in side_by_side(spark, [partial(prepared, *g) for g in groups.items()]):
+        wanted |= found
+        statistics |= dict.fromkeys(found, coded)
     models = bo.fit_models(spark, wanted)
     return {n: FittedModel(t.spec, tuple(t.columns), models[n], statistics=statistics[n]) for n, t in tasks.items()}
 

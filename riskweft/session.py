@@ -6,10 +6,15 @@ import os
 import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 _LOCAL_ROOTS: dict[str, str] = {}
 _STAGED: dict[str, list[str]] = {}
 
@@ -35,6 +40,12 @@ def build_session(app: str = "riskweft", master: str | None = None, shuffle_part
     return spark
 
 
+def side_by_side(spark: SparkSession, calls: Iterable[Callable[[], T]], parallelism: int = 6) -> list[T]:
+    """Results of independent calls in their order; a few run at a time, since planning and short jobs leave most cores idle."""
+    with ThreadPoolExecutor(parallelism) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(c)) for c in calls]]
+
+
 def staging_root(spark: SparkSession) -> str:
     """The shared folder named in spark.checkpoint.dir.
 

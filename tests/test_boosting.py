@@ -213,3 +213,32 @@ def test_row_weights_choose_the_rows(spark):
     masked = bo.Training(df, COLUMNS, "Y", (F.when(F.col("row_id") < 200, 1.0).otherwise(0.0),), "row_id", BORDERS)
     both = bo.fit_models(spark, {n: bo.Wanted(t, md.growth_of(spec)) for n, t in (("kept", kept), ("masked", masked))})
     assert shape(both["kept"]) == shape(both["masked"])
+
+
+def test_whole_models_in_tasks_equal_passes(spark, monkeypatch):
+    monkeypatch.setattr(bo, "REFRESH", 2)
+    growths = {**GROWTHS, "sampled": bo.Growth(6, 0.3, 4, l2=1.0, row_share=0.6, column_share=0.67), "deep": bo.Growth(4, 0.2, 6, l2=1.0)}
+    df = table(spark, rows_of(500, 9)).repartition(4)
+    training = bo.Training(df, COLUMNS, "Y", (F.col("w"), F.when(F.col("row_id") % 5 > 0, 2.5).otherwise(0.0)), "row_id", BORDERS)
+    wanted_ = {(n, j): bo.Wanted(training, g, j) for n, g in growths.items() for j in range(2)}
+    ways = [bo.fit_models(spark, wanted_, block_rows=rows, task_bytes=most) for rows, most in ((64, 1 << 30), (64, 0), (bo.BLOCK_ROWS, 0))]
+    for n in wanted_:
+        assert ways[0][n].trees == ways[1][n].trees == ways[2][n].trees, n
+
+
+def test_jobs_do_not_grow_with_trees_where_a_table_fits_a_task(spark):
+    """A job for each level of each tree made small tables as slow as large ones."""
+    df = table(spark, rows_of())
+    jobs = []
+    for rounds in (2, 12):
+        spark.sparkContext.setJobGroup(f"rounds {rounds}", "")
+        bo.fit_models(spark, {0: wanted(df, bo.Growth(rounds, 0.3, 3, l2=1.0))})
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"rounds {rounds}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1] > 0
+
+
+def test_jobs_are_dealt_out_over_tables_and_tasks():
+    job = lambda m, rounds: bo._Job(m, 0, 0.0, bo.Growth(rounds, 0.1, 4), 3, 5)
+    dealt = bo._dealt({0: [job(0, 800), job(1, 100), job(2, 200), job(3, 500)], 1: [job(4, 50)]}, 4)
+    assert [(p, sorted(j.model for j in js)) for p, js in dealt] == [(0, [0]), (0, [1, 2, 3]), (1, [4])]
