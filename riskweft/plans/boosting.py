@@ -55,6 +55,8 @@ from riskweft.sources.contract import SEED
 BINS = 64
 BLOCK_ROWS = 1 << 16
 REFRESH = 8
+#: Columns whose quantiles are sketched at once.
+SKETCHED = 24
 #: A table whose blocks, with one model's margins and gradients, take up to so many bytes is grown in single tasks.
 TASK_BYTES = 192 << 20
 #: Gradients and hessians are multiples of 1 / SCALE.
@@ -331,8 +333,13 @@ BLOCK = "place int, n int, bins binary, label binary, key binary, weights binary
 def borders_of(frame: DataFrame, columns: Sequence[str], bins: int = BINS) -> list[np.ndarray]:
     """Increasing borders of each column: its quantiles, all values but the largest where there are few.
 
-    One pass for all columns with the built-in mergeable sketch; borders are values of the table.
+    The built-in mergeable sketch, a pass for each SKETCHED columns, since a task
+    holds a buffer for each column; borders are values of the table.
     """
+    return [b for i in range(0, len(columns), SKETCHED) for b in _borders_of(frame, columns[i : i + SKETCHED], bins)]
+
+
+def _borders_of(frame: DataFrame, columns: Sequence[str], bins: int) -> list[np.ndarray]:
     cells = [F.col(quoted(c)).cast("double") for c in columns]
     finite = [F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x) for x in cells]
     shares = F.expr("array(" + ", ".join(f"{i / bins!r}d" for i in range(1, bins)) + ")")

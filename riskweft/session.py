@@ -40,7 +40,7 @@ def build_session(app: str = "riskweft", master: str | None = None, shuffle_part
     return spark
 
 
-def side_by_side(spark: SparkSession, calls: Iterable[Callable[[], T]], parallelism: int = 6) -> list[T]:
+def side_by_side(spark: SparkSession, calls: Iterable[Callable[[], T]], parallelism: int = 4) -> list[T]:
     """Results of independent calls in their order; a few run at a time, since planning and short jobs leave most cores idle."""
     with ThreadPoolExecutor(parallelism) as pool:
         return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(c)) for c in calls]]
