@@ -3,17 +3,22 @@
 Equal vectors are folded first, so a large group of copies is one row. The
 distinct vectors are assigned to their closest pivot; a first pass inside each
 cell gives every vector an upper bound, and a second pass visits only those
-cells that the triangle inequality cannot rule out. Cells are cut into chunks
-and their visitors into slices, so a task compares one bounded chunk with one
-bounded slice and emits only the best few candidates per visitor.
+cells that the triangle inequality cannot rule out.
+
+The vectors of a cell are packed into blocks of bounded size, and each pass goes
+over pairs of blocks: a task holds one part of the residents and streams one part
+of the visitors past it. Vectors are written once and read again by each task, so
+disk grows with the number of vectors, though the comparisons grow with its
+square; a task emits only the best few candidates per visitor.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskweft.operators.splitting import hash_order
@@ -76,63 +81,140 @@ _CANDIDATE = "vid bigint, dist double, id bigint, label int"
 
 #: Visitors of one matrix product.
 BLOCK = 512
+#: Bytes of vectors in one part of the residents.
+PART_BYTES = 32 << 20
+
+_PACKED = "cell int, n int, vid binary, vec binary, bound binary, many binary, head_id binary, head_label binary"
+
+
+def _packed(residents: DataFrame, chunk: int) -> DataFrame:
+    """Blocks of up to about chunk vectors of one cell; residents(vid, vec, heads, cell, bound), bound NaN where there is none."""
+    sizes = _sizes(residents, chunk)
+    many = [(c, n) for c, n in sizes.items() if n > 1]
+    blocks = F.coalesce(F.create_map(*[F.lit(v) for pair in many for v in pair])[F.col("cell")], F.lit(1)) if many else F.lit(1)
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        heads = list(rows["heads"])
+        cells = [
+            rows["vid"].to_numpy("int64"), np.stack(rows["vec"].to_numpy()).astype("float64"), rows["bound"].to_numpy("float64"), np.array([len(h) for h in heads], "int32"),
+            np.array([x["id"] for h in heads for x in h], "int64"), np.array([x["label"] for h in heads for x in h], "float64"),
+        ]
+        return pd.DataFrame([[rows["cell"].iloc[0], len(rows), *[np.ascontiguousarray(c).tobytes() for c in cells]]], columns=[x.split()[0] for x in _PACKED.split(", ")])
+
+    dealt = residents.withColumn("chunk", F.pmod(F.xxhash64("vid"), blocks).cast("int"))
+    return dealt.select("cell", "chunk", "vid", "vec", "heads", "bound").groupBy("cell", "chunk").applyInPandas(pack, _PACKED)
+
+
+class _Vectors:
+    """The arrays of one block."""
+
+    def __init__(self, n: int, vid: bytes, vec: bytes, bound: bytes):
+        self.vid, self.bound = np.frombuffer(vid, "int64"), np.frombuffer(bound, "float64")
+        self.vec = np.frombuffer(vec, "float64").reshape(n, -1)
+
+
+class _Residents(_Vectors):
+    """Also the first few heads of each vector."""
+
+    def __init__(self, n: int, vid: bytes, vec: bytes, bound: bytes, many: bytes, head_id: bytes, head_label: bytes, needed: int):
+        super().__init__(n, vid, vec, bound)
+        whole = np.frombuffer(many, "int32").astype("int64")
+        first = np.cumsum(whole) - whole
+        self.many = np.minimum(whole, needed)
+        taken = np.repeat(first, self.many) + _within(self.many)
+        self.head_id, self.head_label = np.frombuffer(head_id, "int64")[taken], np.frombuffer(head_label, "float64")[taken]
+        self.first = np.cumsum(self.many) - self.many
+        self.norms = (self.vec**2).sum(axis=1)
 
 
-def _closest(needed: int):
-    """Best candidates of each visitor among the residents of one chunk.
+def _within(many: np.ndarray) -> np.ndarray:
+    """0, 1, ... inside each of the runs of the given lengths."""
+    return np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+
+
+_Found = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _best_rows(found: list[_Found], needed: int) -> _Found:
+    """Of (visitor, dist, id, label) the best few of each visitor."""
+    i, dist, ids, labels = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((ids, dist, i))
+    i, dist, ids, labels = i[order], dist[order], ids[order], labels[order]
+    kept = np.arange(len(i)) - np.searchsorted(i, i) < needed
+    return i[kept], dist[kept], ids[kept], labels[kept]
+
+
+def _closest(visitors: _Vectors, rows: np.ndarray, residents: _Residents, needed: int) -> list[_Found]:
+    """Best candidates of some visitors among the residents of one block.
 
     A matrix product gives all distances of a block up to rounding; residents
     that may be among the needed ones are measured again, exactly.
     """
-    def compare(visitors: pd.DataFrame, residents: pd.DataFrame) -> pd.DataFrame:
-        parts = []
-        if len(visitors) and len(residents):
-            data, ids = np.stack(residents["vec"].to_numpy()), residents["vid"].to_numpy()
-            norms = (data**2).sum(axis=1)
-            heads = [h[:needed] for h in residents["heads"]]
-            many = np.array([len(h) for h in heads])
-            head_id = np.array([x["id"] for h in heads for x in h], dtype="int64")
-            head_label = np.array([x["label"] for h in heads for x in h], dtype="int64")
-            first = np.cumsum(many) - many
-            for start in range(0, len(visitors), BLOCK):
-                own = visitors["vid"].to_numpy()[start : start + BLOCK]
-                vecs = np.stack(visitors["vec"].to_numpy()[start : start + BLOCK])
-                size = (vecs**2).sum(axis=1)
-                square = size[:, None] + norms[None, :] - 2 * (vecs @ data.T)
-                slack = 1e-9 * (size[:, None] + norms[None, :] + 1)
-                square[own[:, None] == ids[None, :]] = np.inf
-                kth = np.partition(square + slack, min(needed, len(data)) - 1, axis=1)[:, min(needed, len(data)) - 1]
-                i, j = np.nonzero((square - slack <= kth[:, None]) & np.isfinite(square))
-                exact = np.sqrt(((data[j] - vecs[i]) ** 2).sum(axis=1))
-                at = np.repeat(first[j], many[j]) + np.arange(many[j].sum()) - np.repeat(np.cumsum(many[j]) - many[j], many[j])
-                i, exact = np.repeat(i, many[j]), np.repeat(exact, many[j])
-                order = np.lexsort((head_id[at], exact, i))
-                i, exact, at = i[order], exact[order], at[order]
-                place = np.arange(len(i)) - np.searchsorted(i, i)
-                kept = place < needed
-                parts.append(pd.DataFrame({"vid": own[i[kept]], "dist": exact[kept], "id": head_id[at[kept]], "label": head_label[at[kept]]}))
-        return pd.concat(parts) if parts else pd.DataFrame(columns=["vid", "dist", "id", "label"])
-
-    return compare
-
-
-def _search(visits: DataFrame, residents: DataFrame, slices: dict[int, int], chunks: dict[int, int], needed: int) -> DataFrame:
-    """visits(vid, vec, cell) against residents(vid, vec, heads, cell), chunk by slice."""
-    def per_cell(sizes: dict[int, int]) -> Column:
-        many = [(c, n) for c, n in sizes.items() if n > 1]
-        if not many:
-            return F.lit(1)
-        return F.coalesce(F.create_map(*[F.lit(v) for pair in many for v in pair])[F.col("cell")], F.lit(1))
-
-    n_slices, n_chunks = per_cell(slices), per_cell(chunks)
-    left = visits.withColumn("slice", F.pmod(F.xxhash64("vid"), n_slices).cast("int")).withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0), n_chunks - 1))
-    )
-    right = residents.withColumn("chunk", F.pmod(F.xxhash64("vid"), n_chunks).cast("int")).withColumn(
-        "slice", F.explode(F.sequence(F.lit(0), n_slices - 1))
-    )
-    keys = ["cell", "chunk", "slice"]
-    return left.groupBy(*keys).cogroup(right.select("vid", "vec", "heads", *keys).groupBy(*keys)).applyInPandas(_closest(needed), _CANDIDATE)
+    found = []
+    data, many = residents.vec, residents.many
+    for start in range(0, len(rows), BLOCK):
+        at = rows[start : start + BLOCK]
+        vecs = visitors.vec[at]
+        size = (vecs**2).sum(axis=1)
+        square = size[:, None] + residents.norms[None, :] - 2 * (vecs @ data.T)
+        slack = 1e-9 * (size[:, None] + residents.norms[None, :] + 1)
+        square[visitors.vid[at][:, None] == residents.vid[None, :]] = np.inf
+        last = min(needed, len(data)) - 1
+        kth = np.partition(square + slack, last, axis=1)[:, last]
+        i, j = np.nonzero((square - slack <= kth[:, None]) & np.isfinite(square))
+        exact = np.sqrt(((data[j] - vecs[i]) ** 2).sum(axis=1))
+        # What lies beyond a visitor's bound cannot be among its nearest.
+        near = ~(exact > visitors.bound[at[i]])
+        i, j, exact = i[near], j[near], exact[near]
+        head = np.repeat(residents.first[j], many[j]) + _within(many[j])
+        found.append(_best_rows([(np.repeat(at[i], many[j]), np.repeat(exact, many[j]), residents.head_id[head], residents.head_label[head])], needed))
+    return found
+
+
+_Reach = Callable[[int, np.ndarray, np.ndarray, int], np.ndarray]
+
+
+def _search(visitors: DataFrame, residents: DataFrame, needed: int, reach: _Reach | None = None) -> DataFrame:
+    """Best candidates of visitors among the residents of the cells in their goals; both are packed, visitors also have goals.
+
+    Pairs of blocks are joined without a key: each task reads one part of both
+    tables, so no vector is copied for the cells or blocks that it visits.
+    reach(home, vectors, bounds, cell) says which visitors have to look at a cell.
+    """
+    facts = residents.agg(F.count(F.lit(1)).alias("blocks"), F.sum(F.length("vec")).alias("bytes")).first()
+    parts = max(1, min(facts["blocks"], -(-(facts["bytes"] or 0) // PART_BYTES)))
+    parallelism = 2 * residents.sparkSession.sparkContext.defaultParallelism
+    streams = max(1, min(visitors.count(), max(parts, -(-parallelism // parts))))
+    left = visitors.select(*[F.col(c).alias(f"v_{c}") for c in ("cell", "n", "vid", "vec", "bound")], "goals")
+    pairs = left.repartition(streams).join(residents.repartition(parts).hint("shuffle_replicate_nl"), F.array_contains("goals", F.col("cell")))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, best = None, []
+
+        def flush() -> pa.RecordBatch:
+            i, dist, ids, labels = _best_rows(best, needed)
+            known = ~np.isnan(labels)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(held[1].vid[i]), pa.array(dist), pa.array(ids), pa.array(np.where(known, labels, 0).astype("int32"), mask=~known)], ["vid", "dist", "id", "label"],
+            )
+
+        for batch in batches:
+            for r in range(batch.num_rows):
+                row = {c: batch.column(c)[r].as_py() for c in ("v_cell", "v_n", "v_vid", "cell", "n", "vid", "vec", "bound", "many", "head_id", "head_label")}
+                # Rows of one visitor block follow each other.
+                if held is None or held[0] != row["v_vid"]:
+                    if best:
+                        yield flush()
+                    held, best = (row["v_vid"], _Vectors(row["v_n"], row["v_vid"], batch.column("v_vec")[r].as_py(), batch.column("v_bound")[r].as_py())), []
+                block = held[1]
+                rows = np.arange(len(block.vid)) if reach is None else np.flatnonzero(reach(row["v_cell"], block.vec, block.bound, row["cell"]))
+                if len(rows):
+                    found = _closest(block, rows, _Residents(*[row[c] for c in ("n", "vid", "vec", "bound", "many", "head_id", "head_label")], needed), needed)
+                    best = [_best_rows([*best, *found], needed)]
+        if best:
+            yield flush()
+
+    return pairs.mapInArrow(compare, _CANDIDATE)
 
 
 def _keep_best(candidates: DataFrame, needed: int) -> DataFrame:
@@ -158,52 +240,50 @@ def opposite_label_rate(df: DataFrame, key: str, label: str, vector: str, rank:
     chosen = folded.orderBy(hash_order("vid", SEED)).limit(wanted).select("vec").collect()
     table = np.array([r["vec"] for r in chosen], dtype=float)
     residents = stage(_assign(folded.select("vid", "vec", "heads"), table), "cells")
-    chunks = _sizes(residents, chunk)
-    own = residents.select("vid", "vec", "cell")
-    near = stage(_search(own, residents, chunks, chunks, rank), "near")
+    home = residents.withColumn("bound", F.lit(float("nan")))
+    packed = stage(_packed(home, chunk), "blocks")
+    near = stage(_search(packed.withColumn("goals", F.array("cell")), packed, rank), "near")
     best = _keep_best(near, rank)
     if len(chosen) > 1:
         bound = best.groupBy("vid").agg(F.when(F.count(F.lit(1)) >= rank, F.max("dist")).alias("bound"))
         rings = {r["cell"]: (r["lo"], r["hi"]) for r in residents.groupBy("cell").agg(F.min("radius").alias("lo"), F.max("radius").alias("hi")).collect()}
-        visits = stage(_other_cells(residents.join(bound, "vid", "left").select("vid", "vec", "cell", "bound"), table, rings), "visits")
-        far = _search(visits, residents, _sizes(visits, chunk), chunks, rank)
+        reach = _reach(table, rings)
+        bounded = residents.join(bound, "vid", "left").withColumn("bound", F.coalesce("bound", F.lit(float("nan"))))
+        visitors = stage(_with_goals(_packed(bounded, chunk), sorted(rings), reach), "visitors")
+        far = stage(_search(visitors.where(F.size("goals") > 0), packed, rank, reach), "far")
         best = _keep_best(near.unionByName(far), rank)
     ranked = best.groupBy("vid").agg(*[F.max(F.when(F.col("_r") == i, F.col("label"))).alias(f"out{i}") for i in (1, 2)])
     return _rate(folded.drop("vec").join(ranked, "vid", "left"), rank)
 
 
-def _other_cells(rows: DataFrame, pivots: np.ndarray, rings: dict[int, tuple[float, float]]) -> DataFrame:
-    """(vid, vec, cell) for each foreign cell that may hold a closer vector."""
-    cells = np.array(sorted(rings))
-    low = np.array([rings[c][0] for c in cells])
-    high = np.array([rings[c][1] for c in cells])
-    centre = pivots[cells]
+def _reach(pivots: np.ndarray, rings: dict[int, tuple[float, float]]) -> _Reach:
+    """Which vectors of one cell may have a closer vector in another one."""
+    def reach(home: int, vecs: np.ndarray, bounds: np.ndarray, cell: int) -> np.ndarray:
+        if cell == home:
+            return np.zeros(len(vecs), bool)
+        low, high = rings[cell]
+        limit = np.where(np.isnan(bounds), np.inf, bounds * (1 + 1e-9) + 1e-9)
+        d = np.sqrt(((vecs - pivots[cell]) ** 2).sum(axis=1))
+        own = np.sqrt(((vecs - pivots[home]) ** 2).sum(axis=1))
+        apart = np.sqrt(((pivots[cell] - pivots[home]) ** 2).sum())
+        # Distance to the plane between the two pivots, and to the ring the cell occupies.
+        plane = (d**2 - own**2) / (2 * apart) if apart > 0 else np.zeros(len(vecs))
+        return (plane <= limit) & (d - high <= limit) & (low - d <= limit)
 
-    def flush(vids, vecs, targets):
-        return pd.DataFrame({"vid": np.array(vids, dtype="int64"), "vec": vecs, "cell": np.array(targets, dtype="int32")})
+    return reach
 
-    def visit(batches):
-        vids, vecs, targets = [], [], []
+
+def _with_goals(packed: DataFrame, cells: list[int], reach: _Reach) -> DataFrame:
+    """Blocks with the cells that at least one of their vectors has to look at."""
+    def goals(batches):
         for pdf in batches:
-            for vid, vec, home, bound in zip(pdf["vid"], pdf["vec"], pdf["cell"], pdf["bound"]):
-                limit = np.inf if bound is None or np.isnan(bound) else bound * (1 + 1e-9) + 1e-9
-                d = np.sqrt(((centre - vec) ** 2).sum(axis=1))
-                own = np.sqrt(((pivots[home] - vec) ** 2).sum())
-                apart = np.sqrt(((centre - pivots[home]) ** 2).sum(axis=1))
-                # Distance to the plane between the two pivots, and to the ring the cell occupies.
-                plane = np.where(apart > 0, (d**2 - own**2) / np.where(apart > 0, 2 * apart, 1), 0)
-                reach = (plane <= limit) & (d - high <= limit) & (low - d <= limit) & (cells != home)
-                for c in cells[reach]:
-                    vids.append(vid)
-                    vecs.append(vec)
-                    targets.append(c)
-                # Visits leave in small pieces: a row may visit every cell.
-                if len(vids) >= 4096:
-                    yield flush(vids, vecs, targets)
-                    vids, vecs, targets = [], [], []
-        yield flush(vids, vecs, targets)
-
-    return rows.mapInPandas(visit, "vid bigint, vec array<double>, cell int")
+            found = []
+            for home, n, vid, vec, bound in zip(pdf["cell"], pdf["n"], pdf["vid"], pdf["vec"], pdf["bound"]):
+                block = _Vectors(n, vid, vec, bound)
+                found.append([c for c in cells if reach(home, block.vec, block.bound, c).any()])
+            yield pdf.assign(goals=found)
+
+    return packed.mapInPandas(goals, f"{_PACKED}, goals array<int>")
 
 
 def _rate(folded: DataFrame, rank: int) -> DataFrame:

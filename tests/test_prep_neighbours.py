@@ -2,6 +2,8 @@ import numpy as np
 import pytest
 
 from helpers import ROW0, ROW1, credit_frame
+from pyspark.sql import functions as F
+
 from riskweft.operators import features as fe, neighbours as nn, prep as pp
 
 
@@ -58,6 +60,27 @@ def test_neighbours_by_brute_force(spark, rank, pivots, chunk):
     assert row["rows"] == 60 and row["opposite"] == brute(vectors, labels, rank)
 
 
+def test_vectors_are_not_copied_for_each_cell_they_visit(spark, monkeypatch):
+    """In many dimensions every vector looks at every cell; it was written once for each."""
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(300, 24))
+    labels = [int(x) for x in rng.integers(0, 2, 300)]
+    df = spark.createDataFrame([(i, labels[i], [float(x) for x in vectors[i]]) for i in range(300)], "row_id bigint, Y int, vec array<double>")
+    kept, written = nn.stage, []
+
+    def counted(table, label):
+        out = kept(table, label)
+        if "vec" in out.columns:
+            written.append(out.agg(F.sum("n") if "n" in out.columns else F.count(F.lit(1))).first()[0])
+        return out
+
+    monkeypatch.setattr(nn, "stage", counted)
+    monkeypatch.setattr(nn, "PART_BYTES", 5_000)
+    row = nn.opposite_label_rate(df, "row_id", "Y", "vec", 2, chunk=7, pivots=12).first()
+    assert row["rows"] == 300 and row["opposite"] == brute(vectors, labels, 2)
+    assert max(written) == 300
+
+
 def test_standardised_constant_column(spark):
     df = spark.createDataFrame([(1, 2.0, 5.0), (2, 4.0, 5.0)], "row_id bigint, a double, b double")
     got = [r["vec"] for r in nn.standardized_vectors(df, ["a", "b"], ["row_id"]).orderBy("row_id").collect()]
