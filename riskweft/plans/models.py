@@ -32,6 +32,8 @@ from riskweft.sources.contract import CATEGORICAL, SEED
 DUMMY = "dummy_classifier"
 #: Bins of a numeric column; a nominal column with more categories gets one bin for each.
 MIN_BINS = 64
+#: Rows of a partition that a logistic model iterates over.
+ITERATED_ROWS = 1 << 15
 #: Leaf penalty of the symmetric family where the settings name none.
 LEAF_L2 = 3.0
 FAMILIES = (DUMMY, "logistic_regression", "decision_tree", "random_forest", "hist_gradient_boosting", "xgboost", "catboost")
@@ -185,7 +187,11 @@ def fit(spec: ModelSpec, train: DataFrame, columns: Sequence[str], label: str =
         weight = weight * row_weight
     names = _inputs(columns)
     data = train.select(*[F.col(quoted(c)).alias(n) for c, n in zip(columns, names)], F.col(label).cast("double").alias("_label"), weight.cast("double").alias("_weight"))
-    total = data.agg(F.sum("_weight")).first()[0] if spec.family == "logistic_regression" else 0.0
+    total = 0.0
+    if spec.family == "logistic_regression":
+        total = data.agg(F.sum("_weight")).first()[0]
+        # Each of many iterations is a job over all partitions, so a partition should be worth its task.
+        data = data.coalesce(-(-(negatives + positives) // ITERATED_ROWS))
     stages, inputs, bins = [], names, MIN_BINS
     if categorical:
         indexed = {n: f"{n}_index" for c, n in zip(columns, names) if c in categorical}
